@@ -54,6 +54,14 @@ def month_spine(spark: SparkSession, start: int, end: int, name: str = "ANO_MES"
         (F.year("_d") * 100 + F.month("_d")).cast("int").alias(name))
 
 
+def month_spine_of(df: DataFrame, date_col: str, name: str = "ANO_MES") -> DataFrame:
+    """B1 over data: every month from the first to the last date of
+    ``date_col`` (one aggregate row, then a bounded explode)."""
+    b = df.agg(F.trunc(F.min(date_col), "month").alias("_lo"), F.trunc(F.max(date_col), "month").alias("_hi"))
+    return b.select(F.explode(F.sequence("_lo", "_hi", F.expr("interval 1 month"))).alias("_d")).select(
+        (F.year("_d") * 100 + F.month("_d")).cast("int").alias(name))
+
+
 def past_months(end: int, n: int) -> list[int]:
     """Current and ``n`` previous months (monitoring history)."""
     return [shift_month(end, -k) for k in range(n, -1, -1)]
@@ -155,9 +163,11 @@ def row_number_within(df: DataFrame, by: Sequence[str], order: Sequence[str | Co
     to one task: a global running count over (by, order) minus the group's
     first position (one row per group)."""
     cum = running_total(df, [*by, *order], None, "_g_cum").drop("_w")
-    starts = cum.groupBy(*by).agg(F.min("_g_cum").alias("_g_start"))
-    return (cum.join(starts, list(by)) if by else cum.crossJoin(starts)) \
-        .withColumn(out, F.col("_g_cum") - F.col("_g_start") + 1).drop("_g_cum", "_g_start")
+    if not by:
+        return cum.withColumnRenamed("_g_cum", out)
+    starts = cum.groupBy(*by).agg(F.min("_g_cum").alias("_g_start"))   # one row per group
+    return (cum.join(starts, list(by))
+            .withColumn(out, F.col("_g_cum") - F.col("_g_start") + 1).drop("_g_cum", "_g_start"))
 
 
 def sample_exact(df: DataFrame, id_col: str, n: int, seed: int = 0,
@@ -194,7 +204,11 @@ def negatives_without_reuse(target0: DataFrame, months: Sequence[int], id_col: s
     for m in months:
         k = int(counts.get(m, 0) / n_months)
         cand = target0.where(F.col("ANO_MES") == m)
-        pick = sample_exact(cand, id_col, k, seed, exclude=taken)
+        if taken is not None:
+            cand = cand.join(taken.select(id_col), id_col, "left_anti")
+        # the exact-n draw is this operator's feature: top-k by the hash key
+        pick = (cand.withColumn("_h", sample_key(id_col, seed)).orderBy("_h", id_col).limit(k)
+                .drop("_h"))
         taken = pick if taken is None else taken.unionByName(pick)
         taken = cut_lineage(taken)
     return taken

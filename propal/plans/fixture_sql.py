@@ -88,7 +88,7 @@ SELECT m.ANO_MES, c_custkey AS ID_CLIENTE_ANON, c_mktsegment AS IND_PSIN_PCOL_EN
        CAST(c_custkey % 37 = 0 AS INTEGER) AS FLG_CLIENTE_MEDIADOR,
        CAST(10 + c_custkey % 80 AS DOUBLE) AS QTD_IDADE,
        CASE WHEN {_ms} >= 0 THEN {_ms} / 12.0 END AS QTD_ANOS_ANTIG_CLIENTE,
-       c_acctbal AS VAL_SALDO
+       c_acctbal AS VAL_SALDO, c_nationkey AS NATION
 FROM customer CROSS JOIN {_months(199601, 200012)} m
 LEFT JOIN first_order fo ON c_custkey = fo.ID"""
 

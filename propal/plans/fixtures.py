@@ -131,7 +131,8 @@ class Fixtures:
         """Monthly customer snapshot (eligibility flags, age, tenure)."""
         from ..operators.panel import panel
         c = self.customer
-        base = panel(c.select(F.col("c_custkey").alias("ID_CLIENTE_ANON"), "c_mktsegment", "c_acctbal"),
+        base = panel(c.select(F.col("c_custkey").alias("ID_CLIENTE_ANON"), "c_mktsegment", "c_acctbal",
+                              "c_nationkey"),
                      199601, 200012)
         k = F.col("ID_CLIENTE_ANON")
         fo = self.first_order.withColumnRenamed("ID", "ID_CLIENTE_ANON")
@@ -149,7 +150,7 @@ class Fixtures:
             (k % 37 == 0).cast("int").alias("FLG_CLIENTE_MEDIADOR"),
             (F.lit(10) + k % 80).cast("double").alias("QTD_IDADE"),
             F.when(months_since >= 0, months_since / 12.0).alias("QTD_ANOS_ANTIG_CLIENTE"),
-            F.col("c_acctbal").alias("VAL_SALDO")))
+            F.col("c_acctbal").alias("VAL_SALDO"), F.col("c_nationkey").alias("NATION")))
 
     def build_policy_snap(self) -> DataFrame:
         o = self.orders_m

@@ -1,5 +1,313 @@
-"""Queries."""
+"""Queries B1-B18: month spines, eligibility, targets, sampling, lagged
+feature joins and universe upkeep."""
+
+from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import panel as P
 from .catalog import query
+
+PERSON_TYPES = ("BUILDING", "AUTOMOBILE", "MACHINERY", "HOUSEHOLD")
+CUST_PREDICATES = ("QTD_IDADE >= 18", "QTD_ANOS_ANTIG_CLIENTE >= 1")
+PRODUCTS = ("1-URGENT", "2-HIGH", "3-MEDIUM")
+POLICY_PREDICATES = ("TX_SINISTRALIDADE_TRIENIO < 50",)
+
+
+def _add_months_sql(c: str, k) -> str:
+    idx = f"(floor({c} / 100) * 12 + ({c} % 100 - 1) + ({k}))"
+    return f"CAST(floor({idx} / 12) * 100 + {idx} % 12 + 1 AS INTEGER)"
+
+
+@query("B1_month_spine", """
+SELECT CAST(year(d) * 100 + month(d) AS INTEGER) AS ANO_MES
+FROM (SELECT unnest(generate_series(date_trunc('month', min(o_orderdate)), date_trunc('month', max(o_orderdate)),
+                                    INTERVAL 1 MONTH)) AS d FROM orders)""")
+def b1(fx):
+    """Every month between the first and the last order."""
+    return P.month_spine_of(fx.orders, "o_orderdate")
+
+
+@query("B2_eligible_customers", """
+SELECT ANO_MES, ID_CLIENTE_ANON, QTD_IDADE, QTD_ANOS_ANTIG_CLIENTE FROM customer_snap
+WHERE IND_PSIN_PCOL_ENI IN ('BUILDING', 'AUTOMOBILE', 'MACHINERY', 'HOUSEHOLD')
+  AND FLG_CONFIDENCIALIDADE = 0 AND FLG_EMPREG_FIDEL = 0 AND FLG_INCIDENCIAS = 0 AND FLG_CLIENTE_BLOQUEADO = 0
+  AND FLG_FALECIDO = 0 AND FLG_CONTACTO_MKT = 0 AND FLG_CLIENTE_MEDIADOR = 0
+  AND QTD_IDADE >= 18 AND QTD_ANOS_ANTIG_CLIENTE >= 1""")
+def b2(fx):
+    """Eligible customers of every monthly snapshot."""
+    e = P.eligible_customers(fx.customer_snap, PERSON_TYPES, CUST_PREDICATES)
+    return e.select("ANO_MES", "ID_CLIENTE_ANON", "QTD_IDADE", "QTD_ANOS_ANTIG_CLIENTE")
+
+
+@query("B3_eligible_policies", """
+SELECT ANO_MES, ID_APOLICE, ID_CLIENTE_ANON, CAST(replace(TX_SINISTRALIDADE_TRIENIO, '%', '') AS DOUBLE)
+       AS TX_SINISTRALIDADE_TRIENIO
+FROM policy_snap
+WHERE FLG_APL_EM_VIGOR = 1 AND COD_PRODUTO_CATALOG = 'INDIVIDUAL'
+  AND DSC_PRODUTO_SO_APL IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
+  AND CAST(replace(TX_SINISTRALIDADE_TRIENIO, '%', '') AS DOUBLE) < 50""")
+def b3(fx):
+    """In-force individual policies of chosen products with a loss ratio < 50 %."""
+    e = P.eligible_policies(fx.policy_snap, PRODUCTS, POLICY_PREDICATES)
+    return e.select("ANO_MES", "ID_APOLICE", "ID_CLIENTE_ANON", "TX_SINISTRALIDADE_TRIENIO")
+
+
+@query("B4_in_force", "SELECT ANO_MES, ID_APOLICE FROM policy_snap WHERE FLG_APL_EM_VIGOR = 1")
+def b4a(fx):
+    return P.in_force(fx.policy_snap).select("ANO_MES", "ID_APOLICE")
+
+
+@query("B4_cancelled", "SELECT ANO_MES, ID_APOLICE FROM policy_snap WHERE FLG_APL_ANULADA = 1")
+def b4b(fx):
+    return P.cancelled(fx.policy_snap).select("ANO_MES", "ID_APOLICE")
+
+
+@query("B4_cancel_reason",
+       "SELECT ID_APOLICE FROM policy_snap WHERE DSC_MOTIVO_ANUL_APL IN ('MOTIVO_1', 'MOTIVO_3')")
+def b4c(fx):
+    return P.cancel_reason(fx.policy_snap, ["MOTIVO_1", "MOTIVO_3"])
+
+
+@query("B5_monthly_target", "SELECT * FROM universe")
+def b5(fx):
+    """Monthly buyers (TARGET=1) and known non-buyers (TARGET=0), all months."""
+    return fx.universe
+
+
+_B6_SQL = """
+SELECT * FROM universe WHERE TARGET = 1
+UNION ALL
+SELECT * FROM universe u WHERE TARGET = 0 AND ID NOT IN (
+  SELECT ID FROM universe WHERE TARGET = 1 AND ANO_MES BETWEEN 199511 AND 200103)"""
+
+
+@query("B6_exclude_general_target1", _B6_SQL)
+def b6(fx):
+    """Universe without negatives that bought in any month of the window."""
+    return P.exclude_general_target1(fx.universe, 199601, 200012)
+
+
+_B7_SQL = """
+SELECT ANO_MES, ID, TARGET FROM (
+  SELECT *, row_number() OVER (ORDER BY md5('0|' || CAST(ID AS VARCHAR)), ID) AS rn
+  FROM universe WHERE ANO_MES = 200006 AND TARGET = 0
+    AND ID NOT IN (SELECT ID FROM universe WHERE TARGET = 1 AND ANO_MES BETWEEN 200001 AND 200012))
+WHERE rn <= 300"""
+
+
+@query("B7_sample_exact", _B7_SQL)
+def b7(fx):
+    """300 negatives of 2000-06 not buying in 2000, md5-ordered draw."""
+    u = fx.universe
+    cand = u.where((F.col("ANO_MES") == 200006) & (F.col("TARGET") == 0))
+    excl = u.where((F.col("TARGET") == 1) & F.col("ANO_MES").between(200001, 200012)).select("ID")
+    return P.sample_exact(cand, "ID", 300, seed=0, exclude=excl)
+
+
+def _b8_sql(months):
+    n = len(months)
+    parts = ["t0 AS (SELECT ANO_MES, ID, md5('0|' || CAST(ID AS VARCHAR)) AS h FROM universe WHERE TARGET = 0)",
+             "cnt AS (SELECT ANO_MES, count(*) AS n FROM t0 GROUP BY ANO_MES)"]
+    prev = None
+    for i, m in enumerate(months):
+        excl = f"AND ID NOT IN (SELECT ID FROM acc{i - 1})" if prev else ""
+        parts.append(
+            f"p{i} AS MATERIALIZED (SELECT ANO_MES, ID FROM (SELECT ANO_MES, ID, row_number() OVER (ORDER BY h, ID) AS rn "
+            f"FROM t0 WHERE ANO_MES = {m} {excl}) WHERE rn <= coalesce((SELECT CAST(floor(n / {n}) AS BIGINT) "
+            f"FROM cnt WHERE ANO_MES = {m}), 0))")
+        parts.append(f"acc{i} AS MATERIALIZED (SELECT * FROM p{i}" + (f" UNION ALL SELECT * FROM acc{i - 1})" if prev else ")"))
+        prev = True
+    return "WITH " + ",\n".join(parts) + f"\nSELECT ANO_MES, ID FROM acc{n - 1}"
+
+
+_B8_MONTHS = P.months_between_list(199601, 200012)
+
+
+@query("B8_negatives_without_reuse", _b8_sql(_B8_MONTHS))
+def b8(fx):
+    """Per month int(N_m/60) negatives, each id used in one month only."""
+    t0 = fx.universe.where(F.col("TARGET") == 0).select("ANO_MES", "ID")
+    return P.negatives_without_reuse(t0, _B8_MONTHS, "ID", seed=0)
+
+
+@query("B9_build_universe", """
+SELECT ANO_MES, ID, 1 AS TARGET FROM universe WHERE TARGET = 1 AND ANO_MES >= 200007
+UNION ALL
+SELECT ANO_MES, ID, 0 AS TARGET FROM universe WHERE TARGET = 0 AND ANO_MES >= 200007
+  AND ID NOT IN (SELECT ID FROM universe WHERE TARGET = 1 AND ANO_MES BETWEEN 200005 AND 200103)""")
+def b9(fx):
+    """Second-half-2000 universe: buyers plus negatives cleared of general buyers."""
+    u = fx.universe
+    gp = P.general_positives(u, 200007, 200012)
+    t1 = u.where((F.col("TARGET") == 1) & (F.col("ANO_MES") >= 200007))
+    t0 = u.where((F.col("TARGET") == 0) & (F.col("ANO_MES") >= 200007)).join(gp, "ID", "left_anti")
+    return P.build_universe(t1, t0)
+
+
+@query("B10_target_rate_by_month", """
+SELECT ANO_MES, count(DISTINCT ID) AS N_IDS, CAST(sum(CASE WHEN TARGET = 0 THEN 1 ELSE 0 END) AS BIGINT) AS N_TARGET0,
+       CAST(sum(CASE WHEN TARGET = 1 THEN 1 ELSE 0 END) AS BIGINT) AS N_TARGET1,
+       round(avg(CASE WHEN TARGET = 1 THEN 1.0 ELSE 0.0 END) * 100, 4) AS PCT_TARGET1
+FROM universe GROUP BY ANO_MES""")
+def b10(fx):
+    """Universe size and target rate per month."""
+    return P.target_rate_by_month(fx.universe)
+
+
+@query("B11_distinct_ids_with_total", """
+SELECT CAST(ANO_MES AS VARCHAR) AS ANO_MES, count(DISTINCT ID) AS N_IDS FROM universe WHERE TARGET = 1 GROUP BY ANO_MES
+UNION ALL
+SELECT 'TOTAL UNIQUE', count(DISTINCT ID) FROM universe WHERE TARGET = 1""")
+def b11(fx):
+    """Distinct buyers per month plus the overall distinct count."""
+    return P.distinct_ids_with_total(fx.universe.where(F.col("TARGET") == 1))
+
+
+_B12_SPEND = ["VAL_SPEND_M0", "VAL_SPEND_M1", "QTD_ORD_M0", "DSC_BUY_M0"]
+
+
+def _b12(fx, snap_cols=None, hist_cols=None):
+    snap = fx.customer_snap.withColumnRenamed("ID_CLIENTE_ANON", "ID")
+    if snap_cols:
+        snap = snap.select("ID", "ANO_MES", *snap_cols)
+    cm = fx.cust_month
+    hist = cm.select("ID", "ANO_MES", *(hist_cols or [c for c in cm.columns if c not in ("ID", "ANO_MES")]))
+    year_ago = cm.select("ID", "ANO_MES", *_B12_SPEND)
+    out = P.lagged_feature_join(fx.universe, [
+        (snap, ["ID"], 2, "left", ""),
+        (hist, ["ID"], 2, "left", ""),
+        (year_ago, ["ID"], 14, "left", "_M12"),
+    ])
+    # geography: 25-row dimension, broadcast after a size check
+    return P.broadcast_dim_join(out, fx.geo, "NATION", "left")
+
+
+_B12_SQL = f"""
+SELECT u.*, s.* EXCLUDE (ID_CLIENTE_ANON, ANO_MES), h.* EXCLUDE (ID, ANO_MES),
+       y.VAL_SPEND_M0 AS VAL_SPEND_M0_M12, y.VAL_SPEND_M1 AS VAL_SPEND_M1_M12, y.QTD_ORD_M0 AS QTD_ORD_M0_M12,
+       y.DSC_BUY_M0 AS DSC_BUY_M0_M12, g.DSC_DISTRITO, g.DSC_NUT2
+FROM universe u
+LEFT JOIN customer_snap s ON s.ID_CLIENTE_ANON = u.ID AND {_add_months_sql('s.ANO_MES', 2)} = u.ANO_MES
+LEFT JOIN cust_month h ON h.ID = u.ID AND {_add_months_sql('h.ANO_MES', 2)} = u.ANO_MES
+LEFT JOIN cust_month y ON y.ID = u.ID AND {_add_months_sql('y.ANO_MES', 14)} = u.ANO_MES
+LEFT JOIN geo g ON g.NATION = s.NATION"""
+
+
+@query("B12_lagged_feature_join", _B12_SQL)
+def b12(fx):
+    """Universe with customer features of M-2, order history of M-2 and the
+    year-ago (M-14) history suffixed _M12, plus geography."""
+    return _b12(fx)
+
+
+# --- fixed values: lineage of the selected features (feature, parent, step)
+B13_SELECTED = ("VAL_SPEND_U3M", "FLG_SENIOR", "QTD_IDADE", "DSC_DISTRITO")
+B13_LINEAGE = (("VAL_SPEND_U3M", "VAL_SPEND_U2M", "TrailingSums"), ("VAL_SPEND_U2M", "VAL_SPEND_M0", "TrailingSums"),
+               ("VAL_SPEND_U2M", "VAL_SPEND_M1", "TrailingSums"), ("VAL_SPEND_U2M", "VAL_SPEND_M2", "TrailingSums"),
+               ("VAL_SPEND_U3M", "VAL_SPEND_M3", "TrailingSums"), ("FLG_SENIOR", "QTD_IDADE", "AgeFlag"))
+
+
+@query("B13_eligibles_feature_join", f"""
+SELECT e.ANO_MES, e.ID_CLIENTE_ANON AS ID, s.QTD_IDADE, h.VAL_SPEND_M0, h.VAL_SPEND_M1, h.VAL_SPEND_M2,
+       h.VAL_SPEND_M3, g.DSC_DISTRITO
+FROM customer_snap e
+LEFT JOIN customer_snap s ON s.ID_CLIENTE_ANON = e.ID_CLIENTE_ANON AND {_add_months_sql('s.ANO_MES', 2)} = e.ANO_MES
+LEFT JOIN cust_month h ON h.ID = e.ID_CLIENTE_ANON AND {_add_months_sql('h.ANO_MES', 2)} = e.ANO_MES
+LEFT JOIN geo g ON g.NATION = e.NATION
+WHERE e.ANO_MES = 200012""")
+def b13(fx):
+    """Scoring-time join for 2000-12 that fetches only the source columns the
+    selected features need (lineage expanded to originals)."""
+    from ..operators.lineage import source_columns
+    snap = fx.customer_snap.withColumnRenamed("ID_CLIENTE_ANON", "ID")
+    lineage = fx.spark.createDataFrame(list(B13_LINEAGE), "feature string, parent string, step string")
+    hist = fx.cust_month
+    available = set(snap.columns) | set(hist.columns) | set(fx.geo.columns)
+    need = source_columns(lineage, list(B13_SELECTED), available)
+    base = snap.where(F.col("ANO_MES") == 200012).select("ANO_MES", "ID", "NATION")
+    out = P.lagged_join(base, snap, ["ID"], 2, "left", columns=[c for c in need if c in snap.columns])
+    out = P.lagged_join(out, hist, ["ID"], 2, "left", columns=[c for c in need if c in hist.columns])
+    out = P.broadcast_dim_join(out, fx.geo.select("NATION", *[c for c in need if c in fx.geo.columns]), "NATION")
+    return out.drop("NATION")
+
+
+def _hist_new(fx):
+    u = fx.universe
+    return u.where(F.col("ANO_MES") < 200012), u.where(F.col("ANO_MES") == 200012)
+
+
+@query("B14_roll_universe", """
+WITH hist AS (SELECT * FROM universe WHERE ANO_MES < 200012 AND ANO_MES > 199912),
+new AS (SELECT * FROM universe WHERE ANO_MES = 200012),
+h2 AS (SELECT * FROM hist WHERE NOT (TARGET = 0 AND ID IN (SELECT ID FROM new WHERE TARGET = 1)))
+SELECT * FROM h2
+UNION ALL
+SELECT * FROM new WHERE NOT (TARGET = 0 AND ID IN (SELECT ID FROM h2))""")
+def b14(fx):
+    """Roll 2000-12 into a 12-month history."""
+    hist, new = _hist_new(fx)
+    return P.roll_universe(hist, new, 200012, 12)
+
+
+@query("B15_cap_new_month", """
+WITH hist AS (SELECT * FROM universe WHERE ANO_MES < 200012),
+new AS (SELECT * FROM universe WHERE ANO_MES = 200012),
+h2 AS (SELECT * FROM hist WHERE ANO_MES > 199912
+       AND NOT (TARGET = 0 AND ID IN (SELECT ID FROM new WHERE TARGET = 1))),
+nf AS (SELECT * FROM new WHERE NOT (TARGET = 0 AND ID IN (SELECT ID FROM h2))),
+k AS (SELECT CAST(floor(least((SELECT count(*) FROM nf),
+             greatest((SELECT count(*) FROM hist), (SELECT count(*) FROM new)) / 12)) AS BIGINT) AS k)
+SELECT ANO_MES, ID, TARGET FROM (
+  SELECT *, row_number() OVER (ORDER BY md5('0|' || CAST(ID AS VARCHAR)), ID) AS rn FROM nf)
+WHERE rn <= (SELECT k FROM k)""")
+def b15(fx):
+    """Filtered new month sampled down to the history's monthly size."""
+    hist, new = _hist_new(fx)
+    kept = hist.where(F.col("ANO_MES") > 199912)
+    buyers = new.where(F.col("TARGET") == 1).select("ID").distinct().withColumn("_nb", F.lit(1))
+    h2 = kept.join(buyers, "ID", "left").where(~((F.col("TARGET") == 0) & F.col("_nb").isNotNull())).drop("_nb")
+    ids = h2.select("ID").distinct().withColumn("_h", F.lit(1))
+    nf = new.join(ids, "ID", "left").where(~((F.col("TARGET") == 0) & F.col("_h").isNotNull())).drop("_h")
+    return P.cap_new_month(hist, nf, new, 12).select("ANO_MES", "ID", "TARGET")
+
+
+@query("B16_month_coverage", """
+SELECT ANO_MES, count(*) AS N_ROWS, count(*) OVER () AS N_MONTHS, count(*) OVER () = 60 AS COVERAGE_OK
+FROM universe GROUP BY ANO_MES""")
+def b16(fx):
+    """Rows per month and whether the month count is the expected 60."""
+    return P.month_coverage(fx.universe, 60)
+
+
+@query("B16_schema_drift")
+def b16s(fx):
+    """Columns of the customer snapshot absent from the history table."""
+    return P.schema_drift(fx.cust_month, fx.customer_snap)
+
+
+@query("B17_archive_old", "SELECT * FROM universe WHERE ANO_MES <= 199612")
+def b17(fx):
+    """Universe rows at or before the archive cut-off."""
+    return P.archive_old(fx.universe, 199612)
+
+
+_CHILD = ["COD_DELEGACAO", "DT_INCLUSAO_SEG", "DT_NASCIMENTO_SEG", "QTD_CAPITAL", "VAL_PREMIO", "DSC_ESTADO"]
+
+
+@query("B18_split_child_parent", """
+SELECT DISTINCT ID_APOLICE, ID_CLIENTE_ANON, ANO_MES FROM insured""")
+def b18(fx):
+    """Parent (policy) rows split from the insured-person child rows."""
+    child, parent, dup = P.split_child_parent(fx.insured, _CHILD, ["ID_APOLICE"])
+    return parent
+
+
+@query("B18_duplicate_parents", """
+SELECT ID_APOLICE, count(*) AS count FROM (SELECT DISTINCT ID_APOLICE, COD_DELEGACAO, DSC_ESTADO FROM insured)
+GROUP BY ID_APOLICE HAVING count(*) > 1""")
+def b18d(fx):
+    """Policies whose parent part still repeats (parent kept the branch and state)."""
+    child, parent, dup = P.split_child_parent(
+        fx.insured.select("ID_APOLICE", "COD_DELEGACAO", "DSC_ESTADO", "VAL_PREMIO"), ["VAL_PREMIO"], ["ID_APOLICE"])
+    return dup

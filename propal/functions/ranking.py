@@ -90,23 +90,20 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     cum = running_total(vc, order, "_n1", "_cum", partitions)
     # per group: size and first cumulative position (bounded by #groups)
     groups = cum.groupBy(*by).agg(F.sum("_w").alias("_gn"), F.min(F.col("_cum") - F.col("_w")).alias("_g0"))
-    needs = (groups.select(*by, "_gn", "_g0", prob_rows.alias("_p"))
-             .select(*by, "_gn", "_g0", "_p._i", "_p._q")
+    nb = {k: f"_nb{i}" for i, k in enumerate(by)}
+    needs = (groups.select(*[F.col(k).alias(nb[k]) for k in by], "_gn", "_g0", prob_rows.alias("_p"))
+             .select(*nb.values(), "_gn", "_g0", "_p._i", "_p._q")
              .withColumn("_h", F.col("_q") * (F.col("_gn") - 1))
-             .select(*by, "_i", "_q", "_h", "_g0",
+             .select(*nb.values(), "_i", "_q", "_h", "_g0",
                      F.explode(F.array(F.floor("_h"), F.ceil("_h"))).alias("_pos"))
-             .withColumn("_gpos", F.col("_g0") + F.col("_pos"))
-             .withColumn("_k", F.lit(0)))
-    rows = cum.select(*by, "_v", (F.col("_cum") - F.col("_w")).alias("_start"),
-                      F.col("_cum").alias("_end")).withColumn("_k", F.lit(0))
-    keys = [*by, "_k"]
-    # ``needs`` holds 2 rows per (group, probability); it is small when the
-    # number of groups is (e.g. groups = column names), and AQE sizes it at
-    # runtime otherwise.
-    cond = [rows[k].eqNullSafe(needs[k]) for k in keys] + [
-        rows["_start"] <= needs["_gpos"], needs["_gpos"] < rows["_end"]]
-    hit = rows.join(needs, cond).select(
-        *[needs[k].alias(k) for k in by], needs["_i"], needs["_q"], needs["_h"], needs["_pos"], rows["_v"])
+             .withColumn("_gpos", F.col("_g0") + F.col("_pos")))
+    rows = cum.select(*by, "_v", (F.col("_cum") - F.col("_w")).alias("_start"), F.col("_cum").alias("_end"))
+    # ``needs`` holds 2 rows per (group, probability): small when the number
+    # of groups is (groups = column names, classes, months); AQE sizes it
+    # at runtime otherwise.  The range condition only runs inside a group.
+    cond = [F.col(k).eqNullSafe(F.col(nb[k])) for k in by] + [
+        F.col("_start") <= F.col("_gpos"), F.col("_gpos") < F.col("_end")]
+    hit = rows.join(needs, cond).select(*by, "_i", "_q", "_h", "_pos", "_v")
     out = hit.groupBy(*by, "_i", "_q", "_h").agg(
         F.min(F.struct("_pos", "_v")).alias("_lo"), F.max(F.struct("_pos", "_v")).alias("_hi"))
     frac = F.col("_h") - F.floor("_h")

@@ -5,7 +5,8 @@ from __future__ import annotations
 
 import re
 
-from .fixtures import DIGITAL_REF_DATE, EVENT_TYPES, LOB_OF_TYPE, LOBS, WIDE_REF_MONTH, WIDE_TARGET_FROM
+from .fixtures import (DIGITAL_REF_DATE, EVENT_TYPES, LOB_OF_TYPE, LOBS, WIDE_RECENT_FROM, WIDE_REF_MONTH,
+                       WIDE_TARGET_FROM)
 
 
 def _months(start: int, end: int) -> str:
@@ -169,12 +170,15 @@ _mon = "(year(o_orderdate) * 12 + month(o_orderdate))"
 _per_aggs = ",\n".join(
     f"sum(CASE WHEN LOB = '{b}' THEN 1 ELSE 0 END) AS QTD_APL_VIG_T_{b}, "
     f"round(sum(CASE WHEN LOB = '{b}' THEN l_extendedprice ELSE 0.0 END), 2) AS VAL_PCA_{b}, "
-    f"max(CASE WHEN LOB = '{b}' THEN {_mon} END) AS _last_{b}" for b in LOBS)
+    f"max(CASE WHEN LOB = '{b}' THEN {_mon} END) AS _last_{b}, "
+    f"sum(CASE WHEN LOB = '{b}' AND o_orderdate >= TIMESTAMP '{WIDE_RECENT_FROM}' THEN 1 ELSE 0 END) AS QTD_APL_REC_{b}"
+    for b in LOBS)
 _wide_lob_cols = ",\n".join(
     f"CAST(coalesce(QTD_APL_VIG_T_{b}, 0) AS BIGINT) AS QTD_APL_VIG_T_{b}, "
     f"coalesce(VAL_PCA_{b}, 0.0) AS VAL_PCA_{b}, "
     f"CASE WHEN QTD_APL_VIG_T_AUTO IS NULL THEN 'X' WHEN QTD_APL_VIG_T_{b} > 0 THEN 'S' ELSE 'N' END AS DSC_HAS_{b}, "
-    f"CAST({WIDE_REF_MONTH} - _last_{b} AS DOUBLE) AS QTD_MESES_ULT_COMPRA_{b}" for b in LOBS)
+    f"CAST({WIDE_REF_MONTH} - _last_{b} AS DOUBLE) AS QTD_MESES_ULT_COMPRA_{b}, "
+    f"CAST(coalesce(QTD_APL_REC_{b}, 0) AS BIGINT) AS QTD_APL_REC_{b}" for b in LOBS)
 F["wide_lob"] = f"""
 WITH per AS (
   SELECT o_custkey AS ID, {_per_aggs}

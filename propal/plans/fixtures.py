@@ -25,6 +25,7 @@ PANEL_START, PANEL_END = "1996-01-01", "2000-12-01"      # 60 monthly snapshots
 SCORE_START, SCORE_END = "1999-01-01", "1999-12-01"      # 12 scored months
 WIDE_REF_MONTH = 2001 * 12 + 9                           # "now" of wide_lob (2001-09)
 WIDE_TARGET_FROM = "2000-09-01"
+WIDE_RECENT_FROM = "2001-01-01"
 DIGITAL_REF_DATE = "2024-01-31"
 
 
@@ -263,7 +264,9 @@ class Fixtures:
             aggs += [F.sum(F.when(F.col("LOB") == b, 1).otherwise(0)).alias(f"QTD_APL_VIG_T_{b}"),
                      F.round(F.sum(F.when(F.col("LOB") == b, F.col("l_extendedprice")).otherwise(0.0)), 2)
                      .alias(f"VAL_PCA_{b}"),
-                     F.max(F.when(F.col("LOB") == b, mon)).alias(f"_last_{b}")]
+                     F.max(F.when(F.col("LOB") == b, mon)).alias(f"_last_{b}"),
+                     F.sum(F.when((F.col("LOB") == b) & (F.col("o_orderdate") >= WIDE_RECENT_FROM), 1).otherwise(0))
+                     .alias(f"QTD_APL_REC_{b}")]
         per = j.groupBy("ID").agg(*aggs)
         urgent = (o.where((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderdate") >= WIDE_TARGET_FROM))
                   .select(F.col("o_custkey").alias("ID")).distinct().withColumn("_t", F.lit(1)))
@@ -279,6 +282,7 @@ class Fixtures:
                         .alias(f"DSC_HAS_{b}"))
             cols.append((F.lit(WIDE_REF_MONTH) - F.col(f"_last_{b}")).cast("double")
                         .alias(f"QTD_MESES_ULT_COMPRA_{b}"))
+            cols.append(F.coalesce(F.col(f"QTD_APL_REC_{b}"), F.lit(0)).cast("long").alias(f"QTD_APL_REC_{b}"))
         cols.append(F.coalesce(F.col("_t"), F.lit(0)).alias("TARGET"))
         return w.select(*cols)
 

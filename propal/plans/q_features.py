@@ -237,14 +237,14 @@ def d13(fx):
 
 
 @query("D14_aggregate_children", """
-SELECT ID_APOLICE, max(COD_DELEGACAO) AS COD_DELEGACAO_max, min(COD_DELEGACAO) AS COD_DELEGACAO_min,
+SELECT ID_APOLICE, count(*) AS N_CHILDREN, max(COD_DELEGACAO) AS COD_DELEGACAO_max, min(COD_DELEGACAO) AS COD_DELEGACAO_min,
   sum(COD_DELEGACAO) AS COD_DELEGACAO_sum, avg(COD_DELEGACAO) AS COD_DELEGACAO_mean,
   max(ANO_MES) AS ANO_MES_max, min(ANO_MES) AS ANO_MES_min, sum(ANO_MES) AS ANO_MES_sum, avg(ANO_MES) AS ANO_MES_mean,
   max(ID_CLIENTE_ANON) AS ID_CLIENTE_ANON_max, min(ID_CLIENTE_ANON) AS ID_CLIENTE_ANON_min,
   sum(ID_CLIENTE_ANON) AS ID_CLIENTE_ANON_sum, avg(ID_CLIENTE_ANON) AS ID_CLIENTE_ANON_mean,
-  max(QTD_CAPITAL) AS QTD_CAPITAL_max, min(QTD_CAPITAL) AS QTD_CAPITAL_min, round(sum(QTD_CAPITAL), 6) AS QTD_CAPITAL_sum,
-  round(avg(QTD_CAPITAL), 6) AS QTD_CAPITAL_mean, max(VAL_PREMIO) AS VAL_PREMIO_max, min(VAL_PREMIO) AS VAL_PREMIO_min,
-  round(sum(VAL_PREMIO), 4) AS VAL_PREMIO_sum, round(avg(VAL_PREMIO), 4) AS VAL_PREMIO_mean,
+  max(QTD_CAPITAL) AS QTD_CAPITAL_max, min(QTD_CAPITAL) AS QTD_CAPITAL_min, sum(QTD_CAPITAL) AS QTD_CAPITAL_sum,
+  avg(QTD_CAPITAL) AS QTD_CAPITAL_mean, max(VAL_PREMIO) AS VAL_PREMIO_max, min(VAL_PREMIO) AS VAL_PREMIO_min,
+  round(sum(VAL_PREMIO), 2) AS VAL_PREMIO_sum, round(sum(VAL_PREMIO), 2) / count(*) AS VAL_PREMIO_mean,
   max(CAST(DSC_ESTADO = 'F' AS INTEGER)) AS FLG_ESTADO_F_max, min(CAST(DSC_ESTADO = 'F' AS INTEGER)) AS FLG_ESTADO_F_min,
   avg(CAST(DSC_ESTADO = 'F' AS INTEGER)) AS FLG_ESTADO_F_mean,
   max(CAST(DSC_ESTADO = 'O' AS INTEGER)) AS FLG_ESTADO_O_max, min(CAST(DSC_ESTADO = 'O' AS INTEGER)) AS FLG_ESTADO_O_min,
@@ -256,9 +256,10 @@ def d14(fx):
     ins = fx.insured.drop("DT_INCLUSAO_SEG", "DT_NASCIMENTO_SEG")
     states = D.one_hot_labels(ins, "DSC_ESTADO")
     out = D.aggregate_children(ins, ["ID_APOLICE"], dummies={"DSC_ESTADO": states})
-    r = {c: F.round(c, 6) for c in ("QTD_CAPITAL_sum", "QTD_CAPITAL_mean")}
-    r.update({c: F.round(c, 4) for c in ("VAL_PREMIO_sum", "VAL_PREMIO_mean")})
-    return out.withColumns(r)
+    # amounts have 2 decimals: the rounded sum is exact, so the mean is
+    # reported as rounded sum / count (identical in any summation order)
+    s = F.round("VAL_PREMIO_sum", 2)
+    return out.withColumns({"VAL_PREMIO_sum": s, "VAL_PREMIO_mean": s / F.col("N_CHILDREN")})
 
 
 _TE_COLS = ["p_type", "c_mktsegment", "p_brand"]
@@ -461,14 +462,14 @@ def d25(fx):
 _SC = ["l_quantity", "l_extendedprice", "l_discount"]
 
 
-@query("D26_standard_scale", "SELECT l_orderkey, l_linenumber, " + ", ".join(
-    f"round(({c} - (SELECT avg({c}) FROM line_facts)) / (SELECT stddev_pop({c}) FROM line_facts), 9) AS {c}"
-    for c in _SC) + " FROM line_facts")
+@query("D26_standard_scale", "WITH st AS (SELECT " + ", ".join(
+    f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _SC) + " FROM line_facts) SELECT l_orderkey, l_linenumber, " + ", ".join(
+    f"round(({c} - m_{c}) / s_{c}, 6) AS {c}" for c in _SC) + " FROM line_facts, st")
 def d26(fx):
     """z-scores with the population standard deviation."""
     df = fx.line_facts.select("l_orderkey", "l_linenumber", *_SC)
     out = FT.standard_scale_transform(df, FT.standard_scale_fit(df, _SC))
-    return out.select("l_orderkey", "l_linenumber", *[F.round(c, 9).alias(c) for c in _SC])
+    return out.select("l_orderkey", "l_linenumber", *[F.round(c, 6).alias(c) for c in _SC])
 
 
 _AGE_SQL = ("CASE WHEN QTD_IDADE >= 18 AND QTD_IDADE < 25 THEN '18-24' WHEN QTD_IDADE >= 25 AND QTD_IDADE < 35 THEN '25-34' "

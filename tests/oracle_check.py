@@ -75,8 +75,9 @@ def compare(spark, con, name, fn, sql, sf_dir):
         if sc != dc:
             info["cols"] = (sc, dc)
         else:
-            diff_s = [r for r in sr if r not in set(dr)][:3]
-            diff_d = [r for r in dr if r not in set(sr)][:3]
+            ds, ss = set(dr), set(sr)
+            diff_s = [r for r in sr if r not in ds][:3]
+            diff_d = [r for r in dr if r not in ss][:3]
             info["spark_only"] = diff_s
             info["duck_only"] = diff_d
     return info

@@ -1,5 +1,158 @@
-"""Queries."""
+"""Queries E1-E15: splits, selection, training, calibration and scoring.
+Model fits have no SQL twin (rows-only checks); the statistics that do
+(month split, last-n months, ANOVA F) carry DuckDB oracles."""
 
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from ..operators import models as M
+from ..operators.reports import roc_auc
 from .catalog import query
+
+NUMF = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "p_size"]
+KEYS = ["l_orderkey", "l_linenumber", "l_partkey"]
+
+
+def _train(fx):
+    return fx.line_facts.select(*KEYS, "o_orderdate", *NUMF, "TARGET")
+
+
+@query("E1_split_by_month", "SELECT * FROM universe WHERE ANO_MES > 200007")
+def e1(fx):
+    """Test part of the universe: the last 3 months after the 2-month gap."""
+    train, test = M.split_by_month(fx.universe, 200012, 3)
+    return test
+
+
+@query("E1_hash_split")
+def e1h(fx):
+    """Stable 20 % hash test split of the line facts."""
+    train, test = M.hash_split(_train(fx), KEYS, 0.2, seed=10)
+    return test
+
+
+@query("E2_last_n_months", "SELECT * FROM universe WHERE TARGET IS NOT NULL AND ANO_MES > 200006")
+def e2(fx):
+    """Training rows of the last 6 months."""
+    return M.last_n_months(fx.universe, 6)
+
+
+_E3_SQL = "\nUNION ALL\n".join(f"""
+SELECT '{c}' AS Variable, round(((sum(n * m * m) - sum(n * m) ^ 2 / sum(n)) / (count(*) - 1))
+  / ((sum(q) - sum(n * m * m)) / (sum(n) - count(*))), 6) AS F
+FROM (SELECT TARGET, count(*) AS n, avg(CAST({c} AS DOUBLE)) AS m, sum(CAST({c} AS DOUBLE) ^ 2) AS q
+      FROM line_facts WHERE {c} IS NOT NULL GROUP BY TARGET)""" for c in NUMF)
+
+
+@query("E3_anova_f", _E3_SQL)
+def e3(fx):
+    """One-way ANOVA F of each numeric feature between the classes."""
+    return M.anova_f(fx.line_facts, NUMF).select("Variable", F.round("F", 6).alias("F"))
+
+
+@query("E3_anova_selection")
+def e3p(fx):
+    """ANOVA p-values and the p < 0.1 selection."""
+    return M.anova_p_values(M.anova_f(fx.line_facts, NUMF))
+
+
+@query("E4_tree_importance_funnel")
+def e4(fx):
+    """RF then GBT importance funnel ranked by mean z-score."""
+    df = _train(fx)
+    anova = {r["Variable"]: r["F"] for r in M.anova_f(df, NUMF).collect()}
+    return M.tree_importance_funnel(df, NUMF, anova)
+
+
+@query("E5_correlation_prune")
+def e5(fx):
+    """Greedy |r| > 0.5 pruning in ANOVA-F order (price and quantity are
+    correlated)."""
+    df = _train(fx).withColumn("VAL_PRICE_PER_QTY", F.col("l_extendedprice") / F.col("l_quantity"))
+    feats = NUMF + ["VAL_PRICE_PER_QTY"]
+    order = [r["Variable"] for r in M.anova_f(df, feats).orderBy(F.col("F").desc()).collect()]
+    kept = M.correlation_prune(df, order)
+    return fx.spark.createDataFrame([(i + 1, f) for i, f in enumerate(kept)], "rank int, feature string")
+
+
+@query("E6_feature_count_grid")
+def e6(fx):
+    """Feature-count grid for the width of the wide customer table."""
+    n = len([c for c, t in fx.wide_lob.dtypes if t != "string" and c not in ("ID", "TARGET")])
+    return fx.spark.createDataFrame([(k,) for k in M.feature_count_grid(n)], "n_features int")
+
+
+_ALGS = {"RandomForest": {"maxDepth": [3, 5], "numTrees": [10]}, "LogisticRegression": {"regParam": [0.0, 0.1]}}
+
+
+@query("E7_training_grid")
+def e7(fx):
+    """Feature sets x algorithms grid, 3-fold CV AUC each."""
+    df = _train(fx)
+    return M.training_grid(df, {"all": NUMF, "prices": ["l_extendedprice", "l_discount", "l_tax"]}, _ALGS)
+
+
+@query("E8_grid_search")
+def e8(fx):
+    """3-fold CV of a random forest grid; mean AUC per setting."""
+    m = M.grid_search(_train(fx), NUMF, "RandomForest", {"maxDepth": [3, 5], "numTrees": [10, 20]})
+    rows = [(str({p.name: v for p, v in pm.items()}), float(a)) for pm, a in zip(m.getEstimatorParamMaps(),
+                                                                                m.avgMetrics)]
+    return fx.spark.createDataFrame(rows, "params string, cv_auc double")
+
+
+@query("E9_algorithms")
+def e9(fx):
+    """Each model family fitted with balanced class weights (where MLlib
+    supports them) and its training AUC."""
+    df = M.with_balanced_weight(_train(fx))
+    rows = []
+    for name, params in (("RandomForest", {"numTrees": 10, "maxDepth": 5}), ("LogisticRegression", {}),
+                         ("GradientBoosting", {"maxIter": 10, "maxDepth": 3}), ("GaussianNB", {}),
+                         ("ExtraTrees", {"numTrees": 10, "maxDepth": 5}),
+                         ("MLP", {"layers": [len(NUMF), 4, 2], "maxIter": 20, "seed": 0})):
+        weight = "WEIGHT" if name in ("RandomForest", "LogisticRegression", "GradientBoosting") else None
+        est = M.algorithm(name, weight=weight, **params)
+        model = Pipeline(stages=[M.assemble(NUMF), est]).fit(df)
+        auc = roc_auc(M.score_table(model, df, KEYS), "P1").first()[0]
+        rows.append((name, float(auc)))
+    return fx.spark.createDataFrame(rows, "algorithm string, train_auc double")
+
+
+@query("E10_calibrate")
+def e10(fx):
+    """Platt calibration of out-of-fold random-forest scores."""
+    df = _train(fx)
+    oof = M.oof_scores(df, NUMF, "RandomForest", {"numTrees": 10, "maxDepth": 5}, key=KEYS)
+    cal = M.calibrate(oof)
+    out = cal.transform(oof).withColumn("P1_CALIBRATED", F.element_at(vector_to_array("probability"), 2))
+    return out.select(*KEYS, "TARGET", "P1", "P1_CALIBRATED")
+
+
+@query("E13_recalibrate")
+def e13(fx):
+    """Champion pipeline refitted on the last 24 months of orders."""
+    df = _train(fx).withColumn("ANO_MES", (F.year("o_orderdate") * 100 + F.month("o_orderdate")).cast("int"))
+    pipe = Pipeline(stages=[M.assemble(NUMF), M.algorithm("LogisticRegression", weight=None)])
+    model, auc = M.recalibrate(pipe, df, 24, KEYS)
+    return fx.spark.createDataFrame([(24, float(auc))], "months int, auc double")
+
+
+@query("E14_score_table")
+def e14(fx):
+    """P(0), P(1) per line from a fitted pipeline, keys and label kept."""
+    df = _train(fx)
+    model = Pipeline(stages=[M.assemble(NUMF), M.algorithm("LogisticRegression", weight=None)]).fit(df)
+    return M.score_table(model, df, KEYS)
+
+
+@query("E15_permutation_importance")
+def e15(fx):
+    """AUC drop per permuted feature (distributed permutation)."""
+    df = _train(fx)
+    model = Pipeline(stages=[M.assemble(NUMF), M.algorithm("RandomForest", weight=None, numTrees=10,
+                                                          maxDepth=5)]).fit(df)
+    return M.permutation_importance(model, df, NUMF, KEYS)

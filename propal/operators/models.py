@@ -188,8 +188,8 @@ def training_grid(df: DataFrame, feature_sets: dict[str, Sequence[str]], algorit
     for fs_name, feats in feature_sets.items():
         for alg, grid in algorithms.items():
             m = grid_search(data, feats, alg, grid, label, folds)
-            best = max(m.avgMetrics)
-            rows.append((fs_name, alg, len(feats), float(best), best > threshold))
+            best = float(max(m.avgMetrics))
+            rows.append((fs_name, alg, len(feats), best, bool(best > threshold)))
     data.unpersist()
     return spark.createDataFrame(rows, "feature_set string, algorithm string, n_features int, cv_auc double, "
                                        "kept boolean")

@@ -232,3 +232,21 @@ def e11(fx):
     t = R.calibration_curve(fx.line_scored, "PR_1")
     return t.select("BIN", *[F.round(c, 8).alias(c) for c in ("MEAN_PREDICTED", "FRACTION_POSITIVE")], "N",
                     F.round("BRIER", 8).alias("BRIER"))
+
+
+@query("F6_lift_table_streaming", _F6_CORE + """
+SELECT ANO_MES, PERCENTILE, TOTAL_CUSTOMER_SCORED, CAPTURED, ACCUM_CAPTURED, TOTAL_EVENTS,
+       round(LIFT, 6) AS LIFT, round(CUMULATIVE_LIFT, 6) AS CUMULATIVE_LIFT,
+       round(CONV_RATE_PERCENTILE, 6) AS CONV_RATE_PERCENTILE, round(CUMULATIVE_RESPONSE, 6) AS CUMULATIVE_RESPONSE
+FROM lift""")
+def f6s(fx):
+    """The monthly lift table produced by the incremental (file-stream,
+    availableNow) monitoring job over month-partitioned scores."""
+    from ..session import scratch_path
+    from ..streaming.monthly import monitor_months
+    spark = fx.spark
+    src, out, ck = (scratch_path(spark, n) for n in ("scores", "monitoring", "stream-ckpt"))
+    fx.scores.write.partitionBy("ANO_MES").parquet(src)
+    monitor_months(spark, src, fx.purchases, out, ck)
+    t = spark.read.parquet(out).withColumn("ANO_MES", F.col("ANO_MES").cast("int"))
+    return t.select(*_ROUND6, *_r6(["LIFT", "CUMULATIVE_LIFT", "CONV_RATE_PERCENTILE", "CUMULATIVE_RESPONSE"]))

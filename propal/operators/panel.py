@@ -39,10 +39,15 @@ def shift_month(yyyymm: int, k: int) -> int:
     return (idx // 12) * 100 + idx % 12 + 1
 
 
+def month_index(c: Column) -> Column:
+    """yyyymm -> year*12 + month (integer arithmetic; months are positive)."""
+    return (c / 100).cast("int") * 12 + c % 100
+
+
 def add_months_yyyymm(c: Column, k: int | Column) -> Column:
-    """Month arithmetic on INT yyyymm columns."""
-    idx = F.floor(c / 100) * 12 + (c % 100 - 1) + k
-    return (F.floor(idx / 12) * 100 + idx % 12 + 1).cast("int")
+    """Month arithmetic on INT yyyymm columns (integer ops only)."""
+    idx = (c / 100).cast("int") * 12 + (c % 100 - 1) + k
+    return ((idx / 12).cast("int") * 100 + idx % 12 + 1).cast("int")
 
 
 def month_spine(spark: SparkSession, start: int, end: int, name: str = "ANO_MES") -> DataFrame:

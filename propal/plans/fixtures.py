@@ -105,7 +105,7 @@ class Fixtures:
         """Wide monthly history: QTD_ORD_M0..M11, VAL_SPEND_M0..M11 (0 if
         none), DSC_BUY_M0..M11 ('S' bought, 'N' not, 'X' before the first
         order) for every customer x panel month."""
-        from ..operators.panel import add_months_yyyymm, panel
+        from ..operators.panel import add_months_yyyymm, month_index, panel
         spine = panel(self.customer.select(F.col("c_custkey").alias("ID")), 199601, 200012)
         com = self.cust_orders_month
         # each monthly fact feeds the 12 panel months M = month + k
@@ -115,16 +115,18 @@ class Fixtures:
         wide = shifted.groupBy("ID", "ANO_MES").agg(
             *[F.sum(F.when(F.col("K") == k, F.col("N_ORD"))).alias(f"_n{k}") for k in range(12)],
             *[F.sum(F.when(F.col("K") == k, F.col("SPEND"))).alias(f"_s{k}") for k in range(12)])
-        out = spine.join(wide, ["ID", "ANO_MES"], "left").join(self.first_order, "ID", "left")
+        # month indexes (integers) keep the 12 generated flag expressions cheap
+        fo = self.first_order.select("ID", month_index(F.col("FIRST_MES")).alias("_fidx"))
+        out = spine.join(wide, ["ID", "ANO_MES"], "left").join(fo, "ID", "left")
+        midx = month_index(F.col("ANO_MES"))
         cols = [F.col("ID"), F.col("ANO_MES")]
         for k in range(12):
             cols.append(F.coalesce(F.col(f"_n{k}"), F.lit(0)).cast("long").alias(f"QTD_ORD_M{k}"))
         for k in range(12):
             cols.append(F.round(F.coalesce(F.col(f"_s{k}"), F.lit(0.0)), 2).alias(f"VAL_SPEND_M{k}"))
         for k in range(12):
-            mk = add_months_yyyymm(F.col("ANO_MES"), -k)
             cols.append(F.when(F.coalesce(F.col(f"_n{k}"), F.lit(0)) > 0, "S")
-                        .when(F.col("FIRST_MES").isNull() | (mk < F.col("FIRST_MES")), "X")
+                        .when(F.col("_fidx").isNull() | (midx - k < F.col("_fidx")), "X")
                         .otherwise("N").alias(f"DSC_BUY_M{k}"))
         return out.select(*cols)
 

@@ -250,3 +250,53 @@ def f6s(fx):
     monitor_months(spark, src, fx.purchases, out, ck)
     t = spark.read.parquet(out).withColumn("ANO_MES", F.col("ANO_MES").cast("int"))
     return t.select(*_ROUND6, *_r6(["LIFT", "CUMULATIVE_LIFT", "CONV_RATE_PERCENTILE", "CUMULATIVE_RESPONSE"]))
+
+
+_F8_SQL = _F6_CORE + """,
+sums AS (SELECT ANO_MES, count(y) AS s0, sum(CAST(PERCENTILE AS DOUBLE)) AS s1, sum(pow(PERCENTILE, 2)) AS s2,
+                sum(pow(PERCENTILE, 3)) AS s3, sum(pow(PERCENTILE, 4)) AS s4, sum(y) AS t0,
+                sum(PERCENTILE * y) AS t1, sum(pow(PERCENTILE, 2) * y) AS t2,
+                regr_slope(y, ln(PERCENTILE)) AS lb, regr_intercept(y, ln(PERCENTILE)) AS la
+         FROM (SELECT *, CONV_RATE_PERCENTILE AS y FROM lift) GROUP BY ANO_MES),
+det AS (SELECT *,
+   s0*(s2*s4-s3*s3) - s1*(s1*s4-s3*s2) + s2*(s1*s3-s2*s2) AS D,
+   t0*(s2*s4-s3*s3) - s1*(t1*s4-s3*t2) + s2*(t1*s3-s2*t2) AS Da,
+   s0*(t1*s4-s3*t2) - t0*(s1*s4-s3*s2) + s2*(s1*t2-t1*s2) AS Db,
+   s0*(s2*t2-t1*s3) - s1*(s1*t2-t1*s2) + t0*(s1*s3-s2*s2) AS Dc FROM sums),
+fit AS (SELECT l.ANO_MES, l.PERCENTILE, Da / D + Db / D * l.PERCENTILE + Dc / D * l.PERCENTILE * l.PERCENTILE AS p,
+               la + lb * ln(l.PERCENTILE) AS g FROM lift l JOIN det USING (ANO_MES))
+SELECT ANO_MES, PERCENTILE, round(p, 4) AS POLINOMIAL_FUNCTION, round(g, 4) AS LOGARITHMIC_FUNCTION,
+       round(greatest(0.0, (p + g) / 2), 4) AS CONV_RATE_PERC_SMOOTHED FROM fit"""
+
+
+@query("F8_smoothed_conversion", _F8_SQL)
+def f8(fx):
+    """Quadratic and logarithmic least-squares smoothing of each month's
+    conversion-by-percentile curve."""
+    t = _lift(fx).withColumn("CONV_RATE", F.col("CONV_RATE_PERCENTILE"))
+    s = R.smoothed_conversion(t, by=["ANO_MES"])
+    return s.select("ANO_MES", "PERCENTILE", *[F.round(c, 4).alias(c) for c in (
+        "POLINOMIAL_FUNCTION", "LOGARITHMIC_FUNCTION", "CONV_RATE_PERC_SMOOTHED")])
+
+
+@query("F9_lead_lights", _F6_CORE + """
+SELECT ANO_MES, PERCENTILE, round(CUMULATIVE_LIFT, 6) AS CUMULATIVE_LIFT,
+  CASE WHEN CUMULATIVE_LIFT >= 2.0 AND PERCENTILE <= 25 THEN 'green'
+       WHEN CUMULATIVE_LIFT >= 1.0 AND PERCENTILE <= 35 THEN 'yellow' ELSE 'red' END AS Leads_lights
+FROM lift""")
+def f9(fx):
+    """Green / yellow / red lights of the yearly review on each month's
+    cumulative lift."""
+    t = R.lead_lights(_lift(fx), "anual", "CUMULATIVE_LIFT")
+    return t.select("ANO_MES", "PERCENTILE", F.round("CUMULATIVE_LIFT", 6).alias("CUMULATIVE_LIFT"), "Leads_lights")
+
+
+@query("F11_model_summary", f"""
+WITH a AS ({_auc_sql('line_scored', 'PR_1')}),
+d AS ({_bin_report_sql('line_scored', '1 - PR_1', 'Decile', P10)})
+SELECT (SELECT AUC FROM a) AS AUC_TRAIN, (SELECT "Cumulative Lift" FROM d WHERE Decile = 1) AS LIFT_DECILE_1,
+       (SELECT "Cumulative rate (%)" FROM d WHERE Decile = 3) AS CAPTURED_DECILE_3""")
+def f11(fx):
+    """AUC, decile-1 cumulative lift and decile-3 captured share."""
+    t = R.model_summary(fx.line_scored, "PR_1")
+    return t.select(F.round("AUC_TRAIN", 10).alias("AUC_TRAIN"), "LIFT_DECILE_1", "CAPTURED_DECILE_3")

@@ -87,6 +87,13 @@ def tri_state_any(cols: Sequence[str | Column]) -> Column:
     return F.when(any_s, "S").when(all_x, "X").otherwise("N")
 
 
+def with_totals(df, one_row) -> "DataFrame":
+    """Attach the columns of a one-row aggregate to every row as ONE scalar
+    subquery (a struct), instead of joining a one-row table."""
+    s = one_row.select(F.struct(*one_row.columns).alias("_tot")).scalar()
+    return df.withColumn("_tot", s).select("*", "_tot.*").drop("_tot")
+
+
 def flag_nonzero(c: str | Column) -> Column:
     """Any non-zero value -> 1, keeping 0 and null."""
     x = col_(c)

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.bins import equal_width_bin, right_closed_bin, unique_edges
 from ..functions.columns import NUMERIC_TYPES, numeric_columns, string_columns
+from ..functions.exprs import with_totals
 from ..functions.ranking import exact_quantiles, quantile_edges
 
 CHUNK = 100
@@ -280,7 +281,7 @@ def categorical_effectiveness(df: DataFrame, target: str = "TARGET", min_count:
     g = u.groupBy("Variable", F.col("value").alias("Categories")).agg(
         F.count("*").alias("COUNT"), F.sum(target).cast("long").alias("# Target 1"),
         F.avg(F.col(target).cast("double")).alias("_eff"))
-    g = g.join(F.broadcast(tot.withColumn("_k", F.lit(0))), F.lit(0) == F.col("_k"))     # one-row totals
+    g = with_totals(g, tot)
     eff = F.col("_eff") * 100
     out = g.select("Variable", "Categories", "COUNT", "# Target 1",
                    F.round(eff, 3).alias("Effectiveness (%)"),
@@ -311,8 +312,8 @@ def _binned_effectiveness(df: DataFrame, edges: dict[str, list[float]], target:
         F.avg(F.col(target).cast("double")).alias("_eff"))
     rows = [(c, i + 1, float(edges[c][i]), float(edges[c][i + 1])) for c in cols for i in range(len(edges[c]) - 1)]
     lim = df.sparkSession.createDataFrame(rows, "Variable string, BIN int, `Lower Limit` double, `Upper Limit` double")
-    g = (g.join(F.broadcast(lim), ["Variable", "BIN"], "left")
-         .join(F.broadcast(tot.withColumn("_k", F.lit(0))), F.lit(0) == F.col("_k")))
+    # bin limits: one row per (column, bin) — bounded by columns x bins
+    g = with_totals(g.join(F.broadcast(lim), ["Variable", "BIN"], "left"), tot)
     eff = F.round(F.col("_eff") * 100, 2)
     return g.select("Variable", "BIN", "COUNT", "# Target 1", (F.col("COUNT") * 100.0 / F.col("_n")).alias("% COUNT"),
                     (F.col("# Target 1") * 100.0 / F.col("_t1")).alias("% Target 1"),

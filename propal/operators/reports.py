@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.bins import left_closed_digitize, right_closed_bin, unique_edges
+from ..functions.exprs import with_totals
 from ..functions.ranking import quantile_edges, running_total
 from .panel import past_months, row_number_within
 
@@ -183,8 +184,8 @@ def smoothed_conversion(t: DataFrame, y: str = "CONV_RATE", x: str = "PERCENTILE
     Dc = det3(c["s0"], c["s1"], c["t0"], c["s1"], c["s2"], c["t1"], c["s2"], c["s3"], c["t2"])
     coef = s.select(*by, F.try_divide(Da, D).alias("_qa"), F.try_divide(Db, D).alias("_qb"),
                     F.try_divide(Dc, D).alias("_qc"), "_la", "_lb")
-    j = t.join(F.broadcast(coef), by) if by else t.join(F.broadcast(coef.withColumn("_k", F.lit(0))),
-                                                         F.lit(0) == F.col("_k")).drop("_k")
+    # coefficients: one row per group (months), or one row -> scalar subquery
+    j = t.join(F.broadcast(coef), by) if by else with_totals(t, coef)
     poly = F.col("_qa") + F.col("_qb") * xp + F.col("_qc") * xp * xp
     logf = F.col("_la") + F.col("_lb") * F.log(xp)
     return (j.withColumn("POLINOMIAL_FUNCTION", poly).withColumn("LOGARITHMIC_FUNCTION", logf)
@@ -236,7 +237,7 @@ def calibration_curve(df: DataFrame, prob: str, target: str = "TARGET", n_bins:
                                        F.avg(F.col(target).cast("double")).alias("FRACTION_POSITIVE"),
                                        F.count("*").alias("N"))
     brier = df.agg(F.avg((p - F.col(target)) ** 2).alias("BRIER"))
-    return g.join(F.broadcast(brier.withColumn("_k", F.lit(0))), F.lit(0) == F.col("_k")).drop("_k")
+    return with_totals(g, brier)
 
 
 def roc_auc(df: DataFrame, score: str, target: str = "TARGET", by: Sequence[str] = ()) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
-                  app: str = "propal") -> SparkSession:
+                  app: str = "propal", conf: dict | None = None) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -28,6 +28,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    for k, v in (conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

@@ -137,8 +137,8 @@ FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey"""
 F["digital"] = "SELECT user_id AS ID, " + ", ".join(
     [f"CASE WHEN max(CASE WHEN event_type = '{t}' THEN ts END) IS NOT NULL THEN 1 ELSE 0 END "
      f"AS IND_LOGIN_{t.upper()}" for t in EVENT_TYPES]
-    + [f"date_diff('day', CAST(max(CASE WHEN event_type = '{t}' THEN ts END) AS DATE), DATE '{DIGITAL_REF_DATE}') "
-       f"AS QT_DAYS_LAST_LOGIN_{t.upper()}" for t in EVENT_TYPES]) + " FROM events GROUP BY user_id"
+    + [f"CAST(date_diff('day', CAST(max(CASE WHEN event_type = '{t}' THEN ts END) AS DATE), "
+       f"DATE '{DIGITAL_REF_DATE}') AS INTEGER) AS QT_DAYS_LAST_LOGIN_{t.upper()}" for t in EVENT_TYPES]) + " FROM events GROUP BY user_id"
 
 F["doc_labels"] = """
 SELECT doc_id, quality AS TARGET, n_chars, lang, source FROM documents JOIN labels USING (doc_id)"""

@@ -238,10 +238,11 @@ def d13(fx):
 
 @query("D14_aggregate_children", """
 SELECT ID_APOLICE, count(*) AS N_CHILDREN, max(COD_DELEGACAO) AS COD_DELEGACAO_max, min(COD_DELEGACAO) AS COD_DELEGACAO_min,
-  sum(COD_DELEGACAO) AS COD_DELEGACAO_sum, avg(COD_DELEGACAO) AS COD_DELEGACAO_mean,
-  max(ANO_MES) AS ANO_MES_max, min(ANO_MES) AS ANO_MES_min, sum(ANO_MES) AS ANO_MES_sum, avg(ANO_MES) AS ANO_MES_mean,
+  CAST(sum(COD_DELEGACAO) AS BIGINT) AS COD_DELEGACAO_sum, avg(COD_DELEGACAO) AS COD_DELEGACAO_mean,
+  max(ANO_MES) AS ANO_MES_max, min(ANO_MES) AS ANO_MES_min, CAST(sum(ANO_MES) AS BIGINT) AS ANO_MES_sum,
+  avg(ANO_MES) AS ANO_MES_mean,
   max(ID_CLIENTE_ANON) AS ID_CLIENTE_ANON_max, min(ID_CLIENTE_ANON) AS ID_CLIENTE_ANON_min,
-  sum(ID_CLIENTE_ANON) AS ID_CLIENTE_ANON_sum, avg(ID_CLIENTE_ANON) AS ID_CLIENTE_ANON_mean,
+  CAST(sum(ID_CLIENTE_ANON) AS BIGINT) AS ID_CLIENTE_ANON_sum, avg(ID_CLIENTE_ANON) AS ID_CLIENTE_ANON_mean,
   max(QTD_CAPITAL) AS QTD_CAPITAL_max, min(QTD_CAPITAL) AS QTD_CAPITAL_min, sum(QTD_CAPITAL) AS QTD_CAPITAL_sum,
   avg(QTD_CAPITAL) AS QTD_CAPITAL_mean, max(VAL_PREMIO) AS VAL_PREMIO_max, min(VAL_PREMIO) AS VAL_PREMIO_min,
   round(sum(VAL_PREMIO), 2) AS VAL_PREMIO_sum, round(sum(VAL_PREMIO), 2) / count(*) AS VAL_PREMIO_mean,
@@ -745,3 +746,38 @@ def d44(fx):
     """Derived features traced back to their original columns."""
     e = fx.spark.createDataFrame(lineage_edges(fx), "feature string, parent string, step string")
     return expand_lineage(e)
+
+
+_D13_IN_COLS = (["ID", "DSC_SEGMENTO", "VAL_SALDO", "NATION"]
+                + [c for b in LOBS for c in (f"QTD_APL_VIG_T_{b}", f"VAL_PCA_{b}", f"DSC_HAS_{b}",
+                                             f"QTD_MESES_ULT_COMPRA_{b}", f"QTD_APL_REC_{b}")]
+                + ["TARGET", "COD_NATION", "DSC_NVL50_HIER_COM", "OD_SALDO", "DSC_PAIS", "FLG_HALF",
+                   "VAL_CUSTO_SIN_EX_ABR", "QTD_EMPTY"])
+_D13_IN_SQL = """(SELECT *, NATION AS COD_NATION, DSC_SEGMENTO AS DSC_NVL50_HIER_COM, VAL_SALDO AS OD_SALDO,
+  'PT' AS DSC_PAIS, CASE WHEN ID % 2 = 0 THEN 1 END AS FLG_HALF, VAL_SALDO AS VAL_CUSTO_SIN_EX_ABR,
+  CAST(NULL AS DOUBLE) AS QTD_EMPTY FROM wide_lob)"""
+_D13_LISTS = ", ".join(f"'{c}'" for c in FT.IRRELEVANT_COLUMNS + FT.FINANCIAL_PRODUCT_COLUMNS
+                       + tuple(f"DSC_NVL{h}_HIER_COM" for h in FT.HIER_LEVELS))
+_D13_REPORT_SQL = f"""
+WITH d AS {_D13_IN_SQL},
+names(name) AS (VALUES {', '.join(f"('{c}')" for c in _D13_IN_COLS)}),
+st AS ({_u([f"SELECT '{c}' AS Variable, avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) AS miss, "
+            f"coalesce(count({c}) = count(*) AND min(CAST({c} AS VARCHAR)) = max(CAST({c} AS VARCHAR)), false) AS cst "
+            f"FROM d" for c in _D13_IN_COLS])})
+SELECT Variable, (miss >= 1.0 OR cst OR Variable IN ({_D13_LISTS})
+  OR contains(Variable, 'DSC_I_ZONA_SISM_') OR ends_with(Variable, 'MED_PREF') OR ends_with(Variable, 'SIN_ABERT')
+  OR starts_with(Variable, 'DSC_NVL') OR starts_with(Variable, 'FLG_NVL') OR starts_with(Variable, 'OD')
+  OR (starts_with(Variable, 'COD_') AND EXISTS (SELECT 1 FROM names o WHERE contains(o.name, substr(Variable, 5))
+                                                AND NOT starts_with(o.name, 'COD_')))
+  OR (ends_with(Variable, '_COD') AND EXISTS (SELECT 1 FROM names o
+        WHERE contains(o.name, substr(Variable, 1, length(Variable) - 4)) AND NOT ends_with(o.name, '_COD')))
+  ) AS DROPPED
+FROM st"""
+
+
+@query("D13_select_columns_report", _D13_REPORT_SQL)
+def d13r(fx):
+    """Drop decision of every input column under the selection rules."""
+    df = _d13_input(fx)
+    drop = set(FT.select_columns_fit(df, missing_threshold=1.0))
+    return fx.spark.createDataFrame([(c, c in drop) for c in df.columns], "Variable string, DROPPED boolean")

@@ -183,7 +183,9 @@ def sample_exact(df: DataFrame, id_col: str, n: int, seed: int = 0,
     if exclude is not None:
         df = df.join(exclude.select(id_col).distinct(), id_col, "left_anti")
     cols = df.columns
-    ranked = running_total(df.withColumn("_h", sample_key(id_col, seed)), ["_h", id_col], None, "_rn")
+    # the remaining columns make the order total when an id repeats (repeatable draw)
+    order = ["_h", id_col, *[c for c in cols if c != id_col]]
+    ranked = running_total(df.withColumn("_h", sample_key(id_col, seed)), order, None, "_rn")
     return ranked.where(F.col("_rn") <= n).select(*cols)
 
 

@@ -366,8 +366,15 @@ def feature_target_corr(df: DataFrame, target: str = "TARGET", columns: Sequence
     tr = tv.withColumn("_tr", F.sum("_tc").over(tw) - (F.col("_tc") - 1) / 2.0).drop("_tc")   # <= 2 rows/col
     sp = (u.join(ranks, ["Variable", "value"]).join(F.broadcast(tr), ["Variable", target])
           .groupBy("Variable").agg(F.corr("_r", "_tr").alias("SPEARMAN")))
+    # chi2 score (non-negative features): sum over classes of
+    # (class sum - expected class sum)^2 / expected; <= 2 rows per column
+    cls = u.groupBy("Variable", target).agg(F.count("*").alias("_nc"), F.sum("value").alias("_sc"))
+    tot = cls.groupBy("Variable").agg(F.sum("_nc").alias("_n"), F.sum("_sc").alias("_s"))
+    exp = (F.col("_nc") / F.col("_n")) * F.col("_s")
+    chi = cls.join(tot, "Variable").groupBy("Variable").agg(
+        F.sum(F.try_divide((F.col("_sc") - exp) ** 2, exp)).alias("CHI2"))
     r = F.col("PEARSON")
-    return (pear.join(sp, "Variable", "left")
+    return (pear.join(sp, "Variable", "left").join(chi, "Variable", "left")
             .withColumn("F_SCORE", F.try_divide(r * r, (1 - r * r)) * (F.col("N") - 2)))
 
 

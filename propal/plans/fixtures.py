@@ -111,7 +111,8 @@ class Fixtures:
         # each monthly fact feeds the 12 panel months M = month + k
         shifted = com.select("ID", "N_ORD", "SPEND",
                              F.explode(F.sequence(F.lit(0), F.lit(11))).alias("K"), "ANO_MES")
-        shifted = shifted.withColumn("ANO_MES", add_months_yyyymm(F.col("ANO_MES"), F.col("K")))
+        shifted = (shifted.withColumn("ANO_MES", add_months_yyyymm(F.col("ANO_MES"), F.col("K")))
+                   .where(F.col("ANO_MES").between(199601, 200012)))      # only panel months are kept
         wide = shifted.groupBy("ID", "ANO_MES").agg(
             *[F.sum(F.when(F.col("K") == k, F.col("N_ORD"))).alias(f"_n{k}") for k in range(12)],
             *[F.sum(F.when(F.col("K") == k, F.col("SPEND"))).alias(f"_s{k}") for k in range(12)])

@@ -274,6 +274,20 @@ def c17(fx):
                     F.round("F_SCORE", 6).alias("F_SCORE"))
 
 
+_CHI2_SQL = _union([f"""SELECT '{c}' AS Variable, round(sum(pow(s_c - (n_c / n) * s, 2) / ((n_c / n) * s)), 6) AS CHI2
+FROM (SELECT TARGET, count(*) AS n_c, sum(CAST({c} AS DOUBLE)) AS s_c FROM line_facts WHERE {c} IS NOT NULL
+      GROUP BY TARGET) cls,
+     (SELECT count(*) AS n, sum(CAST({c} AS DOUBLE)) AS s FROM line_facts WHERE {c} IS NOT NULL) tot"""
+                    for c in _C17_COLS])
+
+
+@query("C17_chi2_score", _CHI2_SQL)
+def c17chi(fx):
+    """chi2 selection score of the non-negative numerics against the target."""
+    t = C.feature_target_corr(fx.line_facts, "TARGET", _C17_COLS)
+    return t.select("Variable", F.round("CHI2", 6).alias("CHI2"))
+
+
 _C18_SQL = _union([f"""SELECT '{c}' AS Variable, round(corr(CAST({c} AS DOUBLE), CAST(TARGET AS DOUBLE)), 9) AS R,
   count(*) AS N,
   round(corr(CAST({c} AS DOUBLE), CAST(TARGET AS DOUBLE)) * sqrt((count(*) - 2)

@@ -145,7 +145,7 @@ def correlation_prune(df: DataFrame, ordered: Sequence[str], fixed: Sequence[str
     order = list(dict.fromkeys([*fixed, *ordered]))
     aggs = {(a, b): F.corr(F.col(a).cast("double"), F.col(b).cast("double"))
             for i, a in enumerate(order) for b in order[i + 1:]}
-    cm = wide_agg(df, aggs) if aggs else {}
+    cm = wide_agg(df, aggs, chunk=1000) if aggs else {}
     kept: list[str] = []
     for f in order:
         if all(abs(cm.get((k, f), cm.get((f, k))) or 0.0) <= threshold for k in kept):

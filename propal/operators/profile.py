@@ -45,14 +45,14 @@ def family(dt: T.DataType) -> str:
     return "text"
 
 
-def wide_agg(df: DataFrame, exprs: dict[str, Column]) -> dict:
+def wide_agg(df: DataFrame, exprs: dict[str, Column], chunk: int = CHUNK) -> dict:
     """Evaluate many scalar aggregates in as few passes as possible (chunks
-    of ``CHUNK``) and return them as a dict (one row -> driver, bounded by
-    the number of columns)."""
+    of ``chunk`` aggregates per pass) and return them as a dict (one row ->
+    driver, bounded by the number of columns / column pairs)."""
     out: dict = {}
     items = list(exprs.items())
-    for i in range(0, len(items), CHUNK):
-        part = items[i:i + CHUNK]
+    for i in range(0, len(items), chunk):
+        part = items[i:i + chunk]
         row = df.agg(*[e.alias(f"_{j}") for j, (_, e) in enumerate(part)]).first()
         for j, (k, _) in enumerate(part):
             out[k] = row[f"_{j}"]

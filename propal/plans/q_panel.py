@@ -311,3 +311,23 @@ def b18d(fx):
     child, parent, dup = P.split_child_parent(
         fx.insured.select("ID_APOLICE", "COD_DELEGACAO", "DSC_ESTADO", "VAL_PREMIO"), ["VAL_PREMIO"], ["ID_APOLICE"])
     return dup
+
+
+@query("B12_policy_insured_join", """
+WITH p AS (SELECT ANO_MES, ID_APOLICE, ID_CLIENTE_ANON, VAL_PCA_APL FROM policy_snap WHERE FLG_APL_EM_VIGOR = 1),
+i1 AS (SELECT ANO_MES, ID_APOLICE, COD_DELEGACAO, QTD_CAPITAL FROM insured),
+i2 AS (SELECT ANO_MES, ID_APOLICE, ID_CLIENTE_ANON, COD_DELEGACAO, VAL_PREMIO, DSC_ESTADO FROM insured)
+SELECT p.ANO_MES, p.ID_APOLICE, p.ID_CLIENTE_ANON, p.VAL_PCA_APL, i1.COD_DELEGACAO, i1.QTD_CAPITAL, i2.VAL_PREMIO,
+       i2.DSC_ESTADO
+FROM p LEFT JOIN i1 ON i1.ID_APOLICE = p.ID_APOLICE AND i1.ANO_MES = p.ANO_MES
+JOIN i2 ON i2.ID_APOLICE = p.ID_APOLICE AND i2.ID_CLIENTE_ANON = p.ID_CLIENTE_ANON
+       AND i2.COD_DELEGACAO = i1.COD_DELEGACAO AND i2.ANO_MES = p.ANO_MES""")
+def b12p(fx):
+    """Policy-level joins of the in-force policies: insured part 1 on the
+    policy (left), part 2 on policy + client + branch (inner)."""
+    pol = P.in_force(fx.policy_snap).select("ANO_MES", "ID_APOLICE", "ID_CLIENTE_ANON", "VAL_PCA_APL")
+    ins = fx.insured
+    part1 = ins.select("ANO_MES", "ID_APOLICE", "COD_DELEGACAO", "QTD_CAPITAL")
+    part2 = ins.select("ANO_MES", "ID_APOLICE", "ID_CLIENTE_ANON", "COD_DELEGACAO", "VAL_PREMIO", "DSC_ESTADO")
+    out = P.lagged_join(pol, part1, ["ID_APOLICE"], 0, "left")
+    return P.lagged_join(out, part2, ["ID_APOLICE", "ID_CLIENTE_ANON", "COD_DELEGACAO"], 0, "inner")

@@ -151,12 +151,12 @@ SELECT o_orderkey,
 FROM orders"""
 
 F["scores"] = f"""
-SELECT m.ANO_MES, c_custkey AS ID, 'XSELL' AS MODEL_TYPE, 'v1' AS MODEL_VERSION, 'SD' AS MODEL_LOB,
+SELECT m.ANO_MES, c_custkey AS ID, 'CROSS_SELL' AS MODEL_TYPE, 'v1' AS MODEL_VERSION, 'SD' AS MODEL_LOB,
        ((c_custkey * 7919 + m.ANO_MES) % 10007) / 10007.0 AS EM_EVENTPROBABILITY
 FROM customer, {_months(199901, 199912)} m"""
 
 F["scores_v2"] = f"""
-SELECT m.ANO_MES, c_custkey AS ID, 'XSELL' AS MODEL_TYPE, 'v2' AS MODEL_VERSION, 'SD' AS MODEL_LOB,
+SELECT m.ANO_MES, c_custkey AS ID, 'CROSS_SELL' AS MODEL_TYPE, 'v2' AS MODEL_VERSION, 'SD' AS MODEL_LOB,
        ((c_custkey * 6151 + m.ANO_MES) % 10007) / 10007.0 AS EM_EVENTPROBABILITY
 FROM customer, {_months(199901, 199912)} m"""
 

@@ -234,7 +234,7 @@ class Fixtures:
         c = self.customer.select(F.col("c_custkey").alias("ID"))
         s = panel(c, 199901, 199912)
         p = ((F.col("ID") * 7919 + F.col("ANO_MES")) % 10007) / 10007.0
-        return s.select("ANO_MES", "ID", F.lit("XSELL").alias("MODEL_TYPE"), F.lit("v1").alias("MODEL_VERSION"),
+        return s.select("ANO_MES", "ID", F.lit("CROSS_SELL").alias("MODEL_TYPE"), F.lit("v1").alias("MODEL_VERSION"),
                         F.lit("SD").alias("MODEL_LOB"), p.alias("EM_EVENTPROBABILITY"))
 
     def build_scores_v2(self) -> DataFrame:
@@ -242,7 +242,7 @@ class Fixtures:
         c = self.customer.select(F.col("c_custkey").alias("ID"))
         s = panel(c, 199901, 199912)
         p = ((F.col("ID") * 6151 + F.col("ANO_MES")) % 10007) / 10007.0
-        return s.select("ANO_MES", "ID", F.lit("XSELL").alias("MODEL_TYPE"), F.lit("v2").alias("MODEL_VERSION"),
+        return s.select("ANO_MES", "ID", F.lit("CROSS_SELL").alias("MODEL_TYPE"), F.lit("v2").alias("MODEL_VERSION"),
                         F.lit("SD").alias("MODEL_LOB"), p.alias("EM_EVENTPROBABILITY"))
 
     def build_purchases(self) -> DataFrame:

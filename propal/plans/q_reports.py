@@ -120,7 +120,7 @@ def f6(fx):
 
 
 @query("F7_report_layout", _F6_CORE + """
-SELECT ANO_MES, 'XSELL' AS MODEL_TYPE, 'v1' AS MODEL_VERSION, 'SD' AS MODEL_LOB, PERCENTILE, CAPTURED,
+SELECT ANO_MES, 'CROSS_SELL' AS MODEL_TYPE, 'v1' AS MODEL_VERSION, 'SD' AS MODEL_LOB, PERCENTILE, CAPTURED,
        ACCUM_CAPTURED, TOTAL_EVENTS, TOTAL_CUSTOMER_SCORED, round(LIFT, 6) AS LIFT,
        round(CUMULATIVE_LIFT, 6) AS CUMULATIVE_LIFT, round(CONV_RATE_PERCENTILE, 6) AS CONV_RATE_PERCENTILE,
        round(CUMULATIVE_RESPONSE, 6) AS CUMULATIVE_RESPONSE
@@ -129,7 +129,7 @@ def f7(fx):
     """Monitoring table stamped with model identifiers in the fixed order."""
     t = _lift(fx)
     t = t.select(*_ROUND6, *_r6(["LIFT", "CUMULATIVE_LIFT", "CONV_RATE_PERCENTILE", "CUMULATIVE_RESPONSE"]))
-    return R.report_layout(t, "XSELL", "v1", "SD")
+    return R.report_layout(t, "CROSS_SELL", "v1", "SD")
 
 
 _HIST = "(199907, 199908, 199909, 199910, 199911, 199912)"

@@ -202,22 +202,27 @@ def negatives_without_reuse(target0: DataFrame, months: Sequence[int], id_col: s
                             seed: int = 0) -> DataFrame:
     """Per month in order, sample int(N_m / n_months) negatives among ids
     not sampled in an earlier month.  Month m depends on months < m, so this
-    is a driver loop over the (bounded) month list; the accumulated sample is
-    checkpointed to the shared checkpoint folder each step."""
+    is a driver loop over the (bounded) month list.  The candidates (with
+    their hash key) are materialised once in the shared checkpoint folder so
+    no step recomputes the universe; the accumulated sample is checkpointed
+    each step."""
     n_months = len(months)
+    n_parts = int(target0.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cand_all = cut_lineage(target0.where(F.col("ANO_MES").isin(list(months)))
+                           .withColumn("_h", sample_key(id_col, seed)))
     counts = {r["ANO_MES"]: r["n"] for r in
-              target0.groupBy("ANO_MES").agg(F.count("*").alias("n")).collect()}  # one row per month
+              cand_all.groupBy("ANO_MES").agg(F.count("*").alias("n")).collect()}  # one row per month
     taken = None
     for m in months:
         k = int(counts.get(m, 0) / n_months)
-        cand = target0.where(F.col("ANO_MES") == m)
+        cand = cand_all.where(F.col("ANO_MES") == m)
         if taken is not None:
             cand = cand.join(taken.select(id_col), id_col, "left_anti")
         # the exact-n draw is this operator's feature: top-k by the hash key
-        pick = (cand.withColumn("_h", sample_key(id_col, seed)).orderBy("_h", id_col).limit(k)
-                .drop("_h"))
-        taken = pick if taken is None else taken.unionByName(pick)
-        taken = cut_lineage(taken)
+        pick = cand.orderBy("_h", id_col).limit(k).drop("_h")
+        acc = pick if taken is None else taken.unionByName(pick)
+        # a union adds partitions every month: keep the count bounded (no shuffle)
+        taken = cut_lineage(acc.coalesce(n_parts))
     return taken
 
 

@@ -177,20 +177,53 @@ def grid_search(df: DataFrame, features: Sequence[str], name: str, grid: dict, l
     return cv.fit(df)
 
 
+def preprocessing_variants(df: DataFrame, target: str = "TARGET", keys: Sequence[str] = (),
+                           aggregation: Sequence[bool] = (False, True), flags: Sequence[bool] = (False, True),
+                           extras: Sequence[str | None] = (None, "binning", "outlier"),
+                           lob_threshold: float | None = None) -> dict[str, tuple[DataFrame, list[str]]]:
+    """E7 matrix variants: {column aggregation (D21)} x {count flags (D22)} x
+    {none | binning (D23) | outlier caps (D24)} — binning and outliers
+    exclude each other — each followed by the near-constant filter (D25).
+    Returns ``name -> (matrix, numeric feature list)``; fits run on Spark."""
+    from . import fitted as FT
+    from ..functions.columns import numeric_columns
+    from ..session import cut_lineage
+    df = cut_lineage(df)                 # every fit and fold reads the matrix, not its lineage
+    out = {}
+    for agg in aggregation:
+        for flg in flags:
+            for extra in extras:
+                d = df
+                if agg:
+                    d = FT.lob_others_transform(d, FT.lob_others_fit(d, target, threshold=lob_threshold))
+                if flg:
+                    d = FT.count_to_flag_transform(d, FT.count_to_flag_fit(d))
+                num = numeric_columns(d, exclude=[target, *keys])
+                if extra == "binning":
+                    d = FT.quantile_bin_transform(d, FT.quantile_bin_fit(d, num))
+                elif extra == "outlier":
+                    d = FT.clip_transform(d, FT.clip_fit(d, num))
+                d = FT.constant_fill(d)          # the final sentinel fill (D20): no NaN reaches the model
+                keep = set(FT.near_constant_fit(d.select(target, *num), target, columns=num))
+                name = "+".join([p for p, on in (("agg", agg), ("flags", flg)) if on] + ([extra] if extra else [])) \
+                    or "base"
+                out[name] = (cut_lineage(d), [c for c in num if c in keep])
+    return out
+
+
 def training_grid(df: DataFrame, feature_sets: dict[str, Sequence[str]], algorithms: dict[str, dict],
                   label: str = "TARGET", folds: int = 3, threshold: float = 0.5) -> DataFrame:
     """Every (feature set x algorithm x grid) setting cross-validated on
     one cached matrix; the best mean CV AUC wins (rows above the threshold
     kept)."""
     spark = df.sparkSession
-    data = df.cache()
     rows = []
-    for fs_name, feats in feature_sets.items():
+    for fs_name, spec in feature_sets.items():
+        data, feats = spec if isinstance(spec, tuple) else (df, list(spec))
         for alg, grid in algorithms.items():
             m = grid_search(data, feats, alg, grid, label, folds)
             best = float(max(m.avgMetrics))
             rows.append((fs_name, alg, len(feats), best, bool(best > threshold)))
-    data.unpersist()
     return spark.createDataFrame(rows, "feature_set string, algorithm string, n_features int, cv_auc double, "
                                        "kept boolean")
 

@@ -95,6 +95,17 @@ def e7(fx):
     return M.training_grid(df, {"all": NUMF, "prices": ["l_extendedprice", "l_discount", "l_tax"]}, _ALGS)
 
 
+@query("E7_preprocessing_grid")
+def e7p(fx):
+    """Matrix variants of the wide customer table (LOB aggregation, count
+    flags x none / binning / outlier caps, near-constant filter) x logistic
+    regression, 3-fold CV AUC each."""
+    w = fx.wide_lob.select("ID", *[c for c, t in fx.wide_lob.dtypes if t != "string" and c not in ("ID", "NATION")])
+    variants = M.preprocessing_variants(w, "TARGET", keys=["ID"], aggregation=(True,), flags=(True,),
+                                        lob_threshold=0.34)
+    return M.training_grid(w, variants, {"LogisticRegression": {"regParam": [0.01]}})
+
+
 @query("E8_grid_search")
 def e8(fx):
     """3-fold CV of a random forest grid; mean AUC per setting."""

@@ -379,13 +379,16 @@ def feature_target_corr(df: DataFrame, target: str = "TARGET", columns: Sequence
 
 
 def point_biserial(df: DataFrame, target: str = "TARGET", columns: Sequence[str] | None = None,
-                   alpha: float = 0.05, min_abs: float = 0.0) -> DataFrame:
-    """R with the binary target, n, t = r*sqrt((n-2)/(1-r^2)); the
-    two-sided p-value is evaluated per column on the driver with the JVM's
+                   alpha: float = 0.05, min_abs: float = 0.0, min_rows: int = 0) -> DataFrame:
+    """R with the binary target over pairwise-complete rows, n,
+    t = r*sqrt((n-2)/(1-r^2)); r is null below ``min_rows`` complete pairs
+    (the reference's pairwise variant uses 50).  The two-sided p-value
+    (``add_p_values``) is evaluated per column on the driver with the JVM's
     Student-t distribution (one value per column)."""
     columns = list(columns or numeric_columns(df, exclude=[target]))
-    u = unpivot(df, columns, [target], "double").where(F.col("value").isNotNull())
+    u = unpivot(df, columns, [target], "double").where(F.col("value").isNotNull() & F.col(target).isNotNull())
     g = u.groupBy("Variable").agg(F.corr("value", F.col(target).cast("double")).alias("R"), F.count("*").alias("N"))
+    g = g.withColumn("R", F.when(F.col("N") >= min_rows, F.col("R")))
     r = F.col("R")
     return g.withColumn("T_STAT", r * F.sqrt(F.try_divide(F.col("N") - 2, 1 - r * r)))
 

@@ -302,15 +302,25 @@ def decile_edges(df: DataFrame, columns: Sequence[str], q: int = 10, approx: boo
 
 
 def _binned_effectiveness(df: DataFrame, edges: dict[str, list[float]], target: str, out_of_range: str,
-                          n_total: int | None = None) -> DataFrame:
+                          one_bin: dict[str, tuple] | None = None) -> DataFrame:
+    one_bin = one_bin or {}
     cols = [c for c in edges if len(edges[c]) >= 2]
-    binned = df.select(target, *[right_closed_bin(c, edges[c], out_of_range).alias(c) for c in cols])
+
+    def bin_of(c):
+        if c in one_bin:                                   # {mode} vs the other values
+            x = F.col(c).cast("double")
+            return F.when(x.isNull(), None).when(x == one_bin[c][0], 1).otherwise(2).cast("int")
+        return right_closed_bin(c, edges[c], out_of_range)
+    binned = df.select(target, *[bin_of(c).alias(c) for c in cols])
     u = unpivot(binned, cols, [target], "int").where(F.col("value").isNotNull())
     tot = df.agg(F.count("*").alias("_n"), F.sum(target).alias("_t1"), F.avg(F.col(target).cast("double")).alias("_b"))
     g = u.groupBy("Variable", F.col("value").alias("BIN")).agg(
         F.count("*").alias("COUNT"), F.sum(target).cast("long").alias("# Target 1"),
         F.avg(F.col(target).cast("double")).alias("_eff"))
-    rows = [(c, i + 1, float(edges[c][i]), float(edges[c][i + 1])) for c in cols for i in range(len(edges[c]) - 1)]
+    rows = [(c, i + 1, float(edges[c][i]), float(edges[c][i + 1])) for c in cols if c not in one_bin
+            for i in range(len(edges[c]) - 1)]
+    for c, (m, lo, hi) in one_bin.items():
+        rows += [(c, 1, float(m), float(m)), (c, 2, lo, hi)]
     lim = df.sparkSession.createDataFrame(rows, "Variable string, BIN int, `Lower Limit` double, `Upper Limit` double")
     # bin limits: one row per (column, bin) — bounded by columns x bins
     g = with_totals(g.join(F.broadcast(lim), ["Variable", "BIN"], "left"), tot)
@@ -330,7 +340,20 @@ def numerical_effectiveness(df: DataFrame, target: str = "TARGET", columns: Sequ
         num = numeric_columns(df, exclude=[target])
         two = set(two_valued_numeric(df, num))
         columns = [c for c in num if c not in two]
-    return _binned_effectiveness(df, decile_edges(df, columns, approx=approx), target, "clamp")
+    edges = decile_edges(df, columns, approx=approx)
+    # one bin left after dropping duplicate edges: the modal value against
+    # the other values (limits: the mode; min and max of the others)
+    one = [c for c, e in edges.items() if len(e) == 2]
+    one_bin = {}
+    if one:
+        vc = (unpivot(df, one, value_type="double").where(F.col("value").isNotNull())
+              .groupBy("Variable", "value").agg(F.count("*").alias("_c")))
+        modes = {r["Variable"]: r["_m"]["v"] for r in vc.groupBy("Variable").agg(
+            F.min(F.struct((-F.col("_c")).alias("nc"), F.col("value").alias("v"))).alias("_m")).collect()}
+        st = wide_agg(df, {**{f"{c}|lo": F.min(F.when(F.col(c) != modes[c], F.col(c))) for c in one},
+                           **{f"{c}|hi": F.max(F.when(F.col(c) != modes[c], F.col(c))) for c in one}})
+        one_bin = {c: (modes[c], float(st[f"{c}|lo"]), float(st[f"{c}|hi"])) for c in one}
+    return _binned_effectiveness(df, edges, target, "clamp", one_bin)
 
 
 def fit_effectiveness_bins(train: DataFrame, columns: Sequence[str], q: int = 10) -> dict[str, list[float]]:

@@ -241,6 +241,27 @@ def c15(fx):
     return C.numerical_effectiveness(_prof(fx), "TARGET", _C15_COLS)
 
 
+@query("C15_one_bin", """
+WITH d AS (SELECT TARGET, CASE WHEN l_quantity <= 46 THEN 0.0 ELSE l_quantity END AS x FROM line_nulls),
+t AS (SELECT count(*) AS n, sum(TARGET) AS t1, avg(TARGET) AS b FROM d),
+m AS (SELECT arg_min(x, struct_pack(nc := -c, v := x)) AS mode
+      FROM (SELECT x, count(*) AS c FROM d WHERE x IS NOT NULL GROUP BY x)),
+lim AS (SELECT min(x) AS lo, max(x) AS hi FROM d, m WHERE x <> mode),
+g AS (SELECT CASE WHEN x = mode THEN 1 ELSE 2 END AS BIN, count(*) AS COUNT, CAST(sum(TARGET) AS BIGINT) AS "# Target 1",
+             avg(TARGET) AS eff FROM d, m WHERE x IS NOT NULL GROUP BY 1)
+SELECT 'QTY_SKEW' AS Variable, CAST(BIN AS INTEGER) AS BIN, COUNT, "# Target 1", COUNT * 100.0 / n AS "% COUNT",
+       "# Target 1" * 100.0 / t1 AS "% Target 1", round(eff * 100, 2) AS "Effectiveness (%)",
+       CASE WHEN round(eff * 100, 2) > b * 100 + 0.001 THEN 'Maior propensão' ELSE '' END AS Conclusion,
+       CASE WHEN BIN = 1 THEN (SELECT mode FROM m) ELSE (SELECT lo FROM lim) END AS "Lower Limit",
+       CASE WHEN BIN = 1 THEN (SELECT mode FROM m) ELSE (SELECT hi FROM lim) END AS "Upper Limit"
+FROM g, t""")
+def c15one(fx):
+    """A column whose deciles collapse to one bin (92 % zeros): the modal
+    value against the other values."""
+    df = _prof(fx).withColumn("QTY_SKEW", F.when(F.col("l_quantity") <= 46, F.lit(0.0)).otherwise(F.col("l_quantity")))
+    return C.numerical_effectiveness(df, "TARGET", ["QTY_SKEW"])
+
+
 _TRAIN = f"(SELECT * FROM line_nulls WHERE o_orderdate < TIMESTAMP '1999-01-01')"
 _TEST = f"(SELECT * FROM line_nulls WHERE o_orderdate >= TIMESTAMP '1999-01-01')"
 

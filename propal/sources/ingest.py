@@ -94,12 +94,15 @@ def _numeric_expr(c: str, fmt: dict) -> Column:
     return F.when(F.length(s) > 0, s.try_cast("double"))
 
 
-def parse_by_labels(df: DataFrame, labels: DataFrame, drop_ids: bool = True, keep: Sequence[str] = ()) -> DataFrame:
+def parse_by_labels(df: DataFrame, labels: DataFrame, drop_ids: bool = True, keep: Sequence[str] = (),
+                    strict: bool = False) -> DataFrame:
     """A4: type an all-string table from the label dictionary
     ``(Name, Type in {Numeric, Date, Character})``: numbers cleaned by the
     detected format and cast to DOUBLE (junk -> null), dates ``yyyy-MM-dd``
     (bad -> null), text kept; an unlabelled ``X_suffix`` inherits the type
-    of ``X``; ``NIF*`` and ``ID_*`` dropped (except ``keep``)."""
+    of ``X``; ``NIF*`` and ``ID_*`` dropped (except ``keep``).  ``strict`` raises
+    when a non-blank numeric value does not parse (the reference errors on
+    junk); the default turns it into null."""
     lab = {r["Name"]: r["Type"] for r in labels.select("Name", "Type").collect()}   # dictionary: #columns
     types = {}
     for c in df.columns:
@@ -119,6 +122,14 @@ def parse_by_labels(df: DataFrame, labels: DataFrame, drop_ids: bool = True, kee
             cols.append(F.try_to_date(F.trim(F.col(c)), "yyyy-MM-dd").alias(c))
         else:
             cols.append(F.col(c))
+    if strict and num:
+        # numbers are not coerced silently: count non-blank values that do not
+        # parse, for all numeric columns in one aggregate
+        bad = df.agg(*[F.sum(((F.length(F.trim(F.col(c))) > 0) & _numeric_expr(c, fmts[c]).isNull()).cast("long"))
+                       .alias(c) for c in num]).first().asDict()
+        junk = {c: n for c, n in bad.items() if n}
+        if junk:
+            raise ValueError(f"unparseable numbers per column: {junk}")
     return df.select(*cols)
 
 

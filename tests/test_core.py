@@ -93,3 +93,15 @@ def test_ordinal_roundtrip(spark):
     cats = FT.ordinal_fit(df, ["c"])
     back = FT.ordinal_inverse(FT.ordinal_transform(df, cats), cats).collect()
     assert [r["c"] for r in back] == ["b", "INDETERMINADO", "a"]
+
+
+def test_parse_by_labels_strict_and_lenient(spark):
+    from propal.sources.ingest import parse_by_labels
+    raw = spark.createDataFrame([("1.234,56", "2024-01-31", "x"), ("n/a", "bad", "y"), (" ", "2024-02-01", "z")],
+                                "VAL_A string, DT_B string, DSC_C string")
+    labels = spark.createDataFrame([("VAL_A", "Numeric"), ("DT_B", "Date")], "Name string, Type string")
+    out = parse_by_labels(raw, labels).collect()
+    assert [r["VAL_A"] for r in out] == [1234.56, None, None]
+    assert out[1]["DT_B"] is None and str(out[0]["DT_B"]) == "2024-01-31"
+    with pytest.raises(ValueError):
+        parse_by_labels(raw, labels, strict=True)

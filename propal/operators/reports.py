@@ -51,6 +51,8 @@ def _bin_table(df: DataFrame, score: str, target: str, bin_col: str, bins: DataF
            .withColumn("Cumulative Lift", F.round(F.col("_c1") / F.col("_cn") / base_rate, 2)))
     if bins is not None:
         out = out.join(F.broadcast(bins), bin_col, "left")
+    else:
+        out = out.withColumns({"Minimum": F.lit(None).cast("double"), "Maximum": F.lit(None).cast("double")})
     return out.select(F.col(bin_col).alias(label), "Minimum", "Maximum", "Target 0", "Target 1",
                       "Cumulative rate (%)", "Cumulative Lift")
 

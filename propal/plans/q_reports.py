@@ -300,3 +300,27 @@ def f11(fx):
     """AUC, decile-1 cumulative lift and decile-3 captured share."""
     t = R.model_summary(fx.line_scored, "PR_1")
     return t.select(F.round("AUC_TRAIN", 10).alias("AUC_TRAIN"), "LIFT_DECILE_1", "CAPTURED_DECILE_3")
+
+
+P99 = "[" + ", ".join(repr(i / 99) for i in range(100)) + "]"
+
+
+@query("F2_percentile_report_ties", f"""
+WITH s AS (SELECT round(l_discount * 10, 0) AS x, TARGET FROM line_scored),
+r AS (SELECT quantile_cont(x, {P99}) AS rng, max(x) AS mx FROM s),
+c AS (SELECT list_sort(list_distinct(list_concat(rng, [mx + 0.000001]))) AS cl FROM r),
+b AS (SELECT CAST(len(list_filter(rng, lambda v: v <= x)) AS INTEGER) AS bin, TARGET FROM s, r),
+crt AS (SELECT bin, sum(CASE WHEN TARGET = 0 THEN 1 ELSE 0 END) AS t0, sum(CASE WHEN TARGET = 1 THEN 1 ELSE 0 END) AS t1
+        FROM b GROUP BY bin),
+pos AS (SELECT *, row_number() OVER (ORDER BY bin) AS p FROM crt)
+SELECT bin AS Percentile, round(cl[p], 3) AS Minimum, round(cl[p + 1], 3) AS Maximum,
+       CAST(t0 AS BIGINT) AS "Target 0", CAST(t1 AS BIGINT) AS "Target 1",
+       round(sum(t1) OVER (ORDER BY bin) * 100 / sum(t1) OVER (), 1) AS "Cumulative rate (%)",
+       round(sum(t1) OVER (ORDER BY bin) / sum(t0 + t1) OVER (ORDER BY bin) / (SELECT avg(TARGET) FROM s), 2)
+         AS "Cumulative Lift"
+FROM pos, c""")
+def f2_ties(fx):
+    """Percentile report on a tied score: the colliding-edges fallback (100
+    points, left-closed digitize, edges by position)."""
+    df = fx.line_scored.withColumn("_s", F.round(F.col("l_discount") * 10, 0))
+    return R.percentile_report(df, "_s", "TARGET")

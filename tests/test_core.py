@@ -105,3 +105,23 @@ def test_parse_by_labels_strict_and_lenient(spark):
     assert out[1]["DT_B"] is None and str(out[0]["DT_B"]) == "2024-01-31"
     with pytest.raises(ValueError):
         parse_by_labels(raw, labels, strict=True)
+
+
+def test_quantile_bin_clamp_and_extend(spark):
+    train = spark.createDataFrame([(float(x),) for x in range(1, 101)], "x double")
+    edges = FT.quantile_bin_fit(train, ["x"], q=4)
+    test = spark.createDataFrame([(0.0,), (50.0,), (500.0,)], "x double")
+    clamp = [r["x"] for r in FT.quantile_bin_transform(test, edges).collect()]
+    ext = [r["x"] for r in FT.quantile_bin_transform(test, edges, extend=True).collect()]
+    assert clamp == [0, 1, 3]
+    assert ext == [0, 2, 5]
+
+
+def test_ordinal_unknown_modes(spark):
+    train = spark.createDataFrame([("a",), ("b",)], "c string")
+    cats = FT.ordinal_fit(train, ["c"])
+    test = spark.createDataFrame([("b",), ("z",)], "c string")
+    assert [r["c"] for r in FT.ordinal_transform(test, cats).collect()] == [1.0, 2.0]
+    assert [r["c"] for r in FT.ordinal_transform(test, cats, "ignore").collect()] == [1.0, None]
+    with pytest.raises(Exception):
+        FT.ordinal_transform(test, cats, "error").collect()

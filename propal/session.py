@@ -36,6 +36,26 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
     return spark
 
 
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict:
+    """Settings for a cluster run sized from the input volume: shuffle
+    partitions so that a partition holds ~``target_partition_bytes`` (at
+    least 2 waves of the cores, so a lost executor only re-runs small tasks),
+    AQE with skew-join splitting, and scan splits of 256 MB.  The distributed
+    ranks use ``spark.sql.shuffle.partitions`` range partitions, so this also
+    sizes them."""
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; only when unset create one
     (tests on one machine)."""

@@ -368,12 +368,19 @@ def apply_effectiveness_bins(test: DataFrame, edges: dict[str, list[float]], tar
 
 
 # ---------------------------------------------------------------- C17 - C19
-def feature_target_corr(df: DataFrame, target: str = "TARGET", columns: Sequence[str] | None = None) -> DataFrame:
-    """C17: Pearson r, the f_regression F score r^2/(1-r^2)*(n-2), and
+def feature_target_corr(df: DataFrame, target: str = "TARGET", columns: Sequence[str] | None = None,
+                        null_free: bool = True, top_k: int | None = None) -> DataFrame:
+    """C17: Pearson r, the f_regression F score r^2/(1-r^2)*(n-2), chi2, and
     Spearman rho (Pearson of average ranks) per numeric column.  Ranks come
-    from value counts + the distributed running total, not a global window."""
+    from value counts + the distributed running total, not a global window.
+    ``null_free`` keeps only columns without nulls (one aggregate decides);
+    ``top_k`` keeps the k best F scores (k is compared with the number of
+    columns, not rows)."""
     from ..functions.ranking import running_total
     columns = list(columns or numeric_columns(df, exclude=[target]))
+    if null_free and columns:
+        nulls = wide_agg(df, {c: F.sum(F.col(c).isNull().cast("long")) for c in columns})
+        columns = [c for c in columns if not nulls[c]]
     u = unpivot(df, columns, [target], "double").where(F.col("value").isNotNull())
     pear = u.groupBy("Variable").agg(F.corr("value", F.col(target).cast("double")).alias("PEARSON"),
                                      F.count("*").alias("N"))
@@ -397,8 +404,14 @@ def feature_target_corr(df: DataFrame, target: str = "TARGET", columns: Sequence
     chi = cls.join(tot, "Variable").groupBy("Variable").agg(
         F.sum(F.try_divide((F.col("_sc") - exp) ** 2, exp)).alias("CHI2"))
     r = F.col("PEARSON")
-    return (pear.join(sp, "Variable", "left").join(chi, "Variable", "left")
-            .withColumn("F_SCORE", F.try_divide(r * r, (1 - r * r)) * (F.col("N") - 2)))
+    out = (pear.join(sp, "Variable", "left").join(chi, "Variable", "left")
+           .withColumn("F_SCORE", F.try_divide(r * r, (1 - r * r)) * (F.col("N") - 2)))
+    if top_k is not None and top_k < len(columns):
+        # one row per column: a window over the report is bounded by #columns
+        rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.col("F_SCORE").desc_nulls_last(),
+                                                                        "Variable"))
+        out = out.withColumn("_rk", rank).where(F.col("_rk") <= top_k).drop("_rk")
+    return out
 
 
 def point_biserial(df: DataFrame, target: str = "TARGET", columns: Sequence[str] | None = None,

@@ -295,6 +295,20 @@ def c17(fx):
                     F.round("F_SCORE", 6).alias("F_SCORE"))
 
 
+_TOPK_COLS = ["l_quantity", "l_extendedprice", "l_discount", "p_size", "PERC_DISC"]   # l_tax has nulls
+
+
+@query("C17_top_k", "SELECT Variable, F_SCORE FROM (" + _union([
+    f"SELECT '{c}' AS Variable, round(corr(CAST({c} AS DOUBLE), CAST(TARGET AS DOUBLE)) ^ 2 / "
+    f"(1 - corr(CAST({c} AS DOUBLE), CAST(TARGET AS DOUBLE)) ^ 2) * (count(*) - 2), 6) AS F_SCORE FROM {PROFILE}"
+    for c in _TOPK_COLS]) + ") ORDER BY F_SCORE DESC, Variable LIMIT 2")
+def c17k(fx):
+    """The two best F scores among the null-free numeric columns (a column
+    with nulls is left out)."""
+    t = C.feature_target_corr(_prof(fx), "TARGET", NUM, null_free=True, top_k=2)
+    return t.select("Variable", F.round("F_SCORE", 6).alias("F_SCORE"))
+
+
 _CHI2_SQL = _union([f"""SELECT '{c}' AS Variable, round(sum(pow(s_c - (n_c / n) * s, 2) / ((n_c / n) * s)), 6) AS CHI2
 FROM (SELECT TARGET, count(*) AS n_c, sum(CAST({c} AS DOUBLE)) AS s_c FROM line_facts WHERE {c} IS NOT NULL
       GROUP BY TARGET) cls,

@@ -324,3 +324,12 @@ def f2_ties(fx):
     points, left-closed digitize, edges by position)."""
     df = fx.line_scored.withColumn("_s", F.round(F.col("l_discount") * 10, 0))
     return R.percentile_report(df, "_s", "TARGET")
+
+
+@query("F7_summary_layout", "SELECT *, 'CROSS_SELL' AS MODEL_TYPE, 'v1' AS MODEL_VERSION, 'SD' AS MODEL_LOB, "
+                            "'semestral' AS REVIEW_PERIODICITY FROM (" + _F10_SQL + ")")
+def f7s(fx):
+    """The six-month summary stamped with model identifiers and review
+    periodicity in the summary column order."""
+    t = f10(fx)
+    return R.report_layout(t, "CROSS_SELL", "v1", "SD", periodicity="semestral")

@@ -720,18 +720,16 @@ def d43b(fx):
     return FT.impute_and_scale(df, ["l_tax", "l_quantity", "PERC_DISC"], high_missing=0.1, scaling="standardization")
 
 
-def lineage_edges(fx):
-    """Derivation edges produced by D9 + D2 on the monthly table (read from
-    the derived schema, so they follow the data)."""
-    cm = fx.cust_month
-    out = D.trailing_sums(cm, drop_months=False)
+def edges_of(columns):
+    """Derivation edges of the trailing-sum columns in a schema: each
+    ``p_U{m}M`` derives from the previous window and the extra months."""
     edges = []
-    for c in out.columns:
+    for c in columns:
         if c.endswith("M") and "_U" in c:
             p, u = c.rsplit("_U", 1)
             m = int(u[:-1])
             prev = [x for x in (3, 6) if x < m]
-            if prev and f"{p}_U{prev[-1]}M" in out.columns:
+            if prev and f"{p}_U{prev[-1]}M" in columns:
                 edges.append((c, f"{p}_U{prev[-1]}M", "TrailingSums"))
                 edges += [(c, f"{p}_M{k}", "TrailingSums") for k in range(prev[-1], m)]
             else:
@@ -741,7 +739,25 @@ def lineage_edges(fx):
     return edges
 
 
-@query("D44_feature_lineage")
+def lineage_edges(fx):
+    """Edges produced by D9 on the monthly table, read from the derived
+    schema (so they follow the data)."""
+    return edges_of(D.trailing_sums(fx.cust_month, drop_months=False).columns)
+
+
+# the D9 output schema of the monthly table, for the SQL twin's edge list
+_D9_COLS = (["ID", "ANO_MES"] + [f"{p}_M{k}" for p in ("QTD_ORD", "VAL_SPEND") for k in range(12)]
+            + [f"DSC_BUY_M{k}" for k in range(12)] + [f"{p}_U{m}M" for p in ("QTD_ORD", "VAL_SPEND") for m in (3, 6, 12)])
+_EDGE_VALUES = ", ".join(f"('{a}', '{b}', '{s}')" for a, b, s in edges_of(_D9_COLS))
+
+
+@query("D44_feature_lineage", f"""
+WITH RECURSIVE e(feature, parent, step) AS (VALUES {_EDGE_VALUES}),
+r(feature, node, path, depth) AS (
+  SELECT feature, parent, step, 1 FROM e
+  UNION ALL
+  SELECT r.feature, e.parent, r.path || ' > ' || e.step, r.depth + 1 FROM r JOIN e ON e.feature = r.node)
+SELECT DISTINCT feature, node AS origin, path, depth FROM r WHERE node NOT IN (SELECT feature FROM e)""")
 def d44(fx):
     """Derived features traced back to their original columns."""
     e = fx.spark.createDataFrame(lineage_edges(fx), "feature string, parent string, step string")

@@ -10,7 +10,11 @@ from ..sources import ingest as A
 from .catalog import query
 
 
-@query("A1_read_delimited")
+@query("A1_read_delimited", """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+       CAST(o_totalprice AS VARCHAR) AS o_totalprice, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000') AS o_orderdate,
+       o_orderpriority
+FROM orders""")
 def a1(fx):
     """Orders written as ';'-separated gzip text, read back all-string."""
     path = scratch_path(fx.spark, "orders-csv")

@@ -797,3 +797,18 @@ def d13r(fx):
     df = _d13_input(fx)
     drop = set(FT.select_columns_fit(df, missing_threshold=1.0))
     return fx.spark.createDataFrame([(c, c in drop) for c in df.columns], "Variable string, DROPPED boolean")
+
+
+@query("D16_ordinal_encode_table", """
+WITH cats AS (SELECT list(v ORDER BY v) AS l FROM (SELECT DISTINCT coalesce(p_brand, 'INDETERMINADO') AS v
+                                                      FROM line_nulls))
+SELECT l_orderkey, l_linenumber, CAST(list_position(l, coalesce(p_brand, 'INDETERMINADO')) - 1 AS DOUBLE) AS p_brand,
+       CAST(list_position((SELECT list(v ORDER BY v) FROM (SELECT DISTINCT c_mktsegment AS v FROM line_nulls)),
+                          c_mktsegment) - 1 AS DOUBLE) AS c_mktsegment
+FROM line_nulls, cats""")
+def d16t(fx):
+    """Ordinal codes from a state table (any number of categories: ranks are
+    computed distributed and joined, nothing is listed on the driver)."""
+    df = fx.line_nulls.select("l_orderkey", "l_linenumber", "p_brand", "c_mktsegment")
+    st = FT.ordinal_fit_table(df, ["p_brand", "c_mktsegment"])
+    return FT.ordinal_transform_table(df, st, ["p_brand", "c_mktsegment"])

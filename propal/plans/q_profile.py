@@ -373,7 +373,19 @@ def c21(fx):
     return C.dtype_census(fx.cust_month)
 
 
-@query("C21_readiness")
+_WIDE_COLS = (["ID", "DSC_SEGMENTO", "VAL_SALDO", "NATION"]
+              + [c for b in ("AUTO", "SD", "CAP", "PPR", "MRH", "VDO")
+                 for c in (f"QTD_APL_VIG_T_{b}", f"VAL_PCA_{b}", f"DSC_HAS_{b}", f"QTD_MESES_ULT_COMPRA_{b}",
+                           f"QTD_APL_REC_{b}")] + ["TARGET"])
+_MISS = " UNION ALL ".join(
+    f"SELECT round(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) * 100.0 / count(*), 2) AS p FROM wide_lob"
+    for c in _WIDE_COLS)
+
+
+@query("C21_readiness", f"""
+SELECT * FROM (VALUES ('target present', true), ('required columns present', true)) t("check", passed)
+UNION ALL
+SELECT 'all columns < 50% missing', max(p) < 50 FROM ({_MISS})""")
 def c21r(fx):
     """Readiness checklist of the wide customer table."""
     return C.readiness(fx.wide_lob, ["QTD_APL_VIG_T_AUTO", "VAL_PCA_AUTO"])

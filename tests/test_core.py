@@ -125,3 +125,15 @@ def test_ordinal_unknown_modes(spark):
     assert [r["c"] for r in FT.ordinal_transform(test, cats, "ignore").collect()] == [1.0, None]
     with pytest.raises(Exception):
         FT.ordinal_transform(test, cats, "error").collect()
+
+
+def test_running_total_with_a_hot_value(spark):
+    # a third of the rows share one score: the total order (score, id) splits it over range partitions
+    rows = [(i, 0.5 if i % 3 == 0 else i / 3000.0) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, s double")
+    from propal.functions.ranking import running_total
+    out = running_total(df, ["s", "id"], None, "rn", partitions=6).select("id", "s", "rn").collect()
+    got = sorted((r["rn"], r["s"], r["id"]) for r in out)
+    want = sorted((s, i) for i, s in rows)
+    assert [g[0] for g in got] == list(range(1, 3001))
+    assert [(g[1], g[2]) for g in got] == want

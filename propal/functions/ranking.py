@@ -103,6 +103,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     # at runtime otherwise.  The range condition only runs inside a group.
     cond = [F.col(k).eqNullSafe(F.col(nb[k])) for k in by] + [
         F.col("_start") <= F.col("_gpos"), F.col("_gpos") < F.col("_end")]
+    if not by:
+        needs = F.broadcast(needs)          # 2 rows per probability: bounded
     hit = rows.join(needs, cond).select(*by, "_i", "_q", "_h", "_pos", "_v")
     out = hit.groupBy(*by, "_i", "_q", "_h").agg(
         F.min(F.struct("_pos", "_v")).alias("_lo"), F.max(F.struct("_pos", "_v")).alias("_hi"))

@@ -215,6 +215,8 @@ def with_fixtures(sql: str) -> str:
         return sql
     ctes = ",\n".join(f"{n} AS ({F[n]}\n)" for n in order)
     body = sql.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"

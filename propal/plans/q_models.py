@@ -67,7 +67,30 @@ def e4(fx):
     return M.tree_importance_funnel(df, NUMF, anova)
 
 
-@query("E5_correlation_prune")
+_E5_FEATS = NUMF + ["VAL_PRICE_PER_QTY"]
+_E5_T = "(SELECT *, l_extendedprice / l_quantity AS VAL_PRICE_PER_QTY FROM line_facts)"
+_E5_F = "\nUNION ALL\n".join(f"""
+SELECT '{c}' AS Variable, ((sum(n * m * m) - sum(n * m) ^ 2 / sum(n)) / (count(*) - 1))
+  / ((sum(q) - sum(n * m * m)) / (sum(n) - count(*))) AS F
+FROM (SELECT TARGET, count(*) AS n, avg(CAST({c} AS DOUBLE)) AS m, sum(CAST({c} AS DOUBLE) ^ 2) AS q
+      FROM {_E5_T} WHERE {c} IS NOT NULL GROUP BY TARGET)""" for c in _E5_FEATS)
+_E5_C = "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS r FROM {_E5_T}"
+    for a in _E5_FEATS for b in _E5_FEATS if a != b)
+
+
+@query("E5_correlation_prune", f"""
+WITH RECURSIVE f AS ({_E5_F}),
+o AS (SELECT Variable, row_number() OVER (ORDER BY F DESC) AS i FROM f),
+c AS ({_E5_C}),
+r(i, kept) AS (
+  SELECT 0, CAST([] AS VARCHAR[])
+  UNION ALL
+  SELECT r.i + 1, CASE WHEN (SELECT coalesce(max(abs(c.r)), 0) FROM c WHERE c.a = o.Variable AND list_contains(r.kept, c.b))
+                            <= 0.5 THEN list_append(r.kept, o.Variable) ELSE r.kept END
+  FROM r JOIN o ON o.i = r.i + 1)
+SELECT CAST(generate_subscripts(kept, 1) AS INTEGER) AS rank, unnest(kept) AS feature
+FROM (SELECT kept FROM r ORDER BY i DESC LIMIT 1)""")
 def e5(fx):
     """Greedy |r| > 0.5 pruning in ANOVA-F order (price and quantity are
     correlated)."""

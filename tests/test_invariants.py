@@ -58,3 +58,20 @@ def test_sample_is_exact_and_repeatable(spark):
     a = P.sample_exact(cand, "ID", 50).select("ANO_MES", "ID").collect()
     b = P.sample_exact(cand.repartition(3), "ID", 50).select("ANO_MES", "ID").collect()
     assert len(a) == 50 and sorted(a) == sorted(b)
+
+
+def test_streaming_monitoring_is_incremental_and_idempotent(spark):
+    from propal.session import scratch_path
+    from propal.streaming.monthly import monitor_months
+    fx = Fixtures(spark, SF_SMALL)
+    src, out, ck = (scratch_path(spark, n) for n in ("t-scores", "t-mon", "t-ckpt"))
+    scores = fx.scores
+    scores.where(F.col("ANO_MES") <= 199906).write.partitionBy("ANO_MES").parquet(src)
+    monitor_months(spark, src, fx.purchases, out, ck)
+    first = spark.read.parquet(out).select("ANO_MES").distinct().count()
+    scores.where(F.col("ANO_MES") > 199906).write.mode("append").partitionBy("ANO_MES").parquet(src)
+    monitor_months(spark, src, fx.purchases, out, ck)          # only the new months are processed
+    monitor_months(spark, src, fx.purchases, out, ck)          # nothing new: no change
+    res = spark.read.parquet(out)
+    assert first == 6 and res.select("ANO_MES").distinct().count() == 12
+    assert res.count() == 12 * 100

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, simhash
+from . import bpe, exact_dedup, secrets, simhash
 
 QUERIES = {
+    "op1_secret_scan": secrets.op1_secret_scan,
+    "op3_byte_bpe": bpe.op3_byte_bpe,
     "op6_simhash": simhash.op6_simhash,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }

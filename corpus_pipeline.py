@@ -9,11 +9,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from propal.llm import exact_dedup, simhash
+from propal.llm import bpe, decontaminate, exact_dedup, quality, simhash
 from propal.llm.common import table
 from propal.session import scratch_path
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the row with the largest doc_id stays."""
     return exact_dedup.keep_owners(docs)
@@ -24,12 +29,25 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_first(docs)
 
 
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of ``benchmark`` go."""
+    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Per document: number and hash of its ids, hash of the decoded bytes."""
+    return bpe.round_trip(docs, bpe.public_vocabulary(spark))
+
+
 STAGES = [
+    ("quality classifier", quality_stage),
     ("exact dedup", exact_stage),
     ("SimHash near-dedup", near_stage),
+    ("benchmark decontamination", benchmark_stage),
+    ("byte-level BPE", encode_stage),
 ]
 
-#: Fingerprints, alignments and byte-pair merges cannot be written in SQL.
+#: Fitted classifiers, fingerprints, alignments and byte-pair merges cannot be written in SQL.
 ORACLE_SQL = None
 
 

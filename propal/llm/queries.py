@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, secrets, simhash
+from . import bpe, decontaminate, exact_dedup, langid, quality, secrets, simhash
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
     "op3_byte_bpe": bpe.op3_byte_bpe,
+    "op4_language_id": langid.op4_language_id,
     "op6_simhash": simhash.op6_simhash,
+    "op7_decontaminate": decontaminate.op7_decontaminate,
+    "op8_quality": quality.op8_quality,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
 

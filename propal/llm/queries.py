@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, exact_dedup, langid, quality, secrets, simhash
+from . import bpe, decontaminate, exact_dedup, langid, quality, secrets, simhash, substring_dedup
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
@@ -12,6 +12,7 @@ QUERIES = {
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_quality": quality.op8_quality,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "op10_suffix_array_dedup": substring_dedup.op10_suffix_array_dedup,
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, exact_dedup, langid, quality, secrets, simhash, substring_dedup
+from . import bpe, decontaminate, exact_dedup, langid, line_dedup, quality, secrets, simhash, substring_dedup
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
     "op3_byte_bpe": bpe.op3_byte_bpe,
     "op4_language_id": langid.op4_language_id,
+    "op5_line_dedup": line_dedup.op5_line_dedup,
     "op6_simhash": simhash.op6_simhash,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_quality": quality.op8_quality,

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, exact_dedup, langid, line_dedup, quality, secrets, simhash, substring_dedup
+from . import (bpe, decontaminate, exact_dedup, langid, line_dedup, quality, secrets, simhash, substring_dedup,
+               surrogates)
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
+    "op2_pii_surrogates": surrogates.op2_pii_surrogates,
     "op3_byte_bpe": bpe.op3_byte_bpe,
     "op4_language_id": langid.op4_language_id,
     "op5_line_dedup": line_dedup.op5_line_dedup,

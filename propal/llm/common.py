@@ -6,8 +6,8 @@ Conventions that hold for every operator here unless its docstring says more:
   further columns of any name in the input cannot clash with its own;
 * a null text counts as the empty text;
 * ``doc_id`` names a document: rows that repeat a doc_id are one document for
-  keep/drop decisions, and a null doc_id is a document of its own kind that
-  sorts below every integer;
+  keep/drop decisions; a null doc_id sorts below every integer, and where rows
+  are dropped by doc_id, a row without one stays, as nothing names it;
 * an empty table gives an empty result with the same columns.
 """
 
@@ -32,9 +32,9 @@ def id_text(docs: DataFrame) -> DataFrame:
 
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, whose doc_id is not in ``dropped``
-    (one column ``doc_id``).  Null doc_ids match a null in ``dropped``."""
-    gone = dropped.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    (one column ``doc_id``).  A row with a null doc_id always stays."""
+    gone = dropped.where("doc_id IS NOT NULL").select("doc_id").distinct()
+    return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
 
 
 def partitions(spark: SparkSession) -> int:

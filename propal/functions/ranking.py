@@ -26,24 +26,31 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 
+#: Groups whose sizes go through one task and are broadcast (a row of some 50 bytes each).
+FEW_GROUPS = 100_000
+
+
 def _n_partitions(df: DataFrame, partitions: int | None) -> int:
     if partitions:
         return partitions
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def running_total(df: DataFrame, order: Sequence[str | Column], weight: str | Column | None = None,
-                  out: str = "_cum", partitions: int | None = None) -> DataFrame:
-    """Add ``out`` = inclusive running sum of ``weight`` (1 per row when None)
-    along a total ``order``; also ``_w`` (the row's weight)."""
+def frozen_ranges(df: DataFrame, order: Sequence[str | Column], weight: str | Column | None = None,
+                  partitions: int | None = None) -> DataFrame:
+    """``df`` dealt by contiguous ranges of a total ``order``, checkpointed,
+    with ``_pid`` (the range) and ``_w`` (the row's weight, 1 when None)."""
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
     w_col = F.lit(1).cast("long") if weight is None else (
         F.col(weight) if isinstance(weight, str) else weight)
-    p = _n_partitions(df, partitions)
-    ranged = (df.withColumn("_w", w_col)
-              .repartitionByRange(p, *order_cols)
+    ranged = (df.withColumn("_w", w_col).repartitionByRange(_n_partitions(df, partitions), *order_cols)
               .withColumn("_pid", F.spark_partition_id()))
-    ranged = cut_lineage(ranged)
+    return cut_lineage(ranged)
+
+
+def running_over(ranged: DataFrame, order: Sequence[str | Column], out: str = "_cum") -> DataFrame:
+    """Inclusive running sum of ``_w`` over ``frozen_ranges`` in the same order."""
+    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
     local = ranged.withColumn(
         "_local",
         F.sum("_w").over(Window.partitionBy("_pid").orderBy(*order_cols)
@@ -60,6 +67,28 @@ def running_total(df: DataFrame, order: Sequence[str | Column], weight: str | Co
             .drop("_pid", "_local", "_offset"))
 
 
+def running_total(df: DataFrame, order: Sequence[str | Column], weight: str | Column | None = None,
+                  out: str = "_cum", partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = inclusive running sum of ``weight`` (1 per row when None)
+    along a total ``order``; also ``_w`` (the row's weight)."""
+    return running_over(frozen_ranges(df, order, weight, partitions), order, out)
+
+
+def group_starts(ranged: DataFrame, by: Sequence[str]) -> tuple[DataFrame, bool]:
+    """``(*by, _gn, _g0)``: weight of each group and of the groups before it, for
+    ``frozen_ranges`` ordered by ``by`` first; from plain sums, without a rank.
+    Also whether the groups are at most FEW_GROUPS (and may be broadcast):
+    beyond, their running sum is distributed too."""
+    sizes = ranged.groupBy(*by).agg(F.sum("_w").alias("_gn"))
+    few = sizes.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
+    if few:
+        before = Window.orderBy(*by).rowsBetween(Window.unboundedPreceding, -1) if by else None
+        start = F.coalesce(F.sum("_gn").over(before), F.lit(0)) if by else F.lit(0)
+        return sizes.withColumn("_g0", start), True
+    cum = running_total(sizes, list(by), "_gn", "_g1")
+    return cum.select(*by, "_gn", (F.col("_g1") - F.col("_gn")).alias("_g0")), False
+
+
 def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "ROW_NUMBER",
                       partitions: int | None = None) -> DataFrame:
     """1-based row number over a total order without a single-task window."""
@@ -87,9 +116,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
 
     vc = base.groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_n1"))
     order = [*by, "_v"]
-    cum = running_total(vc, order, "_n1", "_cum", partitions)
-    # per group: size and first cumulative position (bounded by #groups)
-    groups = cum.groupBy(*by).agg(F.sum("_w").alias("_gn"), F.min(F.col("_cum") - F.col("_w")).alias("_g0"))
+    ranged = frozen_ranges(vc, order, "_n1", partitions)
+    cum = running_over(ranged, order, "_cum")
+    # per group: size and first cumulative position, from the value counts
+    groups, few = group_starts(ranged, by)
     nb = {k: f"_nb{i}" for i, k in enumerate(by)}
     needs = (groups.select(*[F.col(k).alias(nb[k]) for k in by], "_gn", "_g0", prob_rows.alias("_p"))
              .select(*nb.values(), "_gn", "_g0", "_p._i", "_p._q")
@@ -98,13 +128,13 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                      F.explode(F.array(F.floor("_h"), F.ceil("_h"))).alias("_pos"))
              .withColumn("_gpos", F.col("_g0") + F.col("_pos")))
     rows = cum.select(*by, "_v", (F.col("_cum") - F.col("_w")).alias("_start"), F.col("_cum").alias("_end"))
-    # ``needs`` holds 2 rows per (group, probability): small when the number
-    # of groups is (groups = column names, classes, months); AQE sizes it
-    # at runtime otherwise.  The range condition only runs inside a group.
+    # ``needs`` holds 2 rows per (group, probability).  Few groups (column
+    # names, classes, months) are broadcast, so that the values of a group are
+    # not gathered by its key; many groups are joined on it.
     cond = [F.col(k).eqNullSafe(F.col(nb[k])) for k in by] + [
         F.col("_start") <= F.col("_gpos"), F.col("_gpos") < F.col("_end")]
-    if not by:
-        needs = F.broadcast(needs)          # 2 rows per probability: bounded
+    if few:
+        needs = F.broadcast(needs)
     hit = rows.join(needs, cond).select(*by, "_i", "_q", "_h", "_pos", "_v")
     out = hit.groupBy(*by, "_i", "_q", "_h").agg(
         F.min(F.struct("_pos", "_v")).alias("_lo"), F.max(F.struct("_pos", "_v")).alias("_hi"))

@@ -5,33 +5,36 @@ scale with the number of features, not with the data."""
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 
-def expand_lineage(edges: DataFrame, max_depth: int = 32) -> DataFrame:
+
+def expand_lineage(edges: DataFrame) -> DataFrame:
     """``(feature, origin, path, depth)``: every feature linked to the
     original columns it derives from (parents that are never a feature).
-    ``path`` is the ' > '-joined chain of steps.  Iterative self-join,
-    bounded by ``max_depth``."""
-    e = edges.select("feature", "parent", "step")
+    ``path`` is the ' > '-joined chain of steps.  Iterative self-join until no
+    derived parent is left; a cycle, which would never end, raises."""
+    e = edges.select("feature", "parent", "step").distinct()
+    feats = e.select(F.col("feature").alias("node")).distinct()
+    longest = feats.count()                     # a longer chain repeats a feature
     frontier = e.select("feature", F.col("parent").alias("node"), F.col("step").alias("path"),
                         F.lit(1).alias("depth"))
-    done = None
-    feats = e.select(F.col("feature").alias("node")).distinct()
-    for _ in range(max_depth):
-        leaf = frontier.join(feats, "node", "left_anti")
-        done = leaf if done is None else done.unionByName(leaf)
+    done = frontier.join(feats, "node", "left_anti")
+    for depth in itertools.count(2):
         inner = frontier.join(feats, "node", "left_semi")
-        step = (inner.join(e.withColumnRenamed("feature", "node"), "node")
-                .select("feature", F.col("parent").alias("node"),
-                        F.concat_ws(" > ", "path", "step").alias("path"), (F.col("depth") + 1).alias("depth")))
-        if step.isEmpty():
-            break
-        frontier = step
-    return done.withColumnRenamed("node", "origin").dropDuplicates()
+        frontier = cut_lineage(inner.join(e.withColumnRenamed("feature", "node"), "node")
+                               .select("feature", F.col("parent").alias("node"),
+                                       F.concat_ws(" > ", "path", "step").alias("path"), F.lit(depth).alias("depth")))
+        if frontier.isEmpty():
+            return done.withColumnRenamed("node", "origin").dropDuplicates()
+        if depth > longest:
+            raise ValueError("the lineage has a cycle")
+        done = done.unionByName(frontier.join(feats, "node", "left_anti"))
 
 
 def source_columns(edges: DataFrame, selected: Sequence[str], available: Iterable[str]) -> list[str]:

@@ -47,18 +47,20 @@ def last_n_months(df: DataFrame, n: int, target: str = "TARGET") -> DataFrame:
 
 # ---------------------------------------------------------------- E3
 def anova_f(df: DataFrame, features: Sequence[str], target: str = "TARGET") -> DataFrame:
-    """One-way ANOVA F per feature between the classes, from per-class
-    n, sum and sum of squares in one grouped pass (F is invariant to the
-    z-scoring the reference applies first)."""
+    """One-way ANOVA F per feature between the classes (invariant to the
+    z-scoring the reference applies first).  The within-class sum of squares is
+    n times the population variance, which Spark merges from centred sums, so
+    values far from zero do not cancel; the class means are centred on the
+    whole mean likewise."""
     u = unpivot(df, features, [target], "double").where(F.col("value").isNotNull())
-    g = u.groupBy("Variable", target).agg(F.count("*").alias("n"), F.sum("value").alias("s"),
-                                          F.sum(F.col("value") ** 2).alias("q"))
-    t = g.groupBy("Variable").agg(F.sum("n").alias("N"), F.sum("s").alias("S"), F.sum("q").alias("Q"),
-                                  F.count("*").alias("k"), F.sum(F.col("s") ** 2 / F.col("n")).alias("B"))
-    ssb = F.col("B") - F.col("S") ** 2 / F.col("N")
-    ssw = F.col("Q") - F.col("B")
-    return t.select("Variable", F.try_divide(ssb / (F.col("k") - 1), ssw / (F.col("N") - F.col("k"))).alias("F"),
-                    F.col("k"), F.col("N"))
+    g = u.groupBy("Variable", target).agg(F.count("*").alias("n"), F.avg("value").alias("m"),
+                                          (F.var_pop("value") * F.count("*")).alias("w"))
+    whole = g.groupBy("Variable").agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("_m"))
+    t = (g.join(whole, "Variable").groupBy("Variable")
+         .agg(F.sum("n").alias("N"), F.count("*").alias("k"), F.sum("w").alias("W"),
+              F.sum(F.col("n") * (F.col("m") - F.col("_m")) ** 2).alias("B")))
+    return t.select("Variable", F.try_divide(F.col("B") / (F.col("k") - 1), F.col("W") / (F.col("N") - F.col("k")))
+                    .alias("F"), "k", "N")
 
 
 def anova_p_values(stats: DataFrame, alpha: float = 0.1) -> DataFrame:
@@ -158,7 +160,8 @@ def feature_count_grid(n_features: int, points: int = 8, first: int = 3, start:
     if n_features <= start:
         return [n_features]
     ratio = (n_features / start) ** (1 / (points - 1))
-    return [int(round(start * ratio ** i)) for i in range(points)][:first]
+    # truncated, not rounded; the small term undoes the power's own rounding
+    return [int(start * ratio ** i + 1e-9) for i in range(points)][:first]
 
 
 # ---------------------------------------------------------------- E7 / E8 / E10
@@ -263,13 +266,22 @@ def score_table(model: PipelineModel, df: DataFrame, keys: Sequence[str], label:
     return out.select(*cols)
 
 
-def recalibrate(pipeline: Pipeline, df: DataFrame, months: int, keys: Sequence[str], label: str = "TARGET"):
-    """Refit an existing pipeline definition on the last ``months``
-    months; returns (model, AUC on those months)."""
+def recalibrate(pipeline: Pipeline, df: DataFrame, months: int, label: str = "TARGET", champion: Pipeline | None = None,
+                folds: int = 3, seed: int = 0) -> tuple[PipelineModel, DataFrame]:
+    """Refit an old pipeline definition on the last ``months`` months.
+    Returns the model and a table ``(version, cv_auc, best)`` with its k-fold
+    AUC and, where given, that of the new champion's pipeline on the same rows."""
     recent = last_n_months(df, months, label)
-    m = pipeline.fit(recent)
-    auc = roc_auc(score_table(m, recent, keys, label), "P1", label).first()[0]
-    return m, auc
+    judge = BinaryClassificationEvaluator(labelCol=label)
+
+    def cv_auc(p: Pipeline) -> float:
+        return CrossValidator(estimator=p, estimatorParamMaps=[{}], evaluator=judge, numFolds=folds,
+                              seed=seed).fit(recent).avgMetrics[0]
+    found = {"recalibrated": cv_auc(pipeline)} | ({"champion": cv_auc(champion)} if champion is not None else {})
+    best = max(found, key=found.get)
+    table = df.sparkSession.createDataFrame([(v, float(a), v == best) for v, a in found.items()],
+                                            "version string, cv_auc double, best boolean")
+    return pipeline.fit(recent), table
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequence[str], keys: Sequence[str],

@@ -8,14 +8,17 @@ key), except B8 whose months depend on each other.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import percent_text_to_double
-from ..functions.ranking import running_total
+from ..functions.ranking import frozen_ranges, group_starts, running_over
 from ..session import cut_lineage
+from .profile import wide_agg
 
 # --- fixed values (eligibility rules) -----------------------------------------
 RISK_FLAGS = ("FLG_CONFIDENCIALIDADE", "FLG_EMPREG_FIDEL", "FLG_INCIDENCIAS", "FLG_CLIENTE_BLOQUEADO",
@@ -80,16 +83,22 @@ def panel(df: DataFrame, start: int, end: int, name: str = "ANO_MES") -> DataFra
 
 
 # ---------------------------------------------------------- eligibility
+#: Words of a predicate that are not columns.
+_PREDICATE_WORDS = frozenset("AND OR NOT IN IS NULL BETWEEN LIKE TRUE FALSE".split())
+
+
 def apply_predicates(df: DataFrame, predicates: Sequence[str]) -> DataFrame:
     """Configurable predicates such as ``QTD_IDADE >= 18``: the left column is
     stripped of '%' and cast to DOUBLE (strings quoted with ' are kept as is).
-    Only columns of ``df`` may be referenced."""
+    Every name in it must be a column of ``df``; functions are refused."""
     for p in predicates:
-        col = p.split(" ")[0]
-        if col not in df.columns:
-            raise ValueError(f"predicate on unknown column {col!r}")
+        bare = re.sub(r"'[^']*'", "''", p)
+        names = [n for n in re.findall(r"[^\W\d]\w*", bare) if n.upper() not in _PREDICATE_WORDS]
+        unknown = [n for n in names if n not in df.columns]
+        if unknown or not names or re.search(r"[;`]|--|/\*", bare):
+            raise ValueError(f"predicate on unknown columns {unknown}: {p!r}")
         if "'" not in p:
-            df = df.withColumn(col, percent_text_to_double(F.col(col)))
+            df = df.withColumn(names[0], percent_text_to_double(F.col(names[0])))
         df = df.where(F.expr(p))
     return df
 
@@ -123,20 +132,21 @@ def cancel_reason(pol: DataFrame, reasons: Sequence[str]) -> DataFrame:
 
 
 # ------------------------------------------------------------- targets
-def monthly_target(orders_m: DataFrame, customer: DataFrame, start: int, end: int,
-                   positive_priority: str = "1-URGENT", lag: int = 2) -> DataFrame:
-    """B5/B9 on the order stand-in: TARGET=1 = bought (urgent order) in month
-    M; TARGET=0 = customers known at M-lag (first order <= M-lag) who did not
-    buy in M.  Returns (ANO_MES, ID, TARGET) for all months at once."""
-    pos = (orders_m.where((F.col("o_orderpriority") == positive_priority)
-                          & F.col("ANO_MES").between(start, end))
-           .select("ANO_MES", F.col("o_custkey").alias("ID")).distinct())
-    first = orders_m.groupBy(F.col("o_custkey").alias("ID")).agg(F.min("ANO_MES").alias("_first"))
-    known = panel(first, start, end).where(F.col("_first") <= add_months_yyyymm(F.col("ANO_MES"), -lag))
-    neg = known.select("ANO_MES", "ID").join(pos, ["ANO_MES", "ID"], "left_anti")
+def monthly_target(events: DataFrame, eligible: DataFrame) -> DataFrame:
+    """TARGET=1 = in ``events`` of month M; TARGET=0 = in ``eligible`` of
+    month M (both ``(ANO_MES, ID)``) without an event in M.  All months at once."""
+    pos = events.select("ANO_MES", "ID").distinct()
+    neg = eligible.select("ANO_MES", "ID").join(pos, ["ANO_MES", "ID"], "left_anti")
     return build_universe(pos, neg)
 
 
+def known_since(first: DataFrame, start: int, end: int, lag: int = 2) -> DataFrame:
+    """``(ANO_MES, ID)`` of the months from ``start`` to ``end`` in which an id
+    with a first month (``ID, FIRST_MES``) has been known for ``lag`` months."""
+    known = panel(first, start, end).where(F.col("FIRST_MES") <= add_months_yyyymm(F.col("ANO_MES"), -lag))
+    return known.select("ANO_MES", "ID")
+
+
 def build_universe(target1: DataFrame, target0: DataFrame) -> DataFrame:
     """Label and union."""
     return (target1.select("ANO_MES", "ID").withColumn("TARGET", F.lit(1))
@@ -165,28 +175,50 @@ def sample_key(id_col: str, seed: int) -> Column:
 def row_number_within(df: DataFrame, by: Sequence[str], order: Sequence[str | Column],
                       out: str = "_rn") -> DataFrame:
     """Row number inside groups ``by`` along ``order`` without sending a group
-    to one task: a global running count over (by, order) minus the group's
-    first position (one row per group)."""
-    cum = running_total(df, [*by, *order], None, "_g_cum").drop("_w")
+    to one task: a global running count over (by, order) minus the rows of the
+    groups before, which plain counts give."""
+    full = [*by, *order]
+    ranged = frozen_ranges(df, full)
+    cum = running_over(ranged, full, "_g_cum").drop("_w")
     if not by:
         return cum.withColumnRenamed("_g_cum", out)
-    starts = cum.groupBy(*by).agg(F.min("_g_cum").alias("_g_start"))   # one row per group
-    return (cum.join(starts, list(by))
-            .withColumn(out, F.col("_g_cum") - F.col("_g_start") + 1).drop("_g_cum", "_g_start"))
+    starts, few = group_starts(ranged, by)
+    starts = starts.select(*[F.col(b).alias(f"_s_{b}") for b in by], "_g0")
+    same = reduce(Column.__and__, [F.col(b).eqNullSafe(F.col(f"_s_{b}")) for b in by])
+    return (cum.join(F.broadcast(starts) if few else starts, same)
+            .withColumn(out, F.col("_g_cum") - F.col("_g0")).select(*df.columns, out))
+
+
+def first_by_hash(df: DataFrame, n: int, id_col: str, seed: int = 0) -> DataFrame:
+    """Exactly the first ``n`` rows (or all) in md5(seed|id) order.  Counts by
+    the first 4 hex digits (at most 65,536 rows) find the digits at which n is
+    reached: rows below are taken where they lie, and only the rows with these
+    digits are ranked."""
+    cols = df.columns
+    h = df.withColumn("_h", sample_key(id_col, seed)).withColumn("_d", F.substring("_h", 1, 4))
+    left, edge = n, None
+    for r in sorted(h.groupBy("_d").count().collect()):
+        if left <= r["count"]:
+            edge = r["_d"]
+            break
+        left -= r["count"]
+    if n <= 0:
+        return df.where(F.lit(False))
+    if edge is None:
+        return df
+    # the remaining columns make the order total when an id repeats (repeatable draw)
+    w = Window.partitionBy("_d").orderBy("_h", id_col, *[c for c in cols if c != id_col])
+    last = h.where(F.col("_d") == edge).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= left)
+    return h.where(F.col("_d") < edge).select(*cols).unionByName(last.select(*cols))
 
 
 def sample_exact(df: DataFrame, id_col: str, n: int, seed: int = 0,
                  exclude: DataFrame | None = None) -> DataFrame:
     """Anti-filter on ids, then exactly ``n`` rows (or all when fewer) in
-    md5(seed|id) order.  ``limit`` after a global sort would gather n rows in
-    one task; a distributed row number keeps it spread."""
+    md5(seed|id) order (``first_by_hash``)."""
     if exclude is not None:
         df = df.join(exclude.select(id_col).distinct(), id_col, "left_anti")
-    cols = df.columns
-    # the remaining columns make the order total when an id repeats (repeatable draw)
-    order = ["_h", id_col, *[c for c in cols if c != id_col]]
-    ranked = running_total(df.withColumn("_h", sample_key(id_col, seed)), order, None, "_rn")
-    return ranked.where(F.col("_rn") <= n).select(*cols)
+    return first_by_hash(df, n, id_col, seed)
 
 
 def sample_per_group(df: DataFrame, by: Sequence[str], id_col: str, sizes: DataFrame,
@@ -202,28 +234,24 @@ def negatives_without_reuse(target0: DataFrame, months: Sequence[int], id_col: s
                             seed: int = 0) -> DataFrame:
     """Per month in order, sample int(N_m / n_months) negatives among ids
     not sampled in an earlier month.  Month m depends on months < m, so this
-    is a driver loop over the (bounded) month list.  The candidates (with
-    their hash key) are materialised once in the shared checkpoint folder so
-    no step recomputes the universe; the accumulated sample is checkpointed
-    each step."""
-    n_months = len(months)
-    n_parts = int(target0.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cand_all = cut_lineage(target0.where(F.col("ANO_MES").isin(list(months)))
-                           .withColumn("_h", sample_key(id_col, seed)))
+    is a driver loop over the (bounded) month list.  The candidates are
+    materialised once in the shared checkpoint folder; each month's picks are
+    checkpointed, and the anti-join reads the union of these."""
+    cand_all = cut_lineage(target0.where(F.col("ANO_MES").isin(list(months))))
     counts = {r["ANO_MES"]: r["n"] for r in
               cand_all.groupBy("ANO_MES").agg(F.count("*").alias("n")).collect()}  # one row per month
+    n_parts = int(target0.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     taken = None
     for m in months:
-        k = int(counts.get(m, 0) / n_months)
+        k = int(counts.get(m, 0) / len(months))
+        if not k:
+            continue
         cand = cand_all.where(F.col("ANO_MES") == m)
         if taken is not None:
             cand = cand.join(taken.select(id_col), id_col, "left_anti")
-        # the exact-n draw is this operator's feature: top-k by the hash key
-        pick = cand.orderBy("_h", id_col).limit(k).drop("_h")
-        acc = pick if taken is None else taken.unionByName(pick)
-        # a union adds partitions every month: keep the count bounded (no shuffle)
-        taken = cut_lineage(acc.coalesce(n_parts))
-    return taken
+        pick = cut_lineage(first_by_hash(cand, k, id_col, seed).coalesce(n_parts))
+        taken = pick if taken is None else taken.unionByName(pick)
+    return taken if taken is not None else target0.where(F.lit(False))
 
 
 # ---------------------------------------------------------- reports
@@ -272,11 +300,9 @@ def lagged_feature_join(universe: DataFrame, features: Sequence[tuple]) -> DataF
     return out
 
 
-def broadcast_dim_join(df: DataFrame, dim: DataFrame, on, how: str = "left", max_rows: int = 100_000) -> DataFrame:
-    """Join a dimension; broadcast only when its row count is under
-    ``max_rows`` (checked), else leave the choice to AQE."""
-    n = dim.count()
-    return df.join(F.broadcast(dim) if n <= max_rows else dim, on, how)
+def dim_join(df: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
+    """Join a dimension; Spark broadcasts it by its size in bytes."""
+    return df.join(dim, on, how)
 
 
 # ------------------------------------------------------ universe upkeep
@@ -304,10 +330,13 @@ def cap_new_month(history: DataFrame, new_filtered: DataFrame, new: DataFrame, n
 
 
 def schema_drift(history: DataFrame, new: DataFrame) -> DataFrame:
-    """Columns present in ``new`` but not in ``history`` (one row each)."""
-    spark = new.sparkSession
+    """Columns present in ``new`` but not in ``history``, with the number
+    of rows of ``new`` that miss a value."""
     extra = [c for c in new.columns if c not in set(history.columns)]
-    return spark.createDataFrame([(c,) for c in extra], "COLUMN string")
+    if not extra:
+        return new.sparkSession.createDataFrame([], "COLUMN string, N_MISSING long")
+    missing = wide_agg(new, {c: F.count_if(F.col(c).isNull()) for c in extra})
+    return new.sparkSession.createDataFrame([(c, missing[c]) for c in extra], "COLUMN string, N_MISSING long")
 
 
 def month_coverage(df: DataFrame, expected: int) -> DataFrame:

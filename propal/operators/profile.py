@@ -8,6 +8,8 @@ category) and are returned as DataFrames.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -68,16 +70,13 @@ def unpivot(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), val
 # ---------------------------------------------------------------- C1 / C2
 def missing_report(df: DataFrame, columns: Sequence[str] | None = None, only_missing: bool = True) -> DataFrame:
     """Per column missing count and % (2 dp) and type family; inf and NaN
-    count as missing.  One aggregate row, unpivoted."""
+    count as missing."""
     columns = list(columns or df.columns)
-    n = F.count(F.lit(1))
-    agg = df.agg(n.alias("_n"), *[F.sum(_missing(df, c).cast("long")).alias(c) for c in columns])
-    types = {c: family(df.schema[c].dataType) for c in columns}
-    long = agg.unpivot(["_n"], columns, "Variable", "Missing")
-    tdim = df.sparkSession.createDataFrame(list(types.items()), "Variable string, Type string")
-    out = (long.join(F.broadcast(tdim), "Variable")
-           .select("Variable", F.col("Missing").cast("long").alias("Missing"),
-                   F.round(F.col("Missing") * 100.0 / F.col("_n"), 2).alias("Percentage"), "Type"))
+    n = df.count()
+    found = wide_agg(df, {c: F.count_if(_missing(df, c)) for c in columns})
+    rows = [(c, found[c], n, family(df.schema[c].dataType)) for c in columns]
+    out = (df.sparkSession.createDataFrame(rows, "Variable string, Missing long, _n long, Type string")
+           .select("Variable", "Missing", F.round(F.col("Missing") * 100.0 / F.col("_n"), 2).alias("Percentage"), "Type"))
     return out.where(F.col("Missing") > 0) if only_missing else out
 
 
@@ -97,8 +96,8 @@ def drop_high_missing(df: DataFrame, threshold: float = 97.0, strict: bool = Tru
 def low_variance(df: DataFrame, threshold: float = 0.01, protect: Sequence[str] = ("TARGET",)) -> DataFrame:
     """Numeric columns with sample variance < threshold."""
     cols = numeric_columns(df, exclude=protect)
-    agg = df.agg(*[F.var_samp(F.col(c).cast("double")).alias(c) for c in cols])
-    long = agg.unpivot([], cols, "Variable", "VARIANCE")
+    found = wide_agg(df, {c: F.var_samp(F.col(c).cast("double")) for c in cols})
+    long = df.sparkSession.createDataFrame(list(found.items()), "Variable string, VARIANCE double")
     return long.where(F.col("VARIANCE") < threshold)
 
 
@@ -126,15 +125,10 @@ def constant_columns(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     """nunique == 1 (min == max over non-null values), with and without
     the 'no missing' condition; no count-distinct needed."""
     columns = list(columns or df.columns)
-    aggs = []
-    for c in columns:
-        aggs += [F.min(c).cast("string").alias(f"{c}__mn"), F.max(c).cast("string").alias(f"{c}__mx"),
-                 F.sum(F.col(c).isNull().cast("long")).alias(f"{c}__nm")]
-    row = df.agg(*aggs)
-    stack = F.explode(F.array(*[F.struct(F.lit(c).alias("Variable"), F.col(f"{c}__mn").alias("mn"),
-                                         F.col(f"{c}__mx").alias("mx"), F.col(f"{c}__nm").alias("nm"))
-                                for c in columns])).alias("_s")
-    long = row.select(stack).select("_s.*")
+    row = wide_agg(df, {(c, k): e for c in columns for k, e in (
+        ("mn", F.min(c).cast("string")), ("mx", F.max(c).cast("string")), ("nm", F.count_if(F.col(c).isNull())))})
+    long = df.sparkSession.createDataFrame([(c, row[c, "mn"], row[c, "mx"], row[c, "nm"]) for c in columns],
+                                           "Variable string, mn string, mx string, nm long")
     const = F.col("mn").isNotNull() & (F.col("mn") == F.col("mx"))
     return long.select("Variable", F.col("nm").alias("N_MISSING"), const.alias("CONSTANT"),
                        (const & (F.col("nm") == 0)).alias("CONSTANT_NO_MISSING"))
@@ -394,8 +388,14 @@ def feature_target_corr(df: DataFrame, target: str = "TARGET", columns: Sequence
     tv = u.groupBy("Variable", target).agg(F.count("*").alias("_tc"))
     tw = Window.partitionBy("Variable").orderBy(target).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     tr = tv.withColumn("_tr", F.sum("_tc").over(tw) - (F.col("_tc") - 1) / 2.0).drop("_tc")   # <= 2 rows/col
-    sp = (u.join(ranks, ["Variable", "value"]).join(F.broadcast(tr), ["Variable", target])
-          .groupBy("Variable").agg(F.corr("_r", "_tr").alias("SPEARMAN")))
+    # per column: counts by (value, class) carry all that the correlation of
+    # the ranks needs, so the rows are not joined again
+    both = u.groupBy("Variable", "value", target).agg(F.count("*").alias("_b"))
+    x, y, b = F.col("_r") - F.col("_mid"), F.col("_tr") - F.col("_mid"), F.col("_b")
+    mid = u.groupBy("Variable").agg(((F.count("*") + 1) / 2.0).alias("_mid"))      # mean rank
+    sp = (both.join(ranks, ["Variable", "value"]).join(F.broadcast(tr), ["Variable", target])
+          .join(F.broadcast(mid), "Variable").groupBy("Variable")
+          .agg(F.try_divide(F.sum(b * x * y), F.sqrt(F.sum(b * x * x) * F.sum(b * y * y))).alias("SPEARMAN")))
     # chi2 score (non-negative features): sum over classes of
     # (class sum - expected class sum)^2 / expected; <= 2 rows per column
     cls = u.groupBy("Variable", target).agg(F.count("*").alias("_nc"), F.sum("value").alias("_sc"))
@@ -449,12 +449,10 @@ def add_p_values(stats: DataFrame, alpha: float = 0.05, min_abs: float = 0.0) ->
 def histogram(df: DataFrame, col: str, bins: int = 10, max_bars: int = 10) -> DataFrame:
     """Bar counts when <= max_bars distinct values, else equal-width
     histogram counts (data only)."""
-    st = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi"),
-                F.approx_count_distinct(col).alias("nd")).first()
+    st = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
     if st["lo"] is None:
         return df.sparkSession.createDataFrame([], "BIN int, LOWER double, UPPER double, COUNT long")
-    exact_nd = df.select(col).distinct().limit(max_bars + 1).count() if st["nd"] <= 2 * max_bars else st["nd"]
-    if exact_nd <= max_bars:
+    if df.select(col).where(F.col(col).isNotNull()).distinct().limit(max_bars + 1).count() <= max_bars:
         return (df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("LOWER"))
                 .agg(F.count("*").alias("COUNT"))
                 .select(F.dense_rank().over(Window.partitionBy(F.lit(0)).orderBy("LOWER")).alias("BIN"),
@@ -468,42 +466,35 @@ def histogram(df: DataFrame, col: str, bins: int = 10, max_bars: int = 10) -> Da
 
 
 # ---------------------------------------------------------------- C20 - C23
-# --- fixed values: family keywords
+#: Words that place a column in a family; a column may be in several.
 FAMILY_KEYWORDS = {
-    "Demographics": ("IDADE", "SEXO", "ESTADO_CIVIL", "ANTIG"),
-    "Geographic": ("DISTRITO", "NUT", "RURAL", "LITORAL", "NATION"),
-    "Digital": ("LOGIN", "INTERACT", "DIGITAL"),
-    "Insurance": ("APL", "APOLICE", "SEGUR", "CABAZ", "FAM", "LOB"),
-    "Financial": ("VAL_", "CLV", "SCORE", "SALDO", "SPEND"),
+    "Demographics": ("IDADE", "SEXO", "CIVIL", "PROF", "HABILITACOES"),
+    "Geographic": ("DISTRITO", "CONCELHO", "NUT", "FREGUESIA"),
+    "Digital": ("LOGIN", "APP", "DIGITAL", "INTERACT"),
+    "Insurance": ("APL", "VIG", "SEGUROS", "APOLICE"),
+    "Financial": ("VAL", "CLV", "SCORE", "MARGEM", "PCA"),
 }
 
 
 def column_families(df: DataFrame) -> DataFrame:
-    """C20: (column, keyword family, prefix family) for every column; prefix
-    families are ``[A-Z]+_[A-Z]`` stems shared by >= 2 columns."""
-    import re
-    spark = df.sparkSession
-    rows = []
-    prefixes: dict[str, list[str]] = {}
-    for c in df.columns:
-        m = re.match(r"^([A-Z]+_[A-Z]+)", c)
-        if m:
-            prefixes.setdefault(m.group(1), []).append(c)
-    for c in df.columns:
-        fam = next((f for f, keys in FAMILY_KEYWORDS.items() if any(k in c.upper() for k in keys)), "Other")
-        m = re.match(r"^([A-Z]+_[A-Z]+)", c)
-        pf = m.group(1) if m and len(prefixes[m.group(1)]) >= 2 else None
-        rows.append((c, fam, pf))
-    return spark.createDataFrame(rows, "column string, family string, prefix_family string")
+    """C20: ``(column, families, prefix_family, N_VALUES)``: the keyword families
+    of every column, its ``[A-Z]+_[A-Z]`` stem where at least two columns have
+    it, and how many rows have a value."""
+    stem = {c: m.group() for c in df.columns if (m := re.match(r"[A-Z]+_[A-Z]", c))}
+    shared = Counter(stem.values())
+    values = wide_agg(df, {c: F.count(c) for c in df.columns})
+    rows = [(c, [f for f, words in FAMILY_KEYWORDS.items() if any(w in c.upper() for w in words)],
+             stem.get(c) if shared[stem.get(c)] > 1 else None, values[c]) for c in df.columns]
+    return df.sparkSession.createDataFrame(
+        rows, "column string, families array<string>, prefix_family string, N_VALUES long")
 
 
 def dtype_census(df: DataFrame) -> DataFrame:
-    """Number of columns per type family."""
-    spark = df.sparkSession
-    fams: dict[str, int] = {}
-    for f in df.schema.fields:
-        fams[family(f.dataType)] = fams.get(family(f.dataType), 0) + 1
-    return spark.createDataFrame(sorted(fams.items()), "type string, n_columns int")
+    """Columns per type family, and the values they hold."""
+    values = wide_agg(df, {c: F.count(c) for c in df.columns})
+    rows = [(family(f.dataType), values[f.name]) for f in df.schema.fields]
+    return (df.sparkSession.createDataFrame(rows, "type string, n long").groupBy("type")
+            .agg(F.count("*").cast("int").alias("n_columns"), F.sum("n").alias("n_values")))
 
 
 def readiness(df: DataFrame, required: Sequence[str], target: str = "TARGET", max_missing_pct: float = 50.0) -> DataFrame:
@@ -552,27 +543,29 @@ def skew_report(df: DataFrame, columns: Sequence[str] | None = None, skew_limit:
 
 def box_cox_lambda(df: DataFrame, col: str, grid: Sequence[float] | None = None) -> DataFrame:
     """Box-Cox lambda for x+1 maximising the profile log-likelihood over
-    a lambda grid — all grid points in ONE aggregate pass (sums of the
-    transformed values and their squares per lambda)."""
+    a lambda grid, all grid points in one aggregate pass.  Variances come from
+    centred sums; a lambda whose transform overflows or does not vary is no
+    candidate."""
     grid = list(grid or [round(-2 + 0.1 * i, 1) for i in range(41)])
     y = F.col(col).cast("double") + 1
     d = df.where(F.col(col).isNotNull() & (F.col(col) > -1))
     aggs = [F.count(y).alias("n"), F.sum(F.log(y)).alias("sl")]
     for i, lam in enumerate(grid):
         t = F.log(y) if lam == 0 else (F.pow(y, lam) - 1) / lam
-        aggs += [F.sum(t).alias(f"s{i}"), F.sum(t * t).alias(f"q{i}")]
+        aggs.append(F.var_pop(t).alias(f"v{i}"))
     row = d.agg(*aggs)
     cands = []
     for i, lam in enumerate(grid):
-        var = F.col(f"q{i}") / F.col("n") - F.pow(F.col(f"s{i}") / F.col("n"), 2)
+        var = F.col(f"v{i}")
         ll = -F.col("n") / 2 * F.log(var) + (lam - 1) * F.col("sl")
-        cands.append(F.struct(ll.alias("ll"), F.lit(lam).alias("lam")))
-    best = F.array_max(F.array(*cands))   # greatest log-likelihood
+        cands.append(F.when((var > 0) & (var < float("inf")), F.struct(ll.alias("ll"), F.lit(lam).alias("lam"))))
+    best = F.array_max(F.array(*cands))   # greatest log-likelihood; nulls are skipped
     return row.select(F.lit(col).alias("Variable"), best["lam"].alias("LAMBDA"), best["ll"].alias("LOGLIK"))
 
 
 def nonzero_share(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Customers with a value > 0 and their % per product column."""
-    agg = df.agg(F.count("*").alias("_n"), *[F.sum((F.col(c) > 0).cast("long")).alias(c) for c in columns])
-    long = agg.unpivot(["_n"], list(columns), "Variable", "N_POSITIVE")
+    n, found = df.count(), wide_agg(df, {c: F.count_if(F.col(c) > 0) for c in columns})
+    long = df.sparkSession.createDataFrame([(c, found[c], n) for c in columns],
+                                           "Variable string, N_POSITIVE long, _n long")
     return long.select("Variable", "N_POSITIVE", F.round(F.col("N_POSITIVE") * 100.0 / F.col("_n"), 2).alias("PCT"))

@@ -107,7 +107,7 @@ def score_percentile(scores: DataFrame, prob: str = "EM_EVENTPROBABILITY", id_co
     """per month, rank by P(1) descending (ties by id); PERCENTILE =
     qcut(row, 100)+1 in closed form, 1 = best."""
     ranked = row_number_within(scores, list(by), [F.col(prob).desc(), F.col(id_col).asc()], "_i")
-    n = ranked.groupBy(*by).agg(F.count("*").alias("_n"))      # one row per month
+    n = scores.groupBy(*by).agg(F.count("*").alias("_n"))      # one row per month, from plain counts
     pct = F.when(F.col("_n") == 1, F.lit(1)).otherwise(
         F.greatest(F.lit(1), F.ceil((F.col("_i") - 1) * 100 / (F.col("_n") - 1)))).cast("int")
     return ranked.join(F.broadcast(n), list(by)).withColumn("PERCENTILE", pct).drop("_i", "_n")
@@ -261,10 +261,16 @@ def roc_auc(df: DataFrame, score: str, target: str = "TARGET", by: Sequence[str]
 
 def compare_models(scored_a: DataFrame, scored_b: DataFrame, score: str, target: str = "TARGET",
                    version_col: str = "MODEL_VERSION") -> DataFrame:
-    """The same test set scored by two model versions, AUC side by side
-    keyed by version."""
-    both = scored_a.unionByName(scored_b)
-    return roc_auc(both, score, target, by=[version_col])
+    """The same test set scored by two model versions, side by side: the
+    decile report (F1) of each version with its AUC and Brier score, keyed by
+    version and decile."""
+    parts = []
+    for scored in (scored_a, scored_b):
+        one = scored.withColumn("_p0", 1 - F.col(score))
+        metrics = roc_auc(one, score, target, by=[version_col]).join(
+            one.groupBy(version_col).agg(F.avg((F.col(score) - F.col(target)) ** 2).alias("BRIER")), version_col)
+        parts.append(with_totals(decile_report(one, "_p0", target), metrics))
+    return parts[0].unionByName(parts[1])
 
 
 def model_summary(df: DataFrame, p1: str, target: str = "TARGET") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import re
 
-from .fixtures import (DIGITAL_REF_DATE, EVENT_TYPES, LOB_OF_TYPE, LOBS, WIDE_RECENT_FROM, WIDE_REF_MONTH,
+from .fixtures import (DIGITAL_REF_DATE, SCORE_MONTHS, EVENT_TYPES, LOB_OF_TYPE, LOBS, WIDE_RECENT_FROM, WIDE_REF_MONTH,
                        WIDE_TARGET_FROM)
 
 
@@ -50,7 +50,10 @@ FROM line_facts"""
 F["orders_m"] = """
 SELECT *, CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS ANO_MES FROM orders"""
 
-F["months"] = "SELECT * FROM " + _months(199601, 200012)
+_SPAN = """(SELECT CAST(year(d) * 100 + month(d) AS INTEGER) AS ANO_MES
+FROM (SELECT unnest(generate_series(date_trunc('month', min(o_orderdate)), date_trunc('month', max(o_orderdate)),
+                                    INTERVAL 1 MONTH)) AS d FROM orders))"""
+F["months"] = "SELECT * FROM " + _SPAN
 
 F["cust_orders_month"] = """
 SELECT o_custkey AS ID, ANO_MES, count(*) AS N_ORD, sum(o_totalprice) AS SPEND
@@ -69,7 +72,7 @@ _wide_cols = ",\n".join(
 F["cust_month"] = f"""
 SELECT sp.ID, sp.ANO_MES,
 {_wide_cols}
-FROM (SELECT c_custkey AS ID, m.ANO_MES FROM customer, {_months(199601, 200012)} m) sp
+FROM (SELECT c_custkey AS ID, m.ANO_MES FROM customer, {_SPAN} m) sp
 LEFT JOIN (
   SELECT ID, ANO_MES, {_wide_aggs}
   FROM (SELECT ID, N_ORD, SPEND, K, {_add_months('ANO_MES', 'K')} AS ANO_MES
@@ -90,7 +93,7 @@ SELECT m.ANO_MES, c_custkey AS ID_CLIENTE_ANON, c_mktsegment AS IND_PSIN_PCOL_EN
        CAST(10 + c_custkey % 80 AS DOUBLE) AS QTD_IDADE,
        CASE WHEN {_ms} >= 0 THEN {_ms} / 12.0 END AS QTD_ANOS_ANTIG_CLIENTE,
        c_acctbal AS VAL_SALDO, c_nationkey AS NATION
-FROM customer CROSS JOIN {_months(199601, 200012)} m
+FROM customer CROSS JOIN {_SPAN} m
 LEFT JOIN first_order fo ON c_custkey = fo.ID"""
 
 F["policy_snap"] = """
@@ -108,6 +111,13 @@ SELECT ANO_MES, CAST(o_orderkey AS VARCHAR) AS ID_APOLICE, o_custkey AS ID_CLIEN
        CASE WHEN o_orderkey % 9 = 0 THEN 0.0 ELSE o_totalprice END AS VAL_APR_SIN
 FROM orders_m"""
 
+F["policy_month"] = f"""
+SELECT {_add_months('ANO_MES', 'QTD_MESES')} AS ANO_MES, ID_APOLICE, ID_CLIENTE_ANON,
+       round(VAL_PCA_APL * (100 + QTD_MESES) / 100, 2) AS VAL_PCA_APL,
+       CASE WHEN QTD_MESES = 0 AND CAST(ID_APOLICE AS BIGINT) % 16 = 0 THEN 0.0 ELSE QTD_SEGURADOS_APL_SD_VIG END
+         AS QTD_SEGURADOS_APL_SD_VIG, QTD_MESES
+FROM policy_snap, (SELECT unnest(range(0, 16)) AS QTD_MESES)"""
+
 F["insured"] = """
 SELECT CAST(l_orderkey AS VARCHAR) AS ID_APOLICE, o_custkey AS ID_CLIENTE_ANON, l_linenumber AS COD_DELEGACAO,
        CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS ANO_MES,
@@ -122,8 +132,8 @@ FROM nation JOIN region ON n_regionkey = r_regionkey"""
 
 F["universe"] = f"""
 WITH pos AS (SELECT DISTINCT ANO_MES, o_custkey AS ID FROM orders_m
-             WHERE o_orderpriority = '1-URGENT' AND ANO_MES BETWEEN 199601 AND 200012),
-     known AS (SELECT m.ANO_MES, f.ID FROM first_order f, {_months(199601, 200012)} m
+             WHERE o_orderpriority = '1-URGENT'),
+     known AS (SELECT m.ANO_MES, f.ID FROM first_order f, {_SPAN} m
                WHERE f.FIRST_MES <= {_add_months('m.ANO_MES', -2)})
 SELECT ANO_MES, ID, 1 AS TARGET FROM pos
 UNION ALL
@@ -153,12 +163,12 @@ FROM orders"""
 F["scores"] = f"""
 SELECT m.ANO_MES, c_custkey AS ID, 'CROSS_SELL' AS MODEL_TYPE, 'v1' AS MODEL_VERSION, 'SD' AS MODEL_LOB,
        ((c_custkey * 7919 + m.ANO_MES) % 10007) / 10007.0 AS EM_EVENTPROBABILITY
-FROM customer, {_months(199901, 199912)} m"""
+FROM customer, {_months(*SCORE_MONTHS)} m"""
 
 F["scores_v2"] = f"""
 SELECT m.ANO_MES, c_custkey AS ID, 'CROSS_SELL' AS MODEL_TYPE, 'v2' AS MODEL_VERSION, 'SD' AS MODEL_LOB,
        ((c_custkey * 6151 + m.ANO_MES) % 10007) / 10007.0 AS EM_EVENTPROBABILITY
-FROM customer, {_months(199901, 199912)} m"""
+FROM customer, {_months(*SCORE_MONTHS)} m"""
 
 F["purchases"] = "SELECT ANO_MES, ID FROM universe WHERE TARGET = 1"
 

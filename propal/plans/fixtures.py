@@ -21,8 +21,7 @@ LOB_OF_TYPE = {"ECONOMY": "AUTO", "LARGE": "SD", "MEDIUM": "CAP", "PROMO": "PPR"
                "SMALL": "MRH", "STANDARD": "VDO"}
 LOBS = ("AUTO", "SD", "CAP", "PPR", "MRH", "VDO")
 EVENT_TYPES = ("click", "view", "purchase", "signup", "error")
-PANEL_START, PANEL_END = "1996-01-01", "2000-12-01"      # 60 monthly snapshots
-SCORE_START, SCORE_END = "1999-01-01", "1999-12-01"      # 12 scored months
+SCORE_MONTHS = (199901, 199912)                          # the months in which the stand-in model scored
 WIDE_REF_MONTH = 2001 * 12 + 9                           # "now" of wide_lob (2001-09)
 WIDE_TARGET_FROM = "2000-09-01"
 WIDE_RECENT_FROM = "2001-01-01"
@@ -36,6 +35,15 @@ class Fixtures:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._cache: dict[str, DataFrame] = {}
+        self._span: tuple[int, int] | None = None
+
+    @property
+    def span(self) -> tuple[int, int]:
+        """First and last month of the orders: the panel's months."""
+        if self._span is None:
+            r = self.orders_m.agg(F.min("ANO_MES"), F.max("ANO_MES")).first()
+            self._span = (r[0], r[1])
+        return self._span
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -88,9 +96,9 @@ class Fixtures:
         return o.withColumn("ANO_MES", (F.year("o_orderdate") * 100 + F.month("o_orderdate")).cast("int"))
 
     def build_months(self) -> DataFrame:
-        """Panel month spine 1996-01..2000-12 as INT yyyymm (B1)."""
+        """Panel month spine, the months of the orders, as INT yyyymm (B1)."""
         from ..operators.panel import month_spine
-        return month_spine(self.spark, 199601, 200012)
+        return month_spine(self.spark, *self.span)
 
     def build_cust_orders_month(self) -> DataFrame:
         """orders aggregated to (customer, month): n orders, spend."""
@@ -104,32 +112,24 @@ class Fixtures:
     def build_cust_month(self) -> DataFrame:
         """Wide monthly history: QTD_ORD_M0..M11, VAL_SPEND_M0..M11 (0 if
         none), DSC_BUY_M0..M11 ('S' bought, 'N' not, 'X' before the first
-        order) for every customer x panel month."""
-        from ..operators.panel import add_months_yyyymm, month_index, panel
-        spine = panel(self.customer.select(F.col("c_custkey").alias("ID")), 199601, 200012)
-        com = self.cust_orders_month
-        # each monthly fact feeds the 12 panel months M = month + k
-        shifted = com.select("ID", "N_ORD", "SPEND",
-                             F.explode(F.sequence(F.lit(0), F.lit(11))).alias("K"), "ANO_MES")
-        shifted = (shifted.withColumn("ANO_MES", add_months_yyyymm(F.col("ANO_MES"), F.col("K")))
-                   .where(F.col("ANO_MES").between(199601, 200012)))      # only panel months are kept
-        wide = shifted.groupBy("ID", "ANO_MES").agg(
-            *[F.sum(F.when(F.col("K") == k, F.col("N_ORD"))).alias(f"_n{k}") for k in range(12)],
-            *[F.sum(F.when(F.col("K") == k, F.col("SPEND"))).alias(f"_s{k}") for k in range(12)])
-        # month indexes (integers) keep the 12 generated flag expressions cheap
-        fo = self.first_order.select("ID", month_index(F.col("FIRST_MES")).alias("_fidx"))
-        out = spine.join(wide, ["ID", "ANO_MES"], "left").join(fo, "ID", "left")
+        order) for every customer x panel month.
+
+        A customer's months are gathered once into a map by month index (a
+        customer has at most one entry a month); every panel row then looks its
+        12 months up, so nothing is multiplied before a shuffle."""
+        from ..operators.panel import month_index, panel
+        own = self.cust_orders_month.groupBy("ID").agg(F.map_from_entries(F.collect_list(F.struct(
+            month_index(F.col("ANO_MES")), F.struct(F.col("N_ORD").alias("n"), F.col("SPEND").alias("s"))))).alias("_m"))
+        ids = self.customer.select(F.col("c_custkey").alias("ID")).join(own, "ID", "left")
+        rows = panel(ids.withColumn("_first", F.array_min(F.map_keys("_m"))), *self.span)
         midx = month_index(F.col("ANO_MES"))
-        cols = [F.col("ID"), F.col("ANO_MES")]
-        for k in range(12):
-            cols.append(F.coalesce(F.col(f"_n{k}"), F.lit(0)).cast("long").alias(f"QTD_ORD_M{k}"))
-        for k in range(12):
-            cols.append(F.round(F.coalesce(F.col(f"_s{k}"), F.lit(0.0)), 2).alias(f"VAL_SPEND_M{k}"))
-        for k in range(12):
-            cols.append(F.when(F.coalesce(F.col(f"_n{k}"), F.lit(0)) > 0, "S")
-                        .when(F.col("_fidx").isNull() | (midx - k < F.col("_fidx")), "X")
-                        .otherwise("N").alias(f"DSC_BUY_M{k}"))
-        return out.select(*cols)
+        seen = {k: F.try_element_at("_m", midx - k) for k in range(12)}
+        return rows.select(
+            "ID", "ANO_MES",
+            *[F.coalesce(seen[k]["n"], F.lit(0)).cast("long").alias(f"QTD_ORD_M{k}") for k in seen],
+            *[F.round(F.coalesce(seen[k]["s"], F.lit(0.0)), 2).alias(f"VAL_SPEND_M{k}") for k in seen],
+            *[F.when(seen[k].isNotNull(), "S").when(F.col("_first").isNull() | (midx - k < F.col("_first")), "X")
+              .otherwise("N").alias(f"DSC_BUY_M{k}") for k in seen])
 
     def build_customer_snap(self) -> DataFrame:
         """Monthly customer snapshot (eligibility flags, age, tenure)."""
@@ -137,7 +137,7 @@ class Fixtures:
         c = self.customer
         base = panel(c.select(F.col("c_custkey").alias("ID_CLIENTE_ANON"), "c_mktsegment", "c_acctbal",
                               "c_nationkey"),
-                     199601, 200012)
+                     *self.span)
         k = F.col("ID_CLIENTE_ANON")
         fo = self.first_order.withColumnRenamed("ID", "ID_CLIENTE_ANON")
         months_since = ((F.floor(F.col("ANO_MES") / 100) * 12 + F.col("ANO_MES") % 100)
@@ -174,6 +174,19 @@ class Fixtures:
             F.round(F.col("o_totalprice") * 0.8, 2).alias("VAL_PG_SIN"),
             F.when(k % 9 == 0, F.lit(0.0)).otherwise(F.col("o_totalprice")).alias("VAL_APR_SIN"))
 
+    def build_policy_month(self) -> DataFrame:
+        """Monthly policy snapshots: each policy in the month of its order and
+        the 15 after it; the premium rises by 1 % a month, and nobody is insured
+        in every 16th policy's first month."""
+        from ..operators.panel import add_months_yyyymm
+        p = self.policy_snap.select("ANO_MES", "ID_APOLICE", "ID_CLIENTE_ANON", "VAL_PCA_APL", "QTD_SEGURADOS_APL_SD_VIG")
+        m = F.col("QTD_MESES")
+        return (p.withColumn("QTD_MESES", F.explode(F.sequence(F.lit(0), F.lit(15))))
+                .select(add_months_yyyymm(F.col("ANO_MES"), m).alias("ANO_MES"), "ID_APOLICE", "ID_CLIENTE_ANON",
+                        F.round(F.col("VAL_PCA_APL") * (100 + m) / 100, 2).alias("VAL_PCA_APL"),
+                        F.when((m == 0) & (F.col("ID_APOLICE").cast("long") % 16 == 0), 0.0)
+                        .otherwise(F.col("QTD_SEGURADOS_APL_SD_VIG")).alias("QTD_SEGURADOS_APL_SD_VIG"), "QTD_MESES"))
+
     def build_insured(self) -> DataFrame:
         l, o = self.lineitem, self.orders
         return (l.join(o, l.l_orderkey == o.o_orderkey).select(
@@ -195,8 +208,12 @@ class Fixtures:
             F.col("r_name").alias("DSC_NUT2"))
 
     def build_universe(self) -> DataFrame:
-        from ..operators.panel import monthly_target
-        return monthly_target(self.orders_m, self.customer, 199601, 200012)
+        """Bought an urgent order in the month, against customers known for
+        two months who did not."""
+        from ..operators.panel import known_since, monthly_target
+        events = (self.orders_m.where(F.col("o_orderpriority") == "1-URGENT")
+                  .select("ANO_MES", F.col("o_custkey").alias("ID")))
+        return monthly_target(events, known_since(self.first_order, *self.span))
 
     def build_baskets(self) -> DataFrame:
         l, p = self.lineitem, self.part
@@ -232,7 +249,7 @@ class Fixtures:
     def build_scores(self) -> DataFrame:
         from ..operators.panel import panel
         c = self.customer.select(F.col("c_custkey").alias("ID"))
-        s = panel(c, 199901, 199912)
+        s = panel(c, *SCORE_MONTHS)
         p = ((F.col("ID") * 7919 + F.col("ANO_MES")) % 10007) / 10007.0
         return s.select("ANO_MES", "ID", F.lit("CROSS_SELL").alias("MODEL_TYPE"), F.lit("v1").alias("MODEL_VERSION"),
                         F.lit("SD").alias("MODEL_LOB"), p.alias("EM_EVENTPROBABILITY"))
@@ -240,7 +257,7 @@ class Fixtures:
     def build_scores_v2(self) -> DataFrame:
         from ..operators.panel import panel
         c = self.customer.select(F.col("c_custkey").alias("ID"))
-        s = panel(c, 199901, 199912)
+        s = panel(c, *SCORE_MONTHS)
         p = ((F.col("ID") * 6151 + F.col("ANO_MES")) % 10007) / 10007.0
         return s.select("ANO_MES", "ID", F.lit("CROSS_SELL").alias("MODEL_TYPE"), F.lit("v2").alias("MODEL_VERSION"),
                         F.lit("SD").alias("MODEL_LOB"), p.alias("EM_EVENTPROBABILITY"))

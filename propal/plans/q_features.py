@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import features as D
+from ..operators import families as FM
 from ..operators import fitted as FT
 from ..operators.lineage import expand_lineage
+from ..operators.profile import wide_agg
 from .catalog import query
 from .fixtures import LOBS
 
@@ -163,13 +165,14 @@ def _u_sum(p, m):
 
 
 @query("D9_trailing_sums", "SELECT ID, ANO_MES, " + ", ".join(
-    f"round({_u_sum(p, m)}, 6) AS {p}_U{m + 1}M" for p in ("QTD_ORD", "VAL_SPEND") for m in (2, 5, 11))
-       + " FROM cust_month")
+    f"round({_u_sum(p, m)}, 6) AS {p}_U{m}M" for p in ("QTD_ORD", "VAL_SPEND") for m in (2, 5, 11))
+       + ", QTD_ORD_M1, VAL_SPEND_M5 FROM cust_month")
 def d9(fx):
-    """3/6/12-month trailing sums of the monthly order history."""
+    """Trailing sums of the monthly order history; months 0, 1 and the windows
+    stay."""
     out = D.trailing_sums(fx.cust_month)
-    cols = [f"{p}_U{m + 1}M" for p in ("QTD_ORD", "VAL_SPEND") for m in (2, 5, 11)]
-    return out.select("ID", "ANO_MES", *[F.round(c, 6).alias(c) for c in cols])
+    cols = [f"{p}_U{m}M" for p in ("QTD_ORD", "VAL_SPEND") for m in (2, 5, 11)]
+    return out.select("ID", "ANO_MES", *[F.round(c, 6).alias(c) for c in cols], "QTD_ORD_M1", "VAL_SPEND_M5")
 
 
 @query("D9_trailing_sums_long", """
@@ -191,11 +194,11 @@ def _tri(cols):
 
 
 @query("D10_trailing_flags", "SELECT ID, ANO_MES, " + ", ".join(
-    f"{_tri([f'DSC_BUY_M{k}' for k in range(m + 1)])} AS DSC_BUY_U{m + 1}M" for m in (2, 5, 11)) + " FROM cust_month")
+    f"{_tri([f'DSC_BUY_M{k}' for k in range(m + 1)])} AS DSC_BUY_U{m}M" for m in (2, 5, 11)) + " FROM cust_month")
 def d10(fx):
     """Bought-in-window S/N/X flags over 3/6/12 months."""
     out = D.trailing_flags(fx.cust_month)
-    return out.select("ID", "ANO_MES", "DSC_BUY_U3M", "DSC_BUY_U6M", "DSC_BUY_U12M")
+    return out.select("ID", "ANO_MES", "DSC_BUY_U2M", "DSC_BUY_U5M", "DSC_BUY_U11M")
 
 
 @query("D11_paid_vs_submitted_ratio", """
@@ -206,11 +209,20 @@ def d11(fx):
 
 
 @query("D12_premium_per_insured", """
-SELECT ID_APOLICE, coalesce(VAL_PCA_APL / nullif(QTD_SEGURADOS_APL_SD_VIG, 0), 0.0) AS VAL_PCA_POR_SEGURADO
-FROM policy_snap""")
+SELECT n.ID_APOLICE, n.VAL_PCA_APL / nullif(n.QTD_SEGURADOS_APL_SD_VIG, 0) AS RC_PCA_SEGURADOS_VIG,
+  a.VAL_PCA_APL / nullif(a.QTD_SEGURADOS_APL_SD_VIG, 0) AS RC_PCA_SEGURADOS_VIG_M12,
+  coalesce(n.VAL_PCA_APL / nullif(n.QTD_SEGURADOS_APL_SD_VIG, 0), 0.0)
+    - coalesce(a.VAL_PCA_APL / nullif(a.QTD_SEGURADOS_APL_SD_VIG, 0), 0.0) AS DIF_RC_PCA_SEGURADOS_VIG_M_M12
+FROM policy_month n LEFT JOIN policy_month a ON a.ID_APOLICE = n.ID_APOLICE AND a.QTD_MESES = n.QTD_MESES - 12
+WHERE n.QTD_MESES >= 11""")
 def d12(fx):
-    """Premium per insured person."""
-    return D.premium_per_insured(fx.policy_snap).select("ID_APOLICE", "VAL_PCA_POR_SEGURADO")
+    """Premium per insured person now, a year ago and the difference; policies
+    of 11 months have no year-ago row."""
+    from ..operators.panel import lagged_join
+    p = fx.policy_month.select("ANO_MES", "ID_APOLICE", "QTD_MESES", "VAL_PCA_APL", "QTD_SEGURADOS_APL_SD_VIG")
+    both = lagged_join(p.where("QTD_MESES >= 11"), p.drop("QTD_MESES"), ["ID_APOLICE"], 12, "left", "_M12")
+    return D.premium_per_insured(both).select("ID_APOLICE", "RC_PCA_SEGURADOS_VIG", "RC_PCA_SEGURADOS_VIG_M12",
+                                              "DIF_RC_PCA_SEGURADOS_VIG_M_M12")
 
 
 def _d13_input(fx):
@@ -302,8 +314,8 @@ def d16(fx):
     """Ordinal codes: detected order for brand (nulls INDETERMINADO), given
     order for the priority."""
     df = fx.line_nulls.select("l_orderkey", "l_linenumber", "p_brand", "o_orderpriority")
-    cats = FT.ordinal_fit(df, ["p_brand", "o_orderpriority"], {"o_orderpriority": _PRIO})
-    return FT.ordinal_transform(df, cats)
+    state = FT.ordinal_fit(df, ["p_brand", "o_orderpriority"], {"o_orderpriority": _PRIO})
+    return FT.ordinal_transform(df, state)
 
 
 @query("D16_ordinal_inverse", """
@@ -311,8 +323,8 @@ SELECT l_orderkey, l_linenumber, coalesce(p_brand, 'INDETERMINADO') AS p_brand,
 def d16i(fx):
     """inverse(encode(x)) = x for seen values."""
     df = fx.line_nulls.select("l_orderkey", "l_linenumber", "p_brand", "o_orderpriority")
-    cats = FT.ordinal_fit(df, ["p_brand", "o_orderpriority"], {"o_orderpriority": _PRIO})
-    return FT.ordinal_inverse(FT.ordinal_transform(df, cats), cats)
+    state = FT.ordinal_fit(df, ["p_brand", "o_orderpriority"], {"o_orderpriority": _PRIO})
+    return FT.ordinal_inverse(FT.ordinal_transform(df, state), state)
 
 
 _RARE_COLS = ["o_orderpriority", "p_type", "l_linestatus", "p_brand"]
@@ -579,7 +591,8 @@ SELECT l_orderkey, l_linenumber, n_name, coalesce(r.rate, (SELECT avg(CAST(TARGE
 def d36(fx):
     """Nation conversion rate for nations with >= 2400 lines, else the mean."""
     df = fx.line_facts.select("l_orderkey", "l_linenumber", "n_name", "TARGET")
-    return FT.rate_encode_transform(df, FT.rate_encode_fit(df, "n_name", min_count=2400), "n_name").drop("TARGET")
+    state = FT.rate_encode_fit(df, "n_name", min_count=2400)
+    return FT.rate_encode_transform(df.drop("TARGET"), state, "n_name")
 
 
 def _eda_customer(fx):
@@ -661,38 +674,71 @@ def d38(fx):
     return D.best_segments(fx.line_facts, _DIMS)
 
 
-@query("D39_correlated_group_aggregate")
+_FAM = {"VAL_S": ["VAL_SALDO"], "QTD_A": [f"{p}_{b}" for p in ("QTD_APL_VIG_T", "QTD_APL_REC") for b in LOBS],
+        "VAL_P": [f"VAL_PCA_{b}" for b in LOBS], "QTD_M": [f"QTD_MESES_ULT_COMPRA_{b}" for b in LOBS]}
+_FAM_COLS = [c for cols in _FAM.values() for c in cols]
+_Z = 1.959963984540054          # two-sided 5 % of the normal curve, widened below to that of t with n - 2 degrees
+_FAM_SQL = f"""
+t AS (SELECT CAST(TARGET AS DOUBLE) AS y, """ + ", ".join(
+    f"coalesce(CAST({c} AS DOUBLE), (SELECT quantile_cont(CAST({c} AS DOUBLE), 0.5) FROM wide_lob)) AS {c}"
+    for c in _FAM_COLS) + f""" FROM wide_lob),
+m AS (SELECT *, abs(r) >= 0.02 AND abs(r) * sqrt((n - 2) / (1 - r * r)) >
+        {_Z} + {_Z ** 3 + _Z} / (4 * (n - 2)) + {5 * _Z ** 5 + 16 * _Z ** 3 + 3 * _Z} / (96 * (n - 2) * (n - 2)) AS sig
+      FROM ({_u([f"SELECT '{f}' AS family, '{c}' AS v, coalesce(corr({c}, y), 0) AS r, count(*) AS n FROM t"
+                 for f, cols in _FAM.items() for c in cols])})),
+p AS ({_u([f"SELECT '{f}' AS family, '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS r FROM t"
+           for f, cols in _FAM.items() for i, a in enumerate(cols) for b in cols[i + 1:]])}),
+g AS (SELECT p.family, avg(coalesce(p.r, 0)) AS avg_r FROM p JOIN m x ON x.v = p.a AND x.sig JOIN m z ON z.v = p.b AND z.sig
+      GROUP BY p.family),
+w AS (SELECT m.family, v, r, abs(r) / sum(abs(r)) OVER (PARTITION BY m.family) AS w FROM m JOIN g ON g.family = m.family
+      WHERE sig AND avg_r >= 0.3),
+x AS (SELECT y, {', '.join(f"({' + '.join(f'{c} * coalesce((SELECT w FROM w WHERE v = {chr(39)}{c}{chr(39)}), 0)' for c in cols)}) AS {f}_agg"
+                            for f, cols in _FAM.items() if len(cols) > 1)} FROM t),
+k AS (SELECT o.family, o.r, best FROM ({_u([f"SELECT '{f}' AS family, corr({f}_agg, y) AS r FROM x"
+                                             for f, cols in _FAM.items() if len(cols) > 1])}) o
+      JOIN (SELECT family, max(abs(r)) AS best FROM w GROUP BY family) USING (family))"""
+
+
+def _families(fx):
+    clean = FM.clean_columns(fx.wide_lob.drop("ID", "NATION"))
+    of = FM.members(clean, "TARGET", 0.02)
+    return clean, of, FM.coherence(clean, of)
+
+
+@query("D39_correlated_group_aggregate", f"""WITH {_FAM_SQL.strip()}
+SELECT g.family, n_features, round(avg_r, 8) AS avg_inter_correlation, avg_r >= 0.3 AS is_coherent
+FROM g JOIN (SELECT family, count(*) AS n_features FROM m WHERE sig GROUP BY family) USING (family)""")
 def d39(fx):
-    """Weighted aggregates of coherent, significant prefix families of the
-    wide customer table."""
-    from ..operators.profile import add_p_values, point_biserial
-    w = fx.wide_lob.drop("ID", "NATION")
-    num = [c for c in w.columns if c != "TARGET" and dict(w.dtypes)[c] != "string"]
-    pb = add_p_values(point_biserial(w, "TARGET", num), min_abs=0.02).collect()
-    tc = {r["Variable"]: (r["R"] or 0.0, bool(r["SIGNIFICANT"])) for r in pb}
-    out, aggs, analysis = FT.correlated_group_aggregate(w, tc, FT.prefix_groups(num), 0.3)
-    spark = fx.spark
-    rows = [(g, a["avg_inter_correlation"], a["is_coherent"], len(a["features"])) for g, a in analysis.items()]
-    return spark.createDataFrame(rows, "family string, avg_inter_correlation double, is_coherent boolean, "
-                                       "n_features int")
-
-
-@query("D40_aggregate_retention")
-def d40(fx):
-    """Signal retention of the family aggregates versus their best member."""
-    from ..operators.profile import add_p_values, point_biserial
-    w = fx.wide_lob.drop("ID", "NATION")
-    num = [c for c in w.columns if c != "TARGET" and dict(w.dtypes)[c] != "string"]
-    pb = add_p_values(point_biserial(w, "TARGET", num), min_abs=0.02).collect()
-    tc = {r["Variable"]: (r["R"] or 0.0, bool(r["SIGNIFICANT"])) for r in pb}
-    out, aggs, analysis = FT.correlated_group_aggregate(w, tc, FT.prefix_groups(num), 0.3)
-    return FT.aggregate_retention(out, aggs, analysis, tc)
+    """Coherence of the significant members of each family of the wide
+    customer table."""
+    return _families(fx)[2].withColumn("avg_inter_correlation", F.round("avg_inter_correlation", 8))
 
 
-@query("D41_auto_feature_set")
+@query("D40_aggregate_retention", f"""WITH {_FAM_SQL.strip()}
+SELECT family || '_agg' AS feature, round(r, 8) AS correlation, round(abs(r) / best * 100, 6) AS signal_retention,
+  abs(r) > best AS improved, abs(r) / best * 100 >= 80 AS effective FROM k""")
+def d40(fx):
+    """Signal retention of the family aggregates versus their best member."""
+    clean, of, analysis = _families(fx)
+    weight = FM.weights(of, analysis)
+    out = FM.aggregate_retention(FM.add_aggregates(clean, weight), weight)
+    return out.withColumns({"correlation": F.round("correlation", 8), "signal_retention": F.round("signal_retention", 6)})
+
+
+@query("D41_auto_feature_set", f"""WITH {_FAM_SQL.strip()},
+good AS (SELECT family FROM k WHERE abs(r) / best * 100 >= 80)
+SELECT v AS feature, round(r, 8) AS correlation FROM m
+WHERE sig AND v NOT IN (SELECT v FROM w WHERE family IN (SELECT family FROM good))
+UNION ALL
+SELECT family || '_agg', round(r, 8) FROM k WHERE family IN (SELECT family FROM good)""")
 def d41(fx):
-    """End-to-end automatic feature aggregation of the wide customer table."""
-    return FT.auto_feature_set(fx.wide_lob.drop("ID", "NATION"), "TARGET", 0.02)
+    """End-to-end automatic feature aggregation of the wide customer table:
+    the columns of the result and their correlation with the target."""
+    out = FM.auto_feature_set(fx.wide_lob.drop("ID", "NATION"), "TARGET", 0.02)
+    r = wide_agg(out, {c: F.corr(F.col(c).cast("double"), F.col("TARGET").cast("double"))
+                       for c in out.columns if c != "TARGET"})
+    return fx.spark.createDataFrame([(c, x) for c, x in r.items()], "feature string, correlation double").withColumn(
+        "correlation", F.round("correlation", 8))
 
 
 @query("D42_one_hot", "SELECT l_orderkey, l_linenumber, " + ", ".join(
@@ -704,20 +750,40 @@ def d42(fx):
     return D.one_hot(df, "o_orderpriority", D.one_hot_labels(df, "o_orderpriority"))
 
 
-@query("D43_categorical_features")
+@query("D43_categorical_features", f"""
+WITH g AS (SELECT avg(CAST(TARGET AS DOUBLE)) AS gm, var_pop(CAST(TARGET AS DOUBLE)) AS gv FROM line_facts),
+e AS (SELECT p_brand AS category, count(*) AS n, avg(CAST(TARGET AS DOUBLE)) AS m, var_pop(CAST(TARGET AS DOUBLE)) AS v
+      FROM line_facts GROUP BY p_brand),
+enc AS (SELECT category, coalesce((gv * n / nullif(gv * n + v, 0)) * m + (1 - gv * n / nullif(gv * n + v, 0)) * gm, gm)
+          AS ENCODING FROM e, g)
+SELECT l_orderkey, l_linenumber, TARGET, CAST(list_position({_PRIO}, o_orderpriority) - 1 AS DOUBLE) AS o_orderpriority,
+  round(ENCODING, 10) AS p_brand, """ + ", ".join(
+    f"CAST(coalesce(c_mktsegment = '{v}', false) AS INTEGER) AS \"c_mktsegment_{v}\""
+    for v in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")) + """
+FROM line_facts LEFT JOIN enc ON category IS NOT DISTINCT FROM p_brand""")
 def d43(fx):
     """Categorical stage: ordinal priority, target-encoded brand (high
     cardinality), one-hot segment."""
     df = fx.line_facts.select("l_orderkey", "l_linenumber", "TARGET", "o_orderpriority", "p_brand", "c_mktsegment")
     return FT.categorical_features(df, ["p_brand", "c_mktsegment"], "TARGET", {"o_orderpriority": _PRIO},
-                                   high_cardinality=0.0003)
+                                   encoded=["p_brand"]).withColumn("p_brand", F.round("p_brand", 10))
+
+
+def _d43_scaled(c):
+    med = f"(SELECT quantile_cont({c}, 0.5) FROM line_nulls)"
+    x = f"coalesce({c}, {med})"
+    return (f"round(({x} - (SELECT avg({x}) FROM line_nulls)) / nullif((SELECT stddev_pop({x}) FROM line_nulls), 0), 8) "
+            f"AS {c}")
 
 
-@query("D43_impute_and_scale")
+@query("D43_impute_and_scale", "SELECT l_orderkey, l_linenumber, " + ", ".join(
+    _d43_scaled(c) for c in ("l_tax", "l_quantity", "PERC_DISC"))
+       + ", CAST(l_tax IS NULL AS INTEGER) AS FLG_MISSING_l_tax FROM line_nulls")
 def d43b(fx):
     """Imputation stage: missing flags above 10 %, median fill, standardisation."""
     df = fx.line_nulls.select("l_orderkey", "l_linenumber", "l_tax", "l_quantity", "PERC_DISC")
-    return FT.impute_and_scale(df, ["l_tax", "l_quantity", "PERC_DISC"], high_missing=0.1, scaling="standardization")
+    out = FT.impute_and_scale(df, ["l_tax", "l_quantity", "PERC_DISC"], high_missing=0.1, scaling="standardization")
+    return out.withColumns({c: F.round(c, 8) for c in ("l_tax", "l_quantity", "PERC_DISC")})
 
 
 def edges_of(columns):
@@ -728,12 +794,12 @@ def edges_of(columns):
         if c.endswith("M") and "_U" in c:
             p, u = c.rsplit("_U", 1)
             m = int(u[:-1])
-            prev = [x for x in (3, 6) if x < m]
+            prev = [x for x in (2, 5) if x < m]
             if prev and f"{p}_U{prev[-1]}M" in columns:
                 edges.append((c, f"{p}_U{prev[-1]}M", "TrailingSums"))
-                edges += [(c, f"{p}_M{k}", "TrailingSums") for k in range(prev[-1], m)]
+                edges += [(c, f"{p}_M{k}", "TrailingSums") for k in range(prev[-1] + 1, m + 1)]
             else:
-                edges += [(c, f"{p}_M{k}", "TrailingSums") for k in range(m)]
+                edges += [(c, f"{p}_M{k}", "TrailingSums") for k in range(m + 1)]
     edges.append(("FLG_DIGITAL_HIGH", "Digital_Channels_Count", "Segment"))
     edges.append(("Digital_Channels_Count", "IND_LOGIN_CLICK", "ChannelsCount"))
     return edges
@@ -747,7 +813,7 @@ def lineage_edges(fx):
 
 # the D9 output schema of the monthly table, for the SQL twin's edge list
 _D9_COLS = (["ID", "ANO_MES"] + [f"{p}_M{k}" for p in ("QTD_ORD", "VAL_SPEND") for k in range(12)]
-            + [f"DSC_BUY_M{k}" for k in range(12)] + [f"{p}_U{m}M" for p in ("QTD_ORD", "VAL_SPEND") for m in (3, 6, 12)])
+            + [f"DSC_BUY_M{k}" for k in range(12)] + [f"{p}_U{m}M" for p in ("QTD_ORD", "VAL_SPEND") for m in (2, 5, 11)])
 _EDGE_VALUES = ", ".join(f"('{a}', '{b}', '{s}')" for a, b, s in edges_of(_D9_COLS))
 
 
@@ -757,11 +823,19 @@ r(feature, node, path, depth) AS (
   SELECT feature, parent, step, 1 FROM e
   UNION ALL
   SELECT r.feature, e.parent, r.path || ' > ' || e.step, r.depth + 1 FROM r JOIN e ON e.feature = r.node)
-SELECT DISTINCT feature, node AS origin, path, depth FROM r WHERE node NOT IN (SELECT feature FROM e)""")
+SELECT DISTINCT feature, node AS origin, path, depth, v.n AS N_NONZERO
+FROM r LEFT JOIN ({_u([f"SELECT '{c}' AS c, count(*) FILTER ({c} <> 0) AS n FROM cust_month" for c in _D9_COLS
+                       if c.startswith(("QTD_ORD_M", "VAL_SPEND_M"))])}) v ON v.c = r.node
+WHERE node NOT IN (SELECT feature FROM e)""")
 def d44(fx):
-    """Derived features traced back to their original columns."""
+    """Derived features traced back to their original columns, with the number
+    of rows in which the original is not zero (null for columns of other
+    tables)."""
     e = fx.spark.createDataFrame(lineage_edges(fx), "feature string, parent string, step string")
-    return expand_lineage(e)
+    months = [c for c in fx.cust_month.columns if c.startswith(("QTD_ORD_M", "VAL_SPEND_M"))]
+    used = wide_agg(fx.cust_month, {c: F.count_if(F.col(c) != 0) for c in months})
+    counts = fx.spark.createDataFrame(list(used.items()), "origin string, N_NONZERO long")
+    return expand_lineage(e).join(counts, "origin", "left").select("feature", "origin", "path", "depth", "N_NONZERO")
 
 
 _D13_IN_COLS = (["ID", "DSC_SEGMENTO", "VAL_SALDO", "NATION"]
@@ -810,5 +884,4 @@ def d16t(fx):
     """Ordinal codes from a state table (any number of categories: ranks are
     computed distributed and joined, nothing is listed on the driver)."""
     df = fx.line_nulls.select("l_orderkey", "l_linenumber", "p_brand", "c_mktsegment")
-    st = FT.ordinal_fit_table(df, ["p_brand", "c_mktsegment"])
-    return FT.ordinal_transform_table(df, st, ["p_brand", "c_mktsegment"])
+    return FT.ordinal_transform(df, FT.ordinal_fit(df, ["p_brand", "c_mktsegment"]))

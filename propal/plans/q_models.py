@@ -9,8 +9,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..operators import models as M
+from ..operators.profile import wide_agg
 from ..operators.reports import roc_auc
 from .catalog import query
+from .fixtures import LOBS
 
 NUMF = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "p_size"]
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey"]
@@ -34,7 +36,8 @@ def e1h(fx):
     return test
 
 
-@query("E2_last_n_months", "SELECT * FROM universe WHERE TARGET IS NOT NULL AND ANO_MES > 200006")
+@query("E2_last_n_months", "SELECT * FROM universe WHERE TARGET IS NOT NULL AND (ANO_MES // 100) * 12 + ANO_MES % 100 > "
+       "(SELECT (max(ANO_MES) // 100) * 12 + max(ANO_MES) % 100 - 6 FROM universe)")
 def e2(fx):
     """Training rows of the last 6 months."""
     return M.last_n_months(fx.universe, 6)
@@ -101,11 +104,22 @@ def e5(fx):
     return fx.spark.createDataFrame([(i + 1, f) for i, f in enumerate(kept)], "rank int, feature string")
 
 
-@query("E6_feature_count_grid")
+_WIDE_NUM = ["VAL_SALDO", "NATION", *(f"{p}_{b}" for b in LOBS for p in (
+    "QTD_APL_VIG_T", "VAL_PCA", "QTD_MESES_ULT_COMPRA", "QTD_APL_REC"))]
+
+
+@query("E6_feature_count_grid", f"""
+WITH n AS (SELECT {' + '.join(f'CAST(coalesce(min({c}) <> max({c}), false) AS INTEGER)' for c in _WIDE_NUM)} AS n FROM wide_lob),
+g AS (SELECT n, CASE WHEN n <= 10 THEN n ELSE CAST(trunc(10 * pow(n / 10.0, i / 7.0) + 1e-9) AS INTEGER) END AS k, i
+      FROM n, (SELECT unnest(range(0, 3)) AS i))
+SELECT DISTINCT k AS n_features FROM g""")
 def e6(fx):
-    """Feature-count grid for the width of the wide customer table."""
-    n = len([c for c, t in fx.wide_lob.dtypes if t != "string" and c not in ("ID", "TARGET")])
-    return fx.spark.createDataFrame([(k,) for k in M.feature_count_grid(n)], "n_features int")
+    """Feature-count grid for the numeric columns of the wide customer table
+    that vary."""
+    w = fx.wide_lob
+    spread = wide_agg(w, {(c, f.__name__): f(c) for c in _WIDE_NUM for f in (F.min, F.max)})
+    n = sum(spread[c, "min"] is not None and spread[c, "min"] != spread[c, "max"] for c in _WIDE_NUM)
+    return fx.spark.createDataFrame([(k,) for k in M.feature_count_grid(n)], "n_features int").distinct()
 
 
 _ALGS = {"RandomForest": {"maxDepth": [3, 5], "numTrees": [10]}, "LogisticRegression": {"regParam": [0.0, 0.1]}}
@@ -168,11 +182,12 @@ def e10(fx):
 
 @query("E13_recalibrate")
 def e13(fx):
-    """Champion pipeline refitted on the last 24 months of orders."""
+    """An old pipeline refitted on the last 24 months of orders, against a
+    new champion, by 3-fold AUC on the same rows."""
     df = _train(fx).withColumn("ANO_MES", (F.year("o_orderdate") * 100 + F.month("o_orderdate")).cast("int"))
-    pipe = Pipeline(stages=[M.assemble(NUMF), M.algorithm("LogisticRegression", weight=None)])
-    model, auc = M.recalibrate(pipe, df, 24, KEYS)
-    return fx.spark.createDataFrame([(24, float(auc))], "months int, auc double")
+    old = Pipeline(stages=[M.assemble(NUMF[:2]), M.algorithm("LogisticRegression", weight=None)])
+    new = Pipeline(stages=[M.assemble(NUMF), M.algorithm("LogisticRegression", weight=None)])
+    return M.recalibrate(old, df, 24, champion=new)[1]
 
 
 @query("E14_score_table")

@@ -79,13 +79,13 @@ _B6_SQL = """
 SELECT * FROM universe WHERE TARGET = 1
 UNION ALL
 SELECT * FROM universe u WHERE TARGET = 0 AND ID NOT IN (
-  SELECT ID FROM universe WHERE TARGET = 1 AND ANO_MES BETWEEN 199511 AND 200103)"""
+  SELECT ID FROM universe WHERE TARGET = 1)"""
 
 
 @query("B6_exclude_general_target1", _B6_SQL)
 def b6(fx):
     """Universe without negatives that bought in any month of the window."""
-    return P.exclude_general_target1(fx.universe, 199601, 200012)
+    return P.exclude_general_target1(fx.universe, *fx.span)
 
 
 _B7_SQL = """
@@ -114,34 +114,35 @@ def _b8_sql(months):
         excl = f"AND ID NOT IN (SELECT ID FROM acc{i - 1})" if prev else ""
         parts.append(
             f"p{i} AS MATERIALIZED (SELECT ANO_MES, ID FROM (SELECT ANO_MES, ID, row_number() OVER (ORDER BY h, ID) AS rn "
-            f"FROM t0 WHERE ANO_MES = {m} {excl}) WHERE rn <= coalesce((SELECT CAST(floor(n / {n}) AS BIGINT) "
+            f"FROM t0 WHERE ANO_MES = {m} {excl}) WHERE rn <= coalesce((SELECT CAST(floor(n / (SELECT count(*) FROM months)) AS BIGINT) "
             f"FROM cnt WHERE ANO_MES = {m}), 0))")
         parts.append(f"acc{i} AS MATERIALIZED (SELECT * FROM p{i}" + (f" UNION ALL SELECT * FROM acc{i - 1})" if prev else ")"))
         prev = True
     return "WITH " + ",\n".join(parts) + f"\nSELECT ANO_MES, ID FROM acc{n - 1}"
 
 
-_B8_MONTHS = P.months_between_list(199601, 200012)
+# the SQL names a step per month; months without orders give none
+_B8_MONTHS = P.months_between_list(199501, 200112)
 
 
 @query("B8_negatives_without_reuse", _b8_sql(_B8_MONTHS))
 def b8(fx):
-    """Per month int(N_m/60) negatives, each id used in one month only."""
+    """Per month int(N_m / months) negatives, each id used in one month only."""
     t0 = fx.universe.where(F.col("TARGET") == 0).select("ANO_MES", "ID")
-    return P.negatives_without_reuse(t0, _B8_MONTHS, "ID", seed=0)
+    return P.negatives_without_reuse(t0, P.months_between_list(*fx.span), "ID", seed=0)
 
 
 @query("B9_build_universe", """
-SELECT ANO_MES, ID, 1 AS TARGET FROM universe WHERE TARGET = 1 AND ANO_MES >= 200007
+SELECT ANO_MES, ID, 1 AS TARGET FROM universe WHERE TARGET = 1
 UNION ALL
-SELECT ANO_MES, ID, 0 AS TARGET FROM universe WHERE TARGET = 0 AND ANO_MES >= 200007
-  AND ID NOT IN (SELECT ID FROM universe WHERE TARGET = 1 AND ANO_MES BETWEEN 200005 AND 200103)""")
+SELECT ANO_MES, ID, 0 AS TARGET FROM universe WHERE TARGET = 0
+  AND ID NOT IN (SELECT ID FROM universe WHERE TARGET = 1)""")
 def b9(fx):
-    """Second-half-2000 universe: buyers plus negatives cleared of general buyers."""
+    """Universe of all months: buyers plus negatives cleared of general buyers."""
     u = fx.universe
-    gp = P.general_positives(u, 200007, 200012)
-    t1 = u.where((F.col("TARGET") == 1) & (F.col("ANO_MES") >= 200007))
-    t0 = u.where((F.col("TARGET") == 0) & (F.col("ANO_MES") >= 200007)).join(gp, "ID", "left_anti")
+    gp = P.general_positives(u, *fx.span)
+    t1 = u.where(F.col("TARGET") == 1)
+    t0 = u.where(F.col("TARGET") == 0).join(gp, "ID", "left_anti")
     return P.build_universe(t1, t0)
 
 
@@ -179,8 +180,7 @@ def _b12(fx, snap_cols=None, hist_cols=None):
         (hist, ["ID"], 2, "left", ""),
         (year_ago, ["ID"], 14, "left", "_M12"),
     ])
-    # geography: 25-row dimension, broadcast after a size check
-    return P.broadcast_dim_join(out, fx.geo, "NATION", "left")
+    return P.dim_join(out, fx.geo, "NATION", "left")
 
 
 _B12_SQL = f"""
@@ -228,7 +228,7 @@ def b13(fx):
     base = snap.where(F.col("ANO_MES") == 200012).select("ANO_MES", "ID", "NATION")
     out = P.lagged_join(base, snap, ["ID"], 2, "left", columns=[c for c in need if c in snap.columns])
     out = P.lagged_join(out, hist, ["ID"], 2, "left", columns=[c for c in need if c in hist.columns])
-    out = P.broadcast_dim_join(out, fx.geo.select("NATION", *[c for c in need if c in fx.geo.columns]), "NATION")
+    out = P.dim_join(out, fx.geo.select("NATION", *[c for c in need if c in fx.geo.columns]), "NATION")
     return out.drop("NATION")
 
 
@@ -273,16 +273,23 @@ def b15(fx):
 
 
 @query("B16_month_coverage", """
-SELECT ANO_MES, count(*) AS N_ROWS, count(*) OVER () AS N_MONTHS, count(*) OVER () = 60 AS COVERAGE_OK
+SELECT ANO_MES, count(*) AS N_ROWS, count(*) OVER () AS N_MONTHS,
+  count(*) OVER () = (SELECT count(*) FROM months) AS COVERAGE_OK
 FROM universe GROUP BY ANO_MES""")
 def b16(fx):
-    """Rows per month and whether the month count is the expected 60."""
-    return P.month_coverage(fx.universe, 60)
+    """Rows per month and whether every month of the orders is there."""
+    return P.month_coverage(fx.universe, len(P.months_between_list(*fx.span)))
 
 
-@query("B16_schema_drift")
+_DRIFT = ("ID_CLIENTE_ANON", "IND_PSIN_PCOL_ENI", *P.RISK_FLAGS, "QTD_IDADE", "QTD_ANOS_ANTIG_CLIENTE", "VAL_SALDO",
+          "NATION")
+
+
+@query("B16_schema_drift", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"COLUMN\", count(*) - count({c}) AS N_MISSING FROM customer_snap" for c in _DRIFT))
 def b16s(fx):
-    """Columns of the customer snapshot absent from the history table."""
+    """Columns of the customer snapshot absent from the history table, and
+    how many of their values are missing."""
     return P.schema_drift(fx.cust_month, fx.customer_snap)
 
 
@@ -331,3 +338,43 @@ def b12p(fx):
     part2 = ins.select("ANO_MES", "ID_APOLICE", "ID_CLIENTE_ANON", "COD_DELEGACAO", "VAL_PREMIO", "DSC_ESTADO")
     out = P.lagged_join(pol, part1, ["ID_APOLICE"], 0, "left")
     return P.lagged_join(out, part2, ["ID_APOLICE", "ID_CLIENTE_ANON", "COD_DELEGACAO"], 0, "inner")
+
+
+_B12_POLICY = "SELECT ANO_MES, ID_APOLICE, VAL_PCA_APL, QTD_SEGURADOS_APL_SD_VIG FROM policy_month"
+
+
+@query("B12_policy_lagged_join", f"""
+WITH b AS (SELECT DISTINCT p.ANO_MES, p.ID_APOLICE, p.ID_CLIENTE_ANON, i.COD_DELEGACAO
+           FROM policy_month p JOIN insured i ON i.ID_APOLICE = p.ID_APOLICE WHERE p.QTD_MESES = 15),
+i1 AS (SELECT ID_APOLICE, COD_DELEGACAO, sum(QTD_CAPITAL) AS QTD_CAPITAL FROM insured GROUP BY ALL),
+i2 AS (SELECT ID_APOLICE, ID_CLIENTE_ANON, COD_DELEGACAO, round(sum(VAL_PREMIO), 2) AS VAL_PREMIO FROM insured GROUP BY ALL)
+SELECT b.ANO_MES, b.ID_APOLICE, b.COD_DELEGACAO, n.VAL_PCA_APL, n.QTD_SEGURADOS_APL_SD_VIG,
+       a.VAL_PCA_APL AS VAL_PCA_APL_M12, a.QTD_SEGURADOS_APL_SD_VIG AS QTD_SEGURADOS_APL_SD_VIG_M12,
+       i1.QTD_CAPITAL, i2.VAL_PREMIO, g.DSC_DISTRITO, g.DSC_NUT2
+FROM b
+LEFT JOIN ({_B12_POLICY}) n ON n.ID_APOLICE = b.ID_APOLICE AND {_add_months_sql('n.ANO_MES', 2)} = b.ANO_MES
+LEFT JOIN ({_B12_POLICY}) a ON a.ID_APOLICE = b.ID_APOLICE AND {_add_months_sql('a.ANO_MES', 14)} = b.ANO_MES
+LEFT JOIN i1 ON i1.ID_APOLICE = b.ID_APOLICE AND i1.COD_DELEGACAO = b.COD_DELEGACAO
+JOIN i2 ON i2.ID_APOLICE = b.ID_APOLICE AND i2.COD_DELEGACAO = b.COD_DELEGACAO AND i2.ID_CLIENTE_ANON = b.ID_CLIENTE_ANON
+LEFT JOIN customer c ON c.c_custkey = b.ID_CLIENTE_ANON
+LEFT JOIN geo g ON g.NATION = c.c_nationkey""")
+def b12pl(fx):
+    """Policies of age 15 months with their branches: policy features of M-2
+    and, suffixed _M12, of M-14; insured part 1 on policy + branch (left), part
+    2 on policy + client + branch (inner); geography of the client; the client
+    columns dropped."""
+    pol = fx.policy_month
+    feats = pol.select("ANO_MES", "ID_APOLICE", "VAL_PCA_APL", "QTD_SEGURADOS_APL_SD_VIG")
+    ins = fx.insured
+    base = (pol.where("QTD_MESES = 15").select("ANO_MES", "ID_APOLICE", "ID_CLIENTE_ANON")
+            .join(ins.select("ID_APOLICE", "COD_DELEGACAO"), "ID_APOLICE").distinct())
+    out = P.lagged_feature_join(base, [(feats, ["ID_APOLICE"], 2, "left", ""),
+                                       (feats, ["ID_APOLICE"], 14, "left", "_M12")])
+    part1 = ins.groupBy("ID_APOLICE", "COD_DELEGACAO").agg(F.sum("QTD_CAPITAL").alias("QTD_CAPITAL"))
+    part2 = ins.groupBy("ID_APOLICE", "ID_CLIENTE_ANON", "COD_DELEGACAO").agg(
+        F.round(F.sum("VAL_PREMIO"), 2).alias("VAL_PREMIO"))
+    out = out.join(part1, ["ID_APOLICE", "COD_DELEGACAO"], "left").join(
+        part2, ["ID_APOLICE", "ID_CLIENTE_ANON", "COD_DELEGACAO"])
+    nation = fx.customer.select(F.col("c_custkey").alias("ID_CLIENTE_ANON"), F.col("c_nationkey").alias("NATION"))
+    out = P.dim_join(out.join(nation, "ID_CLIENTE_ANON", "left"), fx.geo, "NATION")
+    return out.drop("ID_CLIENTE_ANON", "NATION")

@@ -361,15 +361,33 @@ def c19b(fx):
     return C.histogram(fx.line_facts, "l_discount", max_bars=11)
 
 
-@query("C20_column_families")
+_C20_COLS = (["ID", "DSC_SEGMENTO", "VAL_SALDO", "NATION"]
+             + [f"{p}_{b}" for b in ("AUTO", "SD", "CAP", "PPR", "MRH", "VDO")
+                for p in ("QTD_APL_VIG_T", "VAL_PCA", "DSC_HAS", "QTD_MESES_ULT_COMPRA", "QTD_APL_REC")] + ["TARGET"])
+_C20_WORDS = {"Demographics": "IDADE|SEXO|CIVIL|PROF|HABILITACOES", "Geographic": "DISTRITO|CONCELHO|NUT|FREGUESIA",
+              "Digital": "LOGIN|APP|DIGITAL|INTERACT", "Insurance": "APL|VIG|SEGUROS|APOLICE",
+              "Financial": "VAL|CLV|SCORE|MARGEM|PCA"}
+
+
+@query("C20_column_families", f"""
+WITH c AS ({_union([f"SELECT '{c}' AS name, count({c}) AS N_VALUES FROM wide_lob" for c in _C20_COLS])}),
+s AS (SELECT *, nullif(regexp_extract(name, '^[A-Z]+_[A-Z]'), '') AS stem FROM c)
+SELECT name AS "column", list_filter([{', '.join(f"CASE WHEN regexp_matches(name, '{w}') THEN '{f}' END"
+                                                  for f, w in _C20_WORDS.items())}], lambda x: x IS NOT NULL) AS families,
+  CASE WHEN stem IS NOT NULL AND count(*) OVER (PARTITION BY stem) > 1 THEN stem END AS prefix_family, N_VALUES
+FROM s""")
 def c20(fx):
-    """Keyword and prefix families of the wide customer columns."""
+    """Keyword and prefix families of the wide customer columns, with the
+    number of values of each."""
     return C.column_families(fx.wide_lob)
 
 
-@query("C21_dtype_census")
+@query("C21_dtype_census", """
+SELECT 'text' AS type, CAST(12 AS INTEGER) AS n_columns, CAST(12 * count(*) AS BIGINT) AS n_values FROM cust_month
+UNION ALL
+SELECT 'numeric', CAST(26 AS INTEGER), CAST(26 * count(*) AS BIGINT) FROM cust_month""")
 def c21(fx):
-    """Columns per type family of the lagged feature table."""
+    """Columns and values per type family of the monthly history."""
     return C.dtype_census(fx.cust_month)
 
 

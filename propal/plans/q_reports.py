@@ -207,15 +207,22 @@ def e12m(fx):
         "ANO_MES", F.round("AUC", 10).alias("AUC"))
 
 
-@query("E16_compare_models", _auc_sql(
-    "(SELECT s.*, u.TARGET FROM (SELECT * FROM scores UNION ALL SELECT * FROM scores_v2) s "
-    "JOIN scored_universe u USING (ANO_MES, ID))", "EM_EVENTPROBABILITY", by="MODEL_VERSION"))
+_E16_SRC = {v: f"(SELECT s.*, u.TARGET FROM {t} s JOIN (SELECT ANO_MES, ID, TARGET FROM scored_universe) u USING (ANO_MES, ID))"
+            for v, t in (("v1", "scores"), ("v2", "scores_v2"))}
+
+
+@query("E16_compare_models", "\nUNION ALL\n".join(
+    f"""SELECT r.*, a.AUC, (SELECT round(avg(pow(EM_EVENTPROBABILITY - TARGET, 2)), 8) FROM {src}) AS BRIER, '{v}' AS MODEL_VERSION
+FROM ({_bin_report_sql(src, '1 - EM_EVENTPROBABILITY', 'Decile', P10)}) r, ({_auc_sql(src, 'EM_EVENTPROBABILITY')}) a"""
+    for v, src in _E16_SRC.items()))
 def e16(fx):
-    """Two model versions scored on the same labelled set: AUC per version."""
+    """Two model versions scored on the same labelled set: decile reports, AUC
+    and Brier score side by side."""
     lab = fx.scored_universe.select("ANO_MES", "ID", "TARGET")
     a = fx.scores.join(lab, ["ANO_MES", "ID"])
     b = fx.scores_v2.join(lab, ["ANO_MES", "ID"])
-    return R.compare_models(a, b, "EM_EVENTPROBABILITY").select("MODEL_VERSION", F.round("AUC", 10).alias("AUC"))
+    return R.compare_models(a, b, "EM_EVENTPROBABILITY").withColumns(
+        {"AUC": F.round("AUC", 10), "BRIER": F.round("BRIER", 8)})
 
 
 _E11_SQL = """

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.profile import wide_agg
 from ..functions.exprs import european_number, flag_nonzero, strip_special
 
 THOUSANDS_RE = r"^\s*-?\d{1,3}(\.\d{3})+(,\d+)?\s*$"
@@ -28,12 +29,13 @@ PREFIX_RENAMES = (("QT_", "QTD_"), ("QTY_", "QTD_"), ("PCT_", "PERC_"), ("FLAG_"
 def read_delimited(spark: SparkSession, path: str, sep: str = ";", encoding: str = "ISO-8859-1",
                    header: bool = True) -> DataFrame:
     """A1: delimited text, every column STRING (gzip is read transparently,
-    one split per .gz file)."""
+    one split per .gz file).  Files whose header differs in names or order
+    fail: Spark would read their values by position."""
     first = spark.read.option("header", header).option("sep", sep).option("encoding", encoding) \
         .option("inferSchema", False).csv(path)
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in first.columns])
     return spark.read.schema(schema).option("header", header).option("sep", sep) \
-        .option("encoding", encoding).csv(path)
+        .option("enforceSchema", not header).option("encoding", encoding).csv(path)
 
 
 def snapshot_scan(spark: SparkSession, path: str, month: int, columns: Sequence[str] | str = "all",
@@ -69,13 +71,8 @@ def detect_number_formats(df: DataFrame, columns: Sequence[str]) -> dict[str, di
     """Per column: thousand separators (both the dotted-thousands and the
     comma-decimal patterns present), decimal comma, special characters —
     one aggregate row for all columns."""
-    aggs = []
-    for c in columns:
-        s = F.col(c)
-        aggs += [F.max(s.rlike(r"\d{1,3}(\.\d{3})+").cast("int")).alias(f"{c}|th"),
-                 F.max(s.rlike(r"\d+,\d+").cast("int")).alias(f"{c}|dc"),
-                 F.max(s.rlike(SPECIAL_RE).cast("int")).alias(f"{c}|sp")]
-    row = df.agg(*aggs).first() if aggs else None
+    row = wide_agg(df, {f"{c}|{k}": F.max(F.col(c).rlike(p).cast("int")) for c in columns for k, p in (
+        ("th", r"\d{1,3}(\.\d{3})+"), ("dc", r"\d+,\d+"), ("sp", SPECIAL_RE))})
     out = {}
     for c in columns:
         th, dc, sp = (row[f"{c}|th"] or 0, row[f"{c}|dc"] or 0, row[f"{c}|sp"] or 0)
@@ -95,14 +92,13 @@ def _numeric_expr(c: str, fmt: dict) -> Column:
 
 
 def parse_by_labels(df: DataFrame, labels: DataFrame, drop_ids: bool = True, keep: Sequence[str] = (),
-                    strict: bool = False) -> DataFrame:
+                    strict: bool = True) -> DataFrame:
     """A4: type an all-string table from the label dictionary
     ``(Name, Type in {Numeric, Date, Character})``: numbers cleaned by the
-    detected format and cast to DOUBLE (junk -> null), dates ``yyyy-MM-dd``
+    detected format and cast to DOUBLE, dates ``yyyy-MM-dd``
     (bad -> null), text kept; an unlabelled ``X_suffix`` inherits the type
-    of ``X``; ``NIF*`` and ``ID_*`` dropped (except ``keep``).  ``strict`` raises
-    when a non-blank numeric value does not parse (the reference errors on
-    junk); the default turns it into null."""
+    of ``X``; ``NIF*`` and ``ID_*`` dropped (except ``keep``).  A non-blank
+    number that does not parse raises; ``strict=False`` turns it into null."""
     lab = {r["Name"]: r["Type"] for r in labels.select("Name", "Type").collect()}   # dictionary: #columns
     types = {}
     for c in df.columns:
@@ -125,8 +121,8 @@ def parse_by_labels(df: DataFrame, labels: DataFrame, drop_ids: bool = True, kee
     if strict and num:
         # numbers are not coerced silently: count non-blank values that do not
         # parse, for all numeric columns in one aggregate
-        bad = df.agg(*[F.sum(((F.length(F.trim(F.col(c))) > 0) & _numeric_expr(c, fmts[c]).isNull()).cast("long"))
-                       .alias(c) for c in num]).first().asDict()
+        bad = wide_agg(df, {c: F.count_if((F.length(F.trim(F.col(c))) > 0) & _numeric_expr(c, fmts[c]).isNull())
+                            for c in num})
         junk = {c: n for c, n in bad.items() if n}
         if junk:
             raise ValueError(f"unparseable numbers per column: {junk}")

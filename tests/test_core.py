@@ -90,9 +90,9 @@ def test_target_encoder_unseen_gets_global_mean(spark):
 
 def test_ordinal_roundtrip(spark):
     df = spark.createDataFrame([("b",), (None,), ("a",)], "c string")
-    cats = FT.ordinal_fit(df, ["c"])
-    back = FT.ordinal_inverse(FT.ordinal_transform(df, cats), cats).collect()
-    assert [r["c"] for r in back] == ["b", "INDETERMINADO", "a"]
+    state = FT.ordinal_fit(df, ["c"])
+    back = FT.ordinal_inverse(FT.ordinal_transform(df, state), state).collect()
+    assert sorted(r["c"] for r in back) == ["INDETERMINADO", "a", "b"]
 
 
 def test_parse_by_labels_strict_and_lenient(spark):
@@ -100,11 +100,11 @@ def test_parse_by_labels_strict_and_lenient(spark):
     raw = spark.createDataFrame([("1.234,56", "2024-01-31", "x"), ("n/a", "bad", "y"), (" ", "2024-02-01", "z")],
                                 "VAL_A string, DT_B string, DSC_C string")
     labels = spark.createDataFrame([("VAL_A", "Numeric"), ("DT_B", "Date")], "Name string, Type string")
-    out = parse_by_labels(raw, labels).collect()
+    out = parse_by_labels(raw, labels, strict=False).collect()
     assert [r["VAL_A"] for r in out] == [1234.56, None, None]
     assert out[1]["DT_B"] is None and str(out[0]["DT_B"]) == "2024-01-31"
     with pytest.raises(ValueError):
-        parse_by_labels(raw, labels, strict=True)
+        parse_by_labels(raw, labels)
 
 
 def test_quantile_bin_clamp_and_extend(spark):
@@ -119,12 +119,13 @@ def test_quantile_bin_clamp_and_extend(spark):
 
 def test_ordinal_unknown_modes(spark):
     train = spark.createDataFrame([("a",), ("b",)], "c string")
-    cats = FT.ordinal_fit(train, ["c"])
+    state = FT.ordinal_fit(train, ["c"])
     test = spark.createDataFrame([("b",), ("z",)], "c string")
-    assert [r["c"] for r in FT.ordinal_transform(test, cats).collect()] == [1.0, 2.0]
-    assert [r["c"] for r in FT.ordinal_transform(test, cats, "ignore").collect()] == [1.0, None]
+    assert sorted(r["c"] for r in FT.ordinal_transform(test, state).collect()) == [1.0, 2.0]
+    assert {r["c"] for r in FT.ordinal_transform(test, state, "ignore").collect()} == {1.0, None}
+    assert FT.ordinal_transform(test.where("c = 'b'"), state, "error").first()["c"] == 1.0
     with pytest.raises(Exception):
-        FT.ordinal_transform(test, cats, "error").collect()
+        FT.ordinal_transform(test, state, "error").collect()
 
 
 def test_running_total_with_a_hot_value(spark):

@@ -14,9 +14,8 @@ shard and never shuffled.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
-from functools import reduce
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,13 +37,29 @@ MULTIPLIER = 0x9E3779B97F4A7C15
 BITS = 22
 
 
-def normalised(text: str) -> str:
-    """Lower case; runs of anything but letters and digits become one space."""
-    return re.sub(r"[\W_]+", " ", text.lower()).strip()
+@cache
+def folding() -> np.ndarray:
+    """Lower case of every letter and digit as a code point; a space for the rest."""
+    out = np.full(0x110000, 32, np.uint32)
+    for p in range(0x110000):
+        c = chr(p)
+        if c.isalnum():
+            low = c.lower()
+            out[p] = ord(low) if len(low) == 1 else p
+    return out
 
 
-def codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le"), "<u4")
+def normalised(text: str) -> np.ndarray:
+    """Code points in lower case; runs of anything but letters and digits are
+    one space, and none at the ends."""
+    chars = folding()[np.frombuffer(text.encode("utf-32-le"), "<u4")]
+    space = chars == 32
+    if not len(chars) or space.all():
+        return chars[:0]
+    keep = ~space
+    keep[1:] |= ~space[:-1]
+    chars = chars[keep]
+    return chars[int(chars[0] == 32):len(chars) - int(chars[-1] == 32)]
 
 
 def qgrams(chars: np.ndarray) -> np.ndarray:
@@ -74,7 +89,7 @@ class Index:
         windows: list[np.ndarray] = []
         owner: list[int] = []
         for item, text in items:
-            chars = codes(normalised(text))
+            chars = normalised(text)
             if len(chars) < Q:
                 continue
             starts = range(0, max(len(chars) - WINDOW, 0) + 1, STEP)
@@ -86,7 +101,8 @@ class Index:
         sizes = np.array([len(g) for g in grams])
         gram = np.concatenate(grams)
         order = np.argsort(gram, kind="stable")
-        self.gram = gram[order]
+        self.gram, self.many = np.unique(gram, return_counts=True)      # postings of gram k: many[k] from first[k]
+        self.first = np.cumsum(self.many) - self.many
         self.window = np.repeat(np.arange(len(grams)), sizes)[order].astype(np.int32)
         self.place = (np.arange(len(gram)) - np.repeat(np.cumsum(sizes) - sizes, sizes))[order].astype(np.int32)
         self.seen = np.zeros(1 << BITS, bool)
@@ -99,10 +115,10 @@ class Index:
         """``(window, first diagonal of the band)`` that meet the bound."""
         h = qgrams(text)
         at = np.flatnonzero(self.seen[_slot(h)]) if len(h) else np.empty(0, int)
-        lo = np.searchsorted(self.gram, h[at], "left")
-        n = np.searchsorted(self.gram, h[at], "right") - lo
-        hit = n > 0
-        at, lo, n = at[hit], lo[hit], n[hit]
+        k = np.minimum(np.searchsorted(self.gram, h[at]), len(self.gram) - 1)
+        hit = self.gram[k] == h[at] if len(at) else np.empty(0, bool)
+        at, k = at[hit], k[hit]
+        lo, n = self.first[k], self.many[k]
         keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
         first = 0
         total = np.cumsum(n)
@@ -114,8 +130,12 @@ class Index:
             diagonal = np.repeat(at[first:last], m) - self.place[k] + WINDOW
             band = diagonal // (self.edits[window] + 1)
             key = np.concatenate([(window << 40) + band, (window << 40) + band - 1])
-            keys, inverse = np.unique(np.concatenate([keys, key]), return_inverse=True)
-            counts = np.bincount(inverse, np.concatenate([counts, np.ones(len(key), np.int64)])).astype(np.int64)
+            key, own = np.unique(key, return_counts=True)
+            if len(keys):
+                keys, inverse = np.unique(np.concatenate([keys, key]), return_inverse=True)
+                counts = np.bincount(inverse, np.concatenate([counts, own])).astype(np.int64)
+            else:
+                keys, counts = key, own
             first = last
         # a band number of -1 borrows from the window's bits; the shift by one undoes it
         window = keys + 1 >> 40
@@ -172,7 +192,7 @@ def shards(benchmark: DataFrame, most: int = INDEX_CHARS) -> Iterator[Index]:
 def _found(index: Index, texts: list[str]) -> list[list[tuple[int, int, int]]]:
     """Per text: ``(item, edits, windows)`` with the least edits and the number
     of windows found."""
-    chars = [codes(normalised(t)) for t in texts]
+    chars = [normalised(t) for t in texts]
     edge = np.array([EDGE], np.uint32)
     starts = np.cumsum([0] + [len(c) + 1 for c in chars])
     whole = np.concatenate([x for c in chars for x in (c, edge)]) if chars else edge

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import numeric_columns
+from ..session import cut_lineage
 from .fitted import median_mode_fit, median_mode_transform
 from .profile import add_p_values, point_biserial, wide_agg
 
@@ -34,7 +35,8 @@ def clean_columns(df: DataFrame, target: str = "TARGET") -> DataFrame:
     gone = [c for c in names if facts[c, "null"] > MAX_MISSING * facts["n"]
             or (facts[c, "lo"] is not None and facts[c, "lo"] == facts[c, "hi"])]
     kept = df.drop(*gone)
-    return median_mode_transform(kept, median_mode_fit(kept, numeric_columns(kept, exclude=[target]), []))
+    filled = median_mode_transform(kept, median_mode_fit(kept, numeric_columns(kept, exclude=[target]), []))
+    return cut_lineage(filled)      # read by every step that follows
 
 
 def members(df: DataFrame, target: str = "TARGET", min_correlation: float = 0.05) -> DataFrame:

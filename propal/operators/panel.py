@@ -236,22 +236,25 @@ def negatives_without_reuse(target0: DataFrame, months: Sequence[int], id_col: s
     not sampled in an earlier month.  Month m depends on months < m, so this
     is a driver loop over the (bounded) month list.  The candidates are
     materialised once in the shared checkpoint folder; each month's picks are
-    checkpointed, and the anti-join reads the union of these."""
+    checkpointed, and the anti-join reads their union, compacted every ten
+    months."""
     cand_all = cut_lineage(target0.where(F.col("ANO_MES").isin(list(months))))
     counts = {r["ANO_MES"]: r["n"] for r in
               cand_all.groupBy("ANO_MES").agg(F.count("*").alias("n")).collect()}  # one row per month
     n_parts = int(target0.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    taken = None
+    whole: list[DataFrame] = []     # picks so far: one part that was compacted, and the latest months
     for m in months:
         k = int(counts.get(m, 0) / len(months))
         if not k:
             continue
         cand = cand_all.where(F.col("ANO_MES") == m)
-        if taken is not None:
-            cand = cand.join(taken.select(id_col), id_col, "left_anti")
-        pick = cut_lineage(first_by_hash(cand, k, id_col, seed).coalesce(n_parts))
-        taken = pick if taken is None else taken.unionByName(pick)
-    return taken if taken is not None else target0.where(F.lit(False))
+        if whole:
+            taken = reduce(DataFrame.unionByName, whole).select(id_col)
+            cand = cand.join(taken.coalesce(n_parts), id_col, "left_anti")
+        whole.append(cut_lineage(first_by_hash(cand, k, id_col, seed).coalesce(n_parts)))
+        if len(whole) > 10:         # plans and partitions stay few
+            whole = [cut_lineage(reduce(DataFrame.unionByName, whole).coalesce(n_parts))]
+    return reduce(DataFrame.unionByName, whole) if whole else target0.where(F.lit(False))
 
 
 # ---------------------------------------------------------- reports

@@ -113,7 +113,7 @@ FROM orders_m"""
 
 F["policy_month"] = f"""
 SELECT {_add_months('ANO_MES', 'QTD_MESES')} AS ANO_MES, ID_APOLICE, ID_CLIENTE_ANON,
-       round(VAL_PCA_APL * (100 + QTD_MESES) / 100, 2) AS VAL_PCA_APL,
+       VAL_PCA_APL + QTD_MESES AS VAL_PCA_APL,
        CASE WHEN QTD_MESES = 0 AND CAST(ID_APOLICE AS BIGINT) % 16 = 0 THEN 0.0 ELSE QTD_SEGURADOS_APL_SD_VIG END
          AS QTD_SEGURADOS_APL_SD_VIG, QTD_MESES
 FROM policy_snap, (SELECT unnest(range(0, 16)) AS QTD_MESES)"""

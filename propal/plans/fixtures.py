@@ -176,14 +176,14 @@ class Fixtures:
 
     def build_policy_month(self) -> DataFrame:
         """Monthly policy snapshots: each policy in the month of its order and
-        the 15 after it; the premium rises by 1 % a month, and nobody is insured
+        the 15 after it; the premium rises by 1 a month, and nobody is insured
         in every 16th policy's first month."""
         from ..operators.panel import add_months_yyyymm
         p = self.policy_snap.select("ANO_MES", "ID_APOLICE", "ID_CLIENTE_ANON", "VAL_PCA_APL", "QTD_SEGURADOS_APL_SD_VIG")
         m = F.col("QTD_MESES")
         return (p.withColumn("QTD_MESES", F.explode(F.sequence(F.lit(0), F.lit(15))))
                 .select(add_months_yyyymm(F.col("ANO_MES"), m).alias("ANO_MES"), "ID_APOLICE", "ID_CLIENTE_ANON",
-                        F.round(F.col("VAL_PCA_APL") * (100 + m) / 100, 2).alias("VAL_PCA_APL"),
+                        (F.col("VAL_PCA_APL") + m).alias("VAL_PCA_APL"),
                         F.when((m == 0) & (F.col("ID_APOLICE").cast("long") % 16 == 0), 0.0)
                         .otherwise(F.col("QTD_SEGURADOS_APL_SD_VIG")).alias("QTD_SEGURADOS_APL_SD_VIG"), "QTD_MESES"))
 

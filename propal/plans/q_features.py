@@ -9,6 +9,7 @@ from ..operators import families as FM
 from ..operators import fitted as FT
 from ..operators.lineage import expand_lineage
 from ..operators.profile import wide_agg
+from ..session import cut_lineage
 from .catalog import query
 from .fixtures import LOBS
 
@@ -700,7 +701,7 @@ k AS (SELECT o.family, o.r, best FROM ({_u([f"SELECT '{f}' AS family, corr({f}_a
 
 
 def _families(fx):
-    clean = FM.clean_columns(fx.wide_lob.drop("ID", "NATION"))
+    clean = FM.clean_columns(cut_lineage(fx.wide_lob.drop("ID", "NATION")))
     of = FM.members(clean, "TARGET", 0.02)
     return clean, of, FM.coherence(clean, of)
 
@@ -734,7 +735,7 @@ SELECT family || '_agg', round(r, 8) FROM k WHERE family IN (SELECT family FROM
 def d41(fx):
     """End-to-end automatic feature aggregation of the wide customer table:
     the columns of the result and their correlation with the target."""
-    out = FM.auto_feature_set(fx.wide_lob.drop("ID", "NATION"), "TARGET", 0.02)
+    out = FM.auto_feature_set(cut_lineage(fx.wide_lob.drop("ID", "NATION")), "TARGET", 0.02)
     r = wide_agg(out, {c: F.corr(F.col(c).cast("double"), F.col("TARGET").cast("double"))
                        for c in out.columns if c != "TARGET"})
     return fx.spark.createDataFrame([(c, x) for c, x in r.items()], "feature string, correlation double").withColumn(

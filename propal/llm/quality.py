@@ -109,29 +109,34 @@ def _fit(rows: DataFrame, values: Column, penalty: float = 1e-3) -> Linear:
     return Linear([float(x) for x in fit.coefficients], float(fit.intercept))
 
 
-def views(docs: DataFrame) -> DataFrame:
-    """``(doc_id, text_view, meta_view)`` of each row."""
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                       F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"),
-                       F.col("n_chars").cast("long").alias("n_chars"))
-    return with_features(base, "text_view").select("doc_id", "text_view", meta_features().alias("meta_view"))
-
-
-def fit(rows: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: int = ROUNDS) -> Model:
-    """Co-train on ``rows`` (see ``views``) and ``labels(doc_id, quality)``.
+def views(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(doc_id, lang, source, n_chars, text_view, y)`` of each row of
+    ``docs``, checkpointed; ``y`` is 1 for a good label, 0 for a bad one, else null.
 
     A document with several labels counts as good if most are; null labels are
-    ignored.  Without labels of both kinds no classifier is fitted and every
-    document gets the share of good labels (1 without any)."""
+    ignored."""
     truth = (labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
              .groupBy(F.col("doc_id").cast("long").alias("label_id"))
              .agg((F.avg("quality") >= 0.5).cast("double").alias("y")))
-    n = truth.count()
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                       F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"),
+                       F.col("n_chars").cast("long").alias("n_chars"))
+    rows = with_features(base, "text_view").drop("text")
+    return cut_lineage(rows.join(truth, rows["doc_id"] == truth["label_id"], "left").drop("label_id"))
+
+
+def fit(rows: DataFrame, labelled: int = LABELLED, rounds: int = ROUNDS) -> Model:
+    """Co-train on ``rows`` (see ``views``).  Without labels of both kinds no
+    classifier is fitted and every document gets the share of good labels (1
+    without any)."""
+    rows = rows.select("doc_id", "text_view", meta_features().alias("meta_view"), "y")
+    n = rows.where("y IS NOT NULL").count()
     share = min(1.0, labelled / max(n, 1))
-    place = F.pmod(F.xxhash64(F.lit("sample"), "label_id"), F.lit(1 << 20))
-    chosen = truth.where(place < int(share * (1 << 20)) + (share == 1.0))
-    known = cut_lineage(rows.join(chosen, rows["doc_id"] == chosen["label_id"]).dropDuplicates(["label_id"])
-                        .withColumn("held", F.pmod(F.xxhash64(F.lit("held"), "label_id"), F.lit(4)) == 0))
+    place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 20))
+    chosen = rows.where(F.col("y").isNotNull() & (place < int(share * (1 << 20)) + (share == 1.0)))
+    # at most LABELLED short rows, read by every step of every fit: a few partitions
+    known = cut_lineage(chosen.dropDuplicates(["doc_id"]).repartition(4)
+                        .withColumn("held", F.pmod(F.xxhash64(F.lit("held"), "doc_id"), F.lit(4)) == 0))
     count = {(r["held"], r["y"]): r["count"] for r in known.groupBy("held", "y").count().collect()}
     good = sum(c for (_, y), c in count.items() if y)
     if any(count.get((h, y), 0) < 2 for h in (True, False) for y in (0.0, 1.0)):
@@ -139,7 +144,7 @@ def fit(rows: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: in
     base = known.where(~F.col("held")).withColumn("w", F.lit(1.0))
     held = known.where("held").withColumn("w", F.lit(1.0))
     size = sum(c for (h, _), c in count.items() if not h)
-    pool = rows.join(truth.select("label_id"), rows["doc_id"] == F.col("label_id"), "left_anti")
+    pool = rows.where("y IS NULL").drop("y")
 
     train = {"text": base, "meta": base}
     for step in range(rounds + 1):
@@ -171,8 +176,8 @@ def probabilities(model: Model, text_view: Column, meta_view: Column) -> tuple[C
 
 def quality_scores(docs: DataFrame, labels: DataFrame, least: float = LEAST) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, p_text, p_meta, p_good, kept``."""
-    rows = cut_lineage(views(docs))
-    p_text, p_meta, p_good = probabilities(fit(rows, labels), F.col("text_view"), F.col("meta_view"))
+    rows = views(docs, labels)
+    p_text, p_meta, p_good = probabilities(fit(rows), F.col("text_view"), meta_features())
     return (rows.select("doc_id", p_text.alias("p_text"), p_meta.alias("p_meta"), p_good.alias("p_good"))
             .withColumn("kept", F.col("p_good") >= least))
 
@@ -180,7 +185,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, least: float = LEAST) ->
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = LEAST) -> DataFrame:
     """The rows of ``docs``, all columns, that the classifier does not reject;
     filtered where they are read."""
-    model = fit(cut_lineage(views(docs)), labels)
+    model = fit(views(docs, labels))
     name = "features"
     while name in docs.columns:
         name += "_"

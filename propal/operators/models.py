@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ranking import running_total
+from ..session import cut_lineage
 from .panel import shift_month
 from .profile import unpivot, wide_agg
 from .reports import roc_auc
@@ -165,11 +166,17 @@ def feature_count_grid(n_features: int, points: int = 8, first: int = 3, start:
 
 
 # ---------------------------------------------------------------- E7 / E8 / E10
+#: Families that take row weights.
+WEIGHTED = ("RandomForest", "LogisticRegression", "GradientBoosting", "LightGBM")
+
+
 def grid_search(df: DataFrame, features: Sequence[str], name: str, grid: dict, label: str = "TARGET",
-                folds: int = 3, seed: int = 0, parallelism: int = 2):
+                folds: int = 3, seed: int = 0, parallelism: int = 2, balanced: bool = True):
     """K-fold CV on ROC AUC over a parameter grid; returns the fitted
-    CrossValidatorModel."""
-    est = algorithm(name, label=label, weight=None)
+    CrossValidatorModel.  ``balanced`` weighs the classes evenly in every fit,
+    for the families that take weights."""
+    weight = "WEIGHT" if balanced and name in WEIGHTED else None
+    est = algorithm(name, label=label, weight=weight)
     pb = ParamGridBuilder()
     for p, vals in grid.items():
         pb = pb.addGrid(est.getParam(p), vals)
@@ -177,7 +184,15 @@ def grid_search(df: DataFrame, features: Sequence[str], name: str, grid: dict, l
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC")
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=pb.build(), evaluator=ev, numFolds=folds, seed=seed,
                         parallelism=parallelism)
-    return cv.fit(df)
+    return cv.fit(with_balanced_weight(df, label) if weight else df)
+
+
+def settings_above(model, threshold: float = 0.5) -> list[tuple[str, float]]:
+    """The settings of a CrossValidatorModel whose mean AUC is above the
+    threshold, best first."""
+    found = [(str({p.name: v for p, v in pm.items()}), float(a))
+             for pm, a in zip(model.getEstimatorParamMaps(), model.avgMetrics)]
+    return sorted((x for x in found if x[1] > threshold), key=lambda x: (-x[1], x[0]))
 
 
 def preprocessing_variants(df: DataFrame, target: str = "TARGET", keys: Sequence[str] = (),
@@ -215,20 +230,31 @@ def preprocessing_variants(df: DataFrame, target: str = "TARGET", keys: Sequence
 
 
 def training_grid(df: DataFrame, feature_sets: dict[str, Sequence[str]], algorithms: dict[str, dict],
-                  label: str = "TARGET", folds: int = 3, threshold: float = 0.5) -> DataFrame:
-    """Every (feature set x algorithm x grid) setting cross-validated on
-    one cached matrix; the best mean CV AUC wins (rows above the threshold
-    kept)."""
-    spark = df.sparkSession
+                  label: str = "TARGET", folds: int = 3, threshold: float = 0.5,
+                  months: Sequence[int | None] = (None,), counts: Sequence[int | None] = (None,)) -> DataFrame:
+    """Every (months x feature set x number of features x algorithm x
+    grid) setting cross-validated.  ``months`` keeps the last n months (needs
+    ANO_MES; None: all), ``counts`` the first n features by ANOVA F on these
+    rows (None: all).  ``kept`` marks settings above the AUC threshold and
+    ``winner`` the best of them."""
     rows = []
     for fs_name, spec in feature_sets.items():
-        data, feats = spec if isinstance(spec, tuple) else (df, list(spec))
-        for alg, grid in algorithms.items():
-            m = grid_search(data, feats, alg, grid, label, folds)
-            best = float(max(m.avgMetrics))
-            rows.append((fs_name, alg, len(feats), best, bool(best > threshold)))
-    return spark.createDataFrame(rows, "feature_set string, algorithm string, n_features int, cv_auc double, "
-                                       "kept boolean")
+        matrix, feats = spec if isinstance(spec, tuple) else (df, list(spec))
+        for span in months:
+            data = matrix if span is None else last_n_months(matrix, span, label)
+            order = feats
+            if any(n is not None for n in counts):
+                found = {r["Variable"]: r["F"] or 0.0 for r in anova_f(data, feats, label).collect()}
+                order = sorted(feats, key=lambda f: (-found.get(f, 0.0), f))
+            for n in counts:
+                chosen = order[:n]
+                for alg, grid in algorithms.items():
+                    m = grid_search(data, chosen, alg, grid, label, folds)
+                    rows.append((fs_name, span, len(chosen), alg, float(max(m.avgMetrics))))
+    best = max((r[4] for r in rows if r[4] > threshold), default=None)
+    return df.sparkSession.createDataFrame(
+        [(*r, r[4] > threshold, r[4] == best) for r in rows],
+        "feature_set string, months int, n_features int, algorithm string, cv_auc double, kept boolean, winner boolean")
 
 
 def oof_scores(df: DataFrame, features: Sequence[str], name: str, params: dict, label: str = "TARGET",
@@ -285,19 +311,27 @@ def recalibrate(pipeline: Pipeline, df: DataFrame, months: int, label: str = "TA
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequence[str], keys: Sequence[str],
-                           label: str = "TARGET", seed: int = 0) -> DataFrame:
-    """E15 (re-aimed from SHAP): AUC drop when one feature is permuted.  The
-    permutation pairs the i-th row in key order with the i-th row in a hash
-    order — two distributed row numbers and an equi-join, no collect."""
-    spark = df.sparkSession
+                           label: str = "TARGET", seed: int = 0, top: int = 20) -> DataFrame:
+    """E15 (re-aimed from SHAP): AUC drop when one feature is permuted, with
+    the normalised impurity importance of tree models; the ``top`` features.
+
+    Rows are ranked once in a hash order; a feature is permuted by taking its
+    value from the row that lies a feature-specific distance ahead (cyclic), an
+    equi-join on the rank."""
     base = roc_auc(score_table(model, df, keys, label), "P1", label).first()[0]
-    by_key = running_total(df, list(keys), None, "_i").drop("_w")
+    h = F.xxhash64(F.lit(seed), *[F.col(k) for k in keys])
+    ranked = cut_lineage(running_total(df.withColumn("_h", h), ["_h", *keys], None, "_i").drop("_w", "_h"))
+    n = ranked.count()
+    impurity = getattr(model.stages[-1], "featureImportances", None)
+    share = [float(x) for x in impurity.toArray()] if impurity is not None else [None] * len(features)
+    total = sum(x for x in share if x is not None) or 1.0
     rows = []
-    for f in features:
-        h = F.xxhash64(F.lit(seed), F.lit(f), *[F.col(k) for k in keys])
-        donor = running_total(df.select(*keys, f).withColumn("_h", h), ["_h", *keys], None, "_i").select(
-            "_i", F.col(f).alias("_perm"))
-        perm = by_key.join(donor, "_i").withColumn(f, F.col("_perm")).drop("_perm", "_i")
+    for k, f in enumerate(features):
+        ahead = max(1, n * (k + 1) // (len(features) + 1))
+        donor = ranked.select(((F.col("_i") - 1 + ahead) % n + 1).alias("_i"), F.col(f).alias("_perm"))
+        perm = ranked.join(donor, "_i").withColumn(f, F.col("_perm")).drop("_perm", "_i")
         auc = roc_auc(score_table(model, perm, keys, label), "P1", label).first()[0]
-        rows.append((f, float(base), float(auc), float(base - auc)))
-    return spark.createDataFrame(rows, "feature string, auc double, auc_permuted double, importance double")
+        rows.append((f, float(base), float(auc), float(base - auc), None if share[k] is None else share[k] / total))
+    rows = sorted(rows, key=lambda r: (-r[3], r[0]))[:top]
+    return df.sparkSession.createDataFrame(
+        rows, "feature string, auc double, auc_permuted double, importance double, impurity double")

@@ -127,9 +127,9 @@ _ALGS = {"RandomForest": {"maxDepth": [3, 5], "numTrees": [10]}, "LogisticRegres
 
 @query("E7_training_grid")
 def e7(fx):
-    """Feature sets x algorithms grid, 3-fold CV AUC each."""
-    df = _train(fx)
-    return M.training_grid(df, {"all": NUMF, "prices": ["l_extendedprice", "l_discount", "l_tax"]}, _ALGS)
+    """Months x number of features x algorithms grid, 3-fold CV AUC each."""
+    df = _train(fx).withColumn("ANO_MES", (F.year("o_orderdate") * 100 + F.month("o_orderdate")).cast("int"))
+    return M.training_grid(df, {"all": NUMF}, _ALGS, months=(24, None), counts=(3, None))
 
 
 @query("E7_preprocessing_grid")
@@ -138,8 +138,7 @@ def e7p(fx):
     flags x none / binning / outlier caps, near-constant filter) x logistic
     regression, 3-fold CV AUC each."""
     w = fx.wide_lob.select("ID", *[c for c, t in fx.wide_lob.dtypes if t != "string" and c not in ("ID", "NATION")])
-    variants = M.preprocessing_variants(w, "TARGET", keys=["ID"], aggregation=(True,), flags=(True,),
-                                        lob_threshold=0.34)
+    variants = M.preprocessing_variants(w, "TARGET", keys=["ID"], lob_threshold=0.34)
     return M.training_grid(w, variants, {"LogisticRegression": {"regParam": [0.01]}})
 
 
@@ -147,9 +146,7 @@ def e7p(fx):
 def e8(fx):
     """3-fold CV of a random forest grid; mean AUC per setting."""
     m = M.grid_search(_train(fx), NUMF, "RandomForest", {"maxDepth": [3, 5], "numTrees": [10, 20]})
-    rows = [(str({p.name: v for p, v in pm.items()}), float(a)) for pm, a in zip(m.getEstimatorParamMaps(),
-                                                                                m.avgMetrics)]
-    return fx.spark.createDataFrame(rows, "params string, cv_auc double")
+    return fx.spark.createDataFrame(M.settings_above(m, 0.0), "params string, cv_auc double")
 
 
 @query("E9_algorithms")

@@ -134,3 +134,24 @@ def test_no_shared_folder_raises():
         sparkContext, conf = Context(), Conf()
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(Session())
+
+
+def test_permuting_an_unused_feature_costs_nothing(spark):
+    from pyspark.ml import Pipeline
+    rows = [(k, float(k % 17), float((k * 7) % 13), int(k % 17 > 8)) for k in range(600)]
+    df = spark.createDataFrame(rows, "id long, x double, z double, TARGET int")
+    tree = M.algorithm("RandomForest", weight=None, numTrees=5, maxDepth=3, seed=1)
+    model = Pipeline(stages=[M.assemble(["x", "z"]), tree]).fit(df)
+    got = {r["feature"]: r for r in M.permutation_importance(model, df, ["x", "z"], ["id"]).collect()}
+    assert got["x"]["importance"] > 0.3 > 0.05 > abs(got["z"]["importance"])
+    assert got["x"]["impurity"] + got["z"]["impurity"] == pytest.approx(1.0)
+    assert M.permutation_importance(model, df, ["x", "z"], ["id"], top=1).count() == 1
+
+
+def test_recalibration_against_the_champion(spark):
+    from pyspark.ml import Pipeline
+    rows = [(202001 + k % 6, float(k % 17), float((k * 7) % 13), int(k % 17 > 8)) for k in range(600)]
+    df = spark.createDataFrame(rows, "ANO_MES int, x double, z double, TARGET int")
+    old, new = (Pipeline(stages=[M.assemble([c]), M.algorithm("LogisticRegression", weight=None)]) for c in "zx")
+    table = {r["version"]: r for r in M.recalibrate(old, df, 3, champion=new)[1].collect()}
+    assert table["champion"]["best"] and table["champion"]["cv_auc"] > 0.95 > table["recalibrated"]["cv_auc"]

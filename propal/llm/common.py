@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -37,6 +39,16 @@ def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
 
 
+def written(df: DataFrame, name: str = "step") -> DataFrame:
+    """``df`` written as a table in the shared folder and read again.  Unlike a
+    checkpoint, which keeps the size that the plan estimated, its size is that
+    of its files: in a loop of joins, estimates multiply round by round until
+    the planner is busy with numbers of millions of digits."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from .common import written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -19,25 +19,25 @@ def components(edges: DataFrame) -> DataFrame:
     neighbours and rewrites the edges to those; edges inside a merged group
     vanish.  Keys are hashes, so also a long path shrinks by a constant factor
     a round.  The smallest neighbour is a partial aggregate (a hub costs one
-    row a task), each round is a reliable checkpoint, and the rounds end when
+    row a task), each round is a written table, and the rounds end when
     no edge is left.
     """
     key = F.xxhash64
     left = (edges.where(F.col("a") != F.col("b"))
             .select(key("a").alias("a"), key("b").alias("b"))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    left = cut_lineage(left)
+    left = written(left)
     rounds: list[DataFrame] = []
     while not left.isEmpty():
         both = left.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
             left.select(F.col("b").alias("node"), F.col("a").alias("other")))
-        step = cut_lineage(both.groupBy("node").agg(F.min("other").alias("least_other"))
+        step = written(both.groupBy("node").agg(F.min("other").alias("least_other"))
                            .select("node", F.least("node", "least_other").alias("parent")))
         rounds.append(step)
         for side in ("a", "b"):
             left = (left.join(step, left[side] == step["node"])
                     .drop(side, "node").withColumnRenamed("parent", side))
-        left = cut_lineage(left.where(F.col("a") != F.col("b"))
+        left = written(left.where(F.col("a") != F.col("b"))
                            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     if not rounds:
         return left.select(F.col("a").alias("node_key"), F.col("b").alias("component"))

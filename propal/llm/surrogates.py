@@ -3,13 +3,15 @@
 Entities are found by kind and replaced by keyed surrogates of the same kind
 and format: digits stay digits, letters stay letters of their alphabet and
 case, separators, country codes, top-level domains and the validity of check
-digits stay, given names keep their gender.  A surrogate depends on the key
-and the entity alone, so all mentions of an entity agree in all documents.
-
-Within a format a surrogate is a keyed permutation, which keeps entities
-apart.  A check over all distinct entities then looks for surrogates that two
-entities share or that equal their entity, and draws these anew with another
-permutation until there are none.  What was drawn anew is broadcast while it
+digits stay; listed given names keep their gender, others their shape.  A
+surrogate depends on the key and the entity alone, so all mentions of an
+entity agree in all documents.  A name is found after a title.
+
+Within a format a surrogate is a keyed permutation that leaves nothing in its
+place, which keeps entities apart however many there are.  A check over all
+distinct entities still looks for surrogates that two entities share or that
+equal their entity, and draws these anew with another permutation until there
+are none.  What was drawn anew is broadcast while it
 is at most ``REDRAWN`` rows, and else joined to its documents.
 """
 
@@ -46,7 +48,8 @@ GIVEN = (
     ("ελένη", "κατερίνα", "μαρία", "σοφία"),
     ("γιώργος", "δημήτρης", "νίκος", "πέτρος"),
 )
-#: Lists for a given name that is in none, by the gender of the title before it.
+LISTED = frozenset(name for names in GIVEN for name in names)
+#: Titles before a name.
 FEMALE = ("mrs", "ms", "miss", "frau", "señora", "sra", "madame", "mme", "госпожа", "κυρία")
 MALE = ("mr", "herr", "señor", "sr", "monsieur", "господин", "κύριος")
 NEUTRAL = ("dr", "prof")
@@ -82,8 +85,10 @@ def iban_rest(country: str, account: str, check: str) -> int:
 
 @lru_cache(1 << 10)
 def block(number: int) -> str:
-    """Lower-case or caseless letters of a block of 256 code points."""
-    return "".join(c for c in map(chr, range(number << 8, number + 1 << 8)) if c.isalpha() and c.lower() == c)
+    """Lower-case or caseless letters of a block of 256 code points that are in
+    no alphabet."""
+    return "".join(c for c in map(chr, range(number << 8, number + 1 << 8))
+                   if c.isalpha() and c.lower() == c and not any(c in a for a in ALPHABETS))
 
 
 class Keyed:
@@ -94,20 +99,25 @@ class Keyed:
         self.surrogate = lru_cache(1 << 16)(self._surrogate)
 
     def number(self, x: int, n: int, use: str) -> int:
-        """Permutation of 0..n-1: a Feistel network on the bits, walked until
-        the value is in range."""
+        """Permutation of 0..n-1 that leaves no number in its place: the next
+        one in a keyed order."""
         if n < 2:
             return x
+        return self._walk((self._walk(x, n, use) + 1) % n, n, use, back=True)
+
+    def _walk(self, x: int, n: int, use: str, back: bool = False) -> int:
+        """Permutation of 0..n-1, or its inverse: a Feistel network on the
+        bits, walked until the value is in range."""
         half = ((n - 1).bit_length() + 1) // 2
         mask, size = (1 << half) - 1, (half + 7) // 8
         while True:
-            left, right = x >> half, x & mask
-            for k in range(ROUNDS):
+            left, right = (x & mask, x >> half) if back else (x >> half, x & mask)
+            for k in reversed(range(ROUNDS)) if back else range(ROUNDS):
                 said = f"{use}:{n}:{k}:".encode() + right.to_bytes(size, "big")
                 mix = b"".join(hashlib.blake2b(said + bytes([b]), key=self.key, digest_size=32).digest()
                                for b in range(-(-size // 32)))
                 left, right = right, left ^ int.from_bytes(mix, "big") & mask
-            x = left << half | right
+            x = right << half | left if back else left << half | right
             if x < n:
                 return x
 
@@ -128,16 +138,16 @@ class Keyed:
             out[k] = letters[at].upper() if upper else letters[at]
         return "".join(out)
 
-    def given(self, name: str, female: bool | None, use: str) -> str:
+    def given(self, name: str, use: str) -> str:
+        """Permutes the names of a list, and within a shape those of no list."""
         low = name.lower()
         for names in GIVEN:
             if low in names:
                 return _cased(names[self.number(names.index(low), len(names), use)], name)
-        if female is not None and low.isascii():
-            names = GIVEN[0 if female else 1]
-            at = int.from_bytes(hashlib.blake2b(f"{use}:{low}".encode(), key=self.key, digest_size=8).digest(), "big")
-            return _cased(names[at % len(names)], name)
-        return self.spelled(name, use, (VOWELS, CONSONANTS, *ALPHABETS))
+        new = self.spelled(low, use, (VOWELS, CONSONANTS, *ALPHABETS))
+        while new in LISTED:            # the walk ends at the latest where it began, and keeps names apart
+            new = self.spelled(new, use, (VOWELS, CONSONANTS, *ALPHABETS))
+        return _cased(new, name)
 
     def _surrogate(self, kind: str, entity: str, turn: int) -> str:
         """Surrogate of a canonical entity; each ``turn`` is another permutation."""
@@ -161,11 +171,9 @@ class Keyed:
             rest = 98 - iban_rest(entity[:2], account, "00")
             return f"{entity[:2]}{rest:02d}{account}"
         if kind == "name":
-            sex, name = entity.split(":", 1)
-            words = name.split(" ")
-            female = {"f": True, "m": False}.get(sex)
+            words = entity.split(":", 1)[1].split(" ")
             last = self.spelled(words[-1], use, (VOWELS, CONSONANTS, *ALPHABETS))
-            return " ".join([*(self.given(w, female, use) for w in words[:-1]), last])
+            return " ".join([*(self.given(w, use) for w in words[:-1]), last])
         head, _, rest = entity.rpartition("|")       # phone: country code, then the rest; ssn: no head
         return f"{head}|{self.spelled(rest, use)}" if head else self.spelled(rest, use)
 

@@ -36,6 +36,26 @@ def test_permutations():
     assert surrogates.Keyed(b"other").number(5, 10 ** 9, "t") != keyed.number(5, 10 ** 9, "t")
 
 
+def test_permutations_leave_nothing_in_place():
+    keyed = surrogates.Keyed()
+    for n in (2, 3, 10, 105):
+        moved = [keyed.number(k, n, "t") for k in range(n)]
+        assert sorted(moved) == list(range(n)) and all(a != b for a, b in enumerate(moved))
+
+
+def test_every_name_of_a_format(spark):
+    """Names that fill their format (unlisted given names with all surnames of
+    the shape of Li) need no second draw."""
+    given = [f"{a}{b}{c}" for a in "vz" for b in "aeiou" for c in "bcdfghjklm"] + ["Anna", "Maria", "Paul"]
+    last = [f"{a}{b}" for a in surrogates.CONSONANTS for b in surrogates.VOWELS]
+    rows = [(k, " ".join(f"Mr. {g.capitalize()} {n.capitalize()}," for n in last)) for k, g in enumerate(given)]
+    found = surrogates.mentions(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert found.count() == len(given) * len(last) > 13 * 105
+    keyed = surrogates.Keyed()
+    assert len({keyed.surrogate("name", r["entity"], 0) for r in found.collect()}) == found.count()
+    assert surrogates.redrawn(found).isEmpty()
+
+
 def test_surrogates_stay_apart(spark, monkeypatch):
     """A surrogate that clashes is drawn anew, on both ways."""
     plain = surrogates.Keyed._surrogate

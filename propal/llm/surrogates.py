@@ -5,7 +5,8 @@ and format: digits stay digits, letters stay letters of their alphabet and
 case, separators, country codes, top-level domains and the validity of check
 digits stay; listed given names keep their gender, others their shape.  A
 surrogate depends on the key and the entity alone, so all mentions of an
-entity agree in all documents.  A name is found after a title.
+entity agree in all documents.  A name is found after a title, and then
+wherever else its document mentions it; the title is not part of the entity.
 
 Within a format a surrogate is a keyed permutation that leaves nothing in its
 place, which keeps entities apart however many there are.  A check over all
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -62,8 +64,12 @@ PATTERNS = {
     "iban": re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"),
     "ipv4": re.compile(r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\w)"),
     "ssn": re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
-    "phone": re.compile(r"(?<![\w+])(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}"
-                        r"|\d{3}[ .-]\d{3}[ .-]\d{4})|\+\d{7,15})(?!\w)"),
+    # in turn: 3-3-4 and bracketed codes, +country with groups, 0 (or 00) with groups, nine digits from 6 to 9 in groups
+    "phone": re.compile(r"(?<![\w+])(?=[+(\d])(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}"
+                        r"|\d{3}[ .-]\d{3}[ .-]\d{4})|\+\d{7,15}"
+                        r"|\+\d{1,3}[ .-]?(?:\(\d{1,5}\)[ .-]?)?\d{1,12}(?:[ ./-]\d{1,8}){0,6}"
+                        r"|(?<![./-])0\d{1,4}(?P<gap>[ ./-])\d{2,8}(?:(?P=gap)\d{2,8}){0,4}"
+                        r"|(?<![./-])[6-9]\d\d(?:([ -])\d{3}\2\d{3}|([ -])\d\d\3\d\d\3\d\d))(?!\w)"),
     "card": re.compile(r"(?<!\w)(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?!\w)"),
     "name": re.compile(rf"(?<!\w)(?:{TITLES})\.? +(?=[^\W\d_])({WORD}(?: +{WORD}){{0,2}})"),
 }
@@ -171,7 +177,7 @@ class Keyed:
             rest = 98 - iban_rest(entity[:2], account, "00")
             return f"{entity[:2]}{rest:02d}{account}"
         if kind == "name":
-            words = entity.split(":", 1)[1].split(" ")
+            words = entity.split(" ")
             last = self.spelled(words[-1], use, (VOWELS, CONSONANTS, *ALPHABETS))
             return " ".join([*(self.given(w, use) for w in words[:-1]), last])
         head, _, rest = entity.rpartition("|")       # phone: country code, then the rest; ssn: no head
@@ -193,20 +199,60 @@ def canonical(kind: str, text: str, match: re.Match | None = None) -> str | None
         bare = text.replace(" ", "")
         return bare if 15 <= len(bare) <= 34 and iban_rest(bare[:2], bare[4:], bare[2:4]) == 1 else None
     if kind == "name":
-        title = match.group().split(match.group(1))[0].strip(" .").lower()
         words = match.group(1).split()
         while words and not words[-1][0].isupper():
             words.pop()
         if not words or not all(w[0].isupper() for w in words):
             return None
-        sex = "f" if title in FEMALE else "m" if title in MALE else "n"
-        return f"{sex}:{' '.join(words).lower()}"
+        return " ".join(words).lower().removesuffix("'s")
     digits = re.sub(r"\D", "", text)
-    if kind == "phone" and text.startswith("+") and (head := re.match(r"\+(\d{1,3})[ .-]", text)):
-        return f"{head.group(1)}|{digits[len(head.group(1)):]}"
+    if kind == "phone":
+        if not 7 <= len(digits) <= 15 or digits[0] == "0" and text[0] == "0" and len(digits) < 9 and not US.fullmatch(text):
+            return None
+        if text[0] == "+" and (head := COUNTRY.match(digits)):
+            return f"{head.group()}|{digits[head.end():]}"
+        if text[0] == "0" and not US.fullmatch(text):
+            return f"0|{digits[1:]}"
+        if len(digits) == 9 and text[0] in "6789":
+            return f"{digits[0]}|{digits[1:]}"
     return digits
 
 
+def mentioned_again(text: str, found: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str, str]]:
+    """``found`` with all mentions of its names: a whole name without a title,
+    and a word of one by itself, with or without, mean the longest name of the
+    document that has it."""
+    known: dict[tuple[str, ...], str] = {}
+    for entity in sorted({e for _, _, kind, e in found if kind == "name"}, key=lambda e: (-len(e.split(" ")), e)):
+        words = tuple(entity.split(" "))
+        for part in (words, *((w,) for w in reversed(words) if len(w) > 1)):
+            known.setdefault(part, entity)
+    out = [(s, e, kind, known.get(tuple(entity.split(" ")), entity) if kind == "name" else entity)
+           for s, e, kind, entity in found]
+    starts = [s for s, *_ in found]
+    tokens = list(NAME_WORD.finditer(text))
+    k = 0
+    while k < len(tokens):
+        taken = 1
+        for n in (3, 2, 1):
+            run = tokens[k:k + n]
+            if len(run) < n or not all(t.group()[0].isupper() for t in run):
+                continue
+            if any(text[a.end():b.start()].strip() or a.end() == b.start() for a, b in zip(run, run[1:])):
+                continue
+            words, end = [t.group().lower() for t in run], run[-1].end()
+            if tuple(words) not in known and words[-1].endswith("'s"):
+                words[-1], end = words[-1][:-2], end - 2
+            entity, start = known.get(tuple(words)), run[0].start()
+            at = bisect_left(starts, end)       # the last found one that starts before the end
+            if entity and (not at or found[at - 1][1] <= start):
+                out.append((start, end, "name", entity))
+                taken = n
+                break
+        k += taken
+    return sorted(out)
+
+
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """``(start, end, kind, entity)`` without overlaps, by start; where kinds
     overlap, the one first in KINDS counts."""
@@ -219,18 +265,28 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
             entity = canonical(kind, m.group(), m)
             if kind == "name" and entity:
                 end = start + sum(len(w) for w in re.split(r"(\s+)", m.group(1))[:2 * len(entity.split(" ")) - 1])
+                end -= 2 * (text[end - 2:end] == "'s")
             if entity and all(end <= s or start >= e for s, e, _, _ in found):
                 found.append((start, end, kind, entity))
-    return sorted(found)
+    found.sort()
+    return mentioned_again(text, found) if any(f[2] == "name" for f in found) else found
 
 
 DIGIT = re.compile(r"[0-9]")
+NAME_WORD = re.compile(rf"(?<!\w){WORD}(?!\w)")
+#: Country codes; none begins another.
+COUNTRY = re.compile(r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}")
+#: Numbers of 3-3-4 digits, whose first digit is no trunk prefix.
+US = re.compile(r"\d{3}[ .-]\d{3}[ .-]\d{4}")
 
 
-def written(kind: str, mention: str, surrogate: str) -> str:
-    """The surrogate in the mention's format."""
+def written(kind: str, mention: str, surrogate: str, entity: str = "") -> str:
+    """The surrogate in the mention's format; of a name, the mentioned words."""
     if kind == "ipv4":
         return surrogate
+    if kind == "name" and " " not in mention.strip() and " " in entity and len(mention.split()) == 1:
+        words = entity.split(" ")
+        surrogate = surrogate.split(" ")[len(words) - 1 - words[::-1].index(mention.lower())]
     new = iter(surrogate.replace("|", "").replace(" ", "") if kind != "name" else surrogate.split(" "))
     if kind == "name":
         return re.sub(r"\S+", lambda m: _cased(next(new), m.group()), mention)
@@ -248,7 +304,7 @@ def replace(text: str, keyed: Keyed, turns: dict[tuple[str, str], int]) -> tuple
     out, at, kinds = [], 0, []
     for start, end, kind, entity in find(text):
         surrogate = keyed.surrogate(kind, entity, turns.get((kind, entity), 0))
-        out += [text[at:start], written(kind, text[start:end], surrogate)]
+        out += [text[at:start], written(kind, text[start:end], surrogate, entity)]
         at = end
         kinds.append(kind)
     return "".join([*out, text[at:]]), kinds

@@ -29,6 +29,42 @@ def test_surrogates_keep_format_and_agree():
     assert all(c in surrogates.ALPHABETS[4] for c in keyed.surrogate("name", "f:\u0430\u043d\u043d\u0430 \u0438\u0432", 0)[-2:])
 
 
+def test_surrogates_of_names_without_titles():
+    """All mentions of a name in its document, under any title or none, agree."""
+    text = ("Mrs. Anna Smith came. Anna Smith said that Dr. Anna Smith's car is Smith's; Anna left. "
+            "In Will and Smithson nobody is named.")
+    found = surrogates.find(text)
+    assert [text[s:e] for s, e, *_ in found] == ["Anna Smith"] * 3 + ["Smith", "Anna"]
+    assert {f[2:] for f in found} == {("name", "anna smith")}
+    new, _ = surrogates.replace(text, surrogates.Keyed(), {})
+    first, last = re.match(r"Mrs\. (\w+) (\w+) came", new).groups()
+    assert new == text.replace("Anna", first).replace("Smith", last).replace(f"{last}son", "Smithson")
+    assert first.lower() in surrogates.GIVEN[0] and (first, last) != ("Anna", "Smith")
+
+
+def test_surrogates_across_titles(spark):
+    """One entity under two titles is no collision."""
+    docs = spark.createDataFrame([(1, "Mrs. Anna Smith"), (2, "Dr. Anna Smith"), (3, "Prof. Anna Smith")],
+                                 "doc_id long, text string")
+    assert surrogates.redrawn(surrogates.mentions(docs)).count() == 0
+    assert len({r["text"].split(" ", 1)[1] for r in surrogates.with_surrogates(docs).collect()}) == 1
+
+
+def test_surrogates_of_phone_groups():
+    numbers = ["+44 20 7946 0958", "01 23 45 67 89", "+49 30 1234567", "+34 912 345 678", "912 345 678", "+49 (30) 1234567",
+               "020 7946 0958", "+442079460958", "+1 (968) 555-9369", "968-555-9369"]
+    keyed = surrogates.Keyed()
+    for number in numbers:
+        text = f"call {number}, or write"
+        assert [f[:3] for f in surrogates.find(text)] == [(5, 5 + len(number), "phone")], number
+        new, _ = surrogates.replace(text, keyed, {})
+        assert new != text and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", text)
+        assert [f[2] for f in surrogates.find(new)] == ["phone"], new
+    assert surrogates.find("+44 20 7946 0958")[0][3] == surrogates.find("+442079460958")[0][3]
+    for other in ("on 01-02-2023 or 01.02.2023", "007 12", "2023-01-02 03:04:05", "0.25 and 06 70"):
+        assert surrogates.find(other) == [], other
+
+
 def test_permutations():
     keyed = surrogates.Keyed()
     for n in (2, 10, 777):

@@ -1,10 +1,13 @@
 """Benchmark decontamination: q-gram lemma filtering.
 
-Benchmark items are cut into overlapping windows.  A window of w characters
-and a document region within e edits share at least w - q + 1 - q*e character
-q-grams, whose diagonals (document place less window place) span at most e.
-Shared q-grams are therefore counted in diagonal bands of width 2(e+1) that
-overlap by half; bands that meet the bound are verified by banded alignment.
+Each run of 13 words of a benchmark item is a window, and an item of fewer is
+one window, so a passage of 13 words is found wherever it lies in its item.  A
+window of w characters and a document region within e edits share at least
+w - q + 1 - q*e character q-grams, whose diagonals (document place less window
+place) span at most e.  Shared q-grams are therefore counted in diagonal bands
+of width 2(e+1) that overlap by half, first by item and then, where an item
+has enough for one of its windows, by window; bands that meet the bound are
+verified by banded alignment.
 
 The benchmark is a stated query set: its q-gram index is broadcast while it
 holds at most ``INDEX_CHARS`` characters, and a larger benchmark is taken in
@@ -25,8 +28,11 @@ from pyspark.sql import functions as F
 from .common import id_text, slices, table
 
 Q = 8
-#: Characters of a window and the step between windows, after normalising.
-WINDOW, STEP = 96, 48
+#: Words of a window; a longer word than LONG counts as one for each PIECE
+#: characters, and a character of scripts without spaces as half a word.
+WORDS, LONG, PIECE = 13, 24, 8
+UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x9FFF), (0xA000, 0xA4CF), (0xF900, 0xFAFF),
+            (0x1B000, 0x1B16F), (0x20000, 0x3FFFF))
 #: Edits allowed per character of a window.
 EDIT_RATE = 0.1
 #: Characters of the benchmark in one broadcast index (about 60 bytes each).
@@ -82,34 +88,85 @@ def edits_of(w: int) -> int:
     return max(0, min(int(w * EDIT_RATE), (w - Q) // Q))
 
 
+def spans(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the windows of a normalised text; both ascend."""
+    space = chars == 32
+    alone = np.logical_or.reduce([(chars >= a) & (chars <= b) for a, b in UNSPACED])
+    first = ~space & (np.r_[True, space[:-1] | alone[:-1]] | alone)
+    starts = np.flatnonzero(first)
+    begun = starts[np.cumsum(first) - 1]                # start of the word at each place
+    own = np.cumsum(first) - 1
+    long = np.bincount(own[~space], minlength=len(starts)) > LONG
+    place = np.arange(len(chars))
+    starts = np.flatnonzero(first | ~space & long[own] & ((place - begun) % PIECE == 0))
+    ends = np.r_[starts[1:], len(chars)]
+    ends -= space[ends - 1]
+    words = np.r_[0, np.cumsum(np.where(alone[starts], 0.5, 1.0))]
+    if words[-1] <= WORDS:
+        return np.array([0]), np.array([len(chars)])
+    whole = np.flatnonzero(words[-1] - words[:-1] >= WORDS)
+    return starts[whole], ends[np.searchsorted(words, words[whole] + WORDS) - 1]
+
+
 class Index:
-    """Windows of the items with a sorted array of their q-grams."""
+    """Items and their windows with a sorted array of the items' q-grams."""
 
     def __init__(self, items: list[tuple[int, str]]) -> None:
-        windows: list[np.ndarray] = []
-        owner: list[int] = []
-        for item, text in items:
-            chars = normalised(text)
-            if len(chars) < Q:
-                continue
-            starts = range(0, max(len(chars) - WINDOW, 0) + 1, STEP)
-            for at in sorted({*starts, max(len(chars) - WINDOW, 0)}):
-                windows.append(chars[at:at + WINDOW])
-                owner.append(item)
-        self.windows, self.owner = windows, np.array(owner, np.int64)
-        grams = [qgrams(w) for w in windows] or [np.empty(0, np.uint64)]
-        sizes = np.array([len(g) for g in grams])
-        gram = np.concatenate(grams)
-        order = np.argsort(gram, kind="stable")
-        self.gram, self.many = np.unique(gram, return_counts=True)      # postings of gram k: many[k] from first[k]
+        texts = [(item, chars) for item, text in items if len(chars := normalised(text)) >= Q]
+        starts, ends, owner, number, base, gram, place = [], [], [], [], [], [], []
+        low, high, at, many = [], [], 0, 0
+        for k, (item, chars) in enumerate(texts):
+            a, b = spans(chars)
+            fits = b - a >= Q
+            a, b = a[fits], b[fits]
+            h = qgrams(chars)
+            p = np.arange(len(h))
+            # the windows that hold the q-gram at each place
+            low.append(many + np.searchsorted(b, p + Q))
+            high.append(np.maximum(many + np.searchsorted(a, p, "right"), low[-1]))
+            starts.append(a + at)
+            ends.append(b + at)
+            owner.append(np.full(len(a), item, np.int64))
+            number.append(np.full(len(h), k))
+            base.append(np.full(len(h), at))
+            gram.append(h)
+            place.append(p + at)
+            at, many = at + len(chars), many + len(a)
+
+        def flat(parts: list[np.ndarray], kind: type) -> np.ndarray:
+            return np.concatenate(parts).astype(kind) if parts else np.empty(0, kind)
+        self.chars = flat([c for _, c in texts], np.uint32)
+        self.start, ends, self.owner = flat(starts, np.int64), flat(ends, np.int64), flat(owner, np.int64)
+        self.windows = [self.chars[a:b] for a, b in zip(self.start, ends)]
+        self.length = ends - self.start
+        self.edits = np.array([edits_of(int(w)) for w in self.length], np.int64)
+        self.least = self.length - Q + 1 - Q * self.edits
+        # postings of gram k: many[k] from first[k]
+        grams = flat(gram, np.uint64)
+        order = np.argsort(grams, kind="stable")
+        self.gram, self.many = np.unique(grams, return_counts=True)
         self.first = np.cumsum(self.many) - self.many
-        self.window = np.repeat(np.arange(len(grams)), sizes)[order].astype(np.int32)
-        self.place = (np.arange(len(gram)) - np.repeat(np.cumsum(sizes) - sizes, sizes))[order].astype(np.int32)
+        self.item, self.base, self.place, self.low, self.high = (
+            flat(x, np.int32)[order] for x in (number, base, place, low, high))
         self.seen = np.zeros(1 << BITS, bool)
         self.seen[_slot(self.gram)] = True
-        self.length = np.array([len(w) for w in windows], np.int64)
-        self.edits = np.array([edits_of(len(w)) for w in windows], np.int64)
-        self.least = self.length - Q + 1 - Q * self.edits
+        # of an item: most edits and least shared q-grams of its windows
+        of = np.repeat(np.arange(len(texts)), [len(a) for a in starts])
+        self.most_edits = np.zeros(len(texts), np.int64)
+        self.fewest = np.full(len(texts), 1 << 40, np.int64)
+        np.maximum.at(self.most_edits, of, self.edits)
+        np.minimum.at(self.fewest, of, self.least)
+        self.longest = max([len(c) for _, c in texts], default=0)
+
+    def hits(self, at: np.ndarray, k: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``(place in the text, posting)`` in blocks of about a million."""
+        lo, n = self.first[k], self.many[k]
+        first, total = 0, np.cumsum(n)
+        while first < len(at):
+            last = max(first + 1, int(np.searchsorted(total, (total[first - 1] if first else 0) + (1 << 20), "right")))
+            m = n[first:last]
+            yield np.repeat(at[first:last], m), np.repeat(lo[first:last] - (np.cumsum(m) - m), m) + np.arange(m.sum())
+            first = last
 
     def bands(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(window, first diagonal of the band)`` that meet the bound."""
@@ -118,54 +175,63 @@ class Index:
         k = np.minimum(np.searchsorted(self.gram, h[at]), len(self.gram) - 1)
         hit = self.gram[k] == h[at] if len(at) else np.empty(0, bool)
         at, k = at[hit], k[hit]
-        lo, n = self.first[k], self.many[k]
-        keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
-        first = 0
-        total = np.cumsum(n)
-        while first < len(at):          # postings in blocks of about a million
-            last = max(first + 1, int(np.searchsorted(total, (total[first - 1] if first else 0) + (1 << 20), "right")))
-            m = n[first:last]
-            k = np.repeat(lo[first:last] - (np.cumsum(m) - m), m) + np.arange(m.sum())
-            window = self.window[k].astype(np.int64)
-            diagonal = np.repeat(at[first:last], m) - self.place[k] + WINDOW
-            band = diagonal // (self.edits[window] + 1)
-            key = np.concatenate([(window << 40) + band, (window << 40) + band - 1])
-            key, own = np.unique(key, return_counts=True)
-            if len(keys):
-                keys, inverse = np.unique(np.concatenate([keys, key]), return_inverse=True)
-                counts = np.bincount(inverse, np.concatenate([counts, own])).astype(np.int64)
-            else:
-                keys, counts = key, own
-            first = last
+
+        def by_item(where: np.ndarray, post: np.ndarray) -> np.ndarray:
+            item = self.item[post].astype(np.int64)
+            diagonal = where - (self.place[post] - self.base[post]) + self.longest
+            return (item << 40) + diagonal // (self.most_edits[item] + 1)
+
+        counted = _Counts()
+        for where, post in self.hits(at, k):
+            counted.add(by_item(where, post))
+        keys, counts = counted.keys, counted.counts
+        near = keys[counts >= self.fewest[keys + 1 >> 40]]
+        if not len(near):
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        counted = _Counts()
+        for where, post in self.hits(at, k):
+            band = by_item(where, post)
+            kept = np.isin(band, near) | np.isin(band - 1, near)
+            where, post = where[kept], post[kept]
+            # each hit for all windows that hold it
+            first, total = 0, np.cumsum(n := self.high[post] - self.low[post])
+            while first < len(where):
+                last = max(first + 1, int(np.searchsorted(total, (total[first - 1] if first else 0) + (1 << 20), "right")))
+                m = n[first:last]
+                window = (np.repeat(self.low[post[first:last]] - (np.cumsum(m) - m), m) + np.arange(m.sum())).astype(np.int64)
+                diagonal = np.repeat(where[first:last] - self.place[post[first:last]], m) + self.start[window] + self.longest
+                counted.add((window << 40) + diagonal // (self.edits[window] + 1))
+                first = last
+        keys, counts = counted.keys, counted.counts
         # a band number of -1 borrows from the window's bits; the shift by one undoes it
         window = keys + 1 >> 40
         keep = counts >= self.least[window]
         window, band = window[keep], (keys - (window << 40))[keep]
-        return window, band * (self.edits[window] + 1) - WINDOW
+        return window, band * (self.edits[window] + 1) - self.longest
 
     def verify(self, text: np.ndarray, window: np.ndarray, diagonal: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Least edits of each window in its band, and where that alignment ends."""
         least, ends = np.full(len(window), 1 << 20), np.zeros(len(window), np.int64)
-        for w in np.unique(self.length[window]):
-            for part in np.array_split(rows := np.flatnonzero(self.length[window] == w), len(rows) // 4096 + 1):
-                if not len(part):
-                    continue
-                e = int(self.edits[window[part[0]]])
-                low = diagonal[part] - e                       # the band, and e more on both sides
-                width = 4 * e + 3
-                lane = np.arange(width)
-                pattern = np.stack([self.windows[k] for k in window[part]])
-                cost = np.zeros((len(part), width), np.int64)
-                for i in range(w):
-                    j = low[:, None] + i + lane
-                    inside = (j >= 0) & (j < len(text))
-                    char = np.where(inside, text[np.clip(j, 0, len(text) - 1)], EDGE)
-                    step = cost + (char != pattern[:, i, None])
-                    step[:, :-1] = np.minimum(step[:, :-1], cost[:, 1:] + 1)
-                    cost = np.minimum.accumulate(step - lane, axis=1) + lane
-                best = cost.argmin(axis=1)
-                least[part] = cost[np.arange(len(part)), best]
-                ends[part] = low + best + w
+        order = np.argsort(-self.length[window], kind="stable")
+        for part in np.array_split(order, len(order) // 4096 + 1):
+            length = self.length[window[part]]                     # descends: the rows still at work come first
+            e = int(self.edits[window[part]].max())
+            low = diagonal[part] - e                               # the band, and e more on both sides
+            width = 4 * e + 3
+            lane = np.arange(width)
+            short = lane.astype(np.int16)
+            cost = np.zeros((len(part), width), np.int16)
+            for i in range(int(length[0])):
+                n = int(np.searchsorted(-length, -i))
+                j = low[:n, None] + i + lane
+                inside = (j >= 0) & (j < len(text))
+                char = np.where(inside, text[np.clip(j, 0, len(text) - 1)], EDGE)
+                step = cost[:n] + (char != self.chars[self.start[window[part[:n]]] + i, None])
+                step[:, :-1] = np.minimum(step[:, :-1], cost[:n, 1:] + 1)
+                cost[:n] = np.minimum.accumulate(step - short, axis=1) + short
+            best = cost.argmin(axis=1)
+            least[part] = cost[np.arange(len(part)), best]
+            ends[part] = low + best + length
         return least, ends
 
     def matches(self, text: np.ndarray) -> list[tuple[int, int, int, int]]:
@@ -179,6 +245,22 @@ class Index:
                 for w, e, d in zip(window[good], end[good], edits[good])]
 
 
+class _Counts:
+    """Counts of band keys; a hit counts for its band and the one before."""
+
+    def __init__(self) -> None:
+        self.keys, self.counts = np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def add(self, key: np.ndarray) -> None:
+        key, own = np.unique(np.concatenate([key, key - 1]), return_counts=True)
+        if len(self.keys):
+            keys, inverse = np.unique(np.concatenate([self.keys, key]), return_inverse=True)
+            self.counts = np.bincount(inverse, np.concatenate([self.counts, own]), len(keys)).astype(np.int64)
+            self.keys = keys
+        else:
+            self.keys, self.counts = key, own
+
+
 def shards(benchmark: DataFrame, most: int = INDEX_CHARS) -> Iterator[Index]:
     """Indexes over the benchmark, each of about ``most`` characters."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text IS NOT NULL")

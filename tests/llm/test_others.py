@@ -183,6 +183,26 @@ def test_decontamination_lemma():
             break
 
 
+def test_decontamination_passages():
+    """Every passage of 13 words is found, wherever it lies in its item; in
+    scripts without spaces, 26 characters.  Eight words are none."""
+    item = words(60, 60)
+    split = item.split()
+    han = "".join(chr(0x4E00 + k * 7919 % 20000) for k in range(120))
+    index = decontaminate.Index([(1, item), (2, han)])
+
+    def found(passage):
+        return [f[0] for f in decontaminate._found(index, [words(61, 30), f"{words(62, 30)} {passage} {words(63, 30)}"])[1]]
+    for k in range(len(split) - 12):
+        assert found(" ".join(split[k:k + 13])) == [1]
+        assert found(" ".join(split[k:k + 8])) == []
+    for k in range(len(han) - 25):
+        assert found(han[k:k + 26]) == [2]
+    long = "".join(f"{k * 7919 % 10007:04x}" for k in range(200))
+    index = decontaminate.Index([(3, long)])
+    assert found(long[333:333 + 112]) == [3]
+
+
 def test_decontamination_edge(edge, empty, spark):
     bench, _ = benchmark(spark)
     assert decontaminate.contaminated(edge, bench).count() == 0

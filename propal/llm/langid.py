@@ -1,20 +1,23 @@
 """Language ID with character language models.
 
-Texts become symbols: letters (lower case) fall in 63 classes, and a run of
-anything else is one boundary.  For each language, counts of all 4-grams of
-all its training texts give an interpolated Kneser-Ney model; n-grams are
-packed into integers of 24 bits and kept in sorted arrays.  A text gets the
+Texts become symbols: the UTF-16 units of their letters (lower case), so that
+letters of all scripts are told apart, and a run of anything else is one
+boundary.  For each language, counts of all 4-grams of all its training texts
+give an interpolated Kneser-Ney model; n-grams are packed into integers of 64
+bits and kept in sorted arrays.  A text gets the
 language with the lowest cross-entropy per symbol.  On training texts that the
 counts leave out, a logistic curve turns the lead over the second language
 into a probability, and gives the rejection threshold.
 
-The counts are a Spark aggregate over all training texts.  Four symbols of 64
-classes bound a model at 2^24 n-grams a language, so it is built on the driver
-and broadcast; with 4 languages it holds some hundred thousand.
+The counts are a Spark aggregate over all training texts.  The model holds the
+distinct 4-grams of the training texts, which grow with the scripts in them and
+little with their number; it is built on the driver and broadcast.  With the 4
+languages of the test tables it holds some hundred thousand.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from functools import cache
 
@@ -26,8 +29,10 @@ from pyspark.sql import functions as F
 
 from .common import slices, table
 
-ORDER, BITS = 4, 6
-SYMBOLS = 1 << BITS
+ORDER = 4
+#: Bits of a symbol by the type of the packed n-grams: letter classes, UTF-16 units.
+BITS = {np.dtype(np.uint32): 6, np.dtype(np.uint64): 16}
+SYMBOLS = 64
 #: Training texts that calibrate, at most.
 CALIBRATION = 20_000
 #: Share of wrong answers among those that are not rejected, on calibration texts.
@@ -49,18 +54,44 @@ def classes() -> np.ndarray:
 
 
 def symbols(text: str) -> np.ndarray:
-    """Classes of a text with a boundary at both ends; one symbol if it has no letter."""
+    """Classes of a text with a boundary at both ends; one symbol if it has no
+    letter.  The models are on ``units``; this coding is for texts of few letters."""
     raw = classes()[np.frombuffer(text.lower().encode("utf-32-le"), "<u4")]
     raw = np.r_[np.uint8(0), raw, np.uint8(0)]
     return raw[np.r_[True, (raw[1:] != 0) | (raw[:-1] != 0)]]
 
 
+@cache
+def letters() -> np.ndarray:
+    """Whether each code point is a letter or a mark (vowel signs, accents)."""
+    return np.array([unicodedata.category(chr(p))[0] in "LM" for p in range(0x110000)])
+
+
+def units(text: str) -> np.ndarray:
+    """UTF-16 units of the letters of a text, 0 for a run of the rest and at
+    both ends; one symbol if it has no letter."""
+    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
+    points = np.where(letters()[points], points, 0)
+    points = np.r_[np.uint32(0), points, np.uint32(0)]
+    points = points[np.r_[True, (points[1:] != 0) | (points[:-1] != 0)]]
+    wide = points > 0xFFFF
+    if not wide.any():
+        return points.astype(np.uint16)
+    at = np.arange(len(points)) + np.cumsum(wide) - wide
+    out = np.zeros(len(points) + int(wide.sum()), np.uint16)
+    out[at] = np.where(wide, 0xD800 + (points - 0x10000 >> 10), points)
+    out[at[wide] + 1] = 0xDC00 + (points[wide] & 0x3FF)
+    return out
+
+
 def grams(sym: np.ndarray) -> np.ndarray:
-    """Packed 4-grams that end at each symbol but the first."""
-    s = np.r_[np.zeros(ORDER - 2, np.uint8), sym].astype(np.uint32)
-    out = np.zeros(max(len(s) - ORDER + 1, 0), np.uint32)
+    """Packed 4-grams that end at each symbol but the first: of classes in 32
+    bits, of UTF-16 units in 64."""
+    kind = np.uint32 if sym.dtype == np.uint8 else np.uint64
+    s = np.r_[np.zeros(ORDER - 2, sym.dtype), sym].astype(kind)
+    out = np.zeros(max(len(s) - ORDER + 1, 0), kind)
     for k in range(ORDER):
-        out = out << np.uint32(BITS) | s[k:k + len(out)]
+        out = out << kind(BITS[out.dtype]) | s[k:k + len(out)]
     return out
 
 
@@ -77,14 +108,14 @@ def gram_counts(texts: DataFrame) -> DataFrame:
         for batch in slices(batches):
             own: dict[str, list] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
-                own.setdefault(lang, []).append(grams(symbols(text.as_py())))
+                own.setdefault(lang, []).append(grams(units(text.as_py())))
             for lang, parts in own.items():
                 keys, n = np.unique(np.concatenate(parts), return_counts=True)
                 held[lang] = [merged([*held.get(lang, []), (keys, n)])]
         for lang, [(keys, n)] in held.items():
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys.astype(np.int32)),
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys.view(np.int64)),
                                               pa.array(n)], names=["lang", "gram", "n"])
-    return (texts.mapInArrow(run, "lang string, gram int, n long")
+    return (texts.mapInArrow(run, "lang string, gram long, n long")
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
 
 
@@ -92,24 +123,24 @@ class KneserNey:
     """Interpolated Kneser-Ney model from 4-gram counts (``keys`` sorted)."""
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        self.levels = []
+        self.levels, self.bits = [], BITS[keys.dtype]
         for n in range(ORDER, 0, -1):
             ones, twos = (counts == 1).sum(), (counts == 2).sum()
             discount = float(np.clip(ones / max(ones + 2 * twos, 1), 0.05, 0.95))
-            contexts, first = np.unique(keys >> np.uint32(BITS), return_index=True)
+            contexts, first = np.unique(keys >> keys.dtype.type(self.bits), return_index=True)
             totals = np.add.reduceat(counts, first)
             kinds = np.diff(np.r_[first, len(keys)])
             own = np.repeat(totals, kinds)
             self.levels.insert(0, (keys, (counts - discount) / own, contexts, discount * kinds / totals))
             # lower orders count the distinct symbols before an n-gram
-            keys, counts = np.unique(keys & np.uint32((1 << BITS * (n - 1)) - 1), return_counts=True)
+            keys, counts = np.unique(keys & keys.dtype.type((1 << self.bits * (n - 1)) - 1), return_counts=True)
 
     def probability(self, codes: np.ndarray, n: int = ORDER) -> np.ndarray:
         if n == 0:
-            return np.full(len(codes), 1 / SYMBOLS)
+            return np.full(len(codes), 1 / (1 << self.bits))
         keys, direct, contexts, rest = self.levels[n - 1]
-        below = self.probability(codes & np.uint32((1 << BITS * (n - 1)) - 1), n - 1)
-        at, seen = _find(contexts, codes >> np.uint32(BITS))
+        below = self.probability(codes & codes.dtype.type((1 << self.bits * (n - 1)) - 1), n - 1)
+        at, seen = _find(contexts, codes >> codes.dtype.type(self.bits))
         below = np.where(seen, rest[at] * below, below)
         at, seen = _find(keys, codes)
         return below + np.where(seen, direct[at], 0)
@@ -128,24 +159,41 @@ class Languages:
         self.models = [KneserNey(*counts[k]) for k in self.names]
         self.keys = np.unique(np.concatenate([counts[k][0] for k in self.names]))
         self.log = [np.log(m.probability(self.keys)) for m in self.models]
-        # rank directory of the sorted array: a bit per possible n-gram and the number of bits before each word
-        word = self.keys >> np.uint32(6)
-        self.bits = np.zeros(1 << BITS * ORDER - 6, np.uint64)
-        np.bitwise_or.at(self.bits, word, np.uint64(1) << (self.keys & np.uint32(63)).astype(np.uint64))
-        self.before = np.searchsorted(word, np.arange(len(self.bits))).astype(np.int32)
+        # hash table of the sorted array, at most a quarter full: the place of the n-gram in each slot, -1 for none
+        self.shift = np.uint64(64 - max(4, (4 * len(self.keys)).bit_length()))
+        self.table = np.full(1 << 64 - int(self.shift), -1, np.int32)
+        left, slot = np.arange(len(self.keys), dtype=np.int32), self.slots(self.keys)
+        while len(left):
+            free = self.table[slot] < 0
+            self.table[slot[free]] = left[free]
+            out = self.table[slot] != left
+            left, slot = left[out], slot[out] + 1 & len(self.table) - 1
         self.slope, self.offset, self.least = 1.0, 0.0, 0.0
 
+    def slots(self, codes: np.ndarray) -> np.ndarray:
+        mixed = (codes ^ codes >> np.uint64(29)) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> self.shift).astype(np.int64)
+
     def places(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place in the sorted array of each n-gram, and whether it is there."""
-        word, bit = codes >> np.uint32(6), (codes & np.uint32(63)).astype(np.uint64)
-        bits = self.bits[word]
-        at = self.before[word] + np.bitwise_count(bits & (np.uint64(1) << bit) - np.uint64(1))
-        return np.minimum(at, len(self.keys) - 1), (bits >> bit & np.uint64(1)).astype(bool)
+        slot = self.slots(codes)
+        at = self.table[slot]
+        seen = (at >= 0) & (self.keys[at] == codes)
+        left = np.flatnonzero(~seen & (at >= 0))
+        slot = slot[left]
+        while len(left):            # on to the next slot, as far as they are taken by others
+            slot = slot + 1 & len(self.table) - 1
+            own = self.table[slot]
+            at[left], hit = own, (own >= 0) & (self.keys[own] == codes[left])
+            seen[left] = hit
+            more = ~hit & (own >= 0)
+            left, slot = left[more], slot[more]
+        return np.maximum(at, 0), seen
 
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Nats per symbol of each text under each language, and its number of
         predicted symbols (0 without a letter)."""
-        parts = [grams(symbols(t)) for t in texts]
+        parts = [grams(units(t)) for t in texts]
         sizes = np.array([len(p) for p in parts], np.int64)
         out = np.zeros((len(texts), len(self.names)))
         full = np.flatnonzero(sizes)
@@ -209,7 +257,7 @@ def train(docs: DataFrame, calibration: int = CALIBRATION) -> Languages | None:
     names, keys, n = (rows.column(c) for c in ("lang", "gram", "n"))
     for lang in names.unique().to_pylist():
         own = pa.compute.equal(names, lang)
-        key = keys.filter(own).to_numpy().astype(np.uint32)
+        key = keys.filter(own).to_numpy().view(np.uint64)
         order = np.argsort(key)
         counts[lang] = key[order], n.filter(own).to_numpy()[order]
     if not counts:

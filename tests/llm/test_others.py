@@ -3,7 +3,8 @@
 import re
 
 import corpus_pipeline
-from propal.llm import decontaminate, line_dedup, quality, surrogates
+import numpy as np
+from propal.llm import decontaminate, langid, line_dedup, quality, surrogates
 from tests.llm import brute
 from tests.llm.conftest import words
 
@@ -222,6 +223,37 @@ def test_decontamination_given(small, spark):
     assert exact and got == exact
 
 
+def test_language_id_scripts(spark):
+    """Languages of one script other than Latin are told apart, and scripts too."""
+    import random
+
+    def text(seed, alphabet, often):
+        own = random.Random(seed)
+        said = ["".join(own.choices(alphabet, weights=[9 if c in often else 1 for c in alphabet], k=4)) for _ in range(60)]
+        return " ".join(said)
+    cyrillic, greek, arabic = "\u0430\u0431\u0432\u0433\u0434\u0435\u0436\u0437", "\u03b1\u03b2\u03b3\u03b4", "\u0627\u0628\u062a\u062b"
+    kinds = {"ru": (cyrillic, cyrillic[:3]), "uk": (cyrillic, cyrillic[4:7]), "el": (greek, greek[:2]), "gx": (greek, greek[2:]),
+             "ar": (arabic, arabic[:2]), "fa": (arabic, arabic[2:]), "zh": ("\u4e00\u4e01\u4e02\u4e03", "\u4e00\u4e01"),
+             "ja": ("\u4e00\u4e01\u4e02\u4e03", "\u4e02\u4e03"), "pl": ("\u0105\u0119\u0142\u0144", "\u0105\u0119"),
+             "cs": ("\u0105\u0119\u0142\u0144", "\u0142\u0144"), "wide": ("\U00020000\U00020001", "\U00020000"),
+             "wider": ("\U00020000\U00020001", "\U00020001")}
+    rows = [(k * 100 + n, lang, text(k * 100 + n, *kind)) for k, (lang, kind) in enumerate(kinds.items()) for n in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.predict_languages(docs).collect() if r["held_out"]}
+    wrong = [(lang, got[d]) for d, lang, _ in rows if d in got and got[d] != lang]
+    assert len(got) > 50 and wrong == []
+
+
+def test_language_symbols():
+    assert langid.units("A1\U00020001 \u0416").tolist() == [0, ord("a"), 0, 0xD840, 0xDC01, 0, 0x436, 0]
+    keys = langid.grams(langid.units("\u0436\u0430\u0431\u0430 abc " * 3))
+    counts = {lang: np.unique(k, return_counts=True) for lang, k in (("x", keys), ("y", keys[:5]))}
+    models = langid.Languages(counts)
+    place, seen = models.places(np.r_[models.keys, keys + np.uint64(7 << 40)])
+    assert seen.tolist() == [True] * len(models.keys) + [k in set(models.keys) for k in keys + np.uint64(7 << 40)]
+    assert place[:len(models.keys)].tolist() == list(range(len(models.keys)))
+
+
 def test_quality(spark):
     """Trained on half of the labels, right on the other half."""
     from tests.conftest import SF_CHECK

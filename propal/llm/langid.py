@@ -5,9 +5,9 @@ letters of all scripts are told apart, and a run of anything else is one
 boundary.  For each language, counts of all 4-grams of all its training texts
 give an interpolated Kneser-Ney model; n-grams are packed into integers of 64
 bits and kept in sorted arrays.  A text gets the
-language with the lowest cross-entropy per symbol.  On training texts that the
-counts leave out, a logistic curve turns the lead over the second language
-into a probability, and gives the rejection threshold.
+language with the lowest cross-entropy per symbol.  By models of a part of the
+training texts and on texts of the rest, a logistic curve turns the lead over
+the second language into a probability, and gives the rejection threshold.
 
 The counts are a Spark aggregate over all training texts.  The model holds the
 distinct 4-grams of the training texts, which grow with the scripts in them and
@@ -247,12 +247,9 @@ def remainder() -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
 
 
-def train(docs: DataFrame, calibration: int = CALIBRATION) -> Languages | None:
-    """Models from the texts with a language whose remainder is 0 or 1,
-    calibrated on those whose remainder is 3.  None without such texts."""
-    known = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
-    rows = gram_counts(known.where(remainder() < 2)).toArrow()
+def counted(texts: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Sorted 4-grams of each language and their counts."""
+    rows = gram_counts(texts).toArrow()
     counts = {}
     names, keys, n = (rows.column(c) for c in ("lang", "gram", "n"))
     for lang in names.unique().to_pylist():
@@ -260,16 +257,31 @@ def train(docs: DataFrame, calibration: int = CALIBRATION) -> Languages | None:
         key = keys.filter(own).to_numpy().view(np.uint64)
         order = np.argsort(key)
         counts[lang] = key[order], n.filter(own).to_numpy()[order]
-    if not counts:
+    return counts
+
+
+def train(docs: DataFrame, calibration: int = CALIBRATION) -> Languages | None:
+    """Models from all texts with a language that are not held out.  They are
+    calibrated on texts whose remainder is 3, by models of remainders 0 and 1
+    alone.  None without such texts."""
+    known = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
+    counts, more = counted(known.where(remainder() < 2)), counted(known.where(remainder() == 3))
+    whole = {lang: merged([c[lang] for c in (counts, more) if lang in c]) for lang in {*counts, *more}}
+    if not whole:
         return None
-    models = Languages(counts)
+    models = Languages(whole)
+    if not counts:
+        return models
+    part = Languages(counts)
     held = known.where(remainder() == 3)
     size = held.count()
     share = min(1.0, calibration / max(size, 1))
     held = held.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    rows = scored(held, models, extra=("lang",)).where("n_symbols > 0").select("lead", "lang", "lang_pred").toArrow()
-    models.calibrate(rows.column("lead").to_numpy(),
-                     pa.compute.equal(rows.column("lang"), rows.column("lang_pred")).to_numpy(zero_copy_only=False))
+    rows = scored(held, part, extra=("lang",)).where("n_symbols > 0").select("lead", "lang", "lang_pred").toArrow()
+    part.calibrate(rows.column("lead").to_numpy(),
+                   pa.compute.equal(rows.column("lang"), rows.column("lang_pred")).to_numpy(zero_copy_only=False))
+    models.slope, models.offset, models.least = part.slope, part.offset, part.least
     return models
 
 

@@ -244,6 +244,20 @@ def test_language_id_scripts(spark):
     assert len(got) > 50 and wrong == []
 
 
+def test_language_of_calibration_texts(spark):
+    """A language that only remainder 3 has is learnt too."""
+    import zlib
+    texts = {True: "zzz qqq zqz qzq " * 6, False: "abba cada bab dac " * 6}
+    rows = []
+    for d in range(120):
+        part = zlib.crc32(str(d).encode()) % 4
+        rare = d % 2 == 0 if part == 2 else part == 3
+        rows.append((d, "rare" if rare else "often", texts[rare]))
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.predict_languages(docs).collect()}
+    assert got == {d: lang for d, lang, _ in rows}
+
+
 def test_language_symbols():
     assert langid.units("A1\U00020001 \u0416").tolist() == [0, ord("a"), 0, 0xD840, 0xDC01, 0, 0x436, 0]
     keys = langid.grams(langid.units("\u0436\u0430\u0431\u0430 abc " * 3))

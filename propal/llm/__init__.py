@@ -1,4 +1,5 @@
-"""Operators of a training-data pipeline over ``documents`` (doc_id, text, lang, source, n_chars).
+"""Operators of a training-data pipeline over ``documents`` (doc_id, text, lang, source, n_chars)
+and ``embeddings`` (vec_id, embedding).
 
 Nothing else in the library imports this subpackage.
 """

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
 
 import regex
 from xxhash import xxh64_intdigest
@@ -135,3 +137,61 @@ def lines(docs):
         for d, k in places - {min(places)}:
             gone.setdefault(d, set()).add(k)
     return {d: (len((t or "").split("\n")), sorted(gone.get(below(d), ()))) for d, t in docs}
+
+
+def variants(docs, least_chars=5, least_count=3):
+    """``(word, form, root, n, n_near, form_n)`` from all words without each of their letters."""
+    count = {}
+    for d, t in docs:
+        for m in re.finditer("[A-Za-z\u00C0-\u00FF]+", t or ""):
+            word = re.sub("[A-Z]", lambda x: x.group().lower(), m.group())
+            h = zlib.crc32(f"{'' if d is None else d}:{word}".encode())
+            if h % 97 == 0:
+                word = word[:h % len(word)] + word[h % len(word) + 1:]
+            count[word] = count.get(word, 0) + 1
+    words = {w: n for w, n in count.items() if len(w) >= least_chars and n >= least_count}
+    lacking = {}                       # words by what is left of them without one letter, and its place
+    for w in words:
+        for i in range(len(w)):
+            lacking.setdefault((w[:i], w[i + 1:]), set()).add(w)
+    near = {w: set() for w in words}
+    for (head, tail), ws in lacking.items():
+        for w in ws:
+            near[w] |= ws - {w}
+            if head + tail in words:
+                near[w].add(head + tail)
+                near[head + tail].add(w)
+    form = {}
+    for w, vs in near.items():
+        best = min(vs, key=lambda v: (-words[v], v), default=None)
+        form[w] = best if best is not None and words[best] >= 2 * words[w] else None
+    out = []
+    for w in words:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, words[w], len(near[w]), words.get(form[w])))
+    return out
+
+
+def clusters(rows, k=8, rounds=10):
+    """``(vec_id, cluster, distance, cluster_inertia, inertia, centroid_sha256)``; every distance is measured."""
+    vectors = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows
+               if v is not None and len(v) == 64 and all(x is not None and math.isfinite(x) for x in v)]
+    first = sorted((sha(f"3:{'' if i is None else i}"), v) for i, v in vectors)[:k]
+    centroids = [v for _, v in first]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c)), n) for n, c in enumerate(centroids))
+    for _ in range(rounds):
+        groups = {}
+        for _, v in vectors:
+            groups.setdefault(nearest(v)[1], []).append(v)
+        centroids = [[sum(x) // len(groups[n]) for x in zip(*groups[n])] if n in groups else c
+                     for n, c in enumerate(centroids)]
+    found = [(i, *nearest(v)[::-1]) for i, v in vectors]
+    whole = sum(d for _, _, d in found)
+    inertia = {c: sum(d for _, x, d in found if x == c) for _, c, _ in found}
+    inertia, whole = {c: x if x < 2 ** 63 else None for c, x in inertia.items()}, whole if whole < 2 ** 63 else None
+    found = [(i, c, d if d < 2 ** 63 else None) for i, c, d in found]
+    return [(i, c, d, inertia[c], whole, sha(",".join(map(str, centroids[c])))) for i, c, d in found]

@@ -292,22 +292,29 @@ def score_table(model: PipelineModel, df: DataFrame, keys: Sequence[str], label:
     return out.select(*cols)
 
 
+def pipeline_auc(pipeline: Pipeline, df: DataFrame, label: str = "TARGET", folds: int = 3, seed: int = 0) -> float:
+    """Mean ROC AUC of a pipeline over ``folds`` folds."""
+    judge = BinaryClassificationEvaluator(labelCol=label)
+    return float(CrossValidator(estimator=pipeline, estimatorParamMaps=[{}], evaluator=judge, numFolds=folds,
+                                seed=seed).fit(df).avgMetrics[0])
+
+
+def best_of(spark, aucs: dict[str, float]) -> DataFrame:
+    """``(version, cv_auc, best)``; of equal ones the first named is the best."""
+    best = max(aucs, key=aucs.get)
+    return spark.createDataFrame([(v, a, v == best) for v, a in aucs.items()], "version string, cv_auc double, best boolean")
+
+
 def recalibrate(pipeline: Pipeline, df: DataFrame, months: int, label: str = "TARGET", champion: Pipeline | None = None,
                 folds: int = 3, seed: int = 0) -> tuple[PipelineModel, DataFrame]:
     """Refit an old pipeline definition on the last ``months`` months.
     Returns the model and a table ``(version, cv_auc, best)`` with its k-fold
     AUC and, where given, that of the new champion's pipeline on the same rows."""
     recent = last_n_months(df, months, label)
-    judge = BinaryClassificationEvaluator(labelCol=label)
-
-    def cv_auc(p: Pipeline) -> float:
-        return CrossValidator(estimator=p, estimatorParamMaps=[{}], evaluator=judge, numFolds=folds,
-                              seed=seed).fit(recent).avgMetrics[0]
-    found = {"recalibrated": cv_auc(pipeline)} | ({"champion": cv_auc(champion)} if champion is not None else {})
-    best = max(found, key=found.get)
-    table = df.sparkSession.createDataFrame([(v, float(a), v == best) for v, a in found.items()],
-                                            "version string, cv_auc double, best boolean")
-    return pipeline.fit(recent), table
+    found = {"recalibrated": pipeline_auc(pipeline, recent, label, folds, seed)}
+    if champion is not None:
+        found["champion"] = pipeline_auc(champion, recent, label, folds, seed)
+    return pipeline.fit(recent), best_of(df.sparkSession, found)
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequence[str], keys: Sequence[str],

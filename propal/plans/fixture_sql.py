@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import re
 
-from .fixtures import (DIGITAL_REF_DATE, SCORE_MONTHS, EVENT_TYPES, LOB_OF_TYPE, LOBS, WIDE_RECENT_FROM, WIDE_REF_MONTH,
+from .fixtures import (DIGITAL_REF_DATE, EVENT_TYPES, LOB_OF_TYPE, LOBS, WIDE_RECENT_FROM, WIDE_REF_MONTH,
                        WIDE_TARGET_FROM)
 
 
@@ -55,6 +55,10 @@ FROM (SELECT unnest(generate_series(date_trunc('month', min(o_orderdate)), date_
                                     INTERVAL 1 MONTH)) AS d FROM orders))"""
 F["months"] = "SELECT * FROM " + _SPAN
 
+F["last_month"] = f"""
+SELECT M, {_add_months('M', -5)} AS M5, {_add_months('M', -6)} AS M6, {_add_months('M', -12)} AS M12
+FROM (SELECT max(ANO_MES) AS M FROM months)"""
+
 F["cust_orders_month"] = """
 SELECT o_custkey AS ID, ANO_MES, count(*) AS N_ORD, sum(o_totalprice) AS SPEND
 FROM orders_m GROUP BY o_custkey, ANO_MES"""
@@ -163,12 +167,12 @@ FROM orders"""
 F["scores"] = f"""
 SELECT m.ANO_MES, c_custkey AS ID, 'CROSS_SELL' AS MODEL_TYPE, 'v1' AS MODEL_VERSION, 'SD' AS MODEL_LOB,
        ((c_custkey * 7919 + m.ANO_MES) % 10007) / 10007.0 AS EM_EVENTPROBABILITY
-FROM customer, {_months(*SCORE_MONTHS)} m"""
+FROM customer, months m"""
 
 F["scores_v2"] = f"""
 SELECT m.ANO_MES, c_custkey AS ID, 'CROSS_SELL' AS MODEL_TYPE, 'v2' AS MODEL_VERSION, 'SD' AS MODEL_LOB,
        ((c_custkey * 6151 + m.ANO_MES) % 10007) / 10007.0 AS EM_EVENTPROBABILITY
-FROM customer, {_months(*SCORE_MONTHS)} m"""
+FROM customer, months m"""
 
 F["purchases"] = "SELECT ANO_MES, ID FROM universe WHERE TARGET = 1"
 

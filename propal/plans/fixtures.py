@@ -21,7 +21,6 @@ LOB_OF_TYPE = {"ECONOMY": "AUTO", "LARGE": "SD", "MEDIUM": "CAP", "PROMO": "PPR"
                "SMALL": "MRH", "STANDARD": "VDO"}
 LOBS = ("AUTO", "SD", "CAP", "PPR", "MRH", "VDO")
 EVENT_TYPES = ("click", "view", "purchase", "signup", "error")
-SCORE_MONTHS = (199901, 199912)                          # the months in which the stand-in model scored
 WIDE_REF_MONTH = 2001 * 12 + 9                           # "now" of wide_lob (2001-09)
 WIDE_TARGET_FROM = "2000-09-01"
 WIDE_RECENT_FROM = "2001-01-01"
@@ -249,7 +248,7 @@ class Fixtures:
     def build_scores(self) -> DataFrame:
         from ..operators.panel import panel
         c = self.customer.select(F.col("c_custkey").alias("ID"))
-        s = panel(c, *SCORE_MONTHS)
+        s = panel(c, *self.span)
         p = ((F.col("ID") * 7919 + F.col("ANO_MES")) % 10007) / 10007.0
         return s.select("ANO_MES", "ID", F.lit("CROSS_SELL").alias("MODEL_TYPE"), F.lit("v1").alias("MODEL_VERSION"),
                         F.lit("SD").alias("MODEL_LOB"), p.alias("EM_EVENTPROBABILITY"))
@@ -257,7 +256,7 @@ class Fixtures:
     def build_scores_v2(self) -> DataFrame:
         from ..operators.panel import panel
         c = self.customer.select(F.col("c_custkey").alias("ID"))
-        s = panel(c, *SCORE_MONTHS)
+        s = panel(c, *self.span)
         p = ((F.col("ID") * 6151 + F.col("ANO_MES")) % 10007) / 10007.0
         return s.select("ANO_MES", "ID", F.lit("CROSS_SELL").alias("MODEL_TYPE"), F.lit("v2").alias("MODEL_VERSION"),
                         F.lit("SD").alias("MODEL_LOB"), p.alias("EM_EVENTPROBABILITY"))

@@ -559,11 +559,11 @@ SELECT w.ID, coalesce(w.QTD_MESES_ULT_COMPRA_AUTO, 999) AS Recent_Purchase_Activ
        WHEN coalesce(w.QTD_MESES_ULT_COMPRA_AUTO, 999) <= 6 THEN 'Active_Customer'
        WHEN coalesce(w.QTD_MESES_ULT_COMPRA_AUTO, 999) <= 24 THEN 'Moderate_Customer' ELSE 'Dormant_Customer' END
     AS Lifecycle_Stage
-FROM wide_lob w LEFT JOIN (SELECT * FROM customer_snap WHERE ANO_MES = 200012) s ON s.ID_CLIENTE_ANON = w.ID"""
+FROM wide_lob w LEFT JOIN (SELECT * FROM customer_snap WHERE ANO_MES = (SELECT M FROM last_month)) s ON s.ID_CLIENTE_ANON = w.ID"""
 
 
 def _lc_input(fx):
-    s = fx.customer_snap.where(F.col("ANO_MES") == 200012).select(F.col("ID_CLIENTE_ANON").alias("ID"),
+    s = fx.customer_snap.where(F.col("ANO_MES") == fx.span[1]).select(F.col("ID_CLIENTE_ANON").alias("ID"),
                                                                   "QTD_ANOS_ANTIG_CLIENTE", "QTD_IDADE")
     return fx.wide_lob.join(s, "ID", "left").withColumn("QTD_MESES_ULT_COMPRA_APL", F.col("QTD_MESES_ULT_COMPRA_AUTO"))
 
@@ -613,7 +613,7 @@ def _eda_customer(fx):
 
 
 _EDA_SQL = f"""
-WITH s AS (SELECT ID_CLIENTE_ANON AS ID, QTD_ANOS_ANTIG_CLIENTE, QTD_IDADE FROM customer_snap WHERE ANO_MES = 200012),
+WITH s AS (SELECT ID_CLIENTE_ANON AS ID, QTD_ANOS_ANTIG_CLIENTE, QTD_IDADE FROM customer_snap WHERE ANO_MES = (SELECT M FROM last_month)),
 dg AS (SELECT ID, {_DIG} AS dc FROM digital),
 e AS (SELECT list_sort(list_distinct(quantile_cont(VAL_SALDO, {P4}))) AS e FROM wide_lob),
 b AS (SELECT w.ID, w.TARGET, s.QTD_IDADE, s.QTD_ANOS_ANTIG_CLIENTE, coalesce(dg.dc, 0.0) AS dc,

@@ -22,10 +22,10 @@ def _train(fx):
     return fx.line_facts.select(*KEYS, "o_orderdate", *NUMF, "TARGET")
 
 
-@query("E1_split_by_month", "SELECT * FROM universe WHERE ANO_MES > 200007")
+@query("E1_split_by_month", "SELECT * FROM universe WHERE ANO_MES > (SELECT M5 FROM last_month)")
 def e1(fx):
     """Test part of the universe: the last 3 months after the 2-month gap."""
-    train, test = M.split_by_month(fx.universe, 200012, 3)
+    train, test = M.split_by_month(fx.universe, fx.span[1], 3)
     return test
 
 

@@ -215,9 +215,9 @@ FROM customer_snap e
 LEFT JOIN customer_snap s ON s.ID_CLIENTE_ANON = e.ID_CLIENTE_ANON AND {_add_months_sql('s.ANO_MES', 2)} = e.ANO_MES
 LEFT JOIN cust_month h ON h.ID = e.ID_CLIENTE_ANON AND {_add_months_sql('h.ANO_MES', 2)} = e.ANO_MES
 LEFT JOIN geo g ON g.NATION = e.NATION
-WHERE e.ANO_MES = 200012""")
+WHERE e.ANO_MES = (SELECT M FROM last_month)""")
 def b13(fx):
-    """Scoring-time join for 2000-12 that fetches only the source columns the
+    """Scoring-time join for the last month that fetches only the source columns the
     selected features need (lineage expanded to originals)."""
     from ..operators.lineage import source_columns
     snap = fx.customer_snap.withColumnRenamed("ID_CLIENTE_ANON", "ID")
@@ -225,7 +225,7 @@ def b13(fx):
     hist = fx.cust_month
     available = set(snap.columns) | set(hist.columns) | set(fx.geo.columns)
     need = source_columns(lineage, list(B13_SELECTED), available)
-    base = snap.where(F.col("ANO_MES") == 200012).select("ANO_MES", "ID", "NATION")
+    base = snap.where(F.col("ANO_MES") == fx.span[1]).select("ANO_MES", "ID", "NATION")
     out = P.lagged_join(base, snap, ["ID"], 2, "left", columns=[c for c in need if c in snap.columns])
     out = P.lagged_join(out, hist, ["ID"], 2, "left", columns=[c for c in need if c in hist.columns])
     out = P.dim_join(out, fx.geo.select("NATION", *[c for c in need if c in fx.geo.columns]), "NATION")
@@ -234,26 +234,26 @@ def b13(fx):
 
 def _hist_new(fx):
     u = fx.universe
-    return u.where(F.col("ANO_MES") < 200012), u.where(F.col("ANO_MES") == 200012)
+    return u.where(F.col("ANO_MES") < fx.span[1]), u.where(F.col("ANO_MES") == fx.span[1])
 
 
 @query("B14_roll_universe", """
-WITH hist AS (SELECT * FROM universe WHERE ANO_MES < 200012 AND ANO_MES > 199912),
-new AS (SELECT * FROM universe WHERE ANO_MES = 200012),
+WITH hist AS (SELECT * FROM universe WHERE ANO_MES < (SELECT M FROM last_month) AND ANO_MES > (SELECT M12 FROM last_month)),
+new AS (SELECT * FROM universe WHERE ANO_MES = (SELECT M FROM last_month)),
 h2 AS (SELECT * FROM hist WHERE NOT (TARGET = 0 AND ID IN (SELECT ID FROM new WHERE TARGET = 1)))
 SELECT * FROM h2
 UNION ALL
 SELECT * FROM new WHERE NOT (TARGET = 0 AND ID IN (SELECT ID FROM h2))""")
 def b14(fx):
-    """Roll 2000-12 into a 12-month history."""
+    """Roll the last month into a 12-month history."""
     hist, new = _hist_new(fx)
-    return P.roll_universe(hist, new, 200012, 12)
+    return P.roll_universe(hist, new, fx.span[1], 12)
 
 
 @query("B15_cap_new_month", """
-WITH hist AS (SELECT * FROM universe WHERE ANO_MES < 200012),
-new AS (SELECT * FROM universe WHERE ANO_MES = 200012),
-h2 AS (SELECT * FROM hist WHERE ANO_MES > 199912
+WITH hist AS (SELECT * FROM universe WHERE ANO_MES < (SELECT M FROM last_month)),
+new AS (SELECT * FROM universe WHERE ANO_MES = (SELECT M FROM last_month)),
+h2 AS (SELECT * FROM hist WHERE ANO_MES > (SELECT M12 FROM last_month)
        AND NOT (TARGET = 0 AND ID IN (SELECT ID FROM new WHERE TARGET = 1))),
 nf AS (SELECT * FROM new WHERE NOT (TARGET = 0 AND ID IN (SELECT ID FROM h2))),
 k AS (SELECT CAST(floor(least((SELECT count(*) FROM nf),
@@ -264,7 +264,7 @@ WHERE rn <= (SELECT k FROM k)""")
 def b15(fx):
     """Filtered new month sampled down to the history's monthly size."""
     hist, new = _hist_new(fx)
-    kept = hist.where(F.col("ANO_MES") > 199912)
+    kept = hist.where(F.col("ANO_MES") > P.shift_month(fx.span[1], -12))
     buyers = new.where(F.col("TARGET") == 1).select("ID").distinct().withColumn("_nb", F.lit(1))
     h2 = kept.join(buyers, "ID", "left").where(~((F.col("TARGET") == 0) & F.col("_nb").isNotNull())).drop("_nb")
     ids = h2.select("ID").distinct().withColumn("_h", F.lit(1))

@@ -60,10 +60,10 @@ def f3(fx):
     return R.score_percentile(fx.scores)
 
 
-@query("F4_score_history", "SELECT * FROM scores WHERE ANO_MES IN (199907, 199908, 199909, 199910, 199911, 199912)")
+@query("F4_score_history", "SELECT * FROM scores WHERE ANO_MES > (SELECT M6 FROM last_month)")
 def f4(fx):
-    """Scores of 1999-12 and the five previous months."""
-    return R.score_history(fx.scores, 199912, "semestral")
+    """Scores of the last month and the five previous ones."""
+    return R.score_history(fx.scores, fx.span[1], "semestral")
 
 
 _F5_SQL = f"""
@@ -132,8 +132,7 @@ def f7(fx):
     return R.report_layout(t, "CROSS_SELL", "v1", "SD")
 
 
-_HIST = "(199907, 199908, 199909, 199910, 199911, 199912)"
-_F10_SQL = _F6_CORE.replace("FROM scores)", f"FROM scores WHERE ANO_MES IN {_HIST})") + """,
+_F10_SQL = _F6_CORE.replace("FROM scores)", "FROM scores WHERE ANO_MES > (SELECT M6 FROM last_month))") + """,
 avg AS (SELECT PERCENTILE, CAST(sum(CAPTURED) AS BIGINT) AS CAPTURED,
                CAST(sum(TOTAL_CUSTOMER_SCORED) AS BIGINT) AS TOTAL_CUSTOMER_SCORED,
                avg(TOTAL_CUSTOMER_SCORED) AS AVG_CUSTOMER_SCORED, avg(LIFT) AS AVG_LIFTS,
@@ -156,7 +155,7 @@ det AS (SELECT *,
    s0*(s2*t2-t1*s3) - s1*(s1*t2-t1*s2) + t0*(s1*s3-s2*s2) AS Dc FROM sums),
 fit AS (SELECT a3.*, Da / D + Db / D * PERCENTILE + Dc / D * PERCENTILE * PERCENTILE AS POLINOMIAL_FUNCTION,
                la + lb * ln(PERCENTILE) AS LOGARITHMIC_FUNCTION FROM a3, det)
-SELECT 199912 AS ANO_MES, PERCENTILE, CAPTURED, ACCUM_CAPTURED, TOTAL_EVENTS, TOTAL_CUSTOMER_SCORED,
+SELECT CAST((SELECT M FROM last_month) AS INTEGER) AS ANO_MES, PERCENTILE, CAPTURED, ACCUM_CAPTURED, TOTAL_EVENTS, TOTAL_CUSTOMER_SCORED,
        round(AVG_CUSTOMER_SCORED, 6) AS AVG_CUSTOMER_SCORED, round(LIFT, 6) AS LIFT, round(AVG_LIFTS, 6) AS AVG_LIFTS,
        round(CUMULATIVE_LIFT, 6) AS CUMULATIVE_LIFT, round(CUMULATIVE_LIFT_TRANSF, 6) AS CUMULATIVE_LIFT_TRANSF,
        round(CONV_RATE_PERCENTILE, 6) AS CONV_RATE_PERCENTILE, round(CONV_RATE, 6) AS CONV_RATE,
@@ -172,7 +171,7 @@ def f10(fx):
     """Six-month averaged lift by percentile with smoothed conversion (F8)
     and lead lights (F9)."""
     sc = R.score_percentile(fx.scores)
-    t = R.periodic_lift(sc, fx.purchases, 199912, "semestral")
+    t = R.periodic_lift(sc, fx.purchases, fx.span[1], "semestral")
     return t.select("ANO_MES", "PERCENTILE", "CAPTURED", "ACCUM_CAPTURED", "TOTAL_EVENTS", "TOTAL_CUSTOMER_SCORED",
                     *_r6(["AVG_CUSTOMER_SCORED", "LIFT", "AVG_LIFTS", "CUMULATIVE_LIFT", "CUMULATIVE_LIFT_TRANSF",
                           "CONV_RATE_PERCENTILE", "CONV_RATE"]),

@@ -140,7 +140,10 @@ def test_half_written_version_is_not_read(spark, store, table, monkeypatch):
 
 
 def test_recalibrate_from_version(store, table):
-    found = versions.recalibrate_version(store, "two", table, 6, "three", "one" if "one" in store.versions() else None)
+    for name, cats in (("one", ["kind"]), ("two", [])):
+        if name not in store.versions():
+            versions.train_version(store, name, table, pipeline([*FEATURES, *cats]), FEATURES, cats)
+    found = versions.recalibrate_version(store, "two", table, 6, "three", "one")
     assert "three" in store.versions() and found.where("best").count() == 1
     months = table.where("ANO_MES > 200006")
     again = store.load("three")

@@ -8,13 +8,13 @@ SIGNIFICANT), ``coherence`` (family, mean inter-correlation), ``weights``
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import numeric_columns
+from ..functions.moments import pair_correlations
 from ..session import cut_lineage
 from .fitted import median_mode_fit, median_mode_transform
 from .profile import add_p_values, point_biserial, wide_agg
@@ -49,21 +49,14 @@ def members(df: DataFrame, target: str = "TARGET", min_correlation: float = 0.05
             .select("family", "Variable", F.coalesce("R", F.lit(0.0)).alias("R"), "SIGNIFICANT"))
 
 
-def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """``(a, b, r)``: Pearson correlations over rows where both are set, all
-    pairs in as few passes as ``wide_agg`` needs."""
-    r = wide_agg(df, {p: F.corr(F.col(p[0]).cast("double"), F.col(p[1]).cast("double")) for p in pairs}, chunk=1000)
-    return df.sparkSession.createDataFrame([(*p, r[p]) for p in pairs], "a string, b string, r double")
-
-
 def coherence(df: DataFrame, of: DataFrame, coherent: float = COHERENT) -> DataFrame:
     """D39 analysis: ``(family, n_features, avg_inter_correlation,
     is_coherent)`` of families with at least two significant members."""
     strong = of.where("family IS NOT NULL AND SIGNIFICANT").select("family", "Variable")
-    pairs = (strong.withColumnRenamed("Variable", "a").join(strong.withColumnRenamed("Variable", "b"), "family")
-             .where("a < b").select("family", "a", "b"))
-    known = [(r["a"], r["b"]) for r in pairs.collect()]                 # pairs of columns of one family
-    mean = (pairs.join(pair_correlations(df, known), ["a", "b"]).groupBy("family")
+    blocks = {r["family"]: sorted(r["names"]) for r in                   # names of columns
+              strong.groupBy("family").agg(F.collect_list("Variable").alias("names")).orderBy("family").collect()}
+    number = df.sparkSession.createDataFrame(list(enumerate(blocks)), "block int, family string")
+    mean = (pair_correlations(df, list(blocks.values())).join(F.broadcast(number), "block").groupBy("family")     # a family each
             .agg(F.avg(F.coalesce("r", F.lit(0.0))).alias("avg_inter_correlation")))
     return (strong.groupBy("family").agg(F.count("*").alias("n_features")).join(mean, "family")
             .withColumn("is_coherent", F.col("avg_inter_correlation") >= coherent))

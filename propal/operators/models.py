@@ -17,6 +17,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.moments import pair_correlations
 from ..functions.ranking import running_total
 from ..session import cut_lineage
 from .panel import shift_month
@@ -144,11 +145,10 @@ def tree_importance_funnel(df: DataFrame, features: Sequence[str], anova: dict[s
 def correlation_prune(df: DataFrame, ordered: Sequence[str], fixed: Sequence[str] = (), threshold: float = 0.5) -> list[str]:
     """E5: in importance order (fixed features first, duplicates removed)
     drop any feature with |r| > threshold to an already kept one.  The k x k
-    matrix is ONE aggregate; the greedy pass runs on it."""
+    matrix comes from one scan; the greedy pass runs on it."""
     order = list(dict.fromkeys([*fixed, *ordered]))
-    aggs = {(a, b): F.corr(F.col(a).cast("double"), F.col(b).cast("double"))
-            for i, a in enumerate(order) for b in order[i + 1:]}
-    cm = wide_agg(df, aggs, chunk=1000) if aggs else {}
+    close = pair_correlations(df, [order]).where(F.abs("r") > threshold)
+    cm = {(r["a"], r["b"]): r["r"] for r in close.collect()}            # pairs of columns
     kept: list[str] = []
     for f in order:
         if all(abs(cm.get((k, f), cm.get((f, k))) or 0.0) <= threshold for k in kept):

@@ -30,7 +30,7 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from . import q_ingest, q_panel, q_profile, q_features, q_models, q_reports, q_selection, q_versions  # noqa: F401
+    from . import q_ingest, q_panel, q_profile, q_features, q_models, q_reports, q_selection, q_sparse, q_versions  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

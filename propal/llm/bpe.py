@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import uuid
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain, islice
@@ -186,8 +187,8 @@ class Codec:
         return n, ids_hash.hexdigest(), bytes_hash.hexdigest()
 
 
-#: The codec that a worker process made last, by the vocabulary's broadcast.
-_codec: dict[int, Codec] = {}
+#: The codec that a worker process made last, by the name of its vocabulary's broadcast.
+_codec: dict[str, Codec] = {}
 
 
 def _codec_of(shared) -> Codec:
@@ -198,10 +199,11 @@ def _codec_of(shared) -> Codec:
 
 
 class _Shared:
-    """A broadcast vocabulary with a key that is the same in all tasks."""
+    """A broadcast vocabulary with a name that is the same in all tasks and
+    that no other broadcast ever has (an object's address would come back)."""
 
     def __init__(self, spark: SparkSession, vocabulary: Vocabulary) -> None:
-        self.id, self.sent = id(vocabulary), spark.sparkContext.broadcast(vocabulary)
+        self.id, self.sent = uuid.uuid4().hex, spark.sparkContext.broadcast(vocabulary)
 
     @property
     def value(self) -> Vocabulary:

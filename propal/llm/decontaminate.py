@@ -108,6 +108,10 @@ def spans(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts[whole], ends[np.searchsorted(words, words[whole] + WORDS) - 1]
 
 
+#: Stands for a null item_id in an index.
+NO_ID = -(1 << 63)
+
+
 class Index:
     """Items and their windows with a sorted array of the items' q-grams."""
 
@@ -126,7 +130,7 @@ class Index:
             high.append(np.maximum(many + np.searchsorted(a, p, "right"), low[-1]))
             starts.append(a + at)
             ends.append(b + at)
-            owner.append(np.full(len(a), item, np.int64))
+            owner.append(np.full(len(a), NO_ID if item is None else item, np.int64))
             number.append(np.full(len(h), k))
             base.append(np.full(len(h), at))
             gram.append(h)
@@ -296,7 +300,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, index_chars: int = INDEX
 
     ``edits`` is the least number of edits of a window, ``windows`` how many
     were found.  Items of fewer than 8 letters, digits and single spaces have
-    no q-gram and match nothing, like null and empty texts on either side."""
+    no q-gram and match nothing, like null and empty texts on either side.
+    Items without an id are one item with a null ``item_id``."""
     spark = docs.sparkSession
 
     def task(shared) -> Callable:
@@ -304,7 +309,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, index_chars: int = INDEX
             index = shared.value
             for batch in slices(batches, most=1 << 20):
                 found = _found(index, batch.column("text").to_pylist())
-                rows = [(d, *f) for d, fs in zip(batch.column("doc_id").to_pylist(), found) for f in fs]
+                rows = [(d, None if f[0] == NO_ID else f[0], *f[1:])
+                        for d, fs in zip(batch.column("doc_id").to_pylist(), found) for f in fs]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)],
                                                      names=["doc_id", "item_id", "edits", "windows"])

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_text, table, without
+from .common import id_text, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Bytes of keys and nodes that a task's trie holds before it spills a subtree.
@@ -208,8 +208,15 @@ def exact_dedup(docs: DataFrame, owner: str = "largest", trie_bytes: int = TRIE_
 
 
 def keep_owners(docs: DataFrame, owner: str = "largest") -> DataFrame:
-    """The rows of ``docs``, all columns, that own their text."""
-    return without(docs, exact_dedup(docs, owner).where(~F.col("kept")))
+    """The rows of ``docs``, all columns, that own their text.
+
+    A row goes with its own text, not with its doc_id: of rows that repeat a
+    doc_id, one may own its text and another not.  A row without a doc_id stays."""
+    gone = (exact_dedup(docs, owner).where(~F.col("kept") & F.col("doc_id").isNotNull())
+            .select("doc_id", "text_sha256").distinct())
+    norm = F.translate(F.coalesce(docs["text"].cast("string"), F.lit("")), UPPER, LOWER)
+    own = (docs["doc_id"].cast("long") == gone["doc_id"]) & (F.sha2(norm, 256) == gone["text_sha256"])
+    return docs.join(gone, own, "left_anti")
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

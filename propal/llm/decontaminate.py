@@ -41,6 +41,8 @@ INDEX_CHARS = 1 << 20
 EDGE = 0x110000
 MULTIPLIER = 0x9E3779B97F4A7C15
 BITS = 22
+#: Keeps the cells of different items apart.
+SPREAD = 0x9E3779B1
 
 
 @cache
@@ -180,22 +182,20 @@ class Index:
         hit = self.gram[k] == h[at] if len(at) else np.empty(0, bool)
         at, k = at[hit], k[hit]
 
-        def by_item(where: np.ndarray, post: np.ndarray) -> np.ndarray:
-            item = self.item[post].astype(np.int64)
+        def cell(where: np.ndarray, post: np.ndarray, item: np.ndarray) -> np.ndarray:
             diagonal = where - (self.place[post] - self.base[post]) + self.longest
-            return (item << 40) + diagonal // (self.most_edits[item] + 1)
+            return (item * SPREAD + diagonal // (self.most_edits[item] + 1)) & (1 << BITS) - 1
 
-        counted = _Counts()
+        # hits by half band; a band is two neighbours.  Different bands may share a cell: more is kept, never less
+        cells = np.zeros(1 << BITS, np.int64)
         for where, post in self.hits(at, k):
-            counted.add(by_item(where, post))
-        keys, counts = counted.keys, counted.counts
-        near = keys[counts >= self.fewest[keys + 1 >> 40]]
-        if not len(near):
-            return np.empty(0, np.int64), np.empty(0, np.int64)
+            cells += np.bincount(cell(where, post, self.item[post].astype(np.int64)), minlength=1 << BITS)
+        pairs = cells + np.roll(cells, -1)
+        most = np.maximum(pairs, np.roll(pairs, 1))
         counted = _Counts()
         for where, post in self.hits(at, k):
-            band = by_item(where, post)
-            kept = np.isin(band, near) | np.isin(band - 1, near)
+            item = self.item[post].astype(np.int64)
+            kept = most[cell(where, post, item)] >= self.fewest[item]
             where, post = where[kept], post[kept]
             # each hit for all windows that hold it
             first, total = 0, np.cumsum(n := self.high[post] - self.low[post])
@@ -206,7 +206,7 @@ class Index:
                 diagonal = np.repeat(where[first:last] - self.place[post[first:last]], m) + self.start[window] + self.longest
                 counted.add((window << 40) + diagonal // (self.edits[window] + 1))
                 first = last
-        keys, counts = counted.keys, counted.counts
+        keys, counts = counted.bands()
         # a band number of -1 borrows from the window's bits; the shift by one undoes it
         window = keys + 1 >> 40
         keep = counts >= self.least[window]
@@ -218,24 +218,34 @@ class Index:
         least, ends = np.full(len(window), 1 << 20), np.zeros(len(window), np.int64)
         order = np.argsort(-self.length[window], kind="stable")
         for part in np.array_split(order, len(order) // 4096 + 1):
-            length = self.length[window[part]]                     # descends: the rows still at work come first
-            e = int(self.edits[window[part]].max())
-            low = diagonal[part] - e                               # the band, and e more on both sides
+            own = window[part]
+            length, budget = self.length[own], self.edits[own]      # length descends: the columns still at work come first
+            e = int(budget.max())
+            low = diagonal[part] - e                                # the band, and e more on both sides
             width = 4 * e + 3
-            lane = np.arange(width)
-            short = lane.astype(np.int16)
-            cost = np.zeros((len(part), width), np.int16)
-            for i in range(int(length[0])):
+            lane = np.arange(width, dtype=np.int16)[:, None]
+            j = low + np.arange(int(length[0]) + width)[:, None]
+            char = np.where((j >= 0) & (j < len(text)), text[np.clip(j, 0, len(text) - 1)], np.uint32(EDGE))
+            of = np.minimum(self.start[own] + np.arange(int(length[0]))[:, None], len(self.chars) - 1)
+            mine = self.chars[of]
+            cost = np.zeros((width, len(part)), np.int16)
+            for i in range(int(length[0]) + 1):
                 n = int(np.searchsorted(-length, -i))
-                j = low[:n, None] + i + lane
-                inside = (j >= 0) & (j < len(text))
-                char = np.where(inside, text[np.clip(j, 0, len(text) - 1)], EDGE)
-                step = cost[:n] + (char != self.chars[self.start[window[part[:n]]] + i, None])
-                step[:, :-1] = np.minimum(step[:, :-1], cost[:n, 1:] + 1)
-                cost[:n] = np.minimum.accumulate(step - short, axis=1) + short
-            best = cost.argmin(axis=1)
-            least[part] = cost[np.arange(len(part)), best]
-            ends[part] = low + best + length
+                if n < len(part):                                   # windows that end here
+                    best = cost[:, n:].argmin(axis=0)
+                    least[part[n:]] = cost[best, np.arange(n, len(part))]
+                    ends[part[n:]] = low[n:] + best + length[n:]
+                if i % 8 == 0 or n < len(part):
+                    # costs never fall: a window above its budget in all lanes stays so
+                    keep = np.flatnonzero(cost[:, :n].min(axis=0) <= budget[:n]) if i else np.arange(n)
+                    if len(keep) < len(part):
+                        part, length, budget, low = part[keep], length[keep], budget[keep], low[keep]
+                        char, mine, cost = char[:, keep], mine[:, keep], cost[:, keep]
+                if not len(part):
+                    break
+                step = cost + (char[i:i + width] != mine[i])
+                np.minimum(step[:-1], cost[1:] + 1, out=step[:-1])
+                cost = np.minimum.accumulate(step - lane, axis=0) + lane
         return least, ends
 
     def matches(self, text: np.ndarray) -> list[tuple[int, int, int, int]]:
@@ -250,19 +260,26 @@ class Index:
 
 
 class _Counts:
-    """Counts of band keys; a hit counts for its band and the one before."""
+    """Exact counts of half bands; a band is a half band and the next one."""
 
     def __init__(self) -> None:
         self.keys, self.counts = np.empty(0, np.int64), np.empty(0, np.int64)
 
     def add(self, key: np.ndarray) -> None:
-        key, own = np.unique(np.concatenate([key, key - 1]), return_counts=True)
+        key, own = np.unique(key, return_counts=True)
         if len(self.keys):
             keys, inverse = np.unique(np.concatenate([self.keys, key]), return_inverse=True)
-            self.counts = np.bincount(inverse, np.concatenate([self.counts, own]), len(keys)).astype(np.int64)
-            self.keys = keys
-        else:
-            self.keys, self.counts = key, own
+            own = np.bincount(inverse, np.concatenate([self.counts, own]), len(keys)).astype(np.int64)
+            key = keys
+        self.keys, self.counts = key, own
+
+    def bands(self) -> tuple[np.ndarray, np.ndarray]:
+        """Keys and counts of all bands that hold a hit."""
+        keys, ends = self.keys, np.append(self.counts, 0)
+        follows = np.append(keys[1:] == keys[:-1] + 1, False)
+        alone = np.flatnonzero(~np.r_[False, follows[:-1]]) if len(keys) else np.empty(0, int)
+        own = ends[:-1] + np.where(follows, ends[1:], 0)
+        return np.concatenate([keys, keys[alone] - 1]), np.concatenate([own, ends[alone]])
 
 
 def shards(benchmark: DataFrame, most: int = INDEX_CHARS) -> Iterator[Index]:

@@ -63,11 +63,13 @@ def key_block(match: re.Match) -> bool:
 @dataclass(frozen=True)
 class Kind:
     """``keywords`` are matched without regard to ASCII case; ``pattern`` must
-    match at a hit."""
+    match at a hit.  Where it does not, it matches at no other hit in the run
+    of ``run`` there either, so a long run is read once."""
     name: str
     keywords: tuple[str, ...]
     pattern: re.Pattern
     valid: Callable[[re.Match], bool]
+    run: re.Pattern | None = None
 
 
 #: Base kinds in the order of the contract; "hex" has no keyword and is found by its own pattern.
@@ -81,7 +83,8 @@ MORE = (
     Kind("forge", ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), re.compile(r"gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])"),
          crc_base62),
     Kind("package", ("npm_",), re.compile(r"npm_[A-Za-z0-9]{36}(?![A-Za-z0-9])"), crc_base62),
-    Kind("jwt", ("eyj",), re.compile(r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"), signed_token),
+    Kind("jwt", ("eyj",), re.compile(r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"), signed_token,
+         re.compile(r"eyJ[A-Za-z0-9_-]*")),
     Kind("key", ("-----begin ",), re.compile(
         r"-----BEGIN [A-Z ]*PRIVATE KEY-----([A-Za-z0-9+/=\s]+)-----END [A-Z ]*PRIVATE KEY-----"), key_block),
 )
@@ -113,10 +116,14 @@ def scan(text: str, prefilter: ahocorasick.Automaton) -> list[tuple[int, int, st
     for name, places in hits.items():
         free = 0
         for start, kind in sorted(places, key=lambda p: p[0]):
-            if start >= free and (m := kind.pattern.match(text, start)):
+            if start < free:
+                continue
+            if m := kind.pattern.match(text, start):
                 free = m.end()
                 if kind.valid(m):
                     spans.append((start, free, name))
+            elif kind.run and (m := kind.run.match(text, start)):
+                free = m.end()
     return sorted(spans, key=lambda s: (s[0], NAMES.index(s[2])))
 
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -253,6 +253,22 @@ def mentioned_again(text: str, found: list[tuple[int, int, str, str]]) -> list[t
     return sorted(out)
 
 
+def emails(text: str) -> Iterator[re.Match]:
+    """The matches of the email pattern, found from each @ backwards: a long
+    run of letters is read once instead of from each of its letters."""
+    free, at = 0, text.find("@")
+    while at >= 0:
+        if DOMAIN.match(text, at + 1):
+            start = at
+            while start > free and LOCAL.match(text, start - 1):
+                start -= 1
+            if start < at:
+                m = PATTERNS["email"].match(text, start)
+                free = m.end()
+                yield m
+        at = text.find("@", max(at + 1, free))
+
+
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """``(start, end, kind, entity)`` without overlaps, by start; where kinds
     overlap, the one first in KINDS counts."""
@@ -260,19 +276,24 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     for kind, pattern in PATTERNS.items():
         if kind == "email" and "@" not in text or kind not in ("email", "name") and not DIGIT.search(text):
             continue
-        for m in pattern.finditer(text):
+        starts, ends = [f[0] for f in found], [f[1] for f in found]       # of earlier kinds, both ascend
+        for m in emails(text) if kind == "email" else pattern.finditer(text):
             start, end = m.span(1) if kind == "name" else m.span()
             entity = canonical(kind, m.group(), m)
             if kind == "name" and entity:
                 end = start + sum(len(w) for w in re.split(r"(\s+)", m.group(1))[:2 * len(entity.split(" ")) - 1])
                 end -= 2 * (text[end - 2:end] == "'s")
-            if entity and all(end <= s or start >= e for s, e, _, _ in found):
+            at = bisect_right(ends, start)
+            if entity and (at == len(starts) or starts[at] >= end):
                 found.append((start, end, kind, entity))
-    found.sort()
+        found.sort()
     return mentioned_again(text, found) if any(f[2] == "name" for f in found) else found
 
 
 DIGIT = re.compile(r"[0-9]")
+#: A character before the @ of an email, and what follows the @.
+LOCAL = re.compile(r"[A-Za-z0-9À-ÿ_.+-]")
+DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
 NAME_WORD = re.compile(rf"(?<!\w){WORD}(?!\w)")
 #: Country codes; none begins another.
 COUNTRY = re.compile(r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}")

@@ -4,7 +4,7 @@ import random
 import time
 
 import numpy as np
-from propal.llm import decontaminate, secrets, surrogates
+from propal.llm import decontaminate, line_dedup, secrets, surrogates
 
 
 def plain_jwt(text):
@@ -130,3 +130,10 @@ def test_half_bands_make_all_bands():
     bands = dict(zip(*(x.tolist() for x in counted.bands())))
     expected = {b: int(np.isin(keys, (b, b + 1)).sum()) for k in keys.tolist() for b in (k, k - 1)}
     assert bands == expected
+
+
+def test_lengths_that_allow_a_link(spark):
+    """A pair is left out by its lengths only if so many edits exceed the similarity."""
+    sizes = spark.createDataFrame([(a, b) for a in range(1, 60) for b in range(1, 60)], "a int, b int")
+    got = {(r["a"], r["b"]) for r in sizes.where(line_dedup.comparable(sizes["a"], sizes["b"])).collect()}
+    assert got == {(a, b) for a in range(1, 60) for b in range(1, 60) if 5 * abs(a - b) <= max(a, b)}

@@ -193,9 +193,10 @@ def first_by_hash(df: DataFrame, n: int, id_col: str, seed: int = 0) -> DataFram
     """Exactly the first ``n`` rows (or all) in md5(seed|id) order.  Counts by
     the first 4 hex digits (at most 65,536 rows) find the digits at which n is
     reached: rows below are taken where they lie, and only the rows with these
-    digits are ranked."""
+    digits are ranked.  Rows without an id come last."""
     cols = df.columns
-    h = df.withColumn("_h", sample_key(id_col, seed)).withColumn("_d", F.substring("_h", 1, 4))
+    h = (df.withColumn("_h", sample_key(id_col, seed))
+         .withColumn("_d", F.coalesce(F.substring("_h", 1, 4), F.lit("no id"))))
     left, edge = n, None
     for r in sorted(h.groupBy("_d").count().collect()):
         if left <= r["count"]:

@@ -10,7 +10,6 @@ written beside and renamed, so a reader sees a whole file or none.
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -19,6 +18,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import cut_lineage
+from ..sources.commits import SmallFiles
 from . import fitted as FT
 from .models import best_of, last_n_months, pipeline_auc, score_table
 
@@ -68,40 +68,9 @@ class Version:
     model: PipelineModel
 
 
-class Store:
+class Store(SmallFiles):
     """Versions under a folder of any file system that Spark reads."""
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark, self.root = spark, root.rstrip("/")
-
-    # -- small files ---------------------------------------------------------
-    def _path(self, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-
-    def _fs(self):
-        return self._path("").getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _names(self, folder: str) -> list[str]:
-        fs, path = self._fs(), self._path(folder)
-        if not fs.exists(path):
-            return []
-        return sorted(n for s in fs.listStatus(path) if (n := s.getPath().getName()).endswith(".json"))
-
-    def _write(self, name: str, value: dict) -> bool:
-        """A new file, whole or not at all; False where it exists."""
-        fs, path = self._fs(), self._path(name)
-        if fs.exists(path):
-            return False
-        beside = self._path(f"writing/{uuid.uuid4().hex}")
-        out = fs.create(beside, True)
-        out.write(bytearray(json.dumps(value).encode()))
-        out.close()
-        fs.mkdirs(path.getParent())
-        return fs.rename(beside, path)
-
-    def _read(self, name: str) -> dict:
-        return json.loads(self.spark.read.text(f"{self.root}/{name}", wholetext=True).first()[0])
-
     # -- versions ------------------------------------------------------------
     def versions(self) -> list[str]:
         return [n.removesuffix(".json") for n in self._names("commits")]

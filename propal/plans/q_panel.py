@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import panel as P
+from ..operators.month_table import MonthTable
+from ..session import scratch_path
 from .catalog import query
 
 PERSON_TYPES = ("BUILDING", "AUTOMOBILE", "MACHINERY", "HOUSEHOLD")
@@ -250,6 +252,39 @@ def b14(fx):
     return P.roll_universe(hist, new, fx.span[1], 12)
 
 
+def _rolled_sql(steps: int) -> str:
+    """The last ``steps`` months taken in one after the other, each capped."""
+    ctes = [f"h0 AS MATERIALIZED (SELECT ANO_MES, ID, TARGET FROM universe, lm WHERE ANO_MES < {_add_months_sql('M', 1 - steps)})"]
+    old = []
+    for i in range(1, steps + 1):
+        first = _add_months_sql("M", i - steps - 12)
+        ctes += [
+            f"n{i} AS MATERIALIZED (SELECT ANO_MES, ID, TARGET FROM universe, lm WHERE ANO_MES = {_add_months_sql('M', i - steps)})",
+            f"k{i} AS MATERIALIZED (SELECT h.* FROM h{i - 1} h, lm WHERE ANO_MES > {first} "
+            f"AND NOT (TARGET = 0 AND ID IN (SELECT ID FROM n{i} WHERE TARGET = 1)))",
+            f"f{i} AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY md5('0|' || CAST(ID AS VARCHAR)), ID) AS rn FROM n{i} "
+            f"WHERE NOT (TARGET = 0 AND ID IN (SELECT ID FROM k{i})))",
+            f"h{i} AS MATERIALIZED (SELECT * FROM k{i} UNION ALL SELECT ANO_MES, ID, TARGET FROM f{i} WHERE rn <= "
+            f"floor(greatest((SELECT count(*) FROM h{i - 1}), (SELECT count(*) FROM n{i})) / 12))"]
+        old.append(f"SELECT h.*, 'archive' AS PART FROM h{i - 1} h, lm WHERE ANO_MES <= {first}")
+    return ("WITH lm AS (SELECT M FROM last_month),\n" + ",\n".join(ctes) + f"\nSELECT *, 'live' AS PART FROM h{steps}\nUNION ALL\n"
+            + "\nUNION ALL\n".join(old))
+
+
+@query("B14_rolled_table", _rolled_sql(3))
+def b14_table(fx):
+    """A stored universe after the last three months were taken in one by one,
+    the second of them twice, with its archive (B14, B15, B17)."""
+    u = fx.universe.select("ANO_MES", "ID", "TARGET")
+    months = [P.shift_month(fx.span[1], k) for k in (-2, -1, 0)]
+    table = MonthTable(fx.spark, scratch_path(fx.spark, "universe"))
+    table.create(u.where(F.col("ANO_MES") < months[0]))
+    for m in (months[0], months[1], months[1], months[2]):
+        table.roll(u.where(F.col("ANO_MES") == m), m, 12)
+    return (table.read().withColumn("PART", F.lit("live"))
+            .unionByName(table.read(archived=True).withColumn("PART", F.lit("archive"))))
+
+
 @query("B15_cap_new_month", """
 WITH hist AS (SELECT * FROM universe WHERE ANO_MES < (SELECT M FROM last_month)),
 new AS (SELECT * FROM universe WHERE ANO_MES = (SELECT M FROM last_month)),

@@ -13,19 +13,26 @@ A window ordered over the whole table (``Window.orderBy`` without
 4. per-partition totals (one row per partition) become offsets, broadcast
    back — the broadcast side is bounded by ``P``.
 
-Exact quantiles reuse this over *value counts*, so heavy ties cost one row.
+Exact quantiles reuse this over *value counts*, so heavy ties cost one row, and
+only the values near a wanted position are counted one by one: a mergeable
+sketch brackets each quantile first, and what lies between two brackets is one
+row.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from ..session import cut_lineage
 
 
+#: Brackets of all groups together that are broadcast (two doubles each).
+FEW_BRACKETS = 500_000
 #: Groups whose sizes go through one task and are broadcast (a row of some 50 bytes each).
 FEW_GROUPS = 100_000
 
@@ -95,27 +102,115 @@ def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "
     return running_total(df, order, None, out, partitions).drop("_w")
 
 
+def _brackets(base: DataFrame, probs: Sequence[float], by: Sequence[str], accuracy: int) -> list[tuple] | None:
+    """``(*by, lows, highs)`` per group: disjoint closed intervals in order that
+    hold the values at the positions of ``probs``, from a mergeable sketch
+    whose ranks are off by at most n / accuracy.  Groups of few values get one
+    interval of everything.  None where the groups are too many to broadcast.
+    Spark's order of doubles: NaN, which also stands for no upper bound, is the largest."""
+    most = FEW_BRACKETS // len(probs)
+    reach = 2 / accuracy
+    asked = [q for p in probs for q in (max(p - reach, 0.0), min(p + reach, 1.0))]
+    rows = (base.groupBy(*by).agg(F.count("*").alias("_n"), F.percentile_approx("_v", asked, accuracy).alias("_s"))
+            .limit(most + 1).collect())
+    if len(rows) > most:
+        return None
+
+    def rank(x: float) -> tuple:
+        return math.isnan(x), 0.0 if math.isnan(x) else x
+    out = []
+    for *key, n, s in rows:
+        if not n:       # a table without values still is one group where there is no ``by``
+            continue
+        parts = [(-math.inf, math.nan)]
+        if n > 2 * accuracy:
+            found = sorted(((-math.inf if asked[2 * i] <= 0 else s[2 * i], math.nan if asked[2 * i + 1] >= 1 else s[2 * i + 1])
+                            for i in range(len(probs))), key=lambda r: (rank(r[0]), rank(r[1])))
+            parts = found[:1]
+            for low, high in found[1:]:
+                if rank(low) <= rank(parts[-1][1]):
+                    parts[-1] = (parts[-1][0], max(parts[-1][1], high, key=rank))
+                else:
+                    parts.append((low, high))
+        out.append((*key, [r[0] for r in parts], [r[1] for r in parts]))
+    return out
+
+
+def _counts_near(base: DataFrame, probs: Sequence[float], by: Sequence[str], accuracy: int) -> DataFrame | None:
+    """``(*by, _cell, _v, _n1)``: counts of the single values inside a bracket
+    (odd cells), and of all values between two brackets (even cells, null
+    value), in one aggregate.  None where there are too many groups."""
+    found = _brackets(base, probs, by, accuracy)
+    if found is None:
+        return None
+    if by:
+        keys = [StructField(f"_b{i}", base.schema[k].dataType) for i, k in enumerate(by)]
+        edges = base.sparkSession.createDataFrame(found, StructType(
+            [*keys, StructField("_lows", ArrayType(DoubleType())), StructField("_highs", ArrayType(DoubleType()))]))
+        same = [F.col(k).eqNullSafe(F.col(f"_b{i}")) for i, k in enumerate(by)]
+        rows = base.join(F.broadcast(edges), same)      # FEW_BRACKETS bounds it
+        lows, highs, longest = F.col("_lows"), F.col("_highs"), max((len(r[-1]) for r in found), default=1)
+    else:
+        low, high = found[0][-2:] if found else ([], [])
+        rows, longest = base, len(low)
+        lows, highs = (F.array(*map(F.lit, a)).cast("array<double>") for a in (low, high))
+
+    def at_most(edges: Column) -> Column:
+        return F.size(F.filter(edges, lambda e: e <= F.col("_v")))
+    if longest > 16:    # search every 16th edge, then the 16 from there on
+        coarse = F.filter(lows, lambda e, i: i % 16 == 0)
+        start = F.greatest(at_most(coarse) - 1, F.lit(0)) * 16
+        rows = rows.withColumn("_start", start)
+        place = F.col("_start") + at_most(F.slice(lows, F.col("_start") + 1, 16))
+    else:
+        place = at_most(lows)
+    rows = rows.withColumn("_k", place)
+    inside = (F.col("_k") > 0) & (F.col("_v") <= F.try_element_at(highs, F.greatest("_k", F.lit(1))))
+    rows = rows.withColumn("_in", inside)
+    cell, single = F.col("_k") * 2 - F.col("_in").cast("int"), F.when(F.col("_in"), F.col("_v"))
+    return (rows.select(*by, cell.alias("_cell"), single.alias("_v")).groupBy(*by, "_cell", "_v")
+            .agg(F.count("*").alias("_n1")))
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                     by: Sequence[str] = (), partitions: int | None = None,
-                    approx: bool = False) -> DataFrame:
+                    approx: bool = False, accuracy: int | None = None) -> DataFrame:
     """Linear-interpolation quantiles (pandas / ``quantile_cont`` semantics)
     of ``value`` per group ``by``.  Returns ``(*by, _q, _i, quantile)`` with
     ``_i`` the index of the probability.  Nulls are ignored.
 
+    Two passes over ``df``: a sketch brackets the positions, then the values in
+    the brackets are counted and ranked; the result is exact.  Should a
+    position lie outside its bracket, or the groups be too many to broadcast
+    brackets, all values are counted.  ``accuracy`` (1000, or 40 per
+    probability) trades the sketch's size, about that many values a group and
+    task, for narrower brackets.
+
     ``approx=True`` uses ``percentile_approx`` (bounded memory, one pass).
     """
     probs = [float(p) for p in probs]
-    base = df.where(F.col(value).isNotNull())
-    prob_rows = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_i"), F.lit(p).alias("_q")) for i, p in enumerate(probs)]))
     if approx:
-        agg = base.groupBy(*by).agg(
+        agg = df.where(F.col(value).isNotNull()).groupBy(*by).agg(
             F.percentile_approx(F.col(value).cast("double"), probs, 100000).alias("_qs"))
         return agg.select(*by, F.posexplode("_qs").alias("_i", "quantile")).withColumn(
             "_q", F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("_i") + 1))
 
-    vc = base.groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_n1"))
-    order = [*by, "_v"]
+    base = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    near = _counts_near(base, probs, by, accuracy or max(1000, 40 * len(probs)))
+    if near is not None:
+        found = cut_lineage(_at_positions(near, probs, by, partitions))     # a row per group and probability
+        if found.where(F.col("quantile").isNull()).isEmpty():
+            return found
+    vc = base.groupBy(*by, "_v").agg(F.count("*").alias("_n1")).withColumn("_cell", F.lit(1))
+    return _at_positions(vc, probs, by, partitions)
+
+
+def _at_positions(vc: DataFrame, probs: Sequence[float], by: Sequence[str], partitions: int | None) -> DataFrame:
+    """Quantiles from value counts ``(*by, _cell, _v, _n1)`` in the order of
+    cell and value; null where a position falls on a row without a value."""
+    prob_rows = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_i"), F.lit(p).alias("_q")) for i, p in enumerate(probs)]))
+    order = [*by, "_cell", "_v"]
     ranged = frozen_ranges(vc, order, "_n1", partitions)
     cum = running_over(ranged, order, "_cum")
     # per group: size and first cumulative position, from the value counts

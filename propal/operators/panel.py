@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import percent_text_to_double
 from ..functions.ranking import frozen_ranges, group_starts, running_over
-from ..session import cut_lineage
+from ..session import cut_lineage, stored
 from .profile import wide_agg
 
 # --- fixed values (eligibility rules) -----------------------------------------
@@ -236,10 +236,11 @@ def negatives_without_reuse(target0: DataFrame, months: Sequence[int], id_col: s
     """Per month in order, sample int(N_m / n_months) negatives among ids
     not sampled in an earlier month.  Month m depends on months < m, so this
     is a driver loop over the (bounded) month list.  The candidates are
-    materialised once in the shared checkpoint folder; each month's picks are
-    checkpointed, and the anti-join reads their union, compacted every ten
-    months."""
-    cand_all = cut_lineage(target0.where(F.col("ANO_MES").isin(list(months))))
+    written once to the shared scratch folder, a folder a month, so that a month
+    reads its own rows only; each month's picks are checkpointed, and the
+    anti-join reads their union, compacted every ten months."""
+    wanted = target0.where(F.col("ANO_MES").isin(list(months)))
+    cand_all = stored(wanted.repartitionByRange("ANO_MES", F.col(id_col)), "candidates", ["ANO_MES"])
     counts = {r["ANO_MES"]: r["n"] for r in
               cand_all.groupBy("ANO_MES").agg(F.count("*").alias("n")).collect()}  # one row per month
     n_parts = int(target0.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -282,7 +283,9 @@ def lagged_join(base: DataFrame, feature: DataFrame, keys: Sequence[str], lag: i
     """Join ``feature`` observed ``lag`` months before the base month, for
     all months at once: the feature month is moved forward by ``lag`` and
     becomes part of the equi-join key.  Overlapping non-key columns get
-    ``suffix``; nothing from months after M-lag can reach the row."""
+    ``suffix``; nothing from months after M-lag can reach the row.  Both sides
+    are shuffled: feature tables have rows by month, which Spark's estimate of
+    their size leaves out."""
     keys = list(keys)
     cols = [c for c in (columns or feature.columns) if c not in keys and c != month_col]
     f = feature.select(*keys, add_months_yyyymm(F.col(month_col), lag).alias(month_col), *cols)
@@ -291,7 +294,7 @@ def lagged_join(base: DataFrame, feature: DataFrame, keys: Sequence[str], lag: i
         f = f.select(*keys, month_col, *[F.col(c).alias(c + suffix) for c in cols])
     elif overlap:
         raise ValueError(f"overlapping columns {sorted(overlap)}: give a suffix")
-    return base.join(f, [*keys, month_col], how)
+    return base.join(f.hint("merge"), [*keys, month_col], how)
 
 
 def lagged_feature_join(universe: DataFrame, features: Sequence[tuple]) -> DataFrame:

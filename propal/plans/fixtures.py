@@ -63,11 +63,12 @@ class Fixtures:
     def build_line_facts(self) -> DataFrame:
         l, o, c, p = self.lineitem, self.orders, self.customer, self.part
         n, r = self.nation, self.region
-        return (l.join(o, l.l_orderkey == o.o_orderkey)
-                .join(c, o.o_custkey == c.c_custkey)
-                .join(p, l.l_partkey == p.p_partkey)
-                .join(F.broadcast(n), c.c_nationkey == n.n_nationkey)     # 25 rows
-                .join(F.broadcast(r), n.n_regionkey == r.r_regionkey)     # 5 rows
+        places = (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)      # 25 rows
+                  .join(F.broadcast(r), n.n_regionkey == r.r_regionkey))      # 5 rows
+        # orders meet their customers first, so that the lines are shuffled for orders and parts only
+        placed = o.join(places, o.o_custkey == c.c_custkey)
+        return (l.join(p, l.l_partkey == p.p_partkey)
+                .join(placed.hint("merge"), l.l_orderkey == o.o_orderkey)
                 .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "c_custkey",
                         "o_orderdate", "l_shipdate",
                         (F.col("l_returnflag") == "R").cast("int").alias("TARGET"),
@@ -188,7 +189,7 @@ class Fixtures:
 
     def build_insured(self) -> DataFrame:
         l, o = self.lineitem, self.orders
-        return (l.join(o, l.l_orderkey == o.o_orderkey).select(
+        return (l.join(o.hint("merge"), l.l_orderkey == o.o_orderkey).select(
             F.col("l_orderkey").cast("string").alias("ID_APOLICE"),
             F.col("o_custkey").alias("ID_CLIENTE_ANON"),
             F.col("l_linenumber").alias("COD_DELEGACAO"),

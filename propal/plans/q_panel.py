@@ -402,14 +402,14 @@ def b12pl(fx):
     feats = pol.select("ANO_MES", "ID_APOLICE", "VAL_PCA_APL", "QTD_SEGURADOS_APL_SD_VIG")
     ins = fx.insured
     base = (pol.where("QTD_MESES = 15").select("ANO_MES", "ID_APOLICE", "ID_CLIENTE_ANON")
-            .join(ins.select("ID_APOLICE", "COD_DELEGACAO"), "ID_APOLICE").distinct())
+            .join(ins.select("ID_APOLICE", "COD_DELEGACAO").hint("merge"), "ID_APOLICE").distinct())
     out = P.lagged_feature_join(base, [(feats, ["ID_APOLICE"], 2, "left", ""),
                                        (feats, ["ID_APOLICE"], 14, "left", "_M12")])
     part1 = ins.groupBy("ID_APOLICE", "COD_DELEGACAO").agg(F.sum("QTD_CAPITAL").alias("QTD_CAPITAL"))
     part2 = ins.groupBy("ID_APOLICE", "ID_CLIENTE_ANON", "COD_DELEGACAO").agg(
         F.round(F.sum("VAL_PREMIO"), 2).alias("VAL_PREMIO"))
-    out = out.join(part1, ["ID_APOLICE", "COD_DELEGACAO"], "left").join(
-        part2, ["ID_APOLICE", "ID_CLIENTE_ANON", "COD_DELEGACAO"])
+    out = out.join(part1.hint("merge"), ["ID_APOLICE", "COD_DELEGACAO"], "left").join(
+        part2.hint("merge"), ["ID_APOLICE", "ID_CLIENTE_ANON", "COD_DELEGACAO"])
     nation = fx.customer.select(F.col("c_custkey").alias("ID_CLIENTE_ANON"), F.col("c_nationkey").alias("NATION"))
     out = P.dim_join(out.join(nation, "ID_CLIENTE_ANON", "left"), fx.geo, "NATION")
     return out.drop("ID_CLIENTE_ANON", "NATION")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import reports as R
+from ..session import scratch_path, stored
 from .catalog import query
 
 P10 = "[" + ", ".join(repr(i / 10) for i in range(11)) + "]"
@@ -217,7 +218,8 @@ FROM ({_bin_report_sql(src, '1 - EM_EVENTPROBABILITY', 'Decile', P10)}) r, ({_au
 def e16(fx):
     """Two model versions scored on the same labelled set: decile reports, AUC
     and Brier score side by side."""
-    lab = fx.scored_universe.select("ANO_MES", "ID", "TARGET")
+    # by month and customer: far more rows than Spark's estimate, so no broadcast
+    lab = fx.scored_universe.select("ANO_MES", "ID", "TARGET").hint("merge")
     a = fx.scores.join(lab, ["ANO_MES", "ID"])
     b = fx.scores_v2.join(lab, ["ANO_MES", "ID"])
     return R.compare_models(a, b, "EM_EVENTPROBABILITY").withColumns(
@@ -248,11 +250,11 @@ FROM lift""")
 def f6s(fx):
     """The monthly lift table produced by the incremental (file-stream,
     availableNow) monitoring job over month-partitioned scores."""
-    from ..session import scratch_path
     from ..streaming.monthly import monitor_months
     spark = fx.spark
     src, out, ck = (scratch_path(spark, n) for n in ("scores", "monitoring", "stream-ckpt"))
-    fx.scores.write.partitionBy("ANO_MES").parquet(src)
+    # dealt by month and customer: the panel of one file of customers is not one task's sort
+    fx.scores.repartitionByRange("ANO_MES", "ID").write.partitionBy("ANO_MES").parquet(src)
     monitor_months(spark, src, fx.purchases, out, ck)
     t = spark.read.parquet(out).withColumn("ANO_MES", F.col("ANO_MES").cast("int"))
     return t.select(*_ROUND6, *_r6(["LIFT", "CUMULATIVE_LIFT", "CONV_RATE_PERCENTILE", "CUMULATIVE_RESPONSE"]))
@@ -328,7 +330,7 @@ FROM pos, c""")
 def f2_ties(fx):
     """Percentile report on a tied score: the colliding-edges fallback (100
     points, left-closed digitize, edges by position)."""
-    df = fx.line_scored.withColumn("_s", F.round(F.col("l_discount") * 10, 0))
+    df = stored(fx.line_scored.select(F.round(F.col("l_discount") * 10, 0).alias("_s"), "TARGET"), "scored")
     return R.percentile_report(df, "_s", "TARGET")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.moments import pair_correlations
 from ..operators import sparse
+from ..session import stored
 from .catalog import query
 from .q_models import KEYS, NUMF
 
@@ -35,7 +36,7 @@ SELECT {on}, coalesce(ACTIVE, '') AS ACTIVE FROM (SELECT DISTINCT {on} FROM {tab
 @query("D42_one_hot_sparse", _sparse_sql("line_nulls", KEYS, _CATS, "1"))
 def d42_sparse(fx):
     """Three categorical columns (one with nulls) as one sparse vector a line."""
-    df = fx.line_nulls.select(*KEYS, *_CATS)
+    df = stored(fx.line_nulls.select(*KEYS, *_CATS), "lines")
     return _said(sparse.sparse_transform(df, sparse.index_fit(df, _CATS), KEYS, _CATS), KEYS)
 
 

@@ -20,7 +20,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import stored
 from .models import WEIGHTED, algorithm, assemble, with_balanced_weight
 
 METHODS = ("sigmoid", "isotonic")
@@ -102,7 +102,8 @@ def fit_calibrated_folds(df: DataFrame, features: Sequence[str], name: str, para
     """Fit ``folds`` pairs; a row's fold is a hash of its key."""
     fold = F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in key]), F.lit(folds))
     weighted = balanced and name in WEIGHTED
-    rows = cut_lineage((with_balanced_weight(df, label) if weighted else df).withColumn("_fold", fold))
+    data = df.select(*dict.fromkeys([*features, label]), fold.alias("_fold"))
+    rows = stored(with_balanced_weight(data, label) if weighted else data, "folds")
     pairs = []
     for k in range(folds):
         base = Pipeline(stages=[assemble(features), algorithm(name, label=label, weight="WEIGHT" if weighted else None, **params)])

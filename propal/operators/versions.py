@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import cut_lineage
+from ..session import stored
 from ..sources.commits import SmallFiles
 from . import fitted as FT
 from .models import best_of, last_n_months, pipeline_auc, score_table
@@ -37,9 +37,9 @@ def fit_preparation(df: DataFrame, numeric: Sequence[str], categories: Sequence[
     categories, numeric = list(categories), list(numeric)
     out = Preparation(plain={"categories": categories})
     if categories:
-        out.tables["rare"] = FT.rare_fit(df, categories)
+        out.tables["rare"] = stored(FT.rare_fit(df, categories), "rare")     # its bytes are known: joined by size
         df = FT.rare_transform(df, out.tables["rare"], categories)
-        out.tables["target_encode"] = FT.target_encode_fit(df, categories, target)
+        out.tables["target_encode"] = stored(FT.target_encode_fit(df, categories, target), "target-encode")
         df = FT.target_encode_transform(df, out.tables["target_encode"], categories)
     out.plain["medians"] = FT.median_mode_fit(df, numeric, [])
     df = FT.median_mode_transform(df, out.plain["medians"])
@@ -141,10 +141,10 @@ def recalibrate_version(store: Store, old: str, df: DataFrame, months: int, out:
     version's rows are prepared by its own states.  Returns ``(version, cv_auc, best)``."""
     recent = last_n_months(df, months, label)
     v = store.load(old)
-    rows = cut_lineage(prepare(recent, v.preparation))
+    rows = stored(prepare(recent, v.preparation), "recent")
     aucs = {"recalibrated": pipeline_auc(v.pipeline, rows, label, folds, seed)}
     if champion:
         rival = store.load(champion)
-        aucs["champion"] = pipeline_auc(rival.pipeline, cut_lineage(prepare(recent, rival.preparation)), label, folds, seed)
+        aucs["champion"] = pipeline_auc(rival.pipeline, stored(prepare(recent, rival.preparation), "recent"), label, folds, seed)
     store.save(out, v.preparation, v.pipeline, v.pipeline.fit(rows), promote=aucs["recalibrated"] >= max(aucs.values()))
     return best_of(store.spark, aucs)

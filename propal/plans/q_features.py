@@ -9,7 +9,7 @@ from ..operators import families as FM
 from ..operators import fitted as FT
 from ..operators.lineage import expand_lineage
 from ..operators.profile import wide_agg
-from ..session import cut_lineage
+from ..session import cut_lineage, stored
 from .catalog import query
 from .fixtures import LOBS
 
@@ -417,7 +417,7 @@ SELECT l_orderkey, l_linenumber, """ + ", ".join(
     for c in _QB) + " FROM line_facts, e")
 def d23(fx):
     """7-quantile bins (0-based labels) of numerics with > 7 distinct values."""
-    df = fx.line_facts.select("l_orderkey", "l_linenumber", *_QB)
+    df = stored(fx.line_facts.select("l_orderkey", "l_linenumber", *_QB), "lines")
     return FT.quantile_bin_transform(df, FT.quantile_bin_fit(df, _QB, 7))
 
 
@@ -782,7 +782,7 @@ def _d43_scaled(c):
        + ", CAST(l_tax IS NULL AS INTEGER) AS FLG_MISSING_l_tax FROM line_nulls")
 def d43b(fx):
     """Imputation stage: missing flags above 10 %, median fill, standardisation."""
-    df = fx.line_nulls.select("l_orderkey", "l_linenumber", "l_tax", "l_quantity", "PERC_DISC")
+    df = stored(fx.line_nulls.select("l_orderkey", "l_linenumber", "l_tax", "l_quantity", "PERC_DISC"), "lines")
     out = FT.impute_and_scale(df, ["l_tax", "l_quantity", "PERC_DISC"], high_missing=0.1, scaling="standardization")
     return out.withColumns({c: F.round(c, 8) for c in ("l_tax", "l_quantity", "PERC_DISC")})
 

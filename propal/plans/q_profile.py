@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import profile as C
+from ..session import stored
 from .catalog import query
 
 NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "p_size", "PERC_DISC"]
@@ -238,7 +239,7 @@ FROM g, t"""
 @query("C15_numerical_effectiveness", _eff_bins_sql(PROFILE, PROFILE, _C15_COLS, False))
 def c15(fx):
     """Conversion by decile bin of each numeric column."""
-    return C.numerical_effectiveness(_prof(fx), "TARGET", _C15_COLS)
+    return C.numerical_effectiveness(stored(fx.line_nulls.select(*_C15_COLS, "TARGET"), "lines"), "TARGET", _C15_COLS)
 
 
 @query("C15_one_bin", """
@@ -269,7 +270,7 @@ _TEST = f"(SELECT * FROM line_nulls WHERE o_orderdate >= TIMESTAMP '1999-01-01')
 @query("C16_effectiveness_saved_bins", _eff_bins_sql(_TRAIN, _TEST, _C15_COLS, True))
 def c16(fx):
     """Deciles fitted on orders before 1999, applied to later orders."""
-    d = fx.line_nulls
+    d = stored(fx.line_nulls.select("o_orderdate", *_C15_COLS, "TARGET"), "lines")
     train = d.where(F.col("o_orderdate") < "1999-01-01")
     test = d.where(F.col("o_orderdate") >= "1999-01-01")
     return C.apply_effectiveness_bins(test, C.fit_effectiveness_bins(train, _C15_COLS))
@@ -319,7 +320,8 @@ FROM (SELECT TARGET, count(*) AS n_c, sum(CAST({c} AS DOUBLE)) AS s_c FROM line_
 @query("C17_chi2_score", _CHI2_SQL)
 def c17chi(fx):
     """chi2 selection score of the non-negative numerics against the target."""
-    t = C.feature_target_corr(fx.line_facts, "TARGET", _C17_COLS)
+    lines = stored(fx.line_facts.select(*_C17_COLS, "TARGET"), "lines")
+    t = C.feature_target_corr(lines, "TARGET", _C17_COLS)
     return t.select("Variable", F.round("CHI2", 6).alias("CHI2"))
 
 

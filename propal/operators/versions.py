@@ -36,11 +36,15 @@ def fit_preparation(df: DataFrame, numeric: Sequence[str], categories: Sequence[
     scale, each fitted on the result of those before."""
     categories, numeric = list(categories), list(numeric)
     out = Preparation(plain={"categories": categories})
+    # encoding leaves other columns as they are: these are fitted on rows that no state is joined to
+    apart = df.select(*numeric) if numeric and not set(numeric) & set(categories) else None
     if categories:
         out.tables["rare"] = stored(FT.rare_fit(df, categories), "rare")     # its bytes are known: joined by size
         df = FT.rare_transform(df, out.tables["rare"], categories)
         out.tables["target_encode"] = stored(FT.target_encode_fit(df, categories, target), "target-encode")
-        df = FT.target_encode_transform(df, out.tables["target_encode"], categories)
+        if apart is None:
+            df = FT.target_encode_transform(df, out.tables["target_encode"], categories)
+    df = df if apart is None else apart
     out.plain["medians"] = FT.median_mode_fit(df, numeric, [])
     df = FT.median_mode_transform(df, out.plain["medians"])
     out.plain["caps"] = {c: list(b) for c, b in FT.clip_fit(df, numeric).items()}

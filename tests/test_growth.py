@@ -6,6 +6,7 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
+from propal.operators import fitted, versions
 from propal.operators import models as M
 from propal.operators import panel as P
 from propal.operators import reports as R
@@ -144,3 +145,32 @@ def test_scores_of_the_stream_are_sorted_in_many_tasks(spark, tables, monkeypatc
     with pytest.raises(InterruptedError):
         q_reports.f6s(tables)
     assert written[0] >= 1 and "rangepartitioning" in plans[0]
+
+
+def test_caps_count_the_values_of_few_valued_columns_only(spark, monkeypatch):
+    seen = []
+    values = fitted.unpivot
+    monkeypatch.setattr(fitted, "unpivot", lambda df, columns, *a, **k: seen.append(list(columns)) or values(df, columns, *a, **k))
+    df = spark.range(400).selectExpr("cast(id as double) as many", "cast(id % 8 as double) as eight", "cast(id % 7 as double) as seven",
+                                     "cast(null as double) as none", "cast(id % 9 as double) as QTD_x")
+    caps = fitted.clip_fit(df, df.columns)
+    assert seen == [["eight", "seven", "none", "QTD_x"], ["many", "eight"]]
+    assert caps["many"] == (-199.5, 598.5)
+    assert sorted(caps) == ["QTD_x", "eight", "many"] and caps["QTD_x"][0] is None
+
+
+def test_numeric_states_are_fitted_without_joins(spark, monkeypatch):
+    plans = {}
+    for name in ("median_mode_fit", "clip_fit", "standard_scale_fit"):
+        def fit(df, *a, own=getattr(fitted, name), name=name, **k):
+            plans[name] = _plan(df)
+            return own(df, *a, **k)
+        monkeypatch.setattr(versions.FT, name, fit)
+    df = spark.range(60).selectExpr("if(id % 5 = 0, null, cast(id as double)) as x", "concat('c', id % 3) as kind", "cast(id % 2 as int) as TARGET")
+    state = versions.fit_preparation(df, ["x"], ["kind"])
+    assert len(plans) == 3 and not any("Join" in p for p in plans.values())
+    assert state.plain["medians"] == {"x": 30.0} and sorted(state.tables) == ["rare", "target_encode"]
+    assert versions.prepare(df, state).where("x is null or kind is null").count() == 0
+    # a column that is both is fitted as it was encoded
+    both = versions.fit_preparation(df.withColumn("kind", F.col("x").cast("int").cast("string")), ["kind"], ["kind"])
+    assert 0.0 <= both.plain["medians"]["kind"] <= 1.0

@@ -91,9 +91,12 @@ class CalibratedFolds:
     def out_of_fold(self, df: DataFrame, out: str = "P1") -> DataFrame:
         """The training rows, each with the probability of the base model that
         did not see it (its calibrator did) and its fold ``FOLD``."""
-        each = self._each(df).withColumn("FOLD", self.fold.cast("int"))
-        own = F.coalesce(*(F.when(F.col("FOLD") == k, F.col(f"_p{k}")) for k in range(len(self.pairs))))
-        return each.withColumn(out, own).select(*df.columns, "FOLD", out)
+        rows = df.withColumn("FOLD", self.fold.cast("int"))
+        parts = []
+        for k, (base, calibrator) in enumerate(self.pairs):     # a row meets the pair of its own fold only
+            scored = base.transform(rows.where(F.col("FOLD") == k)).withColumn("_base", vector_to_array("probability")[1])
+            parts.append(calibrated(scored.select(*rows.columns, "_base"), calibrator, "_base", out))
+        return reduce(DataFrame.unionByName, parts).select(*df.columns, "FOLD", out)
 
 
 def fit_calibrated_folds(df: DataFrame, features: Sequence[str], name: str, params: dict, key: Sequence[str],

@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from propal.operators import fitted, versions
+from propal.operators import calibration, fitted, versions
 from propal.operators import models as M
 from propal.operators import panel as P
 from propal.operators import reports as R
@@ -174,3 +174,15 @@ def test_numeric_states_are_fitted_without_joins(spark, monkeypatch):
     # a column that is both is fitted as it was encoded
     both = versions.fit_preparation(df.withColumn("kind", F.col("x").cast("int").cast("string")), ["kind"], ["kind"])
     assert 0.0 <= both.plain["medians"]["kind"] <= 1.0
+
+
+def test_a_row_meets_the_pair_of_its_fold_only(spark):
+    df = spark.range(240).coalesce(1).selectExpr("id as k", "cast(id % 11 as double) as x", "cast(id % 11 > 4 + id % 3 as int) as TARGET")
+    fit = calibration.fit_calibrated_folds(df, ["x"], "LogisticRegression", {}, ["k"])
+    each = fit._each(df).withColumn("FOLD", fit.fold.cast("int"))
+    expected = {r["k"]: (r["FOLD"], r[f"_p{r['FOLD']}"]) for r in each.collect()}
+    out = fit.out_of_fold(df)
+    assert out.columns == ["k", "x", "TARGET", "FOLD", "P1"] and out.count() == 240
+    assert {r["k"]: (r["FOLD"], r["P1"]) for r in out.collect()} == expected
+    plan = fit.out_of_fold(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Filter") == 3

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from ..session import cut_lineage
+from ..session import cut_lineage, stored
 
 
 #: Brackets of all groups together that are broadcast (two doubles each).
@@ -81,6 +81,25 @@ def running_total(df: DataFrame, order: Sequence[str | Column], weight: str | Co
     return running_over(frozen_ranges(df, order, weight, partitions), order, out)
 
 
+def stored_in_order(df: DataFrame, order: Sequence[str | Column], columns: Sequence[str], name: str, out: str = "_i",
+                    partitions: int | None = None) -> DataFrame:
+    """``columns`` of ``df`` and ``out``, the 1-based rank in a total ``order``, stored.
+
+    Rows are shuffled once, by ranges, and sorted where they lie: a row's place
+    in its range is its position in the task that writes it, so no window deals
+    the rows again, and what only the order needs is not stored."""
+    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    dealt = df.repartitionByRange(_n_partitions(df, partitions), *order_cols).sortWithinPartitions(*order_cols)
+    kept = stored(dealt.select(*columns, F.monotonically_increasing_id().alias("_at")), name, plain=False)
+    # the id of a row: 33 bits of its position below the number of its range
+    pid, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = kept.groupBy(pid.alias("_pid")).agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range: a bounded broadcast
+    starts = cut_lineage(sizes.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
+    return kept.join(F.broadcast(starts), pid == F.col("_pid")).select(*columns, (F.col("_start") + place + 1).alias(out))
+
+
 def group_starts(ranged: DataFrame, by: Sequence[str]) -> tuple[DataFrame, bool]:
     """``(*by, _gn, _g0)``: weight of each group and of the groups before it, for
     ``frozen_ranges`` ordered by ``by`` first; from plain sums, without a rank.

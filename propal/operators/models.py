@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.moments import pair_correlations
-from ..functions.ranking import running_total
+from ..functions.ranking import stored_in_order
 from ..session import cut_lineage, stored
 from .panel import shift_month
 from .profile import unpivot, wide_agg
@@ -329,7 +329,7 @@ def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequen
     where they are after the first; each row then has a score per feature."""
     base = roc_auc(score_table(model, df, keys, label), "P1", label).first()[0]
     h = F.xxhash64(F.lit(seed), *[F.col(k) for k in keys])
-    ranked = stored(running_total(df.withColumn("_h", h), ["_h", *keys], None, "_i").drop("_w", "_h"), "ranked")
+    ranked = stored_in_order(df, [h, *keys], df.columns, "ranked")
     n = ranked.count()
     impurity = getattr(model.stages[-1], "featureImportances", None)
     share = [float(x) for x in impurity.toArray()] if impurity is not None else [None] * len(features)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
+from propal.functions.ranking import stored_in_order
 from propal.operators import calibration, fitted, versions
 from propal.operators import models as M
 from propal.operators import panel as P
@@ -186,3 +187,30 @@ def test_a_row_meets_the_pair_of_its_fold_only(spark):
     assert {r["k"]: (r["FOLD"], r["P1"]) for r in out.collect()} == expected
     plan = fit.out_of_fold(df)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Filter") == 3
+
+
+def test_rows_to_permute_are_ranked_by_one_shuffle(spark, monkeypatch):
+    df = spark.range(300).repartition(5).selectExpr("id", "cast(id % 17 as double) as a", "cast(id % 7 as double) as b", "cast(id % 17 > 6 as int) as TARGET")
+    model = Pipeline(stages=[M.assemble(["a", "b"]), M.algorithm("LogisticRegression", weight=None)]).fit(df)
+    plans = []
+    write = type(df).write
+    monkeypatch.setattr(type(df), "write", property(lambda self: plans.append(_plan(self)) or write.fget(self)))
+    rows = {r["feature"]: r["auc_permuted"] for r in M.permutation_importance(model, df, ["a", "b"], ["id"]).collect()}
+    monkeypatch.undo()
+    assert len(plans) == 1 and "Window" not in plans[0] and plans[0].count("rangepartitioning") == 1
+    # brute force: rows in the hash order, a feature moved on by its distance
+    ranked = df.withColumn("_h", F.xxhash64(F.lit(0), "id")).orderBy("_h", "id").toPandas()
+    for k, f in enumerate(["a", "b"]):
+        moved = ranked.assign(**{f: ranked[f].to_list()[-100 * (k + 1):] + ranked[f].to_list()[:-100 * (k + 1)]})
+        scored = M.score_table(model, spark.createDataFrame(moved.drop(columns="_h")), ["id"])
+        assert abs(rows[f] - R.roc_auc(scored, "P1").first()[0]) < 1e-12
+
+
+def test_ranks_stored_in_order(spark):
+    df = spark.range(500).repartition(6).selectExpr("id", "if(id % 3 = 0, null, cast(id % 5 as double)) as s", "concat('t', id) as text")
+    out = stored_in_order(df, [F.col("s").desc(), "id"], ["text", "id"], "ranks", "rn", partitions=7)
+    assert out.columns == ["text", "id", "rn"]
+    expected = df.orderBy(F.col("s").desc(), "id").toPandas()["id"].to_list()
+    assert [r["id"] for r in out.orderBy("rn").collect()] == expected
+    assert sorted(r["rn"] for r in out.collect()) == [*range(1, 501)]
+    assert stored_in_order(df.where("id < 0"), ["id"], ["id"], "none").count() == 0

@@ -12,7 +12,7 @@ from propal.operators import models as M
 from propal.operators import panel as P
 from propal.operators import reports as R
 from propal.operators import sparse
-from propal.plans import q_features, q_panel, q_reports
+from propal.plans import q_features, q_models, q_panel, q_reports
 from propal.plans.fixtures import Fixtures
 from propal.session import stored
 
@@ -214,3 +214,16 @@ def test_ranks_stored_in_order(spark):
     assert [r["id"] for r in out.orderBy("rn").collect()] == expected
     assert sorted(r["rn"] for r in out.collect()) == [*range(1, 501)]
     assert stored_in_order(df.where("id < 0"), ["id"], ["id"], "none").count() == 0
+
+
+def test_fits_without_keys_store_no_keys(tables, monkeypatch):
+    seen = []
+
+    def stop(df, *a, **k):
+        seen.append(df.columns)
+        raise InterruptedError
+    monkeypatch.setattr(q_models, "stored", stop)
+    for run in (q_models.e4, q_models.e9):
+        with pytest.raises(InterruptedError):
+            run(tables)
+    assert seen == [[*q_models.NUMF, "TARGET"]] * 2

@@ -1,10 +1,12 @@
 """Operators without a contract, and the pipeline."""
 
+import random
 import re
 
 import corpus_pipeline
 import numpy as np
 from propal.llm import decontaminate, langid, line_dedup, quality, surrogates
+from pyspark.sql import functions as F
 from tests.llm import brute
 from tests.llm.conftest import words
 
@@ -138,6 +140,26 @@ def test_fuzzy_lines(spark):
     assert got[3] == [0]
 
 
+def test_alike_lines(spark):
+    """Pieces of a pair decide like the whole: around the limit, with text moved, short, empty and beyond ASCII."""
+    rng = random.Random(4)
+    pairs = [("", ""), ("", "a"), ("a", "b"), ("aaaaa", "aaaab"), ("aaaa", "aaab"), ("é" * 40, "é" * 33), ("ab" * 60, "ba" * 60)]
+    for n in (3, 17, 60, 200):
+        for share in (0.02, 0.1, 0.18, 0.2, 0.22, 0.3):
+            chars = [rng.choice("abcdeé ") for _ in range(n)]
+            other = list(chars)
+            for _ in range(int(n * share + rng.random())):
+                k = rng.randrange(len(other))
+                other[k:k + 1] = rng.choice(([], [rng.choice("abc")], [other[k], "ß"]))
+            pairs += [("".join(chars), "".join(other)), ("".join(chars[9:] + chars[:9]), "".join(chars))]
+    frame = spark.createDataFrame(pairs, "a string, b string")
+    got = [r for r in frame.select("a", "b", F.expr(line_dedup.alike("a", "b")).alias("same")).collect()]
+    assert len(got) == len(pairs) and {True, False} == {r["same"] for r in got}
+    for r in got:
+        longer = max(len(r["a"]), len(r["b"]))
+        assert r["same"] == (brute.edits(r["a"], r["b"]) <= int(longer * 0.2 + 1e-9)), r
+
+
 def benchmark(spark):
     items = [(1, words(100, 30)), (2, words(101, 14)), (3, None), (4, ""), (5, "abc"), (6, words(102, 60)), (6, words(102, 60))]
     return spark.createDataFrame(items, "item_id long, text string"), dict(items)

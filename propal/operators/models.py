@@ -5,7 +5,9 @@ feature and model parameters reach the driver."""
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import partial
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
@@ -16,6 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from ..functions.moments import pair_correlations
 from ..functions.ranking import stored_in_order
@@ -196,6 +199,29 @@ def settings_above(model, threshold: float = 0.5) -> list[tuple[str, float]]:
     return sorted((x for x in found if x[1] > threshold), key=lambda x: (-x[1], x[0]))
 
 
+def size_of(df: DataFrame) -> int:
+    """Bytes of ``df`` as its plan estimates them: of a stored table, those of its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def packed(df: DataFrame, least: int = 8 << 20) -> DataFrame:
+    """``df`` in partitions of some ``least`` bytes: a fit of many short passes over a
+    small table otherwise spends its time on starting tasks."""
+    return df.coalesce(-(-max(size_of(df), 1) // least))
+
+
+def together(spark, jobs: Sequence[Callable], frames: Sequence[DataFrame], most: int = 4, room: int = 512 << 20) -> list:
+    """Results of ``jobs``, in their order.  Small jobs mostly wait for the driver, so up to
+    ``most`` run side by side, as long as that many of the largest of ``frames``,
+    which they read and cache, take no more than ``room`` bytes."""
+    size = max(map(size_of, frames), default=0)
+    at_once = max(1, min(most, len(jobs), room // max(size, 1)))
+    if at_once == 1:
+        return [job() for job in jobs]
+    with ThreadPool(at_once) as pool:
+        return pool.map(lambda job: job(), [inheritable_thread_target(spark)(job) for job in jobs], chunksize=1)
+
+
 def preprocessing_variants(df: DataFrame, target: str = "TARGET", keys: Sequence[str] = (),
                            aggregation: Sequence[bool] = (False, True), flags: Sequence[bool] = (False, True),
                            extras: Sequence[str | None] = (None, "binning", "outlier"),
@@ -203,31 +229,32 @@ def preprocessing_variants(df: DataFrame, target: str = "TARGET", keys: Sequence
     """E7 matrix variants: {column aggregation (D21)} x {count flags (D22)} x
     {none | binning (D23) | outlier caps (D24)} — binning and outliers
     exclude each other — each followed by the near-constant filter (D25).
-    Returns ``name -> (matrix, numeric feature list)``; fits run on Spark."""
+    Returns ``name -> (matrix, numeric feature list)``; fits run on Spark, those of
+    several variants of a small matrix side by side."""
     from . import fitted as FT
     from ..functions.columns import numeric_columns
     df = stored(df, "matrix")            # every fit and fold reads the matrix, not its lineage
-    out = {}
+
+    def variant(d: DataFrame, num: list[str], extra: str | None) -> tuple[DataFrame, list[str]]:
+        if extra == "binning":
+            d = FT.quantile_bin_transform(d, FT.quantile_bin_fit(d, num))
+        elif extra == "outlier":
+            d = FT.clip_transform(d, FT.clip_fit(d, num))
+        d = FT.constant_fill(d)          # the final sentinel fill (D20): no NaN reaches the model
+        d = packed(stored(d, "variant"))
+        keep = set(FT.near_constant_fit(d.select(target, *num), target, columns=num))
+        return d, [c for c in num if c in keep]
+    jobs = {}
     for agg in aggregation:
+        folded = FT.lob_others_transform(df, FT.lob_others_fit(df, target, threshold=lob_threshold)) if agg else df
         for flg in flags:
+            d = FT.count_to_flag_transform(folded, FT.count_to_flag_fit(folded)) if flg else folded
+            num = numeric_columns(d, exclude=[target, *keys])
             for extra in extras:
-                d = df
-                if agg:
-                    d = FT.lob_others_transform(d, FT.lob_others_fit(d, target, threshold=lob_threshold))
-                if flg:
-                    d = FT.count_to_flag_transform(d, FT.count_to_flag_fit(d))
-                num = numeric_columns(d, exclude=[target, *keys])
-                if extra == "binning":
-                    d = FT.quantile_bin_transform(d, FT.quantile_bin_fit(d, num))
-                elif extra == "outlier":
-                    d = FT.clip_transform(d, FT.clip_fit(d, num))
-                d = FT.constant_fill(d)          # the final sentinel fill (D20): no NaN reaches the model
-                d = stored(d, "variant")
-                keep = set(FT.near_constant_fit(d.select(target, *num), target, columns=num))
                 name = "+".join([p for p, on in (("agg", agg), ("flags", flg)) if on] + ([extra] if extra else [])) \
                     or "base"
-                out[name] = (d, [c for c in num if c in keep])
-    return out
+                jobs[name] = partial(variant, d, num, extra)
+    return dict(zip(jobs, together(df.sparkSession, list(jobs.values()), [df] * len(jobs))))
 
 
 def training_grid(df: DataFrame, feature_sets: dict[str, Sequence[str]], algorithms: dict[str, dict],
@@ -238,20 +265,30 @@ def training_grid(df: DataFrame, feature_sets: dict[str, Sequence[str]], algorit
     ANO_MES; None: all), ``counts`` the first n features by ANOVA F on these
     rows (None: all).  ``kept`` marks settings above the AUC threshold and
     ``winner`` the best of them."""
-    rows = []
-    for fs_name, spec in feature_sets.items():
+    def orders(spec) -> list[tuple[int | None, DataFrame, list[str]]]:
         matrix, feats = spec if isinstance(spec, tuple) else (df, list(spec))
+        found = []
         for span in months:
             data = matrix if span is None else last_n_months(matrix, span, label)
             order = feats
             if any(n is not None for n in counts):
-                found = {r["Variable"]: r["F"] or 0.0 for r in anova_f(data, feats, label).collect()}
-                order = sorted(feats, key=lambda f: (-found.get(f, 0.0), f))
+                scores = {r["Variable"]: r["F"] or 0.0 for r in anova_f(data, feats, label).collect()}
+                order = sorted(feats, key=lambda f: (-scores.get(f, 0.0), f))
+            found.append((span, data, order))
+        return found
+
+    def settings(fs_name: str, spec) -> list[tuple]:
+        rows = []
+        for span, data, order in orders(spec):
             for n in counts:
                 chosen = order[:n]
                 for alg, grid in algorithms.items():
                     m = grid_search(data, chosen, alg, grid, label, folds)
                     rows.append((fs_name, span, len(chosen), alg, float(max(m.avgMetrics))))
+        return rows
+    matrices = [spec[0] if isinstance(spec, tuple) else df for spec in feature_sets.values()]
+    jobs = [partial(settings, *item) for item in feature_sets.items()]
+    rows = [row for part in together(df.sparkSession, jobs, matrices) for row in part]
     best = max((r[4] for r in rows if r[4] > threshold), default=None)
     return df.sparkSession.createDataFrame(
         [(*r, r[4] > threshold, r[4] == best) for r in rows],

@@ -1,6 +1,7 @@
 """Joins and inputs whose cost once grew faster than the data."""
 
 import os
+import threading
 
 import pytest
 from pyspark.ml import Pipeline
@@ -227,3 +228,40 @@ def test_fits_without_keys_store_no_keys(tables, monkeypatch):
         with pytest.raises(InterruptedError):
             run(tables)
     assert seen == [[*q_models.NUMF, "TARGET"]] * 2
+
+
+def test_small_settings_run_side_by_side(spark, monkeypatch):
+    """Two settings wait for each other, each once in the variants' fits and in the searches; results keep their order."""
+    variants, searches = threading.Barrier(2), threading.Barrier(2)
+    near = fitted.near_constant_fit
+    monkeypatch.setattr(fitted, "near_constant_fit", lambda *a, **k: (variants.wait(60), near(*a, **k))[1])
+    seen = []
+
+    class Found:
+        avgMetrics = [0.75]
+
+    def search(df, features, *a, **k):
+        searches.wait(60)
+        seen.append((df.count(), list(features)))
+        return Found
+    monkeypatch.setattr(M, "grid_search", search)
+    df = spark.range(60).selectExpr("id as ID", "cast(id % 3 = 0 as int) as TARGET", "id * 1.5D as VAL_A", "cast(if(id % 4 = 0, id, 0) as int) as QTD_B")
+    found = M.preprocessing_variants(df, "TARGET", keys=["ID"], aggregation=(False,), extras=(None,))
+    assert list(found) == ["base", "flags"]
+    assert [x[1] for x in found.values()] == [["VAL_A", "QTD_B"], ["VAL_A", "FLG_B"]]
+    rows = M.training_grid(df, found, {"LogisticRegression": {}}).collect()
+    assert [r["feature_set"] for r in rows] == ["base", "flags"] and sorted(seen) == [(60, ["VAL_A", "FLG_B"]), (60, ["VAL_A", "QTD_B"])]
+
+
+def test_large_settings_run_one_by_one(spark):
+    at = []
+    jobs = [lambda k=k: at.append((k, threading.get_ident())) or k for k in range(3)]
+    assert M.together(spark, jobs, [spark.range(1000)], room=1000) == [0, 1, 2]
+    assert {t for _, t in at} == {threading.get_ident()}
+    assert M.together(spark, [], []) == []
+
+
+def test_small_tables_are_packed(spark):
+    small = spark.range(1000).repartition(6)
+    assert M.packed(small).rdd.getNumPartitions() == 1 and M.packed(small).count() == 1000
+    assert M.packed(small, 100).rdd.getNumPartitions() == 6

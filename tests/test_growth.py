@@ -265,3 +265,28 @@ def test_small_tables_are_packed(spark):
     small = spark.range(1000).repartition(6)
     assert M.packed(small).rdd.getNumPartitions() == 1 and M.packed(small).count() == 1000
     assert M.packed(small, 100).rdd.getNumPartitions() == 6
+
+
+def test_shallow_forests_are_cut_from_the_deepest(spark, monkeypatch):
+    """One fit for all depths gives the forests, and the search's figures, that a fit for each gives."""
+    df = spark.range(3000).selectExpr("cast(hash(id) % 4 + hash(id, 1) % 3 > 0 as int) as TARGET", "hash(id) % 4 + hash(id, 2) % 2 / 2D as A",
+                                      "cast(hash(id, 1) % 3 as double) as B", "hash(id, 3) % 50 / 7D as C", "cast(id % 9 as double) as D").repartition(3)
+    df = stored(df, "rows")
+    grid = {"maxDepth": [4, 1, 2], "numTrees": [3, 6]}
+    fits = []
+    fit = M.RandomForestClassifier._fit
+    monkeypatch.setattr(M.RandomForestClassifier, "_fit", lambda self, d: fits.append(self.getMaxDepth()) or fit(self, d))
+    search = M.grid_search(df, ["A", "B", "C", "D"], "RandomForest", grid)
+    assert sorted(fits)[:6] == [4] * 6 and len(fits) == 7           # two of each of three folds, and the best
+    kind = M.ForestPipeline
+    monkeypatch.setattr(M, "ForestPipeline", Pipeline)
+    plain = M.grid_search(df, ["A", "B", "C", "D"], "RandomForest", grid)
+    assert search.avgMetrics == pytest.approx(plain.avgMetrics, abs=1e-12)
+    data = M.assemble(["A", "B", "C", "D"]).transform(df)
+    deep, flat = (M.RandomForestClassifier(featuresCol="features", labelCol="TARGET", numTrees=5, maxDepth=k, seed=3).fit(data) for k in (6, 3))
+    cut = M.cut_forest(deep, 3)
+    assert [t.toDebugString.split("\n", 1)[1] for t in cut.trees] == [t.toDebugString.split("\n", 1)[1] for t in flat.trees]
+    assert cut.getMaxDepth() == 3 and cut.getNumTrees == 5
+    assert cut.transform(data).select("probability", "prediction").collect() == flat.transform(data).select("probability", "prediction").collect()
+    tight = M.RandomForestClassifier(numTrees=500, maxDepth=20)
+    assert not kind().same_draws(tight, 40) and kind().same_draws(tight.copy({tight.maxDepth: 5}), 4)
